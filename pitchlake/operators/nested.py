@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.columns import select_tolerant
 from pitchlake.schemas import EVENT, FIELDING_POSITIONS, PITCH, PLAY
+from pitchlake.session import checkpoint_dir
 
 _UNB = Window.unboundedPreceding
 _CUR = Window.currentRow
@@ -57,9 +58,15 @@ def prepare_games(feed: DataFrame, num_partitions: int | None = None) -> DataFra
     return feed.repartition("game_id")
 
 
+def _carry(df: DataFrame) -> list[str]:
+    """Per-game columns carried onto every row when present (``year`` from the
+    landed partition or schedule)."""
+    return [c for c in ("year",) if c in df.columns]
+
+
 def plate_appearances(games: DataFrame) -> DataFrame:
     """One row per ``allPlays`` element, keeping the element as struct ``p``."""
-    return games.select("game_id", F.posexplode("liveData.plays.allPlays").alias("pa_pos", "p"))
+    return games.select("game_id", *_carry(games), F.posexplode("liveData.plays.allPlays").alias("pa_pos", "p"))
 
 
 def _runners(p: Column) -> Column:
@@ -73,6 +80,7 @@ def event_rows(pa: DataFrame) -> DataFrame:
     credits = F.flatten(F.transform(_runners(p), lambda r: F.coalesce(r["credit"], F.array())))
     return pa.select(
         "game_id",
+        *_carry(pa),
         p["about"]["atBatIndex"].alias("event_index"),
         p["about"]["inning"].alias("inning"),
         p["about"]["halfInning"].alias("half_inning"),
@@ -100,6 +108,7 @@ def play_rows(pa: DataFrame) -> DataFrame:
     dis = F.transform(pe, lambda x: x["details"]["disengagementNum"])
     step1 = pa.select(
         "game_id",
+        *_carry(pa),
         "pa_pos",
         p["about"]["atBatIndex"].alias("event_index"),
         p["about"]["inning"].alias("inning"),
@@ -129,7 +138,7 @@ def play_rows(pa: DataFrame) -> DataFrame:
         ),
     )
     ex = step1.select(
-        "game_id", "pa_pos", "event_index", "inning", "half_inning", "runners",
+        "game_id", *_carry(step1), "pa_pos", "event_index", "inning", "half_inning", "runners",
         F.posexplode(enriched).alias("pos", "s"),
     )
     e = F.col("s")["e"]
@@ -139,6 +148,7 @@ def play_rows(pa: DataFrame) -> DataFrame:
         e["playId"].alias("play_id"),
         e["actionPlayId"].alias("action_play_id"),
         "game_id",
+        *_carry(ex),
         "event_index",
         "inning",
         "half_inning",
@@ -315,6 +325,7 @@ def flatten_games(
     lineup: DataFrame | None = None,
     schedule: DataFrame | None = None,
     num_partitions: int | None = None,
+    cut_lineage: bool = False,
 ) -> dict[str, DataFrame]:
     """``{'event', 'pitch', 'play'}`` DataFrames in the stored layouts.
 
@@ -323,6 +334,11 @@ def flatten_games(
     ``year`` per ``game_id``; without it ``year`` is NULL.
     """
     games = prepare_games(feed, num_partitions)
+    if cut_lineage:
+        # One durable copy (in the shared checkpoint folder) of the parsed,
+        # deduplicated documents feeds all three outputs.
+        checkpoint_dir(games.sparkSession)
+        games = games.checkpoint(eager=True)
     pa = plate_appearances(games)
     events = event_rows(pa)
     plays = play_rows(pa)
@@ -334,7 +350,7 @@ def flatten_games(
     plays_bo = base_out_state(plays.filter(F.col("play_id").isNotNull()))
     plays_bo = plays_bo.fillna({"is_stolen_base": False, "is_caught_stealing": False, "is_pickoff": False})
 
-    if schedule is not None:
+    if schedule is not None and "year" not in events.columns:
         years = schedule.select("game_id", F.col("year").cast("int").alias("year"))
         events = events.join(years, "game_id", "left")
         plays = plays.join(years, "game_id", "left")

@@ -144,10 +144,21 @@ def stale_runs(ledger: DataFrame, now: Column | None = None, hours: int = 6) ->
 
 # --- writing the ledger -----------------------------------------------------
 
-def _row(spark: SparkSession, **values) -> DataFrame:
+def _rows(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     schema = LEDGER.schema
-    row = tuple(values.get(f.name) for f in schema.fields)
-    return spark.createDataFrame([row], schema)
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+
+
+def _row(spark: SparkSession, **values) -> DataFrame:
+    return _rows(spark, [values])
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger table, or an empty one when nothing was logged yet."""
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # no ledger written yet
+        return spark.createDataFrame([], LEDGER.schema)
 
 
 def open_run(
@@ -198,6 +209,41 @@ def close_run(
     ).write.mode("append").parquet(path)
 
 
+def open_runs(spark: SparkSession, path: str, units: Sequence[dict], retry_of: str | None = None, now: dt.datetime | None = None) -> list[dict]:
+    """Open one run per planned unit in a single append; returns the opened rows
+    (unit fields + ``run_id``). ``units`` is the work plan, not data: its size is
+    chunks x sources x levels."""
+    ts = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    opened = [
+        {**{k: u.get(k) for k in UNIT_KEYS}, "run_id": uuid.uuid4().hex, "status": "running",
+         "started_at": ts, "recorded_at": ts, "retry_of": u.get("retry_of", retry_of)}
+        for u in units
+    ]
+    if opened:
+        _rows(spark, opened).write.mode("append").parquet(path)
+    return opened
+
+
+def close_runs(
+    spark: SparkSession,
+    path: str,
+    opened: Sequence[dict],
+    status: str,
+    rows_written: int | None = None,
+    error_message: str | None = None,
+    now: dt.datetime | None = None,
+) -> None:
+    """Append the final state of several runs in one write."""
+    ts = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [
+        {**o, "status": status, "completed_at": ts, "recorded_at": ts, "rows_written": rows_written,
+         "error_message": error_message, "games_failed": 0 if status == "success" else None}
+        for o in opened
+    ]
+    if rows:
+        _rows(spark, rows).write.mode("append").parquet(path)
+
+
 def get_run(ledger: DataFrame, run_id: str) -> DataFrame:
     """Current state of one run (``SELECT * ... WHERE id = ?``)."""
     return latest_state(ledger).filter(F.col("run_id") == run_id)

@@ -64,7 +64,7 @@ def stream_games(
     specs: dict[str, TableSpec] = {"event": EVENT, "pitch": PITCH, "play": PLAY}
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        out = flatten_games(df, lineup=lineup, schedule=schedule)
+        out = flatten_games(df, lineup=lineup, schedule=schedule, cut_lineage=True)
         for name, frame in out.items():
             spec = specs[name]
             parts = [p for p in spec.partition_by if p in frame.columns]
