@@ -48,6 +48,40 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - t0
 
 
+def payload_formats(spark, sf_dir: str, runs: int) -> dict[str, float]:
+    """The same typed view of ``events.props`` from three storage forms: JSON
+    text parsed at query time, VARIANT parsed once on load, and the typed view
+    materialised. Setup writes are not timed."""
+    from pyspark.sql import functions as F
+
+    from pitchlake.functions.payload import to_variant
+    from pitchlake.operators.views import unpack_view
+    from pitchlake.plans.catalog import EVENT_KEEP, EVENT_PAYLOAD
+    from pitchlake.session import scratch_path, table
+
+    events = table(spark, sf_dir, "events")
+    var_path = scratch_path(spark, "bench-variant")
+    events.withColumn("props", to_variant(F.col("props"))).write.parquet(var_path)
+    mat_path = scratch_path(spark, "bench-typed")
+    unpack_view(events, "props", EVENT_PAYLOAD, EVENT_KEEP).write.parquet(mat_path)
+
+    forms = {
+        "payload_text": lambda: unpack_view(table(spark, sf_dir, "events"), "props", EVENT_PAYLOAD, EVENT_KEEP),
+        "payload_variant": lambda: unpack_view(spark.read.parquet(var_path), "props", EVENT_PAYLOAD, EVENT_KEEP),
+        "payload_materialized": lambda: spark.read.parquet(mat_path),
+    }
+    out = {}
+    for name, make in forms.items():
+        make().write.format("noop").mode("overwrite").save()
+        times = []
+        for _ in range(runs):
+            t0 = time.perf_counter()
+            make().write.format("noop").mode("overwrite").save()
+            times.append(time.perf_counter() - t0)
+        out[name] = round(statistics.median(times), 3)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -58,6 +92,7 @@ def main() -> None:
     for name in names:
         run_once(spark, name, sf_dir)  # warm-up
         out[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 3)
+    extra = payload_formats(spark, sf_dir, runs) if os.environ.get("BENCH_PAYLOAD_FORMATS", "1") == "1" else {}
     sf = Path(sf_dir).name.replace("sf", "")
     print(
         json.dumps(
@@ -66,6 +101,7 @@ def main() -> None:
                 "value": round(sum(out.values()), 3),
                 "unit": "sec",
                 "queries": out,
+                "payload_formats": extra,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "runs": runs,

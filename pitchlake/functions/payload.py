@@ -78,6 +78,9 @@ def unpack(
     The parse is a projection of its own, so it runs once per row however many
     fields are read; only the spec's keys are in its schema.
     """
+    if is_variant(df, json_col):
+        v = F.col(json_col)
+        return df.select(*keep, *[variant_field(v, k, t, strict).alias(k) for k, t in spec])
     parsed = df.select(*keep, payload_struct(F.col(json_col), [k for k, _ in spec]).alias(parsed_alias))
     p = F.col(parsed_alias)
     return parsed.select(*keep, *[typed_field(p, k, t, strict).alias(k) for k, t in spec])
@@ -96,6 +99,28 @@ def bad_value_counts(df: DataFrame, json_col: str, spec: Sequence[tuple[str, str
     return parsed.agg(*aggs)
 
 
+def to_variant(json_col: Column, strict: bool = False) -> Column:
+    """Text -> VARIANT once, on load (``parse_json``; lenient: malformed -> NULL).
+    A VARIANT column survives Parquet, and reading a key from it navigates the
+    binary form instead of re-parsing text."""
+    return F.parse_json(json_col) if strict else F.try_parse_json(json_col)
+
+
+def variant_field(variant_col: Column, key: str, type_name: str, strict: bool = False) -> Column:
+    """One key of a VARIANT payload, read as text and cast like ``typed_field``
+    (JSON null and a missing key both give NULL)."""
+    raw = F.try_variant_get(variant_col, f"$.{key}", "string")
+    dtype = spark_type(type_name)
+    if isinstance(dtype, T.StringType):
+        return raw
+    raw = F.trim(raw)
+    return raw.cast(dtype) if strict else raw.try_cast(dtype)
+
+
+def is_variant(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, T.VariantType)
+
+
 def json_text(json_col: Column, key: str) -> Column:
     """``data->>'key'`` for a single ad-hoc key (top level)."""
     return F.get_json_object(json_col, f"$.{key}")

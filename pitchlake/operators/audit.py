@@ -56,15 +56,18 @@ def orphan_count(child: DataFrame, parent: DataFrame, keys: Sequence[str] | Mapp
     key (or a broadcast when AQE measures the parent's keys as small).
     """
     kmap = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
-    p = parent.select(*[F.col(pk).alias(f"_p{i}") for i, pk in enumerate(kmap.values())])
+    # Distinct parent keys first: a partial aggregate collapses repeated (hot)
+    # keys before the shuffle, and its hash partitioning is the join's own.
+    p = parent.select(*[F.col(pk).alias(f"_p{i}") for i, pk in enumerate(kmap.values())]).distinct()
     cond = [F.col(ck) == F.col(f"_p{i}") for i, ck in enumerate(kmap)]
     return child.join(p, cond, "left_anti").agg(F.count(F.lit(1)).alias(alias))
 
 
 def missing_dim_ids(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, n: int | None = 20) -> DataFrame:
     """Distinct fact keys absent from the dimension, ascending, first ``n``."""
-    d = dim.select(F.col(dim_key).alias("_dk"))
-    out = fact.select(fact_key).join(d, F.col(fact_key) == F.col("_dk"), "left_anti").distinct().orderBy(fact_key)
+    d = dim.select(F.col(dim_key).alias("_dk")).distinct()
+    f = fact.select(fact_key).distinct()
+    out = f.join(d, F.col(fact_key) == F.col("_dk"), "left_anti").orderBy(fact_key)
     return out.limit(n) if n else out
 
 

@@ -2,7 +2,9 @@
 
 ``unpack_view`` = keep the stored key columns, parse the payload once with only
 the requested keys, cast each to its declared type, and (optionally) left-join a
-dimension on one of the unpacked fields to add a name.
+dimension on one of the unpacked fields to add a name. A payload stored as
+VARIANT (``functions.payload.to_variant``) is read key by key from its binary
+form instead of being parsed.
 
 * Pass ``cols=`` to read only some payload keys: the parse schema shrinks with it
   (Spark does not prune a ``from_json`` schema through an outer projection).
@@ -23,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.functions.payload import payload_struct, typed_field
+from pitchlake.functions.payload import is_variant, payload_struct, typed_field, variant_field
 from pitchlake.schemas import PAYLOAD_KEY_COLUMNS, PAYLOAD_NAME_AFTER, payload_spec
 from pitchlake.session import scratch_path
 
@@ -46,9 +48,13 @@ def unpack_view(
     the unpacked ``join_field`` cast to the dimension key's type. The name columns
     are placed after ``name_after`` (or at the end).
     """
-    p = "_payload"
-    parsed = df.select(*keep, payload_struct(F.col(json_col), [k for k, _ in spec]).alias(p))
-    typed = parsed.select(*keep, *[typed_field(F.col(p), k, t, strict).alias(k) for k, t in spec])
+    if is_variant(df, json_col):
+        v = F.col(json_col)
+        typed = df.select(*keep, *[variant_field(v, k, t, strict).alias(k) for k, t in spec])
+    else:
+        p = "_payload"
+        parsed = df.select(*keep, payload_struct(F.col(json_col), [k for k, _ in spec]).alias(p))
+        typed = parsed.select(*keep, *[typed_field(F.col(p), k, t, strict).alias(k) for k, t in spec])
     order = [*keep, *[k for k, _ in spec]]
     if dim is None or not dim_cols:
         return typed

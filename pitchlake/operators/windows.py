@@ -151,12 +151,17 @@ def pivot_first(
     """One row per group, one column per listed pivot value holding the first
     ``value`` in ``order`` (or ``first`` when unordered). The value list is
     explicit, so no discovery job runs; unlisted values are ignored."""
-    g = df.groupBy(*by).pivot(pivot_col, list(values))
-    if order is None:
-        wide = g.agg(F.first(F.col(value), ignorenulls=True))
-    else:
-        wide = g.agg(F.min_by(F.col(value), F.struct(*_cols(order))))
-    return wide.withColumnsRenamed({str(v): name.format(v) for v in values})
+    # One conditional aggregate per listed value: a single aggregation keyed by
+    # ``by`` (one exchange), where ``groupBy().pivot()`` would aggregate twice.
+    aggs = []
+    for v in values:
+        hit = F.col(pivot_col) == F.lit(v)
+        if order is None:
+            agg = F.first(F.when(hit, F.col(value)), ignorenulls=True)
+        else:
+            agg = F.min_by(F.when(hit, F.col(value)), F.when(hit, F.struct(*_cols(order))))
+        aggs.append(agg.alias(name.format(v)))
+    return df.groupBy(*by).agg(*aggs)
 
 
 def merge_then_fill(

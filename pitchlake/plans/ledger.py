@@ -131,7 +131,7 @@ def week_gaps(
         s = F.trunc(s, "week")
     e = F.lit(str(series_end)).cast("date")
     cal = spark.range(1).select(F.explode(F.sequence(s, e, F.expr(f"INTERVAL {int(step_days)} DAYS"))).alias("week_start"))
-    have = covered.select(F.trunc(F.col(date_col).cast("date"), "week").alias("week_start"))
+    have = covered.select(F.trunc(F.col(date_col).cast("date"), "week").alias("week_start")).distinct()
     return cal.subtract(have).orderBy("week_start")
 
 

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.functions.columns import rename_if_absent, require_columns, stamp
-from pitchlake.schemas import TableSpec, boxscore_schema, game_feed_schema
+from pitchlake.schemas import PLAYER, TABLES, TableSpec, boxscore_schema, game_feed_schema
 
 
 def read_game_feed(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
@@ -68,6 +69,15 @@ def prepare_payload(df: DataFrame, pk: Sequence[str] = ("game_pk", "at_bat_numbe
     return require_columns(df, pk, "pitch payload")
 
 
+def prepare_player(df: DataFrame) -> DataFrame:
+    """Player export: the key is required (a DataFrame has no row names to fall
+    back on); levels arrive as a list and are stored joined by commas."""
+    require_columns(df, PLAYER.pk, "player")
+    if "levels" in df.columns and dict(df.dtypes)["levels"].startswith("array"):
+        df = df.withColumn("levels", F.concat_ws(",", "levels"))
+    return df
+
+
 def season_summaries(reads: dict[str, DataFrame]) -> DataFrame:
     """One frame per position type (``{'hitting': df, 'pitching': df}``), stamped
     and unioned by name; columns one side lacks become NULL."""
@@ -101,3 +111,38 @@ def write_table(df: DataFrame, spec: TableSpec, path: str, mode: str = "overwrit
     if spec.partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by)
     w.parquet(path)
+
+
+def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """A stored table read with its registry schema (works for an empty table,
+    which has no data files to infer a schema from)."""
+    spec = TABLES[name]
+    return spark.read.schema(spec.schema).parquet(f"{warehouse.rstrip('/')}/{spec.name}")
+
+
+def ensure_tables(spark: SparkSession, warehouse: str, names: list[str] | None = None) -> list[str]:
+    """Create every registered table that does not exist yet as an empty Parquet
+    table with its schema and partitioning (idempotent; existing data is never
+    touched). Returns the names created."""
+    created = []
+    for name in names or list(TABLES):
+        spec = TABLES[name]
+        path = f"{warehouse.rstrip('/')}/{spec.name}"
+        try:
+            read_table(spark, warehouse, name).limit(0).collect()
+            continue
+        except AnalysisException:
+            pass
+        empty = spark.createDataFrame([], spec.schema)
+        w = empty.write.mode("errorifexists")
+        if spec.partition_by:
+            w = w.partitionBy(*spec.partition_by)
+        w.parquet(path)
+        created.append(name)
+    return created
+
+
+def register_view(df: DataFrame, name: str) -> DataFrame:
+    """Expose a view function's result to SQL (drop-and-recreate semantics)."""
+    df.createOrReplaceTempView(name)
+    return df

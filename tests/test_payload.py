@@ -130,3 +130,42 @@ def test_materialize_incremental(spark, tmp_path):
     materialize(spark, statcast_view(changed, _players(spark), profile="core"), path, only_partitions=[2024])
     out = spark.read.parquet(path)
     assert out.filter("year = 2023").count() == 4 and out.filter("year = 2024").count() == 2
+
+
+def test_variant_payload_matches_text(spark, tmp_path):
+    from pitchlake.functions.payload import to_variant
+
+    sc = _statcast(spark)
+    path = str(tmp_path / "sc_variant")
+    sc.withColumn("data", to_variant(F.col("data"))).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert dict(stored.dtypes)["data"] == "variant"
+    a = statcast_view(sc, _players(spark)).drop("scraped_at")
+    b = statcast_view(stored, _players(spark)).drop("scraped_at")
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_table_helpers(spark, tmp_path):
+    from pitchlake.schemas import EVENT, TABLES
+    from pitchlake.sources.landed import ensure_tables, prepare_player, read_table, register_view, write_table
+
+    wh = str(tmp_path / "wh")
+    assert sorted(ensure_tables(spark, wh)) == sorted(TABLES)
+    assert ensure_tables(spark, wh) == []  # idempotent
+    ev = read_table(spark, wh, "statsapi_event")
+    assert ev.count() == 0 and set(ev.columns) == set(EVENT.columns)
+
+    rows = [("g%d" % i, i % 5, 2023 + i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "game_id STRING, event_index INT, year INT")
+    write_table(df, EVENT, str(tmp_path / "ev"))
+    back = spark.read.parquet(str(tmp_path / "ev"))
+    assert back.count() == 40 and {r.year for r in back.select("year").distinct().collect()} == {2023, 2024}
+
+    with pytest.raises(MissingColumnsError):
+        prepare_player(spark.createDataFrame([("x",)], "name_full STRING"))
+    p = prepare_player(spark.createDataFrame([(1, ["MLB", "AAA"])], "player_id INT, levels ARRAY<STRING>"))
+    assert p.collect()[0].levels == "MLB,AAA"
+
+    register_view(df, "ev_view")
+    assert spark.sql("SELECT COUNT(*) AS n FROM ev_view").collect()[0].n == 40
