@@ -64,12 +64,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (a test
     or local run) a fresh scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. remote)
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="pitchlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
