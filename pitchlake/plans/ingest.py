@@ -6,6 +6,8 @@ Landed layout (downloads are out of scope; files arrive here):
     <landing>/statsapi/level=<L>/date=<YYYY-MM-DD>/<game>.json one live feed per file
     <landing>/boxscore/level=<L>/date=<YYYY-MM-DD>/<game>.json one boxscore per file
     <landing>/statcast/date=<YYYY-MM-DD>/*.json|*.csv          one pitch per line / row
+    <landing>/players/year=<Y>/level=<L>/*.json                 one player per line
+    <landing>/season_summary/position=<P>/year=<Y>/*.json       one player season per line
 
 Tables live under ``<warehouse>/<table name>``; the ledger is
 ``<warehouse>/scrape_log``.
@@ -33,7 +35,8 @@ from pitchlake.operators.nested import flatten_games, starting_lineup
 from pitchlake.operators.views import materialize, statcast_view
 from pitchlake.plans import ledger as L
 from pitchlake.schemas import (
-    CHUNK_DAYS, EVENT, LEVELS, PITCH, PLAY, PLAYER, SCHEDULE, STATCAST, boxscore_schema, game_feed_schema,
+    CHUNK_DAYS, EVENT, LEVELS, PITCH, PLAY, PLAYER, SCHEDULE, SEASON_SUMMARY, STATCAST, boxscore_schema,
+    game_feed_schema,
 )
 
 SOURCES = ("schedule", "statsapi", "statcast")
@@ -140,6 +143,76 @@ def load_statcast(spark: SparkSession, landing: str, warehouse: str, units: Sequ
 
 LOADERS: Mapping[str, Callable[..., int]] = {"schedule": load_schedule, "statsapi": load_statsapi, "statcast": load_statcast}
 
+POSITION_TYPES = ("hitting", "pitching")
+
+
+def _year_unit(source: str, level: str, year: int) -> dict:
+    return {"data_source": source, "level": level, "date_start": dt.date(year, 1, 1), "date_end": dt.date(year, 12, 31)}
+
+
+def _logged(spark, warehouse: str, unit: dict, work: Callable[[], int], retry_of: str | None = None) -> dict:
+    """Run ``work`` as one logged unit; the outcome always reaches the ledger."""
+    ledger_path = table_path(warehouse, "scrape_log")
+    opened = L.open_runs(spark, ledger_path, [unit], retry_of=retry_of)
+    try:
+        n = work()
+    except Exception as e:
+        L.close_runs(spark, ledger_path, opened, "failed", error_message=f"{type(e).__name__}: {e}"[:2000])
+        return {"run_id": opened[0]["run_id"], "status": "failed", "rows": 0}
+    L.close_runs(spark, ledger_path, opened, "success", rows_written=n)
+    return {"run_id": opened[0]["run_id"], "status": "success", "rows": n}
+
+
+def load_players(
+    spark: SparkSession, landing: str, warehouse: str, year: int, levels: Sequence[str] = LEVELS, retry_of: str | None = None
+) -> dict:
+    """Player records landed under ``<landing>/players/year=<Y>/level=<L>/``
+    (JSON lines, one full record per player) merged into ``player``. One ledger
+    run per call, its level the comma-joined level list."""
+
+    def work() -> int:
+        fields = [T.StructField(f.name, T.StringType()) for f in PLAYER.schema.fields if f.name != "scraped_at"]
+        schema = T.StructType([*fields, T.StructField("year", T.IntegerType()), T.StructField("level", T.StringType())])
+        df = spark.read.schema(schema).json(f"{landing}/players")
+        df = df.filter((F.col("year") == year) & F.col("level").isin(list(levels)))
+        from pitchlake.sources.landed import prepare_player
+
+        df = prepare_player(df).drop("year", "level")
+        # a player listed at several levels is one row: keep one record per id
+        df = df.dropDuplicates(["player_id"])
+        return upsert_table(spark, table_path(warehouse, PLAYER.name), df, PLAYER.pk, PLAYER.schema)["n_affected"]
+
+    return _logged(spark, warehouse, _year_unit("players", L.LEVEL_SEP.join(levels), year), work, retry_of)
+
+
+def load_season_summary(
+    spark: SparkSession, landing: str, warehouse: str, year: int, positions: Sequence[str] = POSITION_TYPES,
+    retry_of: str | None = None,
+) -> list[dict]:
+    """Season rows landed under ``<landing>/season_summary/position=<P>/year=<Y>/``
+    (JSON lines). Keys are parsed; the whole line is kept as the payload. One
+    ledger run per position type (its level is the position type)."""
+    results = []
+    for pos in positions:
+
+        def work(pos: str = pos) -> int:
+            raw = spark.read.text(f"{landing}/season_summary").filter(
+                (F.col("position") == pos) & (F.col("year") == year)
+            )
+            k = F.from_json(F.col("value"), "level STRING, player_id INT")
+            df = raw.select(
+                F.col("year").cast("int").alias("year"),
+                k["level"].alias("level"),
+                k["player_id"].alias("player_id"),
+                F.lit(pos).alias("position_type"),
+                F.col("value").alias("data"),
+            )
+            spec = SEASON_SUMMARY
+            return upsert_table(spark, table_path(warehouse, spec.name), df, spec.pk, spec.schema, spec.partition_by)["n_affected"]
+
+        results.append(_logged(spark, warehouse, _year_unit("season_summary", pos, year), work, retry_of))
+    return results
+
 
 def plan(
     spark: SparkSession,
@@ -224,6 +297,15 @@ def retry(spark: SparkSession, landing: str, warehouse: str, run_id: str, **kw)
     ``retry_of``); warns through the result when the run had not failed."""
     ledger = L.read_ledger(spark, table_path(warehouse, "scrape_log"))
     u = L.plan_from_ledger(ledger, run_id)
+    year = u["date_start"].year if u["date_start"] else None
+    if u["data_source"] == "players":
+        levels = u["level"].split(L.LEVEL_SEP) if u["level"] else list(LEVELS)
+        out = load_players(spark, landing, warehouse, year, levels, retry_of=run_id)
+        return {**out, "was_status": u["was_status"]}
+    if u["data_source"] == "season_summary":
+        positions = [u["level"]] if u["level"] else list(POSITION_TYPES)
+        out = load_season_summary(spark, landing, warehouse, year, positions, retry_of=run_id)
+        return {"runs": out, "was_status": u["was_status"]}
     levels = [u["level"]] if u["level"] else list(LEVELS)
     out = run(spark, landing, warehouse, u["date_start"], u["date_end"], sources=[u["data_source"]], levels=levels,
               chunk_days=(u["date_end"] - u["date_start"]).days + 1, force=True, retry_of=run_id, **kw)

@@ -267,10 +267,13 @@ def plan_from_ledger(ledger: DataFrame, run_id: str) -> dict:
     }
 
 
+LEVEL_SEP = ","
+
+
 def split_levels(text: Column) -> Column:
     """``'MLB,AAA'`` -> array (the ledger stores a level list as one string)."""
-    return F.split(text, ",")
+    return F.split(text, LEVEL_SEP)
 
 
 def join_levels(levels: Column) -> Column:
-    return F.concat_ws(",", levels)
+    return F.concat_ws(LEVEL_SEP, levels)

@@ -72,3 +72,32 @@ def test_failure_reaches_ledger_and_retry(spark, tmp_path):
     cur = L.latest_state(led).filter(F.col("retry_of") == failed[0].run_id).collect()
     assert len(cur) == 1 and cur[0].status == "success"
     assert spark.read.parquet(f"{wh}/statcast").count() == 4
+
+
+def test_players_and_season_summary(spark, tmp_path):
+    root = tmp_path / "landing"
+    players = [
+        {"player_id": 21, "name_full": "Starter Twentyone", "birth_date": "1990-05-01", "weight": 210, "throw_hand": "L"},
+        {"player_id": 41, "name_full": "Ace Fortyone", "birth_date": "1988-01-02", "weight": "195", "throw_hand": "R"},
+    ]
+    _land(root, "players", "year=2024/level=MLB", "p.json", "\n".join(json.dumps(p) for p in players))
+    _land(root, "players", "year=2024/level=AAA", "p.json", json.dumps(players[0]))
+    _land(root, "season_summary", "position=hitting/year=2024", "h.json",
+          "\n".join(json.dumps({"level": "MLB", "player_id": i, "avg": 0.3}) for i in (1, 2)))
+    _land(root, "season_summary", "position=pitching/year=2024", "p.json", json.dumps({"level": "MLB", "player_id": 41, "era": 3.1}))
+    wh = str(tmp_path / "wh")
+    r = I.load_players(spark, str(root), wh, 2024, ["MLB", "AAA"])
+    assert r["status"] == "success" and r["rows"] == 2
+    pl = {p.player_id: (p.name_full, p.birth_date, p.weight) for p in spark.read.parquet(f"{wh}/player").collect()}
+    assert pl == {21: ("Starter Twentyone", D(1990, 5, 1), 210), 41: ("Ace Fortyone", D(1988, 1, 2), 195)}
+    runs = I.load_season_summary(spark, str(root), wh, 2024)
+    assert [x["status"] for x in runs] == ["success", "success"]
+    ss = spark.read.parquet(f"{wh}/season_summary")
+    assert ss.count() == 3 and json.loads(ss.filter("player_id = 41").collect()[0].data)["era"] == 3.1
+    led = L.latest_state(L.read_ledger(spark, f"{wh}/scrape_log"))
+    assert {(x.data_source, x.level) for x in led.collect()} == {
+        ("players", "MLB,AAA"), ("season_summary", "hitting"), ("season_summary", "pitching")}
+    # retry of the players run goes through the same loader
+    pid = led.filter("data_source = 'players'").collect()[0].run_id
+    again = I.retry(spark, str(root), wh, pid)
+    assert again["status"] == "success" and again["was_status"] == "success"
