@@ -11,12 +11,12 @@ Where a key may be hot (a user, a source, a pitcher across seasons), pass
 ``segment=``: a coarse, order-monotone bucket expression (for example the day of
 the timestamp). The scan then runs as a two-phase segmented scan:
 
-1. the window runs per ``(key, segment)``, so a hot key spreads over many tasks;
-2. one partial aggregate per ``(key, segment)`` yields the value carried out of
+1. one partial aggregate per ``(key, segment)`` yields the value carried out of
    each segment (map-side combined, tiny);
-3. a window over that small per-segment table carries values across segments;
-4. a join on ``(key, segment)`` brings the carry-in back (AQE broadcasts the
-   segment table when it is small, and splits skewed partitions otherwise).
+2. a window over that small per-segment table carries values across segments;
+3. one carry row per ``(key, segment)`` is unioned in front of the segment's rows
+   and the window runs per ``(key, segment)``, so a hot key spreads over many
+   tasks while the rows are still shuffled only once.
 
 Results are identical to the plain window; only the physical work is spread.
 
@@ -47,6 +47,17 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFram
     return joined.drop(*[f"_jk{i}" for i in range(len(keys))])
 
 
+def _with_carry_rows(df: DataFrame, value: str, by: Sequence[str], seg: str, carry: DataFrame) -> DataFrame:
+    """``df`` plus one carry row per (key, segment) holding the value carried in
+    from earlier segments. ``_real`` is 0 for carry rows, so ordering by
+    ``(_real, order...)`` puts the carry row first in its segment. A union, not
+    a join: the rows are shuffled once, by the window itself."""
+    real = df.withColumn("_real", F.lit(1))
+    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in (*by, seg, value)]
+    c = carry.select(*by, seg, F.col("_carry").cast(df.schema[value].dataType).alias(value), *fill, F.lit(0).alias("_real"))
+    return real.unionByName(c)
+
+
 def fill_down(
     df: DataFrame,
     value: str,
@@ -67,16 +78,17 @@ def fill_down(
 
     seg = "_seg"
     d = df.withColumn(seg, segment)
-    w_in = Window.partitionBy(*by, seg).orderBy(*order_c).rowsBetween(_UNB, _CUR)
-    d = d.withColumn("_in", F.last(F.col(value), ignorenulls=True).over(w_in))
-    ordkey = F.struct(*order_c)
+    # Last non-NULL value of each segment (partial aggregate), then the last
+    # non-NULL value of all earlier segments (a window over the small table).
     segs = d.groupBy(*by, seg).agg(
-        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), ordkey)).alias("_seg_last")
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order_c))).alias("_seg_last")
     )
     w_seg = Window.partitionBy(*by).orderBy(seg).rowsBetween(_UNB, -1)
-    segs = segs.select(*by, seg, F.last("_seg_last", ignorenulls=True).over(w_seg).alias("_carry"))
-    d = _join_back(d, segs, [*by, seg])
-    return d.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry"), *dflt)).drop(seg, "_in", "_carry")
+    carry = segs.select(*by, seg, F.last("_seg_last", ignorenulls=True).over(w_seg).alias("_carry"))
+    u = _with_carry_rows(d, value, by, seg, carry)
+    w_in = Window.partitionBy(*by, seg).orderBy(F.col("_real"), *order_c).rowsBetween(_UNB, _CUR)
+    filled = F.coalesce(F.last(F.col(value), ignorenulls=True).over(w_in), *dflt)
+    return u.withColumn(out, filled).filter(F.col("_real") == 1).drop(seg, "_real")
 
 
 def lag_default(
@@ -98,14 +110,13 @@ def lag_default(
 
     seg = "_seg"
     d = df.withColumn(seg, segment)
-    w_in = Window.partitionBy(*by, seg).orderBy(*order_c)
-    d = d.withColumns({"_lag_in": F.lag(F.col(value), 1).over(w_in), "_rn_in": F.row_number().over(w_in)})
+    # Value of the last row of each segment, then of the previous segment.
     segs = d.groupBy(*by, seg).agg(F.max_by(F.col(value), F.struct(*order_c)).alias("_seg_last"))
-    w_seg = Window.partitionBy(*by).orderBy(seg)
-    segs = segs.select(*by, seg, F.lag("_seg_last", 1).over(w_seg).alias("_prev_last"))
-    d = _join_back(d, segs, [*by, seg])
-    prev = F.when(F.col("_rn_in") == 1, F.col("_prev_last")).otherwise(F.col("_lag_in"))
-    return d.withColumn(out, F.coalesce(prev, dflt)).drop(seg, "_lag_in", "_rn_in", "_prev_last")
+    carry = segs.select(*by, seg, F.lag("_seg_last", 1).over(Window.partitionBy(*by).orderBy(seg)).alias("_carry"))
+    u = _with_carry_rows(d, value, by, seg, carry)
+    w_in = Window.partitionBy(*by, seg).orderBy(F.col("_real"), *order_c)
+    prev = F.coalesce(F.lag(F.col(value), 1).over(w_in), dflt)
+    return u.withColumn(out, prev).filter(F.col("_real") == 1).drop(seg, "_real")
 
 
 def first_per_group(
