@@ -119,6 +119,33 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     )
 
 
+# Above this many distinct partition values in one batch, the target is pruned
+# by a semi-join instead of a static filter.
+MAX_STATIC_PARTITIONS = 10_000
+
+
+def _prune_to_batch(target: DataFrame, source: DataFrame, parts: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Keep only the target partitions the batch touches.
+
+    The batch's distinct partition values (at most one row per table partition,
+    capped) are read on the driver and become a static partition filter, which
+    the scan applies to its file listing; dynamic pruning does not fire for this
+    join shape. Past the cap, or with several partition columns, a semi-join
+    keeps the result exact without the listing prune.
+    """
+    touched = source.select(*[F.col(p).cast(schema[p].dataType).alias(p) for p in parts]).distinct()
+    if len(parts) == 1:
+        values = [r[0] for r in touched.limit(MAX_STATIC_PARTITIONS + 1).collect()]
+        if len(values) <= MAX_STATIC_PARTITIONS:
+            col = F.col(parts[0])
+            non_null = [v for v in values if v is not None]
+            cond = col.isin(non_null) if non_null else F.lit(False)
+            if len(non_null) < len(values):
+                cond = cond | col.isNull()
+            return target.filter(cond)
+    return target.join(touched, parts, "left_semi")
+
+
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -135,13 +162,16 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     dedupe_by: Sequence[str | Column] | None = None,
     stamp_col: str | None = "scraped_at",
+    cluster: bool = True,
 ) -> dict:
     """Merge ``source`` into the Parquet table at ``path``; returns counts.
 
     Empty source: nothing is written, all counts 0. Only partitions present in the
-    source are read (a semi-join on the partition values lets Spark prune the
-    scan) and rewritten; untouched partitions stay as they are. Keys must not move
-    between partitions (the partition column is a function of the key).
+    source are read (a static partition filter, see ``_prune_to_batch``) and
+    rewritten; untouched partitions stay as they are. Keys must not move between
+    partitions (the partition column is a function of the key). The partition is
+    the rewrite unit, so a very large table wants a fine partitioning (e.g. year
+    and month) for small daily batches.
     """
     if source.isEmpty():
         return {"n_inserted": 0, "n_updated": 0, "n_affected": 0}
@@ -152,9 +182,13 @@ def upsert_table(
     else:
         target = target.select(*[F.col(f.name).cast(f.dataType) if f.name in target.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     if parts and all(p in source.columns for p in parts):
-        touched = source.select(*[F.col(p).cast(schema[p].dataType).alias(p) for p in parts]).distinct()
-        target = target.join(touched, parts, "left_semi")
+        target = _prune_to_batch(target, source, parts, schema)
     merged = merge_frames(target, source, pk, dedupe_by=dedupe_by, stamp_col=stamp_col)
+    if cluster and parts:
+        # Range-partition on (partition columns, key): each task writes few table
+        # partitions (no tasks x partitions small files on a backfill), a hot
+        # partition still splits over tasks, and files hold narrow key ranges.
+        merged = merged.repartitionByRange(*[F.col(c) for c in [*parts, *pk]]).sortWithinPartitions(*parts, *pk)
 
     stage = scratch_path(spark, "upsert-stage")
     writer = merged.write.mode("overwrite")
