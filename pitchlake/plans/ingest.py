@@ -63,12 +63,23 @@ def _pending_days(spark: SparkSession, units: Sequence[dict], with_level: bool =
     return days.distinct() if with_level else days.select("date").distinct()
 
 
+def _prune_landed(spark: SparkSession, df: DataFrame, units: Sequence[dict], with_level: bool = True) -> DataFrame:
+    """Landed rows of the pending partitions only: a static filter on the plan's
+    date range and levels prunes the file listing; a semi-join on the exact
+    (level, date) pairs keeps the result exact."""
+    lo = min(u["date_start"] for u in units)
+    hi = max(u["date_end"] for u in units)
+    cond = F.col("date").between(F.lit(lo), F.lit(hi))
+    if with_level:
+        cond = cond & F.col("level").isin(sorted({u["level"] for u in units}))
+    keys = ["level", "date"] if with_level else ["date"]
+    return df.filter(cond).join(_pending_days(spark, units, with_level), keys, "left_semi")
+
+
 def _read_partitioned(spark: SparkSession, path: str, schema: T.StructType, multiline: bool, units, with_level=True) -> DataFrame:
-    """Landed files of the pending partitions only (semi-join on the partition
-    columns, so the file listing is pruned)."""
+    """Landed files of the pending partitions only."""
     df = spark.read.schema(schema).option("multiLine", multiline).json(path)
-    keys = ["level", "date"] if with_level else ["date"]
-    return df.join(_pending_days(spark, units, with_level), keys, "left_semi")
+    return _prune_landed(spark, df, units, with_level)
 
 
 def _with_partitions(schema: T.StructType, with_level: bool = True) -> T.StructType:
@@ -135,7 +146,7 @@ def read_statcast_landed(spark: SparkSession, path: str, fmt: str = "json") -> D
 
 def load_statcast(spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict], fmt: str = "json") -> int:
     df = read_statcast_landed(spark, f"{landing}/statcast", fmt)
-    df = df.join(_pending_days(spark, units, with_level=False), "date", "left_semi").drop("date")
+    df = _prune_landed(spark, df, units, with_level=False).drop("date")
     require_columns(df, STATCAST_PK, "pitch payload")
     c = upsert_table(spark, table_path(warehouse, STATCAST.name), df, STATCAST.pk, STATCAST.schema, STATCAST.partition_by)
     return c["n_affected"]
