@@ -82,6 +82,43 @@ def payload_formats(spark, sf_dir: str, runs: int) -> dict[str, float]:
     return out
 
 
+def flatten_throughput(spark, n_docs: int, runs: int) -> dict[str, float]:
+    """Play-by-play flattening of ``n_docs`` game documents (copies of the golden
+    fixture game under distinct ids) into event, pitch and play rows, with
+    lineups; the three outputs are run into the noop sink. Bench-only input."""
+    import json as _json
+
+    sys.path.insert(0, str(Path(__file__).resolve().parent / "tests"))
+    from fixtures import games as G
+
+    from pitchlake.operators.nested import flatten_games
+    from pitchlake.session import scratch_path
+    from pitchlake.sources.landed import read_game_feed
+
+    from pyspark.sql import functions as F
+
+    template = _json.dumps(G.g1("GAMEID"))
+    ids = spark.range(n_docs).select(F.format_string("b%06d", F.col("id")).alias("gid"))
+    docs_path = scratch_path(spark, "bench-docs")
+    ids.select(F.replace(F.lit(template), F.lit("GAMEID"), F.col("gid")).alias("value")).write.text(docs_path)
+    slots = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(p).alias("p"), F.lit(pid).alias("pid"))
+                      for _, h, p, pid in G.lineup_rows("x")])
+    lineup = ids.select("gid", F.explode(slots).alias("s")).select(
+        F.col("gid").alias("game_id"), F.col("s.h").alias("half_inning"),
+        F.col("s.p").alias("position"), F.col("s.pid").alias("player_id"),
+    )
+
+    def once() -> float:
+        t0 = time.perf_counter()
+        out = flatten_games(read_game_feed(spark, docs_path, multiline=False), lineup=lineup, cut_lineage=True)
+        for df in out.values():
+            df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    once()
+    return {f"flatten_{n_docs}_games": round(statistics.median(once() for _ in range(runs)), 3)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -93,6 +130,8 @@ def main() -> None:
         run_once(spark, name, sf_dir)  # warm-up
         out[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 3)
     extra = payload_formats(spark, sf_dir, runs) if os.environ.get("BENCH_PAYLOAD_FORMATS", "1") == "1" else {}
+    n_docs = int(os.environ.get("BENCH_GAME_DOCS", "2000"))
+    nested = flatten_throughput(spark, n_docs, runs) if n_docs > 0 else {}
     sf = Path(sf_dir).name.replace("sf", "")
     print(
         json.dumps(
@@ -102,6 +141,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": out,
                 "payload_formats": extra,
+                "nested": nested,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "runs": runs,

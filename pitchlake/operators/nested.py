@@ -11,8 +11,11 @@ Physical plan
   per-plate-appearance steps (fill down the disengagement count, previous
   balls/strikes, first fielder credited) are higher-order array functions on that
   row: no shuffle and no window at all.
-* Lineup carry-forward and base-out state run as windows per game half, whose
-  size is bounded by the game.
+* The starting lineup travels with its game document as a bounded array, and
+  substitutions are read from each plate appearance's own play events, so
+  fielders need no join: one carry-forward window per (game, half, position)
+  and one per-event aggregate, both on the game partitioning. Base-out state
+  runs as a window per game half. Both groups are bounded by a game's length.
 
 Output columns follow the stored table layouts in ``schemas.py``.
 """
@@ -65,20 +68,46 @@ def _carry(df: DataFrame) -> list[str]:
 
 
 def plate_appearances(games: DataFrame) -> DataFrame:
-    """One row per ``allPlays`` element, keeping the element as struct ``p``."""
-    return games.select("game_id", *_carry(games), F.posexplode("liveData.plays.allPlays").alias("pa_pos", "p"))
+    """One row per ``allPlays`` element, keeping the element as struct ``p``.
+
+    When the game carries its ``lineup`` array (``attach_lineup``), each row also
+    gets that array and the index of the first event of its half, computed from
+    the game's own play array (no window)."""
+    plays = F.col("liveData.plays.allPlays")
+    extra = []
+    if "lineup" in games.columns:
+        extra = [
+            "lineup",
+            *[
+                F.array_min(
+                    F.transform(F.filter(plays, _in_half(h)), lambda q: q["about"]["atBatIndex"])
+                ).alias(f"_first_{h}")
+                for h in (TOP, BOTTOM)
+            ],
+        ]
+    return games.select("game_id", *_carry(games), *extra, F.posexplode(plays).alias("pa_pos", "p"))
+
+
+def _in_half(half: str):
+    def pred(q: Column) -> Column:
+        return q["about"]["halfInning"] == half
+
+    return pred
 
 
 def _runners(p: Column) -> Column:
     return F.coalesce(p["runners"], F.array())
 
 
-def event_rows(pa: DataFrame) -> DataFrame:
+def event_rows(pa: DataFrame, keep_lineup: bool = False) -> DataFrame:
     """Per plate appearance: identifiers, matchup, result, runs scored (runners
-    whose movement ends at home) and the first fielder credited (not stored)."""
+    whose movement ends at home) and the first fielder credited (not stored).
+    ``keep_lineup`` keeps the columns ``with_fielders`` needs."""
     p = F.col("p")
     credits = F.flatten(F.transform(_runners(p), lambda r: F.coalesce(r["credit"], F.array())))
+    lineup_cols = ["p", "lineup", f"_first_{TOP}", f"_first_{BOTTOM}"] if keep_lineup else []
     return pa.select(
+        *lineup_cols,
         "game_id",
         *_carry(pa),
         p["about"]["atBatIndex"].alias("event_index"),
@@ -227,42 +256,73 @@ def starting_lineup(boxscore: DataFrame) -> DataFrame:
     return side("home", TOP).unionByName(side("away", BOTTOM))
 
 
-def substitutions(plays: DataFrame) -> DataFrame:
-    """First defensive substitution per (game, event, position) by play index."""
-    s = plays.filter(F.col("is_substitution")).withColumn("position", F.col("position").try_cast("int"))
-    s = s.filter(F.col("position").isin(list(FIELDING_POSITIONS)))
-    first = s.groupBy("game_id", "event_index", "position").agg(
-        F.min_by(F.col("player_id"), F.struct("play_index", "pos")).alias("player_id")
+def attach_lineup(games: DataFrame, lineup: DataFrame) -> DataFrame:
+    """Give every game document its starting lineup as an array column.
+
+    The lineup is first reduced to one row per (game, half, position) with
+    positions 2-10 and halves top/bottom, so each array holds at most 18 entries
+    whatever the input; the join is one-to-one on ``game_id`` and both sides are
+    hash-partitioned on it."""
+    lu = lineup.filter(F.col("position").isin(list(FIELDING_POSITIONS)) & F.col("half_inning").isin(TOP, BOTTOM))
+    # partitioned by game once: both aggregates below reuse it
+    lu = lu.repartition("game_id").groupBy("game_id", "half_inning", "position").agg(F.min("player_id").alias("player_id"))
+    per_game = lu.groupBy("game_id").agg(
+        F.collect_list(F.struct("half_inning", "position", "player_id")).alias("lineup")
     )
-    return first
+    return games.join(per_game, "game_id", "left")
 
 
-def lineup_by_event(events: DataFrame, lineup: DataFrame, subs: DataFrame) -> DataFrame:
-    """Fielder ids per event, wide (``fielder_2_id`` ... ``fielder_10_id``).
+def _first_sub(pe: Column, position: Column) -> Column:
+    """Player of the first substitution (by play index) at ``position`` among a
+    plate appearance's play events, else NULL."""
+    subs = F.filter(
+        pe,
+        lambda x: F.coalesce(x["isSubstitution"], F.lit(False))
+        & (x["position"]["code"].try_cast("int") == position),
+    )
+    ordered = F.array_sort(F.transform(subs, lambda x: F.struct(x["index"].alias("i"), x["player"]["id"].alias("id"))))
+    return F.get(ordered, 0)["id"]
 
-    Each event of a half gets that half's starting rows; the starter is set only
-    at the half's first event. A substitution at (event, position) fills in
-    where the starter is NULL, and the id is carried forward per (game, half,
-    position) in event order. The starter wins over a substitution in the half's
-    first event; substitutions match on event and position only.
+
+def with_fielders(events: DataFrame, repartition: bool = True) -> DataFrame:
+    """Add ``fielder_2_id`` ... ``fielder_10_id`` to event rows that carry ``p``,
+    ``lineup`` and ``_first_<half>`` (see ``plate_appearances``).
+
+    Per plate appearance and lineup slot of its half: the starter counts only at
+    the half's first event, a substitution at (event, position) only where the
+    starter is NULL (so the starter wins in the first event, and substitutions
+    match on event and position only); the id is then carried forward per
+    (game, half, position) in event order. The slots come from the row's own
+    arrays, so there is no join; the rows are hash-partitioned on ``game_id`` once
+    and both the carry-forward window and the per-event pivot reuse that.
     """
-    ev = events.select("game_id", "event_index", "half_inning")
-    lbe = ev.join(lineup, ["game_id", "half_inning"], "left")
-    w_half = Window.partitionBy("game_id", "half_inning")
-    lbe = lbe.withColumn(
-        "player_before",
-        F.when(F.col("event_index") == F.min("event_index").over(w_half), F.col("player_id")),
-    ).drop("player_id")
-    s = subs.select("game_id", "event_index", "position", F.col("player_id").alias("player_after"))
-    j = lbe.join(s, ["game_id", "event_index", "position"], "left")
-    w_fill = Window.partitionBy("game_id", "half_inning", "position").orderBy("event_index").rowsBetween(_UNB, _CUR)
-    j = j.withColumn(
-        "player_id", F.last(F.coalesce(F.col("player_before"), F.col("player_after")), ignorenulls=True).over(w_fill)
+    p = F.col("p")
+    pe = F.coalesce(p["playEvents"], F.array())
+    half = F.col("half_inning")
+    first_of_half = F.when(half == TOP, F.col(f"_first_{TOP}")).when(half == BOTTOM, F.col(f"_first_{BOTTOM}"))
+    slots = F.transform(
+        F.filter(F.coalesce(F.col("lineup"), F.array()), lambda s: s["half_inning"] == half),
+        lambda s: F.struct(
+            s["position"].alias("position"),
+            F.coalesce(
+                F.when(F.col("event_index") == first_of_half, s["player_id"]),
+                _first_sub(pe, s["position"]),
+            ).alias("merged"),
+        ),
+    )
+    event_cols = [c for c in events.columns if c not in ("p", "lineup", f"_first_{TOP}", f"_first_{BOTTOM}")]
+    compact = events.select(*event_cols, slots.alias("_slots"))
+    if repartition:
+        compact = compact.repartition("game_id")
+    rows = compact.select(*event_cols, F.explode_outer("_slots").alias("_s")).select(
+        *event_cols, F.col("_s.position").alias("_position"), F.col("_s.merged").alias("_merged")
     )
-    # Pivot with a fixed position list as one conditional aggregate per event
-    # (one exchange; at most one row per event and position feeds each cell).
-    return j.groupBy("game_id", "event_index").agg(
-        *[F.max(F.when(F.col("position") == p, F.col("player_id"))).alias(f"fielder_{p}_id") for p in FIELDING_POSITIONS]
+    w_fill = Window.partitionBy("game_id", "half_inning", "_position").orderBy("event_index").rowsBetween(_UNB, _CUR)
+    rows = rows.withColumn("_player", F.last("_merged", ignorenulls=True).over(w_fill))
+    # Event columns are functions of (game_id, event_index), so grouping by all
+    # of them keeps one row per event and the pivot stays a hash aggregate.
+    return rows.groupBy(*event_cols).agg(
+        *[F.max(F.when(F.col("_position") == q, F.col("_player"))).alias(f"fielder_{q}_id") for q in FIELDING_POSITIONS]
     )
 
 
@@ -334,18 +394,21 @@ def flatten_games(
     ``year`` per ``game_id``; without it ``year`` is NULL.
     """
     games = prepare_games(feed, num_partitions)
+    if lineup is not None:
+        games = attach_lineup(games, lineup)
     if cut_lineage:
         # One durable copy (in the shared checkpoint folder) of the parsed,
         # deduplicated documents feeds all three outputs.
         checkpoint_dir(games.sparkSession)
         games = games.checkpoint(eager=True)
     pa = plate_appearances(games)
-    events = event_rows(pa)
     plays = play_rows(pa)
-
     if lineup is not None:
-        wide = lineup_by_event(events, lineup, substitutions(plays))
-        events = events.join(wide, ["game_id", "event_index"], "left")
+        # After a checkpoint the hash partitioning on game_id is not known to the
+        # planner any more, so it is restated once (on compact per-event rows).
+        events = with_fielders(event_rows(pa, keep_lineup=True), repartition=cut_lineage)
+    else:
+        events = event_rows(pa)
 
     plays_bo = base_out_state(plays.filter(F.col("play_id").isNotNull()))
     plays_bo = plays_bo.fillna({"is_stolen_base": False, "is_caught_stealing": False, "is_pickoff": False})
