@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.functions import columns as C
-from pitchlake.functions.payload import pack_json, payload_struct, typed_field
+from pitchlake.functions.payload import pack_json, payload_struct, to_variant, typed_field
 from pitchlake.operators import audit as A
 from pitchlake.operators import windows as W
-from pitchlake.operators.merge import ACTION, merge_counts, merge_frames
+from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_frames
 from pitchlake.operators.views import unpack_view
 from pitchlake.plans import ledger as L
+from pitchlake.schemas import COVERAGE_ALARM_PCT
 from pitchlake.session import Tables, scratch_path
 from pitchlake.sources.landed import csv_round_trip
 
@@ -522,6 +523,53 @@ def q_scalar_arrays(spark, sf):
     )
 
 
+def q_coverage_alarm(spark, sf):
+    t = Tables(spark, sf)
+    docs = t.documents.select("doc_id", "lang")
+    labelled = t.labels.select("doc_id").join(docs, "doc_id")
+    cov = A.coverage(docs, labelled, "lang", "n_docs", "n_labels", "label_coverage_pct")
+    return cov.withColumn("below_alarm", F.col("label_coverage_pct") < COVERAGE_ALARM_PCT)
+
+
+def q_uncovered_days(spark, sf):
+    o = Tables(spark, sf).orders.select(F.col("o_orderstatus").alias("data_source"), "o_orderdate")
+    r = o.groupBy("data_source").agg(
+        F.min("o_orderdate").cast("date").alias("s"), F.max("o_orderdate").cast("date").alias("e")
+    )
+    units = L.chunk_dates(r, "s", "e", 30, keep=["data_source"]).withColumnsRenamed(
+        {"chunk_start": "date_start", "chunk_end": "date_end"}
+    )
+    # a day with at least one row counts as a finished one-day window
+    done = o.select("data_source", F.to_date("o_orderdate").alias("date_start")).distinct().withColumn(
+        "date_end", F.col("date_start")
+    )
+    return L.uncovered_days(units, done, keys=("data_source",))
+
+
+def q_unpack_view_variant(spark, sf):
+    t = Tables(spark, sf)
+    ev = t.events.withColumn("props", to_variant(F.col("props")))
+    return unpack_view(
+        ev, "props", EVENT_PAYLOAD, EVENT_KEEP,
+        dim=t.customer, dim_key="c_custkey", dim_cols={"customer_name": "c_name"}, join_field="k",
+    )
+
+
+def q_dedupe_last(spark, sf):
+    li = Tables(spark, sf).lineitem.select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    )
+    return keep_last(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
+
+
+def q_stale_runs(spark, sf):
+    states = _event_states(spark, sf)
+    return L.stale_runs(
+        states, now=F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"), hours=12, key="user_id",
+        at=("ts", "event_id"), status_col="status", started_col="ts", running="view",
+    )
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

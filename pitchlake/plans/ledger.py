@@ -135,11 +135,22 @@ def week_gaps(
     return cal.subtract(have).orderBy("week_start")
 
 
-def stale_runs(ledger: DataFrame, now: Column | None = None, hours: int = 6) -> DataFrame:
-    """Runs whose latest state is still ``running`` after ``hours``."""
+def stale_runs(
+    ledger: DataFrame,
+    now: Column | None = None,
+    hours: int = 6,
+    key: str = "run_id",
+    at: Sequence[str] = ("recorded_at",),
+    status_col: str = "status",
+    started_col: str = "started_at",
+    running: str = "running",
+) -> DataFrame:
+    """Runs whose latest state is still ``running`` after ``hours`` (a run killed
+    midway never writes its final row)."""
     now = now if now is not None else F.current_timestamp()
-    cur = latest_state(ledger)
-    return cur.filter((F.col("status") == "running") & (F.col("started_at") < now - F.expr(f"INTERVAL {int(hours)} HOURS")))
+    cur = latest_state(ledger, key=key, at=at)
+    cutoff = now - F.expr(f"INTERVAL {int(hours)} HOURS")
+    return cur.filter((F.col(status_col) == running) & (F.col(started_col) < cutoff))
 
 
 # --- writing the ledger -----------------------------------------------------

@@ -423,3 +423,40 @@ SELECT p_partkey,
        list_contains(string_split(p_name, ' '), 'ring') AS has_ring
 FROM part
 """
+
+ORACLE["coverage_alarm"] = """
+SELECT a.lang, a.n_docs, b.n_labels,
+       ROUND(100.0::DOUBLE * b.n_labels / NULLIF(a.n_docs, 0), 1) AS label_coverage_pct,
+       ROUND(100.0::DOUBLE * b.n_labels / NULLIF(a.n_docs, 0), 1) < 90.0 AS below_alarm
+FROM (SELECT lang, COUNT(*) AS n_docs FROM documents GROUP BY lang) a
+LEFT JOIN (SELECT d.lang, COUNT(*) AS n_labels
+           FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY d.lang) b
+USING (lang)
+"""
+
+ORACLE["uncovered_days"] = """
+WITH r AS (SELECT o_orderstatus AS data_source, CAST(MIN(o_orderdate) AS DATE) AS s,
+                  CAST(MAX(o_orderdate) AS DATE) AS e
+           FROM orders GROUP BY o_orderstatus),
+     g AS (SELECT data_source, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM r)
+SELECT data_source, day FROM g
+WHERE NOT EXISTS (SELECT 1 FROM orders o
+                  WHERE o.o_orderstatus = g.data_source AND CAST(o.o_orderdate AS DATE) = g.day)
+"""
+
+ORACLE["unpack_view_variant"] = ORACLE["unpack_view"]
+
+ORACLE["dedupe_last"] = """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice
+FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn
+      FROM lineitem)
+WHERE rn = 1
+"""
+
+ORACLE["stale_runs"] = """
+SELECT user_id, event_id, ts, event_type AS status, value
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type = 'view' AND ts < TIMESTAMP '2024-01-30 12:00:00'
+"""
