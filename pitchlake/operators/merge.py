@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,6 +174,17 @@ def upsert_table(
     the rewrite unit, so a very large table wants a fine partitioning (e.g. year
     and month) for small daily batches.
     """
+    # The batch is read several times (empty check, partition values, duplicate
+    # check, merge); keep it once in memory and on disk. Losing an executor only
+    # means recomputing its blocks from the source.
+    source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster)
+    finally:
+        source.unpersist()
+
+
+def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster) -> dict:
     if source.isEmpty():
         return {"n_inserted": 0, "n_updated": 0, "n_affected": 0}
     parts = list(partition_by)
