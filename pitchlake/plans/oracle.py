@@ -8,8 +8,6 @@ the comparison checks the rewrite as well as the result.
 
 from __future__ import annotations
 
-_TS = "TIMESTAMP"
-
 ORACLE: dict[str, str] = {}
 
 ORACLE["arsenal"] = """
