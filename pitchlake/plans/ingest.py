@@ -243,6 +243,7 @@ def plan(
     chunks = L.chunk_dates(one, "s", "e", chunk_days)
     units = L.plan_units(chunks, sources, levels).filter((F.col("data_source") != "statcast") | (F.col("level") == "MLB"))
     todo = L.work_plan(units, L.done_units(L.read_ledger(spark, table_path(warehouse, "scrape_log"))), force=force)
+    # The plan is metadata (chunks x sources x levels), never data rows.
     return [r.asDict() for r in todo.orderBy("data_source", "level", "date_start").collect()]
 
 
