@@ -271,8 +271,10 @@ def run(
         if not units:
             continue
         _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary)
-    if refresh and summary["succeeded"]:
-        refresh_view(spark, warehouse)
+    if refresh and summary["succeeded"] and "statcast" in sources:
+        # Only the years this run can have touched are rebuilt (the view is
+        # partitioned by year); a daily run rewrites one year, not all of them.
+        refresh_view(spark, warehouse, years=list(range(start.year, end.year + 1)))
     return summary
 
 
