@@ -255,6 +255,21 @@ def close_runs(
         _rows(spark, rows).write.mode("append").parquet(path)
 
 
+def compact_ledger(spark: SparkSession, path: str, files: int = 1) -> int:
+    """Rewrite the append-only ledger into ``files`` files (each open/close
+    appended one small file). Every row is kept; the rows are staged in the shared
+    checkpoint folder first so the rewrite never reads what it replaces. The
+    ledger holds one row per run state (metadata), so a few files suffice.
+    Returns the row count."""
+    from pitchlake.session import scratch_path
+
+    stage = scratch_path(spark, "ledger-compact")
+    read_ledger(spark, path).coalesce(files).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    staged.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).count()
+
+
 def get_run(ledger: DataFrame, run_id: str) -> DataFrame:
     """Current state of one run (``SELECT * ... WHERE id = ?``)."""
     return latest_state(ledger).filter(F.col("run_id") == run_id)

@@ -94,3 +94,18 @@ def test_week_gaps_as_written_and_aligned(spark):
     assert aligned[0] == D(2024, 2, 26)
     assert D(2024, 3, 4) not in aligned and D(2024, 3, 11) not in aligned and D(2024, 10, 28) not in aligned
     assert D(2024, 3, 18) in aligned
+
+
+def test_compact_ledger_keeps_history(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "ledger")
+    for i in range(4):
+        r = L.open_run(spark, path, "statsapi", "MLB", D(2024, 3, 1 + 7 * i), D(2024, 3, 7 + 7 * i))
+        L.close_run(spark, path, r, "success")
+    before = L.latest_state(spark.read.parquet(path)).collect()
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) >= 8
+    assert L.compact_ledger(spark, path) == 8
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
+    after = L.latest_state(spark.read.parquet(path)).collect()
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after))
