@@ -4,9 +4,12 @@ play tables, plus fielding lineups and base-out state.
 Physical plan
 -------------
 * Documents are deduplicated on ``game_id`` first (a game landed twice must not
-  double its rows), then hash-partitioned on ``game_id`` once. Every later
-  window or aggregate is keyed by ``game_id`` plus more columns, so it reuses
-  that partitioning instead of shuffling the exploded rows again.
+  double its rows), which hash-partitions them on ``game_id``. Later windows and
+  aggregates are keyed by ``game_id`` plus more columns, so they can reuse that
+  partitioning instead of shuffling the exploded rows again. With
+  ``cut_lineage`` the documents are checkpointed once for all three outputs;
+  Spark does not carry the partitioning through a checkpoint, so it is restated
+  once, on compact per-event rows, where the lineup step needs it.
 * A plate appearance arrives as one row holding its ``playEvents`` array, so the
   per-plate-appearance steps (fill down the disengagement count, previous
   balls/strikes, first fielder credited) are higher-order array functions on that
