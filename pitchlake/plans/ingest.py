@@ -100,9 +100,22 @@ def load_schedule(spark: SparkSession, landing: str, warehouse: str, units: Sequ
     return c["n_affected"]
 
 
-def load_statsapi(spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict]) -> int:
+def _games_of_types(spark: SparkSession, warehouse: str, game_types: Sequence[str]) -> DataFrame:
+    """Game ids of the stored schedule with one of ``game_types``."""
+    from pitchlake.sources.landed import read_table
+
+    sched = read_table(spark, warehouse, SCHEDULE.name)
+    return sched.filter(F.col("game_type").isin(list(game_types))).select("game_id")
+
+
+def load_statsapi(
+    spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict], game_types: Sequence[str] | None = None
+) -> int:
     feed = _read_partitioned(spark, f"{landing}/statsapi", _with_partitions(game_feed_schema()), True, units)
     feed = feed.withColumn("year", F.year("date")).drop("level", "date")
+    if game_types:
+        # the game type lives in the schedule, loaded first in a run
+        feed = feed.join(_games_of_types(spark, warehouse, game_types), "game_id", "left_semi")
     try:
         box = _read_partitioned(spark, f"{landing}/boxscore", _with_partitions(boxscore_schema()), True, units)
         lineup = starting_lineup(box.drop("level", "date"))
@@ -144,9 +157,14 @@ def read_statcast_landed(spark: SparkSession, path: str, fmt: str = "json") -> D
     return pack_json(df, [*STATCAST_PK, "year"], ["date"]).select(*keys, "data", "date")
 
 
-def load_statcast(spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict], fmt: str = "json") -> int:
+def load_statcast(
+    spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict], game_types: Sequence[str] | None = None,
+    fmt: str = "json",
+) -> int:
     df = read_statcast_landed(spark, f"{landing}/statcast", fmt)
     df = _prune_landed(spark, df, units, with_level=False).drop("date")
+    if game_types:
+        df = df.filter(F.get_json_object("data", "$.game_type").isin(list(game_types)))
     require_columns(df, STATCAST_PK, "pitch payload")
     c = upsert_table(spark, table_path(warehouse, STATCAST.name), df, STATCAST.pk, STATCAST.schema, STATCAST.partition_by)
     return c["n_affected"]
@@ -259,10 +277,13 @@ def run(
     force: bool = False,
     refresh: bool = True,
     retry_of: str | None = None,
+    game_types: Sequence[str] | None = None,
 ) -> dict:
     """Backfill (or daily run, with ``start == end``): plan, skip done units,
     load each source in one batch, record every unit in the ledger, refresh the
-    view for the touched years on success."""
+    view for the touched years on success. ``game_types`` keeps only games of
+    those types (schedule rows by their type, play-by-play by the stored
+    schedule, payload rows by their ``game_type`` key)."""
     ledger_path = table_path(warehouse, "scrape_log")
     todo = plan(spark, warehouse, start, end, sources, levels, chunk_days, force)
     summary = {"planned": len(todo), "succeeded": 0, "failed": 0, "rows": 0}
@@ -270,7 +291,7 @@ def run(
         units = [u for u in todo if u["data_source"] == source]
         if not units:
             continue
-        _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary)
+        _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary, game_types)
     if refresh and summary["succeeded"] and "statcast" in sources:
         # Only the years this run can have touched are rebuilt (the view is
         # partitioned by year); a daily run rewrites one year, not all of them.
@@ -278,10 +299,10 @@ def run(
     return summary
 
 
-def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary) -> None:
+def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary, game_types=None) -> None:
     opened = L.open_runs(spark, ledger_path, units, retry_of=retry_of)
     try:
-        rows = LOADERS[source](spark, landing, warehouse, units)
+        rows = LOADERS[source](spark, landing, warehouse, units, game_types=game_types)
         L.close_runs(spark, ledger_path, opened, "success", rows_written=rows)
         summary["succeeded"] += len(units)
         summary["rows"] += rows
@@ -292,7 +313,7 @@ def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of,
             return
         L.close_runs(spark, ledger_path, opened, "failed", error_message=f"batch failed, retried per unit: {type(e).__name__}")
         for u in units:
-            _run_units(spark, landing, warehouse, ledger_path, source, [u], retry_of, summary)
+            _run_units(spark, landing, warehouse, ledger_path, source, [u], retry_of, summary, game_types)
 
 
 def daily(spark: SparkSession, landing: str, warehouse: str, day: dt.date | None = None, **kw) -> dict:

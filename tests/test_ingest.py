@@ -101,3 +101,15 @@ def test_players_and_season_summary(spark, tmp_path):
     pid = led.filter("data_source = 'players'").collect()[0].run_id
     again = I.retry(spark, str(root), wh, pid)
     assert again["status"] == "success" and again["was_status"] == "success"
+
+
+def test_game_types_filter(spark, tmp_path):
+    root = _landing(tmp_path)
+    # g2 is a spring game ('S'); keep regular-season games only
+    _land(root, "schedule", "level=AAA/date=2024-04-02", "s.json", json.dumps({"game_id": "g2", "game_type": "S"}))
+    wh = str(tmp_path / "wh")
+    s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["schedule", "statsapi"],
+              levels=["MLB", "AAA"], game_types=["R"])
+    assert s["failed"] == 0
+    assert {r.game_id for r in spark.read.parquet(f"{wh}/schedule").collect()} == {"g1"}
+    assert {r.game_id for r in spark.read.parquet(f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
