@@ -119,6 +119,36 @@ def flatten_throughput(spark, n_docs: int, runs: int) -> dict[str, float]:
     return {f"flatten_{n_docs}_games": round(statistics.median(once() for _ in range(runs)), 3)}
 
 
+def upsert_write(spark, sf_dir: str, runs: int) -> dict[str, float]:
+    """The full upsert write path (partition-pruned, staged, clustered) into a
+    year-partitioned copy of ``orders``, for a batch of which 1 % or 50 % of the
+    keys already exist. Batches are date windows: the batch covers
+    [2000-01-01, end] and the table everything before ``cut``, so the overlap
+    is the matched share. The table is rebuilt (untimed) before every run."""
+    from pyspark.sql import functions as F
+
+    from pitchlake.operators.merge import upsert_table
+    from pitchlake.session import scratch_path, table
+
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")
+    start = ts("2000-01-01")
+    batch = orders.filter(F.col("o_orderdate") >= start).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    out = {}
+    for label, cut in (("1pct", "2000-01-07"), ("50pct", "2000-10-16")):
+        base = orders.filter(F.col("o_orderdate") < ts(cut))
+        times = []
+        for i in range(runs + 1):
+            path = scratch_path(spark, f"bench-upsert-{label}")
+            base.write.partitionBy("year").parquet(path)
+            t0 = time.perf_counter()
+            upsert_table(spark, path, batch, ["o_orderkey"], orders.schema, ["year"], stamp_col=None)
+            if i:  # first run is the warm-up
+                times.append(time.perf_counter() - t0)
+        out[f"upsert_write_{label}"] = round(statistics.median(times), 3)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -130,6 +160,7 @@ def main() -> None:
         run_once(spark, name, sf_dir)  # warm-up
         out[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 3)
     extra = payload_formats(spark, sf_dir, runs) if os.environ.get("BENCH_PAYLOAD_FORMATS", "1") == "1" else {}
+    write = upsert_write(spark, sf_dir, runs) if os.environ.get("BENCH_UPSERT_WRITE", "1") == "1" else {}
     n_docs = int(os.environ.get("BENCH_GAME_DOCS", "2000"))
     nested = flatten_throughput(spark, n_docs, runs) if n_docs > 0 else {}
     sf = Path(sf_dir).name.replace("sf", "")
@@ -141,6 +172,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": out,
                 "payload_formats": extra,
+                "write_path": write,
                 "nested": nested,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
