@@ -58,6 +58,9 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_SCRATCH: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and staged writes.
 
@@ -70,8 +73,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
-        d = tempfile.mkdtemp(prefix="pitchlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        # Unset (a test or local run): a scratch folder, registered on the
+        # context (the conf key itself cannot be changed at runtime).
+        d = _LOCAL_SCRATCH.setdefault(id(spark), tempfile.mkdtemp(prefix="pitchlake-ckpt-"))
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
