@@ -110,10 +110,14 @@ def fanout_check(
     group_cols: Sequence[str],
     distinct_alias: str,
     count_alias: str,
+    child_unique: bool = False,
 ) -> DataFrame:
     """Per parent group: distinct children and non-NULL grandchild values reached
     through ``parent JOIN child LEFT JOIN grandchild``.
 
+    With ``child_unique=True`` (the child key is the child table's primary key)
+    the distinct count is a plain count, which saves the two-level aggregation.
+
     The grandchild side is pre-aggregated to one row per child key (count of
     non-NULL ``grandchild_count_col``) before the join, so the one-to-many fan-out
     is never materialised; summing those counts over the joined child rows gives
@@ -124,8 +128,9 @@ def fanout_check(
     )
     c = child.join(g, F.col(child_key) == F.col("_gk"), "left")
     pc = parent.join(c, F.col(parent_key) == F.col(child_parent_key), "inner")
+    children = F.count(F.col(child_key)) if child_unique else F.count_distinct(F.col(child_key))
     return pc.groupBy(*group_cols).agg(
-        F.count_distinct(F.col(child_key)).alias(distinct_alias),
+        children.alias(distinct_alias),
         F.coalesce(F.sum("_gn"), F.lit(0)).cast("bigint").alias(count_alias),
     )
 

@@ -165,6 +165,7 @@ def q_fanout_check(spark, sf):
         group_cols=["c_custkey", "c_name"],
         distinct_alias="n_orders",
         count_alias="n_lines",
+        child_unique=True,  # o_orderkey is the primary key of orders
     )
 
 
