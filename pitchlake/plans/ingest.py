@@ -77,8 +77,9 @@ def _prune_landed(spark: SparkSession, df: DataFrame, units: Sequence[dict], wit
 
 
 def _read_partitioned(spark: SparkSession, path: str, schema: T.StructType, multiline: bool, units, with_level=True) -> DataFrame:
-    """Landed files of the pending partitions only."""
-    df = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    """Landed files of the pending partitions only. A malformed file fails the
+    load (FAILFAST), so the failure reaches the ledger instead of an empty game."""
+    df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
     return _prune_landed(spark, df, units, with_level)
 
 
@@ -311,7 +312,8 @@ def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of,
             L.close_runs(spark, ledger_path, opened, "failed", error_message=f"{type(e).__name__}: {e}"[:2000])
             summary["failed"] += 1
             return
-        L.close_runs(spark, ledger_path, opened, "failed", error_message=f"batch failed, retried per unit: {type(e).__name__}")
+        # the batch runs end as 'split' (not 'failed'): each unit gets its own run
+        L.close_runs(spark, ledger_path, opened, "split", error_message=f"batch failed, retried per unit: {type(e).__name__}")
         for u in units:
             _run_units(spark, landing, warehouse, ledger_path, source, [u], retry_of, summary, game_types)
 

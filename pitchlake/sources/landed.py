@@ -19,17 +19,19 @@ from pitchlake.functions.columns import rename_if_absent, require_columns, stamp
 from pitchlake.schemas import PLAYER, TABLES, TableSpec, boxscore_schema, game_feed_schema
 
 
-def read_game_feed(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_game_feed(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """One live-feed document per file (``multiLine``) or per line; ``game_id`` is
-    taken from the document, else from the file name (``<game_id>.json``)."""
+    taken from the document, else from the file name (``<game_id>.json``).
+    ``mode="FAILFAST"`` raises on a malformed document instead of reading it as
+    an empty game."""
     schema = game_feed_schema()
-    df = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    df = spark.read.schema(schema).option("multiLine", multiline).option("mode", mode).json(path)
     from_name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1)
     return df.withColumn("game_id", F.coalesce(F.col("game_id"), from_name))
 
 
-def read_boxscore(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    df = spark.read.schema(boxscore_schema()).option("multiLine", multiline).json(path)
+def read_boxscore(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+    df = spark.read.schema(boxscore_schema()).option("multiLine", multiline).option("mode", mode).json(path)
     from_name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1)
     return df.withColumn("game_id", F.coalesce(F.col("game_id"), from_name))
 

@@ -113,3 +113,16 @@ def test_game_types_filter(spark, tmp_path):
     assert s["failed"] == 0
     assert {r.game_id for r in spark.read.parquet(f"{wh}/schedule").collect()} == {"g1"}
     assert {r.game_id for r in spark.read.parquet(f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
+
+
+def test_malformed_document_fails_its_unit(spark, tmp_path):
+    root = _landing(tmp_path)
+    _land(root, "statsapi", "level=AAA/date=2024-04-02", "g9.json", '{"game_id": "g9", "liveData": {"plays": ')
+    wh = str(tmp_path / "wh")
+    s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statsapi"], levels=["MLB", "AAA"])
+    # the batch fails, then each unit is retried alone: MLB succeeds, AAA fails
+    assert s["succeeded"] == 1 and s["failed"] == 1
+    led = L.read_ledger(spark, f"{wh}/scrape_log")
+    assert [(r.data_source, r.level) for r in L.failed_runs(led).collect()] == [("statsapi", "AAA")]
+    assert L.latest_state(led).filter("status = 'split'").count() == 2  # the batch attempt
+    assert {r.game_id for r in spark.read.parquet(f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
