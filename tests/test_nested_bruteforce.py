@@ -1,7 +1,6 @@
 """Brute-force oracle for the flattening: the same semantics written as plain
 Python loops over the fixture documents, compared with every row and column of
-the Spark outputs (base-out columns excluded: they follow our own rule and have
-their own golden test)."""
+the Spark outputs, base-out state (our own rule) included."""
 
 import pytest
 
@@ -122,3 +121,65 @@ def test_plays_match_bruteforce(both):
     cols = ["play_id", "game_id", "event_index", "play_index", "pitch_number", "pre_balls", "pre_strikes",
             "post_balls", "post_strikes", "type"]
     _cmp(out["play"], rows, cols)
+
+
+EMPTIED = object()
+
+
+def brute_base_out(doc):
+    """Our base-out rule as plain loops: per (inning, half), plays with a play id
+    in (event, position) order; runner movements belong to the play whose index
+    they name; a base keeps its occupant until a runner arrives (not out) or
+    leaves; each half starts empty with no outs."""
+    gid = doc["game_id"]
+    rows = []
+    for pa in doc["liveData"]["plays"]["allPlays"]:
+        for pos, e in enumerate(pa.get("playEvents") or []):
+            if e.get("playId") is not None:
+                rows.append((pa, pos, e))
+    halves = {}
+    for pa, pos, e in rows:
+        key = (pa["about"]["inning"], pa["about"]["halfInning"])
+        halves.setdefault(key, []).append((pa["about"]["atBatIndex"], pos, pa, e))
+    out = []
+    for plays in halves.values():
+        carried = {"1b": None, "2b": None, "3b": None}
+        outs = None
+        prev = None
+        for idx, _pos, pa, e in sorted(plays, key=lambda t: (t[0], t[1])):
+            moves = [r for r in pa.get("runners") or [] if _get(r, "details", "playIndex") == e.get("index")]
+            for short, code in (("1b", "1B"), ("2b", "2B"), ("3b", "3B")):
+                arrive = next((_get(r, "details", "runner", "id") for r in moves
+                               if _get(r, "movement", "end") == code and not (_get(r, "movement", "isOut") or False)), None)
+                if arrive is not None:
+                    carried[short] = arrive
+                elif any(_get(r, "movement", "start") == code for r in moves):
+                    carried[short] = EMPTIED
+            if _get(e, "count", "outs") is not None:
+                outs = _get(e, "count", "outs")
+            post = {s: (None if v is EMPTIED else v) for s, v in carried.items()}
+            etypes = [(_get(r, "details", "eventType") or "") for r in moves]
+            row = {
+                "game_id": gid, "event_index": idx, "play_index": e.get("index"),
+                "runs_on_play": sum(1 for r in moves if _get(r, "movement", "end") == "score"),
+                "is_stolen_base": any(t.startswith("stolen_base") for t in etypes),
+                "is_caught_stealing": any(t.startswith("caught_stealing") for t in etypes),
+                "is_pickoff": e.get("type") == "pickoff" or (_get(e, "details", "eventType") or "").startswith("pickoff"),
+                "post_outs": outs if outs is not None else 0,
+                "pre_outs": prev["post_outs"] if prev else 0,
+            }
+            for s in ("1b", "2b", "3b"):
+                row[f"post_runner_{s}_id"] = post[s]
+                row[f"pre_runner_{s}_id"] = prev[f"post_runner_{s}_id"] if prev else None
+            out.append(row)
+            prev = row
+    return out
+
+
+def test_base_out_matches_bruteforce(spark, tmp_path):
+    docs = [G.g1(), G.g2(), G.g3()]
+    feed = read_game_feed(spark, G.write_docs(docs, tmp_path / "bo"))
+    play = flatten_games(feed)["play"]
+    cols = ["game_id", "event_index", "play_index", "runs_on_play", "is_stolen_base", "is_caught_stealing",
+            "is_pickoff", "pre_outs", "post_outs", *[f"{w}_runner_{s}_id" for w in ("pre", "post") for s in ("1b", "2b", "3b")]]
+    _cmp(play, [r for d in docs for r in brute_base_out(d)], cols)
