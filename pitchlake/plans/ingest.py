@@ -138,13 +138,15 @@ def read_statcast_landed(spark: SparkSession, path: str, fmt: str = "json") -> D
     rows are read as text columns and packed."""
     if fmt == "json":
         raw = spark.read.text(path)  # partition columns (date) are discovered
-        key_schema = "game_pk INT, game_id INT, at_bat_number INT, pitch_number INT, year INT, game_year INT"
-        k = F.from_json(F.col("value"), key_schema)
+        # keys read as text and cast, so numbers written as strings still count
+        names = ("game_pk", "game_id", "at_bat_number", "pitch_number", "year", "game_year")
+        k = F.from_json(F.col("value"), ", ".join(f"{n} STRING" for n in names))
+        i = {n: F.trim(k[n]).try_cast("int") for n in names}
         return raw.select(
-            F.coalesce(k["game_pk"], k["game_id"]).alias("game_pk"),
-            k["at_bat_number"].alias("at_bat_number"),
-            k["pitch_number"].alias("pitch_number"),
-            F.coalesce(k["year"], k["game_year"], F.year("date")).alias("year"),
+            F.coalesce(i["game_pk"], i["game_id"]).alias("game_pk"),
+            i["at_bat_number"].alias("at_bat_number"),
+            i["pitch_number"].alias("pitch_number"),
+            F.coalesce(i["year"], i["game_year"], F.year("date")).alias("year"),
             F.col("value").alias("data"),
             "date",
         )

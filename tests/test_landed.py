@@ -47,3 +47,14 @@ def test_statcast_csv_landing(spark, tmp_path):
     data = json.loads(rows[0].data)
     assert data["pitch_type"] == "FF" and data["release_speed"].strip() == "95.5"
     assert df.select(F.get_json_object("data", "$.release_speed").alias("r")).collect()[1].r is None
+
+
+def test_statcast_json_keys_as_strings(spark, tmp_path):
+    d = tmp_path / "statcast" / "date=2024-04-01"
+    d.mkdir(parents=True)
+    rows = [{"game_id": "745123", "at_bat_number": 1, "pitch_number": "2", "release_speed": 95.1},
+            {"game_pk": 745124, "at_bat_number": " 3", "pitch_number": 1, "game_year": "2024"}]
+    (d / "p.json").write_text("\n".join(json.dumps(r) for r in rows))
+    got = sorted(tuple(r) for r in read_statcast_landed(spark, str(tmp_path / "statcast"))
+                 .select("game_pk", "at_bat_number", "pitch_number", "year").collect())
+    assert got == [(745123, 1, 2, 2024), (745124, 3, 1, 2024)]
