@@ -191,3 +191,44 @@ def write_docs(docs: list[dict], folder: Path) -> str:
     for d in docs:
         (folder / f"{d['game_id']}.json").write_text(json.dumps(d, indent=1))
     return str(folder)
+
+
+def random_game(rng, game_id: str) -> tuple[dict, list[tuple]]:
+    """A random but well-formed game document and lineup for property tests
+    (``rng`` is a ``random.Random``): empty and NULL counts, pickoffs, actions,
+    substitutions at odd positions, runner movements, missing tracking data."""
+    pas = []
+    for idx in range(rng.randint(0, 10)):
+        inning, half = 1 + idx // 4, ("top", "bottom")[(idx // 2) % 2]
+        events = []
+        for j in range(rng.randint(0, 6)):
+            kind = rng.choice(["pitch", "pitch", "pitch", "pickoff", "action"])
+            if kind == "pitch":
+                b = rng.choice([None, 0, 1, 2, 3])
+                e = _pitch(j, j + 1, b, None if b is None else rng.randint(0, 2), outs=rng.randint(0, 2),
+                           play_id=f"{game_id}-{idx}-{j}", dis=rng.choice([None, None, 1, 2]))
+                if rng.random() < 0.3:
+                    e.pop("pitchData")
+            elif kind == "pickoff":
+                e = _action(j, typ="pickoff", event_type=rng.choice(["pickoff_1b", "pickoff_attempt_2b", None]),
+                            play_id=f"{game_id}-{idx}-{j}", count={"outs": rng.randint(0, 2), "balls": 1, "strikes": 0})
+            else:
+                e = _action(j, sub=rng.random() < 0.7, player=rng.randint(500, 520),
+                            position=rng.choice(["2", "6", "9", "10", "D", "PH"]),
+                            play_id=f"{game_id}-{idx}-{j}" if rng.random() < 0.3 else None)
+            events.append(e)
+        runners = []
+        for _ in range(rng.randint(0, 3)):
+            runners.append(_runner(
+                rng.choice([None, "1B", "2B", "3B"]), rng.choice([None, "1B", "2B", "3B", "score"]),
+                rng.randint(600, 620), rng.choice([None, *range(len(events))]) if events else None,
+                is_out=rng.random() < 0.2,
+                event_type=rng.choice([None, "single", "stolen_base_2b", "caught_stealing_3b", "field_out"]),
+                credit=rng.choice([None, [], [rng.randint(1, 9)], [6, 3]]),
+            ))
+        pas.append(_pa(idx, inning, half, 100 + idx, 200 + idx % 3, rng.choice(["Single", "Strikeout", None]),
+                       rng.choice([True, False, None]), events, runners))
+    doc = {"game_id": game_id, "liveData": {"plays": {"allPlays": pas}}}
+    lineup = [(game_id, h, p, 1000 + p + (50 if h == "bottom" else 0))
+              for h in ("top", "bottom") for p in range(2, 11) if rng.random() < 0.8]
+    return doc, lineup

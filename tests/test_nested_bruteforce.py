@@ -3,6 +3,8 @@ Python loops over the fixture documents, compared with every row and column of
 the Spark outputs, base-out state (our own rule) included."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from fixtures import games as G
 from pitchlake.operators.nested import flatten_games
@@ -183,3 +185,26 @@ def test_base_out_matches_bruteforce(spark, tmp_path):
     cols = ["game_id", "event_index", "play_index", "runs_on_play", "is_stolen_base", "is_caught_stealing",
             "is_pickoff", "pre_outs", "post_outs", *[f"{w}_runner_{s}_id" for w in ("pre", "post") for s in ("1b", "2b", "3b")]]
     _cmp(play, [r for d in docs for r in brute_base_out(d)], cols)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000))
+def test_random_games_match_bruteforce(spark, tmp_path_factory, seed):
+    import random
+
+    rng = random.Random(seed)
+    games = [G.random_game(rng, f"r{seed}-{i}") for i in range(6)]
+    docs = [d for d, _ in games]
+    d = tmp_path_factory.mktemp("rand")
+    feed = read_game_feed(spark, G.write_docs(docs, d))
+    lu = spark.createDataFrame([r for _, rows in games for r in rows], LINEUP_DDL)
+    out = flatten_games(feed, lineup=lu)
+    expected = [brute(doc, rows) for doc, rows in games]
+    ev_cols = ["game_id", "event_index", "inning", "half_inning", "batter_id", "pitcher_id", "event", "is_out",
+               "runs_on_event", *[f"fielder_{p}_id" for p in POSITIONS]]
+    _cmp(out["event"], [e for ev, _, _ in expected for e in ev], ev_cols)
+    pitch_rows = [dict(r, balls=r["pre_balls"], strikes=r["pre_strikes"]) for _, pt, _ in expected for r in pt]
+    _cmp(out["pitch"], pitch_rows, ["play_id", "game_id", "event_index", "play_index", "outs", "balls", "strikes", "ax"])
+    bo_cols = ["game_id", "event_index", "play_index", "runs_on_play", "is_stolen_base", "is_caught_stealing",
+               "is_pickoff", "pre_outs", "post_outs", *[f"{w}_runner_{s}_id" for w in ("pre", "post") for s in ("1b", "2b", "3b")]]
+    _cmp(out["play"], [r for doc in docs for r in brute_base_out(doc)], bo_cols)
