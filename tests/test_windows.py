@@ -3,6 +3,8 @@ including with one hot key holding a third of the rows and NULL runs."""
 
 import random
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pitchlake.operators import windows as W
@@ -63,3 +65,26 @@ def test_pivot_first_explicit_values(spark):
 def test_share_of_total(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3)], "k STRING, n LONG")
     assert {r.k: r.pct for r in W.share_of_total(df, "n", "pct").collect()} == {"a": 25.0, "b": 75.0}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    seed=st.integers(0, 10_000),
+    hot=st.floats(0.0, 0.9),
+    null_share=st.floats(0.0, 1.0),
+    width=st.sampled_from([1, 3, 10]),
+)
+def test_segmented_equals_plain_property(spark, seed, hot, null_share, width):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(400):
+        user = 0 if rnd.random() < hot else rnd.randint(1, 6)
+        v = None if rnd.random() < null_share else float(rnd.randint(-5, 5))
+        rows.append((i, user, rnd.randint(0, 30), v))  # many ties on the day column
+    df = spark.createDataFrame(rows, "id LONG, user INT, day INT, v DOUBLE").repartition(4)
+    order = ["day", "id"]
+    seg = F.floor(F.col("day") / width)
+    for fn, kw in ((W.fill_down, {"out": "o", "default": -1.0}), (W.lag_default, {"out": "o", "default": -1.0})):
+        plain = fn(df, "v", ["user"], order, **kw)
+        segm = fn(df, "v", ["user"], order, segment=seg, **kw)
+        assert _same(plain.select("id", "o"), segm.select("id", "o"))
