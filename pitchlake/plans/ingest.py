@@ -35,9 +35,10 @@ from pitchlake.operators.nested import flatten_games, starting_lineup
 from pitchlake.operators.views import materialize, statcast_view
 from pitchlake.plans import ledger as L
 from pitchlake.schemas import (
-    CHUNK_DAYS, EVENT, LEVELS, PITCH, PLAY, PLAYER, SCHEDULE, SEASON_SUMMARY, STATCAST, boxscore_schema,
-    game_feed_schema,
+    CHUNK_DAYS, EVENT, LEVELS, PITCH, PLAY, PLAYER, SCHEDULE, SEASON_SUMMARY, STATCAST, STATCAST_VARIANT,
+    boxscore_schema, game_feed_schema,
 )
+from pitchlake.functions.payload import to_variant
 
 SOURCES = ("schedule", "statsapi", "statcast")
 STATCAST_PK = ("game_pk", "at_bat_number", "pitch_number")
@@ -162,14 +163,20 @@ def read_statcast_landed(spark: SparkSession, path: str, fmt: str = "json") -> D
 
 def load_statcast(
     spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict], game_types: Sequence[str] | None = None,
-    fmt: str = "json",
+    fmt: str = "json", payload: str = "text",
 ) -> int:
+    """Pitch payload rows merged into ``statcast``. ``payload="variant"`` stores
+    the payload as VARIANT (parsed once here; the view then reads fields by path);
+    the default keeps JSON text, readable by any engine."""
     df = read_statcast_landed(spark, f"{landing}/statcast", fmt)
     df = _prune_landed(spark, df, units, with_level=False).drop("date")
     if game_types:
         df = df.filter(F.get_json_object("data", "$.game_type").isin(list(game_types)))
     require_columns(df, STATCAST_PK, "pitch payload")
-    c = upsert_table(spark, table_path(warehouse, STATCAST.name), df, STATCAST.pk, STATCAST.schema, STATCAST.partition_by)
+    spec = STATCAST
+    if payload == "variant":
+        df, spec = df.withColumn("data", to_variant(F.col("data"))), STATCAST_VARIANT
+    c = upsert_table(spark, table_path(warehouse, spec.name), df, spec.pk, spec.schema, spec.partition_by)
     return c["n_affected"]
 
 
@@ -281,12 +288,14 @@ def run(
     refresh: bool = True,
     retry_of: str | None = None,
     game_types: Sequence[str] | None = None,
+    payload: str = "text",
 ) -> dict:
     """Backfill (or daily run, with ``start == end``): plan, skip done units,
     load each source in one batch, record every unit in the ledger, refresh the
     view for the touched years on success. ``game_types`` keeps only games of
     those types (schedule rows by their type, play-by-play by the stored
-    schedule, payload rows by their ``game_type`` key)."""
+    schedule, payload rows by their ``game_type`` key). ``payload="variant"``
+    stores the pitch payload as VARIANT (see ``load_statcast``)."""
     ledger_path = table_path(warehouse, "scrape_log")
     todo = plan(spark, warehouse, start, end, sources, levels, chunk_days, force)
     summary = {"planned": len(todo), "succeeded": 0, "failed": 0, "rows": 0}
@@ -294,7 +303,8 @@ def run(
         units = [u for u in todo if u["data_source"] == source]
         if not units:
             continue
-        _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary, game_types)
+        opts = {"game_types": game_types, **({"payload": payload} if source == "statcast" else {})}
+        _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary, opts)
     if refresh and summary["succeeded"] and "statcast" in sources:
         # Only the years this run can have touched are rebuilt (the view is
         # partitioned by year); a daily run rewrites one year, not all of them.
@@ -302,10 +312,10 @@ def run(
     return summary
 
 
-def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary, game_types=None) -> None:
+def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of, summary, opts=None) -> None:
     opened = L.open_runs(spark, ledger_path, units, retry_of=retry_of)
     try:
-        rows = LOADERS[source](spark, landing, warehouse, units, game_types=game_types)
+        rows = LOADERS[source](spark, landing, warehouse, units, **(opts or {}))
         L.close_runs(spark, ledger_path, opened, "success", rows_written=rows)
         summary["succeeded"] += len(units)
         summary["rows"] += rows
@@ -317,7 +327,7 @@ def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of,
         # the batch runs end as 'split' (not 'failed'): each unit gets its own run
         L.close_runs(spark, ledger_path, opened, "split", error_message=f"batch failed, retried per unit: {type(e).__name__}")
         for u in units:
-            _run_units(spark, landing, warehouse, ledger_path, source, [u], retry_of, summary, game_types)
+            _run_units(spark, landing, warehouse, ledger_path, source, [u], retry_of, summary, opts)
 
 
 def daily(spark: SparkSession, landing: str, warehouse: str, day: dt.date | None = None, **kw) -> dict:

@@ -86,6 +86,15 @@ STATCAST = TableSpec(
     sort_by=("game_pk",),
     required=("game_pk", "at_bat_number", "pitch_number"),
 )
+# The same payload table with the payload stored as VARIANT (parsed once on load).
+STATCAST_VARIANT = TableSpec(
+    "statcast",
+    "game_pk INT, at_bat_number INT, pitch_number INT, year INT, data VARIANT, scraped_at TIMESTAMP",
+    pk=("game_pk", "at_bat_number", "pitch_number"),
+    partition_by=("year",),
+    sort_by=("game_pk",),
+    required=("game_pk", "at_bat_number", "pitch_number"),
+)
 PLAYER = TableSpec(
     "player",
     "player_id INT, name_full STRING, name_last STRING, name_first STRING, birth_date DATE, "

@@ -126,3 +126,16 @@ def test_malformed_document_fails_its_unit(spark, tmp_path):
     assert [(r.data_source, r.level) for r in L.failed_runs(led).collect()] == [("statsapi", "AAA")]
     assert L.latest_state(led).filter("status = 'split'").count() == 2  # the batch attempt
     assert {r.game_id for r in spark.read.parquet(f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
+
+
+def test_variant_payload_storage(spark, tmp_path):
+    root = _landing(tmp_path)
+    wh = str(tmp_path / "wh")
+    units = I.plan(spark, wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statcast"], levels=["MLB"])
+    assert I.load_statcast(spark, str(root), wh, units, payload="variant") == 4
+    sc = spark.read.parquet(f"{wh}/statcast")
+    assert dict(sc.dtypes)["data"] == "variant"
+    I.refresh_view(spark, wh)
+    mv = spark.read.parquet(f"{wh}/mv_statcast")
+    assert sorted(r.release_speed for r in mv.collect()) == [96.0, 97.0, 98.0, 99.0]
+    assert {r.pitch_type for r in mv.collect()} == {"FF"}
