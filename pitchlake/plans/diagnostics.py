@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.operators import audit as A
@@ -21,6 +22,23 @@ from pitchlake.plans import ledger as L
 from pitchlake.schemas import COVERAGE_ALARM_PCT
 
 
+def stored_tables(spark: SparkSession, warehouse: str, view: str = "mv_statcast") -> dict[str, DataFrame]:
+    """The stored tables of a warehouse by short name (``schedule``, ``event``,
+    ``pitch``, ``play``, ``statcast``, ``player``, ``season_summary``,
+    ``ledger``), read with their registry schemas (a table never written reads
+    as empty), plus the materialised ``view`` when it exists."""
+    from pitchlake.schemas import TABLES
+    from pitchlake.sources.landed import read_table
+
+    short = {"statsapi_event": "event", "statsapi_pitch": "pitch", "statsapi_play": "play", "scrape_log": "ledger"}
+    out = {short.get(name, name): read_table(spark, warehouse, name, missing_ok=True) for name in TABLES}
+    try:
+        out["view"] = spark.read.parquet(f"{warehouse.rstrip('/')}/{view}")
+    except AnalysisException:
+        pass
+    return out
+
+
 def _eq(col: str, value) -> Column:
     return F.lit(True) if value is None else (F.col(col) == value)
 

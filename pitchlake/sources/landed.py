@@ -115,11 +115,20 @@ def write_table(df: DataFrame, spec: TableSpec, path: str, mode: str = "overwrit
     w.parquet(path)
 
 
-def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, warehouse: str, name: str, missing_ok: bool = False) -> DataFrame:
     """A stored table read with its registry schema (works for an empty table,
-    which has no data files to infer a schema from)."""
+    which has no data files to infer a schema from). With ``missing_ok`` a table
+    that was never written reads as empty."""
     spec = TABLES[name]
-    return spark.read.schema(spec.schema).parquet(f"{warehouse.rstrip('/')}/{spec.name}")
+    path = f"{warehouse.rstrip('/')}/{spec.name}"
+    if not missing_ok:
+        return spark.read.schema(spec.schema).parquet(path)
+    try:
+        df = spark.read.schema(spec.schema).parquet(path)
+        df.take(1)  # the path check can be lazy; this reads at most one row
+        return df
+    except AnalysisException:
+        return spark.createDataFrame([], spec.schema)
 
 
 def ensure_tables(spark: SparkSession, warehouse: str, names: list[str] | None = None) -> list[str]:

@@ -139,3 +139,16 @@ def test_variant_payload_storage(spark, tmp_path):
     mv = spark.read.parquet(f"{wh}/mv_statcast")
     assert sorted(r.release_speed for r in mv.collect()) == [96.0, 97.0, 98.0, 99.0]
     assert {r.pitch_type for r in mv.collect()} == {"FF"}
+
+
+def test_stored_tables_helper(spark, tmp_path):
+    from pitchlake.plans import diagnostics as Q
+
+    root = _landing(tmp_path)
+    wh = str(tmp_path / "wh")
+    I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), levels=["MLB"])
+    t = Q.stored_tables(spark, wh)
+    assert {"schedule", "event", "pitch", "play", "statcast", "player", "season_summary", "ledger", "view"} <= set(t)
+    assert t["event"].count() == 8 and t["player"].count() == 0
+    assert Q.orphaned_pitches(t["pitch"], t["event"]).collect()[0][0] == 0
+    assert Q.pitcher_year_counts(t["view"], 21).collect()[0].pitches == 4
