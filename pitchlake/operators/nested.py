@@ -267,8 +267,9 @@ def attach_lineup(games: DataFrame, lineup: DataFrame) -> DataFrame:
     whatever the input; the join is one-to-one on ``game_id`` and both sides are
     hash-partitioned on it."""
     lu = lineup.filter(F.col("position").isin(list(FIELDING_POSITIONS)) & F.col("half_inning").isin(TOP, BOTTOM))
-    # partitioned by game once: both aggregates below reuse it
-    lu = lu.repartition("game_id").groupBy("game_id", "half_inning", "position").agg(F.min("player_id").alias("player_id"))
+    # Deduplicate first: the partial aggregate collapses repeated rows map-side,
+    # so copies of one game's lineup never reach a single task in bulk.
+    lu = lu.groupBy("game_id", "half_inning", "position").agg(F.min("player_id").alias("player_id"))
     per_game = lu.groupBy("game_id").agg(
         F.collect_list(F.struct("half_inning", "position", "player_id")).alias("lineup")
     )
