@@ -367,6 +367,11 @@ def _upsert_batch(spark, sf):
     return o.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
 
 
+# The batches below are keyed by o_orderkey, the primary key of orders, so the
+# duplicate-key check of merge_frames (a job run while the query is built) is
+# skipped; upsert_table always runs it.
+
+
 def q_upsert(spark, sf):
     src = _upsert_batch(spark, sf).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     m = merge_frames(_upsert_target(spark, sf), src, ["o_orderkey"], check_duplicates=False)
