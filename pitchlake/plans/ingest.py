@@ -262,15 +262,31 @@ def plan(
     levels: Sequence[str] = LEVELS,
     chunk_days: int = CHUNK_DAYS,
     force: bool = False,
+    coverage: str = "exact",
 ) -> list[dict]:
-    """The pending units (statcast is MLB only). Returns the plan rows."""
+    """The pending units (statcast is MLB only). Returns the plan rows.
+
+    ``coverage="exact"`` skips a unit only when the very same window finished
+    (the source system's rule); ``coverage="days"`` skips it when every one of
+    its days lies in some finished window of the same source and level (so a
+    finished month covers its weeks)."""
     unknown = set(sources) - set(SOURCES)
     if unknown:
         raise ValueError(f"unknown source(s): {', '.join(sorted(unknown))}")
     one = spark.createDataFrame([(start, end)], "s date, e date")
     chunks = L.chunk_dates(one, "s", "e", chunk_days)
     units = L.plan_units(chunks, sources, levels).filter((F.col("data_source") != "statcast") | (F.col("level") == "MLB"))
-    todo = L.work_plan(units, L.done_units(L.read_ledger(spark, table_path(warehouse, "scrape_log"))), force=force)
+    done = L.done_units(L.read_ledger(spark, table_path(warehouse, "scrape_log")))
+    if force:
+        todo = units
+    elif coverage == "days":
+        # each uncovered day names its unit by the plan's own tiling (equi-join)
+        gaps = L.uncovered_days(units, done).select(
+            "data_source", "level", L.chunk_of(F.col("day"), F.lit(start), chunk_days).alias("date_start")
+        )
+        todo = units.join(gaps.distinct(), ["data_source", "level", "date_start"], "left_semi")
+    else:
+        todo = L.work_plan(units, done)
     # The plan is metadata (chunks x sources x levels), never data rows.
     return [r.asDict() for r in todo.orderBy("data_source", "level", "date_start").collect()]
 
@@ -289,6 +305,7 @@ def run(
     retry_of: str | None = None,
     game_types: Sequence[str] | None = None,
     payload: str = "text",
+    coverage: str = "exact",
 ) -> dict:
     """Backfill (or daily run, with ``start == end``): plan, skip done units,
     load each source in one batch, record every unit in the ledger, refresh the
@@ -297,7 +314,7 @@ def run(
     schedule, payload rows by their ``game_type`` key). ``payload="variant"``
     stores the pitch payload as VARIANT (see ``load_statcast``)."""
     ledger_path = table_path(warehouse, "scrape_log")
-    todo = plan(spark, warehouse, start, end, sources, levels, chunk_days, force)
+    todo = plan(spark, warehouse, start, end, sources, levels, chunk_days, force, coverage)
     summary = {"planned": len(todo), "succeeded": 0, "failed": 0, "rows": 0}
     for source in sources:
         units = [u for u in todo if u["data_source"] == source]

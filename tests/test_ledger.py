@@ -109,3 +109,17 @@ def test_compact_ledger_keeps_history(spark, tmp_path):
     assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
     after = L.latest_state(spark.read.parquet(path)).collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
+
+
+def test_plan_interval_coverage(spark, tmp_path):
+    from pitchlake.plans import ingest as I
+
+    wh = str(tmp_path / "wh")
+    ledger = f"{wh}/scrape_log"
+    month = L.open_run(spark, ledger, "statsapi", "MLB", D(2024, 3, 1), D(2024, 3, 31))
+    L.close_run(spark, ledger, month, "success")
+    exact = I.plan(spark, wh, D(2024, 3, 1), D(2024, 4, 7), sources=["statsapi"], levels=["MLB"])
+    days = I.plan(spark, wh, D(2024, 3, 1), D(2024, 4, 7), sources=["statsapi"], levels=["MLB"], coverage="days")
+    assert len(exact) == 6  # no weekly window matches the monthly run exactly
+    # weeks fully inside March are covered; the week spanning Mar 29 - Apr 4 and Apr 5-7 are not
+    assert [(u["date_start"], u["date_end"]) for u in days] == [(D(2024, 3, 29), D(2024, 4, 4)), (D(2024, 4, 5), D(2024, 4, 7))]
