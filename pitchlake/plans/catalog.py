@@ -22,7 +22,7 @@ from pitchlake.functions.payload import pack_json, payload_struct, to_variant, t
 from pitchlake.operators import audit as A
 from pitchlake.operators import windows as W
 from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_frames
-from pitchlake.operators.views import unpack_view
+from pitchlake.operators.views import materialize, unpack_view
 from pitchlake.plans import ledger as L
 from pitchlake.schemas import COVERAGE_ALARM_PCT
 from pitchlake.session import Tables, scratch_path
@@ -576,6 +576,18 @@ def q_stale_runs(spark, sf):
     )
 
 
+def q_materialized_view(spark, sf):
+    # The typed view written once (staged, partitioned by event type,
+    # range-clustered), then queried from the materialised copy.
+    view = _events_view(spark, sf, EVENT_PAYLOAD_CORE)
+    path = materialize(spark, view, scratch_path(spark, "materialized-view"), partition_by=("event_type",),
+                       sort_within=("user_id", "ts"))
+    mv = spark.read.parquet(path)
+    return mv.groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("customer_name").alias("named"), F.sum("k").alias("sum_k")
+    )
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

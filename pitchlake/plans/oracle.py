@@ -458,3 +458,10 @@ SELECT user_id, event_id, ts, event_type AS status, value
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1 AND event_type = 'view' AND ts < TIMESTAMP '2024-01-30 12:00:00'
 """
+
+ORACLE["materialized_view"] = """
+SELECT e.event_type, CAST(e.ts AS DATE) AS day, COUNT(*) AS n, COUNT(c.c_name) AS named,
+       CAST(SUM(TRY_CAST(e.props->>'k' AS INTEGER)) AS BIGINT) AS sum_k
+FROM events e LEFT JOIN customer c ON c.c_custkey = TRY_CAST(e.props->>'k' AS INTEGER)
+GROUP BY 1, 2
+"""
