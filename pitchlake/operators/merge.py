@@ -147,9 +147,14 @@ def _prune_to_batch(target: DataFrame, source: DataFrame, parts: Sequence[str],
     return target.join(touched, parts, "left_semi")
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The stored table read with its schema (partition values are not
+    type-inferred; columns missing from older files read as NULL), or None when
+    nothing was written yet."""
     try:
-        return spark.read.parquet(path)
+        df = spark.read.schema(schema).parquet(path)
+        df.take(1)  # the path check can be lazy
+        return df
     except AnalysisException:
         return None
 
@@ -188,11 +193,10 @@ def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col,
     if source.isEmpty():
         return {"n_inserted": 0, "n_updated": 0, "n_affected": 0}
     parts = list(partition_by)
-    target = _read_or_none(spark, path)
+    target = _read_or_none(spark, path, schema)
     if target is None:
         target = spark.createDataFrame([], schema)
-    else:
-        target = target.select(*[F.col(f.name).cast(f.dataType) if f.name in target.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    target = target.select(*[f.name for f in schema.fields])
     if parts and all(p in source.columns for p in parts):
         target = _prune_to_batch(target, source, parts, schema)
     merged = merge_frames(target, source, pk, dedupe_by=dedupe_by, stamp_col=stamp_col)
@@ -207,7 +211,8 @@ def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col,
     if parts:
         writer = writer.partitionBy(*parts)
     writer.parquet(stage)
-    staged = spark.read.parquet(stage)
+    # read back with the known schema: partition values are not type-inferred
+    staged = spark.read.schema(T.StructType([*schema.fields, T.StructField(ACTION, T.StringType())])).parquet(stage)
     counts = merge_counts(staged).collect()[0].asDict()
 
     out = staged.drop(ACTION).select(*[f.name for f in schema.fields])

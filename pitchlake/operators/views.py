@@ -129,7 +129,7 @@ def materialize(
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(stage)
-    staged = spark.read.parquet(stage).select(*view.columns)
+    staged = spark.read.schema(view.schema).parquet(stage).select(*view.columns)
     out = staged.write.mode("overwrite")
     if parts:
         out = out.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)

@@ -126,3 +126,26 @@ def test_upsert_on_driver_tables_counts(spark):
     c = q_upsert_counts(spark, SF01).collect()[0]
     assert m.count() == c.n_rows
     assert m.filter(F.col("merge_action") == "update").count() == c.n_updated
+
+
+def test_upsert_table_string_partition_keeps_type(spark, tmp_path):
+    path = str(tmp_path / "tbl")
+    ddl = "k INT, level STRING, a STRING"
+    schema = spark.createDataFrame([], ddl).schema
+    upsert_table(spark, path, spark.createDataFrame([(1, "2024", "x"), (2, "AAA", "y")], ddl), ["k"], schema, ["level"], stamp_col=None)
+    upsert_table(spark, path, spark.createDataFrame([(1, "2024", "z")], ddl), ["k"], schema, ["level"], stamp_col=None)
+    got = sorted((r.k, r.level, r.a) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [(1, "2024", "z"), (2, "AAA", "y")]
+
+
+def test_upsert_table_leading_zero_partition_and_new_column(spark, tmp_path):
+    path = str(tmp_path / "tbl")
+    old = "k INT, level STRING, a STRING"
+    upsert_table(spark, path, spark.createDataFrame([(1, "007", "x")], old), ["k"], spark.createDataFrame([], old).schema,
+                 ["level"], stamp_col=None)
+    # the table gains a column: older files read it as NULL
+    new = "k INT, level STRING, a STRING, b DOUBLE"
+    schema = spark.createDataFrame([], new).schema
+    upsert_table(spark, path, spark.createDataFrame([(2, "007", "y", 1.5)], new), ["k"], schema, ["level"], stamp_col=None)
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("k", "level", "a", "b").collect())
+    assert got == [(1, "007", "x", None), (2, "007", "y", 1.5)]
