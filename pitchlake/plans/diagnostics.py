@@ -31,11 +31,14 @@ def stored_tables(spark: SparkSession, warehouse: str, view: str = "mv_statcast"
     from pitchlake.sources.landed import read_table
 
     short = {"statsapi_event": "event", "statsapi_pitch": "pitch", "statsapi_play": "play", "scrape_log": "ledger"}
-    out = {short.get(name, name): read_table(spark, warehouse, name, missing_ok=True) for name in TABLES}
-    try:
-        out["view"] = spark.read.parquet(f"{warehouse.rstrip('/')}/{view}")
-    except AnalysisException:
-        pass
+    out = {short.get(name, name): read_table(spark, warehouse, name, missing_ok=True) for name in TABLES if name != "statcast"}
+    out["statcast"] = spark.createDataFrame([], TABLES["statcast"].schema)
+    # The payload table may hold JSON text or VARIANT: read it with its own schema.
+    for name, path in (("statcast", "statcast"), ("view", view)):
+        try:
+            out[name] = spark.read.parquet(f"{warehouse.rstrip('/')}/{path}")
+        except AnalysisException:
+            pass
     return out
 
 

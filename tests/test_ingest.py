@@ -139,6 +139,10 @@ def test_variant_payload_storage(spark, tmp_path):
     mv = spark.read.parquet(f"{wh}/mv_statcast")
     assert sorted(r.release_speed for r in mv.collect()) == [96.0, 97.0, 98.0, 99.0]
     assert {r.pitch_type for r in mv.collect()} == {"FF"}
+    from pitchlake.plans import diagnostics as Q
+    t = Q.stored_tables(spark, wh)
+    assert dict(t["statcast"].dtypes)["data"] == "variant"
+    assert Q.rows_by_year(t["statcast"], "statcast_pitches").collect()[0].statcast_pitches == 4
 
 
 def test_stored_tables_helper(spark, tmp_path):
