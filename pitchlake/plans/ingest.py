@@ -167,7 +167,8 @@ def load_statcast(
 ) -> int:
     """Pitch payload rows merged into ``statcast``. ``payload="variant"`` stores
     the payload as VARIANT (parsed once here; the view then reads fields by path);
-    the default keeps JSON text, readable by any engine."""
+    the default keeps JSON text, readable by any engine. Pick one form per table:
+    files of both forms cannot be read as one table."""
     df = read_statcast_landed(spark, f"{landing}/statcast", fmt)
     df = _prune_landed(spark, df, units, with_level=False).drop("date")
     if game_types:
