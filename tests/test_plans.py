@@ -37,3 +37,27 @@ def test_filters_pushed_to_scan(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert "In(o_orderstatus" in plan
+
+
+# Queries allowed a single-partition exchange, and why it is bounded.
+SINGLE_PARTITION_OK = {
+    "arsenal": "share-of-total window over the grouped rows (few groups)",
+    "date_chunks": "global min/max: one partial row per task",
+    "metric_trend": "7-day frame over one row per day",
+    "not_null_check": "global counts: one partial row per task",
+    "orphans_child": "global count after the anti-join: one partial row per task",
+    "orphans_pair": "global count after the anti-join: one partial row per task",
+    "orphans_parent": "global count after the anti-join: one partial row per task",
+    "upsert_counts": "global counts: one partial row per task",
+}
+
+
+def test_single_partition_only_where_bounded(spark):
+    single = set()
+    for name, fn in E.queries().items():
+        df = fn(spark, SF001)
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()
+        if "SinglePartition" in qe.executedPlan().toString().split("== Initial Plan ==")[0]:
+            single.add(name)
+    assert single <= set(SINGLE_PARTITION_OK), sorted(single - set(SINGLE_PARTITION_OK))
