@@ -58,3 +58,21 @@ def test_statcast_json_keys_as_strings(spark, tmp_path):
     got = sorted(tuple(r) for r in read_statcast_landed(spark, str(tmp_path / "statcast"))
                  .select("game_pk", "at_bat_number", "pitch_number", "year").collect())
     assert got == [(745123, 1, 2, 2024), (745124, 3, 1, 2024)]
+
+
+def test_small_helpers(spark, tmp_path):
+    from pitchlake.functions.columns import stamp_front
+    from pitchlake.functions.payload import json_text
+    from pitchlake.plans.ledger import join_levels, split_levels
+    from pitchlake.sources.landed import read_landed
+
+    df = spark.createDataFrame([('{"k": 7, "n": {"a": 1}}', "MLB,AAA")], "data STRING, levels STRING")
+    r = df.select(json_text(F.col("data"), "k").alias("k"), json_text(F.col("data"), "missing").alias("m"),
+                  split_levels(F.col("levels")).alias("lv")).collect()[0]
+    assert (r.k, r.m, r.lv) == ("7", None, ["MLB", "AAA"])
+    assert df.select(join_levels(split_levels(F.col("levels"))).alias("j")).collect()[0].j == "MLB,AAA"
+    assert stamp_front(df, level="MLB").columns == ["level", "data", "levels"]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "p.csv").write_text("player_id,name_full\n1,A B\n")
+    got = read_landed(spark, str(tmp_path / "c"), fmt="csv").collect()[0]
+    assert (got.player_id, got.name_full) == (1, "A B")
