@@ -26,6 +26,7 @@ def test_every_query_has_sql():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF01)
     assert r["ok"], r.get("why")
+    assert r["types_ok"], r.get("why")
 
 
 def test_entry_smoke(spark):
