@@ -1,0 +1,159 @@
+"""Secret scan: fixed patterns plus a token-efficiency test.
+
+A byte-pair vocabulary learnt from prose spends few tokens on words and many on
+random strings. Every unbroken run of key characters is encoded; runs with few
+characters per token are reported, unless they have the form of a known digest
+or of an identifier. The pattern matches ("base" spans) are always reported.
+"""
+
+from __future__ import annotations
+
+import base64
+import functools
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import as_batch, slices, text_or_empty
+
+KINDS = ("assign", "access", "hex", "random")
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    re.IGNORECASE | re.ASCII,
+)
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")
+
+#: Runs of key characters of at least so many code points are tested.
+MIN_CHARS = 20
+#: A run with fewer characters per token than this is random.
+MAX_RATIO = 2.2
+
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_CHARS)
+#: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hex digits.
+DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
+DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+LABELLED_DIGEST = re.compile(r"(md5|sha1|sha256|sha384|sha512)[-=][A-Za-z0-9+/]+={0,2}")
+UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Words in camel, snake, kebab, dotted or path form, numbers and versions.
+IDENTIFIER = re.compile(
+    r"(?:[+/_=.-]*(?:[A-Z]{2,}|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z])?\d{0,8}(?=[+/_=.-]|$))*[+/_=.-]*"
+)
+NUMBER = re.compile(r"[0-9+/_=.-]+")
+
+
+@functools.cache
+def encoding(path: str | None):
+    """The tiktoken encoding of a rank file; by default the public 50k vocabulary."""
+    import public_tokenizers
+    import tiktoken
+
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def is_known(run: str) -> bool:
+    """True for digests and identifiers: long, but not a secret by its form."""
+    if DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS:
+        return True
+    return any(p.fullmatch(run) for p in (UUID, LABELLED_DIGEST, NUMBER, IDENTIFIER))
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the pattern matches, in code points, in order."""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    # A run that is long enough is found whole either way, so the length stands in the pattern.
+    found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
+    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    return sorted(found)
+
+
+def random_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: float) -> list[tuple[int, int, int]]:
+    """Runs with few characters per token that no pattern match touches."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        if any(s < m.end() and m.start() < e for s, _, e in taken) or is_known(m.group()):
+            continue
+        if m.end() - m.start() < max_ratio * len(enc.encode_ordinary(m.group())):
+            found.append((m.start(), 3, m.end()))
+    return found
+
+
+def scan_text(text: str, enc, max_ratio: float = MAX_RATIO):
+    """(base spans, all spans), each sorted by start, then kind."""
+    base = base_spans(text)
+    return base, sorted(base + random_spans(text, base, enc, max_ratio))
+
+
+def _joined(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+
+
+def find_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
+    max_ratio: float = MAX_RATIO,
+) -> DataFrame:
+    """One row per document: id, n_assign, n_access, n_hex, n_random,
+    base_sha256 (digest of the joined pattern matches) and spans.
+
+    Null text counts as empty: no spans, and the digest of the empty string.
+    Null ids and repeated rows pass through, one output row for each input row;
+    other columns are ignored. No shuffle; a task holds one slice of texts.
+    """
+    kind = docs.schema[id_col].dataType
+    schema = T.StructType(
+        [T.StructField(id_col, kind)]
+        + [T.StructField(f"n_{k}", T.LongType()) for k in KINDS]
+        + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks_path)
+        for b in slices(batches):
+            counts, digests, spans = [[] for _ in KINDS], [], []
+            for text in b.column(1).to_pylist():
+                base, found = scan_text(text, enc, max_ratio)
+                kinds = [k for _, k, _ in found]
+                for k, out in enumerate(counts):
+                    out.append(kinds.count(k))
+                digests.append(hashlib.sha256(_joined(base).encode()).hexdigest())
+                spans.append(_joined(found))
+            rest = as_batch(
+                {f"n_{k}": (counts[i], pa.int64()) for i, k in enumerate(KINDS)}
+                | {"base_sha256": (digests, pa.string()), "spans": (spans, pa.string())}
+            )
+            yield pa.RecordBatch.from_arrays([b.column(0), *rest.columns], names=[id_col, *rest.schema.names])
+
+    return docs.select(F.col(id_col), text_or_empty(text_col)).mapInArrow(scan, schema)
+
+
+def redact(text: str, enc, mark: str = "[secret]", max_ratio: float = MAX_RATIO) -> str:
+    """The text with every span, overlapping ones as one, replaced by ``mark``."""
+    out, at = [], 0
+    for start, _, end in scan_text(text, enc, max_ratio)[1]:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", ranks_path: str | None = None, mark: str = "[secret]") -> DataFrame:
+    """The documents with secrets replaced; all columns and rows stay, null text stays null."""
+    at = docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks_path)
+        for b in slices(batches):
+            texts = [None if t is None else redact(t, enc, mark) for t in b.column(at).to_pylist()]
+            columns = list(b.columns)
+            columns[at] = pa.array(texts, b.column(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+
+    return docs.mapInArrow(clean, docs.schema)
