@@ -208,3 +208,17 @@ def consistency(share: float) -> float:
         mid = (low + high) / 2
         low, high = (mid, high) if chi2(mid, d) < share else (low, mid)
     return share / chi2(low, d + 2)
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows whose document is kept, all columns as they were.
+
+    A verdict depends on text, language and source, so rows are matched by id,
+    hashes of the three and nothing else: equal rows share one verdict.
+    """
+    parts = [F.xxhash64(F.lit(i), f"`{c}`") for i, c in enumerate((text_col, lang_col, source_col))]
+    key = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(*parts).alias("h"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{source_col}`").alias("source"))
+    gone = judge(named, "id", "text", "lang", "source").where("not kept").select("id").distinct()
+    return docs.select(key.alias("id"), row.alias("row")).join(gone, "id", "left_anti").select("row.*")

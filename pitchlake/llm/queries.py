@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.session import table
 
-from . import fingerprints, langid, mixing, quality, secrets, tokens, urls
+from . import fingerprints, langid, mixing, packing, quality, secrets, simhash, tokens, urls
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), replica_col="replica")
 
@@ -34,10 +38,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_language_id, op6_mix_sources, op7_quality_rules, op8_fingerprints, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_language_id, op5_best_fit_packing, op6_mix_sources, op7_quality_rules, op8_fingerprints, op9_simhash, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}

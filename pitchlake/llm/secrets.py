@@ -156,4 +156,6 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", ranks_path: str | No
             columns[at] = pa.array(texts, b.column(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(clean, docs.schema)
+    # by position: any column name goes
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return numbered.mapInArrow(clean, numbered.schema).toDF(*docs.columns)

@@ -1,0 +1,137 @@
+"""Packing and mixing against plain Python."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from pitchlake.llm import mixing, packing
+from pitchlake.llm.queries import QUERIES
+
+from .data import SF001, edge_docs, edge_rows, empty_docs, read_docs
+
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def ids_of(text):
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def check_packing(rows, found, capacity=2048):
+    want = Counter()
+    for doc, text, *_ in rows:
+        ids = ids_of(text)
+        first = len(ids) % capacity or capacity
+        cuts = [0, *range(first, len(ids) + 1, capacity)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[(doc, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))] += 1
+    assert want == Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found)
+    by = defaultdict(list)
+    for r in found:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    total = sum(r.length for r in found)
+    large = sum(2 * r.length > capacity for r in found)
+    assert len(by) <= max(math.ceil(total / capacity), large) * 1.02 + 1
+
+
+def test_packing_edge_and_sample(spark):
+    check_packing(edge_rows(), packing.pack(edge_docs(spark)).collect())
+    check_packing(edge_rows(), packing.pack(edge_docs(spark), capacity=16).collect(), 16)
+    check_packing([(r.doc_id, r.text) for r in read_docs(spark, SF001).collect()], QUERIES["op5_best_fit_packing"](spark, SF001).collect())
+    assert packing.pack(empty_docs(spark)).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(list(" \n\tab.'s1 ᠎\x1c")) | st.characters(codec="utf-8"), max_size=30))
+def test_chunks_give_the_tokenizers_ids(text):
+    first, later = packing.ChunkIds(TOKENIZER, ""), packing.ChunkIds(TOKENIZER, " ")
+    (got,) = packing.encode([text], first, later)
+    assert np.frombuffer(got, "<u4").tolist() == ids_of(text)[:-1]
+
+
+def test_small_chunk_table_changes_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_CHUNKS", 5)
+    first, later = packing.ChunkIds(TOKENIZER, ""), packing.ChunkIds(TOKENIZER, " ")
+    texts = ["one two three four five six seven", "two four eight", "one one"]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in packing.encode(texts, first, later)] == [ids_of(t)[:-1] for t in texts]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_fills_sequences(seed):
+    rng, capacity = random.Random(seed), rng_capacity[seed]
+    lengths = [min(capacity, int(rng.lognormvariate(3 + seed, 1.2)) + 1) for _ in range(3000)]
+    places = packing.plan(dict(Counter(lengths)), capacity)
+    fill, taken = Counter(), defaultdict(list)
+    for s, rank, n, base, offset in sorted(places, key=lambda p: p[4]):
+        taken[s].append((rank, n))
+        for q in range(base, base + n):
+            assert fill[q] == offset
+            fill[q] += s
+    assert max(fill.values()) <= capacity
+    for s, n in Counter(lengths).items():
+        at = 0
+        for rank, k in sorted(taken[s]):
+            assert rank == at
+            at += k
+        assert at == n
+    lower = max(math.ceil(sum(lengths) / capacity), sum(2 * x > capacity for x in lengths))
+    assert len(fill) <= 1.02 * lower + 1
+
+
+rng_capacity = [64, 256, 512, 2048, 2048, 2048]
+
+
+def brute_mix(rows, weights, out_rows, seed=42):
+    sizes = Counter(r[3] for r in rows)
+    weight = {s: 1.0 if weights is None else weights.get(s or "", 0.0) for s in sizes}
+    out = Counter()
+    for doc, text, _, source, *_ in rows:
+        rate = weight[source] / sum(weight.values()) * (out_rows or len(rows)) / sizes[source]
+        u = int(hashlib.md5(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:13], 16) / 16**13
+        k, p = 0, math.exp(-rate)
+        total = p
+        while total <= u:
+            k += 1
+            p *= rate / k
+            total += p
+        if k:
+            out[(doc, text)] += k
+    return out
+
+
+@pytest.mark.parametrize("weights,out_rows", [(None, None), ({"a": 3.0, "": 1.0}, 200)])
+def test_mixing_edge(spark, weights, out_rows):
+    docs = edge_docs(spark)
+    got = mixing.mix(docs, weights=weights, out_rows=out_rows)
+    assert got.schema == docs.schema
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_mix(edge_rows(), weights, out_rows)
+    assert mixing.mix(empty_docs(spark)).collect() == []
+    assert mixing.mix(docs, weights={}).collect() == []
+
+
+def test_mixing_sample_and_high_rates(spark):
+    rows = [tuple(r) for r in read_docs(spark, SF001).collect()]
+    got = QUERIES["op6_mix_sources"](spark, SF001).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == brute_mix(rows, None, None)
+    copies = defaultdict(list)
+    for r in got:
+        copies[r.doc_id].append(r.replica)
+    assert all(sorted(c) == list(range(len(c))) for c in copies.values() if len(c) == len(set(c)))
+    few = spark.createDataFrame([(i, "t", "en", "a", 1) for i in range(40)], read_docs(spark, SF001).schema)
+    counts = Counter(r.doc_id for r in mixing.mix(few, out_rows=40 * 1300).collect())
+    assert len(counts) == 40 and abs(np.mean(list(counts.values())) - 1300) < 30 and 20 < np.std(list(counts.values())) < 55

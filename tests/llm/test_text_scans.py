@@ -1,0 +1,123 @@
+"""Secret scan, token counts and language ID against brute force."""
+
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pitchlake.llm import langid, secrets, tokens
+from pitchlake.llm.queries import QUERIES
+
+from .data import SF01, SF001, edge_docs, edge_rows, empty_docs, read_docs
+
+
+def brute_base(text):
+    text, out = text or "", []
+    kinds = (
+        ("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    )
+    for k, (kind, pattern, good) in enumerate(kinds):
+        out += [(m.start(), k, f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text) if good(m)]
+    return [x for *_, x in sorted(out)]
+
+
+def check_secrets(rows, found):
+    want = Counter()
+    for doc, text, *_ in rows:
+        base = brute_base(text)
+        n = [sum(b.startswith(k) for b in base) for k in ("assign", "access", "hex")]
+        want[(doc, *n, hashlib.sha256(",".join(base).encode()).hexdigest())] += 1
+    assert want == Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in found)
+    texts = {}
+    for doc, text, *_ in rows:
+        texts.setdefault(doc, []).append(set(brute_base(text)))
+    for r in found:
+        spans = r.spans.split(",") if r.spans else []
+        assert any(base == {s for s in spans if not s.startswith("random")} for base in texts[r.doc_id])
+        assert len(spans) == r.n_assign + r.n_access + r.n_hex + r.n_random
+
+
+def test_secrets_edge_and_sample(spark):
+    rows = edge_rows()
+    check_secrets(rows, secrets.find_secrets(edge_docs(spark)).collect())
+    docs = read_docs(spark, SF001)
+    check_secrets([(r.doc_id, r.text) for r in docs.collect()], QUERIES["op1_secret_scan"](spark, SF001).collect())
+    assert secrets.find_secrets(empty_docs(spark)).collect() == []
+
+
+def test_random_strings_and_known_forms():
+    enc = secrets.encoding(None)
+    find = lambda t: [t[s:e] for s, k, e in secrets.scan_text(t, enc)[1] if k == 3]
+    key = "Zx9Qw7LmP2vT8rKd4NhYbJ3s"
+    assert find(f"a {key} b") == [key]
+    upper = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"  # a SHA-1 digest
+    for known in (upper, upper.lower()[:12], "550e8400-e29b-41d4-a716-446655440000", "some_long_snake_case_identifier_name",
+                  "www.example.com/en/some-page-of-a-site", "internationalisation", "2024-01-02.10.11.12.131415", "AbstractSingletonProxyFactoryBean",
+                  "sha256-n4bQgYhMfWWaLqgxVrQFaO/TxsrC4Is0V1sFbDwCgg8="):
+        assert find(f"x {known} y") == [], known
+
+
+def test_redaction_removes_every_span(spark):
+    enc = secrets.encoding(None)
+    docs = edge_docs(spark)
+    out = secrets.redact_secrets(docs)
+    assert out.schema == docs.schema and out.count() == docs.count()
+    texts = {r.doc_id: r.text for r in out.where("doc_id = 15 or doc_id = 16 or doc_id = 0").collect()}
+    assert texts[0] is None and "hunter22" not in texts[15] and "AKIA" not in texts[15] and "Zx9Qw" not in texts[16]
+    assert "550e8400" in texts[16] and secrets.base_spans(texts[15]) == []
+    assert secrets.redact("nothing here", enc) == "nothing here"
+
+
+def sentencepieces(text):
+    return len(tokens._processor(None).encode(text or ""))
+
+
+def test_token_counts_edge_and_sample(spark):
+    want = Counter((d, len((t or "").encode()), n := sentencepieces(t), n > 4096) for d, t, *_ in edge_rows())
+    for block in (1, 500, 12_000_000):
+        got = tokens.count_tokens(edge_docs(spark), block_bytes=block)
+        assert want == Counter(tuple(r) for r in got.collect())
+    assert tokens.count_tokens(empty_docs(spark)).collect() == []
+    docs = read_docs(spark, SF001).collect()
+    want = {r.doc_id: sentencepieces(r.text) for r in docs}
+    assert want == {r.doc_id: r.n_tokens for r in QUERIES["op2_token_counts"](spark, SF001).collect()}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(list(" \n▁ab.é\r\t'\x00漢")) | st.characters(codec="utf-8"), max_size=40))
+def test_pre_tokens_sum_to_the_librarys_count(text):
+    if text:
+        assert sum(tokens.piece_counts(tokens._processor(None), tokens.pre_tokens(text))) == sentencepieces(text)
+
+
+def test_language_held_out_accuracy(spark):
+    docs = read_docs(spark, SF01)
+    out = QUERIES["op3_language_id"](spark, SF01)
+    assert out.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"] and out.count() == docs.count()
+    rows = out.join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(rows) > 200 and sum(r.lang == r.lang_pred for r in rows) > 0.97 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_edges(spark):
+    out = {(r.doc_id, r.held_out): r for r in langid.identify(edge_docs(spark)).collect()}
+    import zlib
+
+    assert all(h == (zlib.crc32(str(d).encode() if d is not None else b"") % 3 == 1) for d, h in out)
+    by = {d: r for (d, _), r in out.items() if d is not None}
+    assert {by[i].lang_pred for i in (0, 1, 2, 3, 5)} == {"und"} and by[0].score == 0
+    assert langid.identify(empty_docs(spark)).collect() == []
+    assert len(out) and langid.identify(edge_docs(spark)).count() == len(edge_rows())
+
+
+def test_backoff_takes_the_longest_known_ngrams():
+    import numpy as np
+
+    v = {g: np.array([x, -x]) for g, x in (("<ab", 1.0), ("zz", 2.0), ("z", 4.0))}
+    m = langid.Model(["a", "b"], np.log([0.5, 0.5]), {"known": np.array([9.0, -9.0])}, v)
+    assert m.word("known")[0] == 9 and m.word("abq")[0] == pytest.approx(m.discount**3) and m.word("qzzq")[0] == pytest.approx(2 * m.discount**4)
+    assert m.word("z")[0] == pytest.approx(4 * m.discount**5) and not m.word("q").any()
