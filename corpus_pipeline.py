@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import mixing, packing, quality, secrets, simhash
+from pitchlake.llm import mixing, packing, quality, secret_scan, simhash
 from pitchlake.llm.common import stage
 from pitchlake.session import ensure_defaults, table
 
@@ -26,9 +26,9 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs)
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; n_chars is the new length."""
-    cleaned = secrets.redact_secrets(docs)
+    cleaned = secret_scan.redact_secrets(docs)
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -45,7 +45,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
-    ("secret_scan", secret_scan),
+    ("secret_scan", redact_secrets),
     ("source_mix", source_mix),
     ("best_fit_packing", best_fit_packing),
 ]

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from pitchlake.session import table
 
-from . import fingerprints, langid, mixing, packing, quality, secrets, simhash, tokens, urls
+from . import fingerprints, langid, mixing, packing, quality, repeats, secret_scan, simhash, tokens, urls
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_language_id, op5_best_fit_packing, op6_mix_sources, op7_quality_rules, op8_fingerprints, op9_simhash, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_best_fit_packing, op6_mix_sources, op7_quality_rules, op8_fingerprints, op9_simhash, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}

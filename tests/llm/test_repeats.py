@@ -1,0 +1,125 @@
+"""Repeats and external induced sorting against brute force."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pitchlake.llm import induced, repeats
+from pitchlake.llm.queries import QUERIES
+
+from .data import PROSE, SF01, edge_docs, edge_rows, empty_docs, read_docs
+
+
+def naive_order(t):
+    order, out = sorted(range(len(t)), key=lambda i: t[i:], reverse=True), []
+    for k, i in enumerate(order):
+        c, j = 0, order[k - 1]
+        while k and max(i, j) + c < len(t) and t[i + c] == t[j + c]:
+            c += 1
+        out.append((i, c))
+    return out
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(1, 4), max_size=40), st.integers(1, 4), st.sampled_from([1, 2, 7, 1000]))
+def test_induced_order_and_prefixes(t, times, limit):
+    t = [*t * times, 0]
+    assert list(induced.descending(np.array(t), limit)) == naive_order(t)
+
+
+def test_queue_and_sort_that_spill():
+    rng = random.Random(1)
+    items = [(rng.randrange(50), rng.random()) for _ in range(5000)]
+    assert list(induced.external_sort(iter(items), 64)) == sorted(items)
+    queue, out, left = induced.Queue(16), [], sorted(items)
+    for x in items:
+        queue.push(x)
+        if rng.random() < 0.5:
+            out.append(queue.pop())
+    while queue.peek() is not None:
+        out.append(queue.pop())
+    assert sorted(out) == left
+    queue = induced.Queue(16)
+    for x in items:
+        queue.push(x)
+    assert [queue.pop() for _ in items] == left
+    assert isinstance(induced.array(10_000, 10), np.memmap)
+
+
+def brute(rows, length):
+    texts = [(t or "").encode() for _, t, *_ in rows]
+    counts = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = Counter()
+    for (doc, *_), t in zip(rows, texts):
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if counts[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(t, gone) if not g)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out[(doc, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest())] += 1
+    return out
+
+
+def found(df):
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
+
+
+def test_repeats_edge(spark):
+    rows = edge_rows()
+    assert found(repeats.remove_repeats(edge_docs(spark))) == brute(rows, 400)
+    assert found(repeats.remove_repeats(edge_docs(spark), length=40, width=20, narrow=8)) == brute(rows, 40)
+    assert repeats.remove_repeats(empty_docs(spark)).collect() == []
+
+
+def test_query_on_the_sample(spark):
+    rows = [(r.doc_id, r.text) for r in read_docs(spark, SF01).collect()]
+    assert found(QUERIES["op4_suffix_dedup"](spark, SF01)) == brute(rows, 400)
+
+
+def planted(seed):
+    """Texts with shared passages around the length, cut at all places, some in many texts, some periodic."""
+    rng = random.Random(seed)
+    letters = "abé" if seed % 2 else "abcdefghijklmnopqrstuvwxyz ñ"
+    word = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    passages, out = [word(rng.randrange(30, 90)) for _ in range(6)], []
+    for i in range(120):
+        text = word(rng.randrange(60))
+        for _ in range(rng.randrange(4)):
+            p = rng.choice(passages[: 1 + seed % 6] if rng.random() < 0.5 else passages)
+            a = rng.randrange(12)
+            text += p[a : len(p) - rng.randrange(12)] + word(rng.randrange(20))
+        if not i % 17:
+            text += "xy" * rng.randrange(60)
+        out.append((i, text))
+    return [*out, out[0], (500, out[1][1])]
+
+
+@pytest.mark.parametrize("seed,group,limit,chunk", [(0, 1000, 50, 64), (1, 3, 1000, 1 << 20), (2, 2, 30, 97), (3, 1000, 400_000, 1 << 20)])
+def test_planted_passages(spark, monkeypatch, seed, group, limit, chunk):
+    rows = planted(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(repeats, "CHUNK", chunk)  # for the segments below; tasks keep their own
+    whole = {(c, a) for t in rows for c, _, _, a in repeats.segments((t[1] or "").encode(), 40, 16)}
+    monkeypatch.undo()
+    assert whole == {(c, a) for t in rows for c, _, _, a in repeats.segments((t[1] or "").encode(), 40, 16)}
+    got = repeats.remove_repeats(df, length=40, width=16, narrow=6, narrowest=(3, 1), group=group, limit=limit)
+    assert found(got) == brute(rows, 40)
+
+
+def test_one_passage_in_many_different_surroundings(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = [(i, word(rng.randrange(300, 500)) + PROSE * 4 + word(60)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for group in (5, 1000):
+        assert found(repeats.remove_repeats(df, group=group)) == brute(rows, 400)
+    near = [(i, word(200) + (PROSE * 4)[: 395 + i % 10] + word(200)) for i in range(200)]
+    df = spark.createDataFrame(near, "doc_id long, text string").repartition(4)
+    for group in (5, 1000):
+        assert found(repeats.remove_repeats(df, group=group)) == brute(near, 400)

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pitchlake.llm import langid, secrets, tokens
+from pitchlake.llm import langid, secret_scan, tokens
 from pitchlake.llm.queries import QUERIES
 
 from .data import SF01, SF001, edge_docs, edge_rows, empty_docs, read_docs
@@ -43,15 +43,15 @@ def check_secrets(rows, found):
 
 def test_secrets_edge_and_sample(spark):
     rows = edge_rows()
-    check_secrets(rows, secrets.find_secrets(edge_docs(spark)).collect())
+    check_secrets(rows, secret_scan.find_secrets(edge_docs(spark)).collect())
     docs = read_docs(spark, SF001)
     check_secrets([(r.doc_id, r.text) for r in docs.collect()], QUERIES["op1_secret_scan"](spark, SF001).collect())
-    assert secrets.find_secrets(empty_docs(spark)).collect() == []
+    assert secret_scan.find_secrets(empty_docs(spark)).collect() == []
 
 
 def test_random_strings_and_known_forms():
-    enc = secrets.encoding(None)
-    find = lambda t: [t[s:e] for s, k, e in secrets.scan_text(t, enc)[1] if k == 3]
+    enc = secret_scan.encoding(None)
+    find = lambda t: [t[s:e] for s, k, e in secret_scan.scan_text(t, enc)[1] if k == 3]
     key = "Zx9Qw7LmP2vT8rKd4NhYbJ3s"
     assert find(f"a {key} b") == [key]
     upper = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"  # a SHA-1 digest
@@ -62,14 +62,14 @@ def test_random_strings_and_known_forms():
 
 
 def test_redaction_removes_every_span(spark):
-    enc = secrets.encoding(None)
+    enc = secret_scan.encoding(None)
     docs = edge_docs(spark)
-    out = secrets.redact_secrets(docs)
+    out = secret_scan.redact_secrets(docs)
     assert out.schema == docs.schema and out.count() == docs.count()
     texts = {r.doc_id: r.text for r in out.where("doc_id = 15 or doc_id = 16 or doc_id = 0").collect()}
     assert texts[0] is None and "hunter22" not in texts[15] and "AKIA" not in texts[15] and "Zx9Qw" not in texts[16]
-    assert "550e8400" in texts[16] and secrets.base_spans(texts[15]) == []
-    assert secrets.redact("nothing here", enc) == "nothing here"
+    assert "550e8400" in texts[16] and secret_scan.base_spans(texts[15]) == []
+    assert secret_scan.redact("nothing here", enc) == "nothing here"
 
 
 def sentencepieces(text):
