@@ -67,15 +67,38 @@ class _Codes(dict):
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together: the high ones are zero and compress away."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Compressed, bytes of equal weight together: the high ones are nearly all zero."""
+    return zlib.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-_PART = pa.list_(pa.struct([("part", pa.int32()), ("start", pa.int32()), ("words", pa.list_(pa.string()))]))
+def _steps(values: np.ndarray) -> bytes:
+    """Ascending runs as differences (modulo 2**32 where a run starts)."""
+    return _planes(np.diff(values.astype("<u4"), prepend=np.zeros(1, "<u4")))
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(data), dtype="<u4")
+
+
+def _words(words: list[str]) -> bytes:
+    """Compressed lengths and letters; the words are sorted, so neighbours share their starts."""
+    coded = [w.encode() for w in words]
+    return zlib.compress(np.array([len(words), *map(len, coded)], "<u4").tobytes() + b"".join(coded), 1)
+
+
+def _from_words(data: bytes) -> list[str]:
+    data = zlib.decompress(data)
+    n = int.from_bytes(data[:4], "little")
+    ends = 4 * (n + 1) + np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64)
+    starts = [4 * (n + 1), *ends.tolist()]
+    return [data[a:b].decode() for a, b in zip(starts, starts[1:], strict=False)]
+
+
+_PART = pa.list_(pa.struct([("part", pa.int32()), ("start", pa.int32()), ("words", pa.binary())]))
 
 
 def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int, n_parts: int, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -97,13 +120,13 @@ def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int, n_parts: int, nam
         ends = np.cumsum(np.bincount(keys >> 32, minlength=len(codes)))
         cuts = np.flatnonzero(np.diff(parts[order], prepend=-1)).tolist() + [len(order)]
         dealt = [
-            {"part": int(parts[order[a]]), "start": a, "words": [vocabulary[i] for i in order[a:b]]}
+            {"part": int(parts[order[a]]), "start": a, "words": _words([vocabulary[i] for i in order[a:b]])}
             for a, b in zip(cuts, cuts[1:], strict=False) if b > a
         ]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([(task << 32) + k], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([sizes], pa.list_(pa.int64())),
-                pa.array([ends.tolist()], pa.list_(pa.int32())), pa.array([_planes(keys & 0xFFFFFFFF)], pa.binary()),
+                pa.array([ends.tolist()], pa.list_(pa.int32())), pa.array([_steps(keys & 0xFFFFFFFF)], pa.binary()),
                 pa.array([_planes(freqs)], pa.binary()), pa.array([dealt], _PART),
             ],
             names=names,
@@ -132,7 +155,7 @@ def _count(batches: Iterator[pa.RecordBatch], model_path: str | None) -> Iterato
     for b in slices(batches):
         counts = []
         for part, words in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
-            cache = known.setdefault(part, {})
+            cache, words = known.setdefault(part, {}), _from_words(words)
             if new := [w for w in words if w not in cache]:
                 cache.update(zip(new, piece_counts(sp, new), strict=True))
             counts.append(np.fromiter(map(cache.__getitem__, words), "<u4", len(words)))
@@ -149,7 +172,7 @@ def _sum(batches: Iterator[pa.RecordBatch], limit: int, names: list[str]) -> Ite
             ends_ = np.array(ends[0].as_py(), np.int64)
             parts = sorted((counted[0].as_py() or []), key=lambda p: p["start"])
             counts = np.concatenate([_from_planes(p["counts"]) for p in parts] or [np.zeros(0, "<u4")]).astype(np.int64)
-            sums = np.concatenate([[0], np.cumsum(counts[_from_planes(codes[0].as_py())] * _from_planes(freqs[0].as_py()))])
+            sums = np.concatenate([[0], np.cumsum(counts[_from_steps(codes[0].as_py())] * _from_planes(freqs[0].as_py()))])
             starts = np.concatenate([[0], ends_[:-1]])
             n = sums[ends_] - sums[starts]
             yield pa.RecordBatch.from_arrays(
@@ -172,7 +195,7 @@ def count_tokens(
     kind = docs.schema[id_col].dataType
     longs, part = T.ArrayType(T.LongType()), T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("start", T.IntegerType()),
-        T.StructField("words", T.ArrayType(T.StringType())),
+        T.StructField("words", T.BinaryType()),
     ])
     packed = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("sizes", longs),
