@@ -21,6 +21,7 @@ copy.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from pitchlake.functions.columns import MissingColumnsError, coerce_to_schema, send_columns
 from pitchlake.operators.audit import duplicate_keys
-from pitchlake.session import scratch_path
+from pitchlake.session import delete_path, path_missing, scratch_path
 
 ACTION = "_action"
 
@@ -40,6 +41,10 @@ class DuplicateKeyError(ValueError):
     """The source holds a key more than once."""
 
 
+class NullKeyError(ValueError):
+    """The source holds rows without a key or a required column."""
+
+
 def keep_last(df: DataFrame, pk: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the last in ``order`` (partial aggregation, skew-safe)."""
     rest = [c for c in df.columns if c not in pk]
@@ -120,31 +125,38 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-# Above this many distinct partition values in one batch, the target is pruned
-# by a semi-join instead of a static filter.
-MAX_STATIC_PARTITIONS = 10_000
-
-
-def _prune_to_batch(target: DataFrame, source: DataFrame, parts: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Keep only the target partitions the batch touches.
-
-    The batch's distinct partition values (at most one row per table partition,
-    capped) are read on the driver and become a static partition filter, which
-    the scan applies to its file listing; dynamic pruning does not fire for this
-    join shape. Past the cap, or with several partition columns, a semi-join
-    keeps the result exact without the listing prune.
+def _touched(target: DataFrame, source: DataFrame, pk: Sequence[str], parts: Sequence[str], schema: T.StructType) -> list[tuple]:
+    """Partition values that a batch touches: those of its rows and, where the
+    partition isn't part of the key, those where its keys are stored now (a scan
+    of the key columns). At most one row per table partition reaches the driver.
     """
-    touched = source.select(*[F.col(p).cast(schema[p].dataType).alias(p) for p in parts]).distinct()
-    if len(parts) == 1:
-        values = [r[0] for r in touched.limit(MAX_STATIC_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_STATIC_PARTITIONS:
-            col = F.col(parts[0])
-            non_null = [v for v in values if v is not None]
-            cond = col.isin(non_null) if non_null else F.lit(False)
-            if len(non_null) < len(values):
-                cond = cond | col.isNull()
-            return target.filter(cond)
-    return target.join(touched, parts, "left_semi")
+    touched = source.select(*[F.col(p).cast(schema[p].dataType).alias(p) for p in parts])
+    if not set(parts) <= set(pk):
+        keys = source.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in pk])
+        touched = touched.union(target.join(keys, list(pk), "left_semi").select(*parts))
+    return [tuple(r) for r in touched.distinct().collect()]
+
+
+def _in_partitions(values: Sequence[tuple], parts: Sequence[str], schema: T.StructType) -> Column:
+    """True in the given partitions. A filter on every partition column, so the
+    scan prunes its file listing by all of them; exact for any number of values."""
+    def value(p: str, v) -> Column:
+        return F.col(p).isNull() if v is None else F.col(p) == F.lit(v).cast(schema[p].dataType)
+
+    def within(rows: Sequence[tuple], at: int) -> Column:
+        by: dict = {}
+        for r in rows:
+            by.setdefault(r[at], []).append(r)
+        if at == len(parts) - 1:
+            known = [v for v in by if v is not None]
+            cond = F.col(parts[at]).isin(known) if known else F.lit(False)
+            return cond | F.col(parts[at]).isNull() if None in by else cond
+        cond = F.lit(False)
+        for v, of in by.items():
+            cond = cond | (value(parts[at], v) & within(of, at + 1))
+        return cond
+
+    return within(list(values), 0)
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
@@ -155,7 +167,9 @@ def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         df = spark.read.schema(schema).parquet(path)
         df.take(1)  # the path check can be lazy
         return df
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return None
 
 
@@ -169,36 +183,46 @@ def upsert_table(
     dedupe_by: Sequence[str | Column] | None = None,
     stamp_col: str | None = "scraped_at",
     cluster: bool = True,
+    required: Sequence[str] = (),
 ) -> dict:
     """Merge ``source`` into the Parquet table at ``path``; returns counts.
 
-    Empty source: nothing is written, all counts 0. Only partitions present in the
-    source are read (a static partition filter, see ``_prune_to_batch``) and
-    rewritten; untouched partitions stay as they are. Keys must not move between
-    partitions (the partition column is a function of the key). The partition is
-    the rewrite unit, so a very large table wants a fine partitioning (e.g. year
-    and month) for small daily batches.
+    Empty source: nothing is written, all counts 0. A row with NULL in the key or
+    in ``required`` is an error (``NullKeyError``), as a duplicate key is: it
+    would be stored again at every load. Only the partitions are read and
+    rewritten that the batch names or that hold its keys now, so a key whose
+    partition value changes moves. A batch without a partition column is an
+    error. The partition is the rewrite unit, so a very large table wants a fine
+    partitioning (e.g. year and month) for small daily batches. The staged copy
+    is deleted when the write is done.
     """
     # The batch is read several times (empty check, partition values, duplicate
     # check, merge); keep it once in memory and on disk. Losing an executor only
     # means recomputing its blocks from the source.
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster)
+        return _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required)
     finally:
         source.unpersist()
 
 
-def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster) -> dict:
+def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required) -> dict:
     if source.isEmpty():
         return {"n_inserted": 0, "n_updated": 0, "n_affected": 0}
     parts = list(partition_by)
+    if absent := [c for c in parts if c not in source.columns]:
+        raise MissingColumnsError(f"partition column(s) missing in the batch: {', '.join(absent)}")
+    needed = [c for c in dict.fromkeys([*pk, *required]) if c in source.columns]
+    typed = [F.col(c).try_cast(schema[c].dataType).isNull() for c in needed]
+    if not source.where(functools.reduce(Column.__or__, typed)).isEmpty():
+        raise NullKeyError(f"rows with NULL in one of: {', '.join(needed)}")
     target = _read_or_none(spark, path, schema)
     if target is None:
         target = spark.createDataFrame([], schema)
     target = target.select(*[f.name for f in schema.fields])
-    if parts and all(p in source.columns for p in parts):
-        target = _prune_to_batch(target, source, parts, schema)
+    touched = _touched(target, source, pk, parts, schema) if parts else []
+    if parts:
+        target = target.where(_in_partitions(touched, parts, schema))
     merged = merge_frames(target, source, pk, dedupe_by=dedupe_by, stamp_col=stamp_col)
     if cluster and parts:
         # Range-partition on (partition columns, key): each task writes few table
@@ -220,4 +244,11 @@ def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col,
     if parts:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     w.parquet(path)
+    if parts:
+        # a partition whose last row moved away isn't part of the output
+        left = {tuple(r) for r in out.select(*parts).distinct().collect()}
+        for values in touched:
+            if values not in left and None not in values:
+                delete_path(spark, "/".join([path.rstrip("/"), *(f"{p}={v}" for p, v in zip(parts, values, strict=True))]))
+    delete_path(spark, stage)
     return {k: counts[k] for k in ("n_inserted", "n_updated", "n_affected")}

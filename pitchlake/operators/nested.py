@@ -382,6 +382,20 @@ def base_out_state(plays: DataFrame) -> DataFrame:
     return d.withColumns(pre).drop(*[f"_chg_{s}" for s, _ in BASES])
 
 
+_RUNNING_FLAGS = ("is_stolen_base", "is_caught_stealing", "is_pickoff")
+
+
+def identified_plays(plays: DataFrame) -> DataFrame:
+    """Rows with a ``play_id`` of ``base_out_state``'s result. The state was
+    carried over all rows; what happened on rows without an id (a steal on an
+    action row) is flagged on the next row of the half-inning that has one."""
+    order = Window.partitionBy("game_id", "inning", "half_inning").orderBy("event_index", "pos")
+    before = F.count("play_id").over(order.rowsBetween(_UNB, -1))
+    group = Window.partitionBy("game_id", "inning", "half_inning", "_next")
+    flags = {c: F.max(F.coalesce(F.col(c), F.lit(False))).over(group) for c in _RUNNING_FLAGS}
+    return plays.withColumn("_next", before).withColumns(flags).filter(F.col("play_id").isNotNull()).drop("_next")
+
+
 # --- the three stored outputs -----------------------------------------------
 
 def flatten_games(
@@ -414,8 +428,7 @@ def flatten_games(
     else:
         events = event_rows(pa)
 
-    plays_bo = base_out_state(plays.filter(F.col("play_id").isNotNull()))
-    plays_bo = plays_bo.fillna({"is_stolen_base": False, "is_caught_stealing": False, "is_pickoff": False})
+    plays_bo = identified_plays(base_out_state(plays))
 
     if schedule is not None and "year" not in events.columns:
         years = schedule.select("game_id", F.col("year").cast("int").alias("year"))

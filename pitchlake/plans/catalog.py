@@ -21,7 +21,7 @@ from pitchlake.functions import columns as C
 from pitchlake.functions.payload import pack_json, payload_struct, to_variant, typed_field
 from pitchlake.operators import audit as A
 from pitchlake.operators import windows as W
-from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_frames
+from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_frames, upsert_table
 from pitchlake.operators.views import materialize, unpack_view
 from pitchlake.plans import ledger as L
 from pitchlake.schemas import COVERAGE_ALARM_PCT
@@ -303,6 +303,10 @@ def q_csv_round_trip(spark, sf):
     return csv_round_trip(sup, scratch_path(spark, "csv-round-trip"))
 
 
+def q_csv_round_trip_texts(spark, sf):
+    return csv_round_trip(Tables(spark, sf).documents, scratch_path(spark, "csv-round-trip"))
+
+
 def q_select_tolerant(spark, sf):
     return C.select_tolerant(Tables(spark, sf).supplier, ["s_suppkey", "s_name", "s_phone", "s_nationkey", "year"])
 
@@ -588,6 +592,20 @@ def q_materialized_view(spark, sf):
     )
 
 
+def q_upsert_partition_move(spark, sf):
+    """Stored table: load all orders by year, then move the late ones a year on
+    by a second batch, and read the table back."""
+    orders = Tables(spark, sf).orders.select(
+        "o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("date").alias("day"))
+    orders = orders.withColumn("part_year", F.year("day"))
+    schema, path = orders.schema, scratch_path(spark, "upsert-move")
+    late = orders.filter(F.col("day") >= F.lit("1997-01-01").cast("date"))
+    moved = late.select("o_orderkey", F.lit("M").alias("status"), (F.col("part_year") + 1).alias("part_year"))
+    for batch in (orders, moved):
+        upsert_table(spark, path, batch, ["o_orderkey"], schema, ["part_year"], stamp_col=None)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -25,13 +25,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.functions.columns import rename_keep, require_columns
 from pitchlake.operators.merge import upsert_table
-from pitchlake.operators.nested import flatten_games, starting_lineup
+from pitchlake.operators.nested import flatten_games, prepare_games, starting_lineup
 from pitchlake.operators.views import materialize, statcast_view
 from pitchlake.plans import ledger as L
 from pitchlake.schemas import (
@@ -39,6 +40,8 @@ from pitchlake.schemas import (
     boxscore_schema, game_feed_schema,
 )
 from pitchlake.functions.payload import to_variant
+from pitchlake.session import path_missing
+from pitchlake.sources.landed import identify_documents, read_table
 
 SOURCES = ("schedule", "statsapi", "statcast")
 STATCAST_PK = ("game_pk", "at_bat_number", "pitch_number")
@@ -77,11 +80,11 @@ def _prune_landed(spark: SparkSession, df: DataFrame, units: Sequence[dict], wit
     return df.filter(cond).join(_pending_days(spark, units, with_level), keys, "left_semi")
 
 
-def _read_partitioned(spark: SparkSession, path: str, schema: T.StructType, multiline: bool, units, with_level=True) -> DataFrame:
+def _read_partitioned(spark: SparkSession, path: str, schema: T.StructType, multiline: bool, units, with_level=True, documents=False) -> DataFrame:
     """Landed files of the pending partitions only. A malformed file fails the
     load (FAILFAST), so the failure reaches the ledger instead of an empty game."""
     df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
-    return _prune_landed(spark, df, units, with_level)
+    return _prune_landed(spark, identify_documents(df) if documents else df, units, with_level)
 
 
 def _with_partitions(schema: T.StructType, with_level: bool = True) -> T.StructType:
@@ -98,7 +101,7 @@ def load_schedule(spark: SparkSession, landing: str, warehouse: str, units: Sequ
     df = rename_keep(df, {**SCHEDULE_RENAME, "level": "level"}).withColumn(
         "year", F.coalesce(F.col("year"), F.year("date"))
     )
-    c = upsert_table(spark, table_path(warehouse, SCHEDULE.name), df, SCHEDULE.pk, SCHEDULE.schema, SCHEDULE.partition_by)
+    c = upsert_table(spark, table_path(warehouse, SCHEDULE.name), df, SCHEDULE.pk, SCHEDULE.schema, SCHEDULE.partition_by, required=SCHEDULE.required)
     return c["n_affected"]
 
 
@@ -113,22 +116,24 @@ def _games_of_types(spark: SparkSession, warehouse: str, game_types: Sequence[st
 def load_statsapi(
     spark: SparkSession, landing: str, warehouse: str, units: Sequence[dict], game_types: Sequence[str] | None = None
 ) -> int:
-    feed = _read_partitioned(spark, f"{landing}/statsapi", _with_partitions(game_feed_schema()), True, units)
+    feed = _read_partitioned(spark, f"{landing}/statsapi", _with_partitions(game_feed_schema()), True, units, documents=True)
     feed = feed.withColumn("year", F.year("date")).drop("level", "date")
     if game_types:
         # the game type lives in the schedule, loaded first in a run
         feed = feed.join(_games_of_types(spark, warehouse, game_types), "game_id", "left_semi")
     try:
-        box = _read_partitioned(spark, f"{landing}/boxscore", _with_partitions(boxscore_schema()), True, units)
-        lineup = starting_lineup(box.drop("level", "date"))
-    except Exception:  # no boxscores landed: fielders stay NULL
-        lineup = None
+        box = _read_partitioned(spark, f"{landing}/boxscore", _with_partitions(boxscore_schema()), True, units, documents=True)
+        lineup = starting_lineup(prepare_games(box.drop("level", "date")))
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        lineup = None  # no boxscores landed: fielders stay NULL
     # Lineage cut: the three outputs are computed from one durable copy of the
     # parsed documents instead of re-reading and re-parsing the JSON three times.
     out = flatten_games(feed, lineup=lineup, cut_lineage=True)
     total = 0
     for name, spec in (("event", EVENT), ("pitch", PITCH), ("play", PLAY)):
-        c = upsert_table(spark, table_path(warehouse, spec.name), out[name], spec.pk, spec.schema, spec.partition_by)
+        c = upsert_table(spark, table_path(warehouse, spec.name), out[name], spec.pk, spec.schema, spec.partition_by, required=spec.required)
         total += c["n_affected"]
     return total
 
@@ -177,7 +182,7 @@ def load_statcast(
     spec = STATCAST
     if payload == "variant":
         df, spec = df.withColumn("data", to_variant(F.col("data"))), STATCAST_VARIANT
-    c = upsert_table(spark, table_path(warehouse, spec.name), df, spec.pk, spec.schema, spec.partition_by)
+    c = upsert_table(spark, table_path(warehouse, spec.name), df, spec.pk, spec.schema, spec.partition_by, required=spec.required)
     return c["n_affected"]
 
 
@@ -197,7 +202,7 @@ def _logged(spark, warehouse: str, unit: dict, work: Callable[[], int], retry_of
     try:
         n = work()
     except Exception as e:
-        L.close_runs(spark, ledger_path, opened, "failed", error_message=f"{type(e).__name__}: {e}"[:2000])
+        L.close_runs(spark, ledger_path, opened, "failed", error_message=f"{type(e).__name__}: {e}")
         return {"run_id": opened[0]["run_id"], "status": "failed", "rows": 0}
     L.close_runs(spark, ledger_path, opened, "success", rows_written=n)
     return {"run_id": opened[0]["run_id"], "status": "success", "rows": n}
@@ -214,12 +219,14 @@ def load_players(
         fields = [T.StructField(f.name, T.StringType()) for f in PLAYER.schema.fields if f.name != "scraped_at"]
         schema = T.StructType([*fields, T.StructField("year", T.IntegerType()), T.StructField("level", T.StringType())])
         df = spark.read.schema(schema).json(f"{landing}/players")
-        df = df.filter((F.col("year") == year) & F.col("level").isin(list(levels)))
+        newest = F.struct("_metadata.file_modification_time", "_metadata.file_path", "level")
+        df = df.filter((F.col("year") == year) & F.col("level").isin(list(levels))).withColumn("_landed", newest)
         from pitchlake.sources.landed import prepare_player
 
         df = prepare_player(df).drop("year", "level")
-        # a player listed at several levels is one row: keep one record per id
-        df = df.dropDuplicates(["player_id"])
+        # a player listed at several levels is one row: the newest record of an id
+        df = df.groupBy("player_id").agg(F.max_by(F.struct(*[c for c in df.columns if c != "player_id"]), "_landed").alias("r"))
+        df = df.select("player_id", "r.*").drop("_landed")
         return upsert_table(spark, table_path(warehouse, PLAYER.name), df, PLAYER.pk, PLAYER.schema)["n_affected"]
 
     return _logged(spark, warehouse, _year_unit("players", L.LEVEL_SEP.join(levels), year), work, retry_of)
@@ -248,7 +255,7 @@ def load_season_summary(
                 F.col("value").alias("data"),
             )
             spec = SEASON_SUMMARY
-            return upsert_table(spark, table_path(warehouse, spec.name), df, spec.pk, spec.schema, spec.partition_by)["n_affected"]
+            return upsert_table(spark, table_path(warehouse, spec.name), df, spec.pk, spec.schema, spec.partition_by, required=spec.required)["n_affected"]
 
         results.append(_logged(spark, warehouse, _year_unit("season_summary", pos, year), work, retry_of))
     return results
@@ -339,7 +346,7 @@ def _run_units(spark, landing, warehouse, ledger_path, source, units, retry_of,
         summary["rows"] += rows
     except Exception as e:  # the failure reaches the ledger, never a silent success
         if len(units) == 1:
-            L.close_runs(spark, ledger_path, opened, "failed", error_message=f"{type(e).__name__}: {e}"[:2000])
+            L.close_runs(spark, ledger_path, opened, "failed", error_message=f"{type(e).__name__}: {e}")
             summary["failed"] += 1
             return
         # the batch runs end as 'split' (not 'failed'): each unit gets its own run
@@ -384,12 +391,11 @@ def refresh_view(spark: SparkSession, warehouse: str, years: Sequence[int] | Non
     """Rebuild the materialised payload view (all years, or only ``years``)."""
     try:
         sc = spark.read.parquet(table_path(warehouse, STATCAST.name))
-    except Exception:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return None
-    try:
-        player = spark.read.parquet(table_path(warehouse, PLAYER.name))
-    except Exception:
-        player = spark.createDataFrame([], PLAYER.schema)
+    player = read_table(spark, warehouse, PLAYER.name, missing_ok=True)
     view = statcast_view(sc, player, profile=profile)
     return materialize(
         spark, view, table_path(warehouse, VIEW_NAME), partition_by=("year",),

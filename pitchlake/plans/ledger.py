@@ -13,9 +13,11 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchlake.session import path_missing
 from pitchlake.schemas import CHUNK_DAYS, LEDGER, SEASON_END, SEASON_START
 
 UNIT_KEYS = ("data_source", "level", "date_start", "date_end")
@@ -168,7 +170,9 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table, or an empty one when nothing was logged yet."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # no ledger written yet
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return spark.createDataFrame([], LEDGER.schema)
 
 

@@ -210,6 +210,7 @@ SELECT s_suppkey, s_name, s_nationkey, s_acctbal, CAST(NULL AS VARCHAR), 'suppli
 """
 
 ORACLE["csv_round_trip"] = "SELECT * FROM supplier"
+ORACLE["csv_round_trip_texts"] = "SELECT * FROM documents"
 
 ORACLE["select_tolerant"] = "SELECT s_suppkey, s_name, s_nationkey FROM supplier"
 
@@ -465,3 +466,10 @@ SELECT e.event_type, CAST(e.ts AS DATE) AS day, COUNT(*) AS n, COUNT(c.c_name) A
 FROM events e LEFT JOIN customer c ON c.c_custkey = TRY_CAST(e.props->>'k' AS INTEGER)
 GROUP BY 1, 2
 """
+
+ORACLE["upsert_partition_move"] = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+       CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1997-01-01' THEN 'M' ELSE o_orderstatus END AS status,
+       CAST(year(o_orderdate) + CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1997-01-01' THEN 1 ELSE 0 END AS INTEGER) AS part_year
+FROM orders
+"""

@@ -72,6 +72,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # a session without a local SparkContext (e.g. remote)
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    if not d and sc is not None and not getattr(sc, "master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         # Unset (a test or local run): a scratch folder, registered on the
         # context (the conf key itself cannot be changed at runtime).
@@ -81,6 +83,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def path_missing(error: Exception) -> bool:
+    """True if ``error`` says that nothing was written at a path yet (and nothing else)."""
+    condition = getattr(error, "getCondition", lambda: None)() or ""
+    return condition.startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own (a stage, a vanished partition), wherever Spark's file systems reach."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

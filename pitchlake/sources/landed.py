@@ -16,24 +16,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.functions.columns import rename_if_absent, require_columns, stamp
+from pitchlake.session import path_missing
 from pitchlake.schemas import PLAYER, TABLES, TableSpec, boxscore_schema, game_feed_schema
 
 
+def identify_documents(df: DataFrame) -> DataFrame:
+    """Rows of a JSON file source (batch or stream) with ``game_id`` from the
+    document, else from the file name (``<game_id>.json``), and ``landed_at``
+    (file time, then path), by which the newest copy of a game wins."""
+    # the file name arrives URL-encoded
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.select(
+        *[c for c in df.columns if c not in ("game_id", "landed_at")],
+        F.coalesce(F.col("game_id"), F.nullif(F.regexp_replace(name, r"\.json$", ""), F.lit(""))).alias("game_id"),
+        F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")).alias("landed_at"),
+    )
+
+
 def read_game_feed(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
-    """One live-feed document per file (``multiLine``) or per line; ``game_id`` is
-    taken from the document, else from the file name (``<game_id>.json``).
-    ``mode="FAILFAST"`` raises on a malformed document instead of reading it as
-    an empty game."""
-    schema = game_feed_schema()
-    df = spark.read.schema(schema).option("multiLine", multiline).option("mode", mode).json(path)
-    from_name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1)
-    return df.withColumn("game_id", F.coalesce(F.col("game_id"), from_name))
+    """One live-feed document per file (``multiLine``) or per line, identified as
+    ``identify_documents`` says. ``mode="FAILFAST"`` raises on a malformed
+    document instead of reading it as an empty game."""
+    return identify_documents(
+        spark.read.schema(game_feed_schema()).option("multiLine", multiline).option("mode", mode).json(path))
 
 
 def read_boxscore(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
-    df = spark.read.schema(boxscore_schema()).option("multiLine", multiline).option("mode", mode).json(path)
-    from_name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.json)?$", 1)
-    return df.withColumn("game_id", F.coalesce(F.col("game_id"), from_name))
+    return identify_documents(
+        spark.read.schema(boxscore_schema()).option("multiLine", multiline).option("mode", mode).json(path))
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType | None = None, **options) -> DataFrame:
@@ -95,8 +105,10 @@ def season_summaries(reads: dict[str, DataFrame]) -> DataFrame:
 def csv_round_trip(df: DataFrame, path: str, infer: bool = False) -> DataFrame:
     """Export as CSV with a header, then load it back (explicit schema by default;
     ``infer=True`` detects types, which costs an extra pass over the files)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
-    r = df.sparkSession.read.option("header", True)
+    # newlines, quotes, outer blanks and empty texts are data on both sides; NULL is \\N
+    same = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**same).csv(path)
+    r = df.sparkSession.read.options(**same, multiLine=True, maxCharsPerColumn=-1)
     r = r.option("inferSchema", True) if infer else r.schema(df.schema)
     return r.csv(path)
 
@@ -127,7 +139,9 @@ def read_table(spark: SparkSession, warehouse: str, name: str, missing_ok: bool
         df = spark.read.schema(spec.schema).parquet(path)
         df.take(1)  # the path check can be lazy; this reads at most one row
         return df
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return spark.createDataFrame([], spec.schema)
 
 
@@ -142,8 +156,9 @@ def ensure_tables(spark: SparkSession, warehouse: str, names: list[str] | None =
         try:
             read_table(spark, warehouse, name).limit(0).collect()
             continue
-        except AnalysisException:
-            pass
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
         empty = spark.createDataFrame([], spec.schema)
         w = empty.write.mode("errorifexists")
         if spec.partition_by:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pitchlake.operators.merge import upsert_table
 from pitchlake.operators.nested import flatten_games
 from pitchlake.schemas import EVENT, PITCH, PLAY, TableSpec, game_feed_schema
-from pitchlake.session import scratch_path
+from pitchlake.sources.landed import identify_documents
 
 
 def stream_upsert(
@@ -40,12 +40,12 @@ def stream_upsert(
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         src = transform(df) if transform else df
-        c = upsert_table(spark, table_path, src, table.pk, table.schema, table.partition_by)
+        c = upsert_table(spark, table_path, src, table.pk, table.schema, table.partition_by, required=table.required)
         for k in ("n_inserted", "n_updated", "n_affected"):
             totals[k] += c[k]
         totals["batches"] += 1
 
-    _run(spark, source_dir, source_schema, fmt, batch, checkpoint, max_files_per_trigger, options)
+    _run(spark, source_dir, source_schema, fmt, batch, checkpoint or checkpoint_of(table_path), max_files_per_trigger, options)
     return totals
 
 
@@ -67,24 +67,32 @@ def stream_games(
         out = flatten_games(df, lineup=lineup, schedule=schedule, cut_lineage=True)
         for name, frame in out.items():
             spec = specs[name]
-            parts = [p for p in spec.partition_by if p in frame.columns]
-            c = upsert_table(spark, f"{tables_dir.rstrip('/')}/{spec.name}", frame, spec.pk, spec.schema, parts)
+            c = upsert_table(
+                spark, f"{tables_dir.rstrip('/')}/{spec.name}", frame, spec.pk, spec.schema, spec.partition_by, required=spec.required)
             for k in totals[name]:
                 totals[name][k] += c[k]
 
-    _run(spark, feed_dir, game_feed_schema(), "json", batch, checkpoint, max_files_per_trigger, {"multiLine": "true"})
+    checkpoint = checkpoint or checkpoint_of(f"{tables_dir.rstrip('/')}/games")
+    _run(spark, feed_dir, game_feed_schema(), "json", batch, checkpoint, max_files_per_trigger, {"multiLine": "true"}, identify_documents)
     return totals
 
 
-def _run(spark, source_dir, schema, fmt, batch, checkpoint, max_files, options: dict | None = None) -> None:
+def checkpoint_of(path: str) -> str:
+    """The stream's own folder beside the table: a second run goes on where the first one ended."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_checkpoint_{name}"
+
+
+def _run(spark, source_dir, schema, fmt, batch, checkpoint, max_files, options: dict | None = None, prepare=None) -> None:
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.load(source_dir)
-    ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
-    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    if prepare:
+        stream = prepare(stream)
+    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

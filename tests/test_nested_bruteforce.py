@@ -3,6 +3,7 @@ Python loops over the fixture documents, compared with every row and column of
 the Spark outputs, base-out state (our own rule) included."""
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -129,16 +130,16 @@ EMPTIED = object()
 
 
 def brute_base_out(doc):
-    """Our base-out rule as plain loops: per (inning, half), plays with a play id
-    in (event, position) order; runner movements belong to the play whose index
+    """Our base-out rule as plain loops: per (inning, half), all play events in
+    (event, position) order; runner movements belong to the event whose index
     they name; a base keeps its occupant until a runner arrives (not out) or
-    leaves; each half starts empty with no outs."""
+    leaves; each half starts empty with no outs. Rows are the events with a play
+    id; steals and pickoffs on events without one show on the next that has."""
     gid = doc["game_id"]
     rows = []
     for pa in doc["liveData"]["plays"]["allPlays"]:
         for pos, e in enumerate(pa.get("playEvents") or []):
-            if e.get("playId") is not None:
-                rows.append((pa, pos, e))
+            rows.append((pa, pos, e))
     halves = {}
     for pa, pos, e in rows:
         key = (pa["about"]["inning"], pa["about"]["halfInning"])
@@ -148,6 +149,7 @@ def brute_base_out(doc):
         carried = {"1b": None, "2b": None, "3b": None}
         outs = None
         prev = None
+        pending = set()
         for idx, _pos, pa, e in sorted(plays, key=lambda t: (t[0], t[1])):
             moves = [r for r in pa.get("runners") or [] if _get(r, "details", "playIndex") == e.get("index")]
             for short, code in (("1b", "1B"), ("2b", "2B"), ("3b", "3B")):
@@ -173,11 +175,29 @@ def brute_base_out(doc):
             for s in ("1b", "2b", "3b"):
                 row[f"post_runner_{s}_id"] = post[s]
                 row[f"pre_runner_{s}_id"] = prev[f"post_runner_{s}_id"] if prev else None
-            out.append(row)
             prev = row
+            flags = {k for k in ("is_stolen_base", "is_caught_stealing", "is_pickoff") if row[k]}
+            if e.get("playId") is None:
+                pending |= flags
+            else:
+                out.append({**row, **{k: True for k in pending}})
+                pending = set()
     return out
 
 
+def test_steal_on_an_event_without_play_id(spark, tmp_path):
+    doc = G.g1("steal")
+    pa = doc["liveData"]["plays"]["allPlays"][1]
+    runner = {"details": {"playIndex": 90, "eventType": "stolen_base_2b", "runner": {"id": 777}}, "movement": {"start": "1B", "end": "2B", "isOut": False}}
+    pa["runners"] = [*(pa.get("runners") or []), runner]
+    pa["playEvents"] = [{"index": 90, "type": "action", "details": {"eventType": "stolen_base_2b"}}, *pa["playEvents"]]
+    out = flatten_games(read_game_feed(spark, G.write_docs([doc], tmp_path)))["play"]
+    rows = [r for r in out.where(F.col("event_index") == pa["about"]["atBatIndex"]).orderBy("play_index").collect()]
+    assert all(r.play_id for r in rows) and rows[0].pre_runner_2b_id == 777 and rows[0].is_stolen_base
+    cols = ["game_id", "event_index", "play_index", "is_stolen_base", "pre_runner_1b_id", "pre_runner_2b_id", "post_runner_2b_id"]
+    _cmp(out.fillna(-1), [{k: -1 if v is None else v for k, v in r.items()} for r in brute_base_out(doc)], cols)
+
+
 def test_base_out_matches_bruteforce(spark, tmp_path):
     docs = [G.g1(), G.g2(), G.g3()]
     feed = read_game_feed(spark, G.write_docs(docs, tmp_path / "bo"))
