@@ -53,3 +53,61 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_best_fit_packing, op6_mix_sources, op7_quality_rules, op8_fingerprints, op9_simhash, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op6_mix_sources"] = """
+WITH RECURSIVE sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+  SELECT source, CAST(1 AS DOUBLE) / (SELECT count(*) FROM sources) * (SELECT count(*) FROM documents) / n AS rate FROM sources),
+terms(source, rate, k, p, c) AS (
+  SELECT source, rate, 0, exp(-rate), exp(-rate) FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM terms WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
+sums AS (SELECT source, list(c) AS cs FROM terms GROUP BY source),
+drawn AS (
+  SELECT d.*, len(list_filter(cs, lambda c: c <= CAST('0x' || substr(md5('42:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+                                             / CAST(4503599627370496 AS DOUBLE))) AS copies
+  FROM documents d JOIN sums ON d.source IS NOT DISTINCT FROM sums.source)
+SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(copies)) AS INTEGER) AS replica FROM drawn
+"""
+
+# ids are unique there; the operator orders equal ids by a hash that SQL lacks
+ORACLE["op8_fingerprints"] = """
+WITH ordered AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS nx
+  FROM documents),
+texts AS (
+  SELECT doc_id, t AS t0, left(t, length(t) - length(t) // 4) || left(nx, length(t) // 4) AS t1, nx AS t2 FROM ordered),
+kinds AS (
+  SELECT doc_id, 0 AS kind, t0 AS t FROM texts UNION ALL SELECT doc_id, 1, t1 FROM texts UNION ALL SELECT doc_id, 2, t2 FROM texts),
+phrases AS (
+  SELECT doc_id, kind, t, list_transform(string_split(t, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
+    lambda p: list_transform(regexp_extract_all(p, '[^.,;:!?|]{1,64}[.,;:!?|]*|[.,;:!?|]+'), lambda x: md5(x)))) AS leaves
+  FROM kinds),
+paragraphs AS (
+  SELECT *, list_transform(leaves, lambda s: list_transform(s, lambda p: md5(array_to_string(p, '')))) AS pars FROM phrases),
+sections AS (SELECT *, list_transform(pars, lambda s: md5(array_to_string(s, ''))) AS secs FROM paragraphs),
+trees AS (
+  SELECT doc_id, kind, t, pars, md5(array_to_string(secs, '')) AS root,
+         list_transform(flatten(flatten(leaves)), lambda x: left(x, 8)) AS short,
+         array_to_string([md5(array_to_string(secs, '')), array_to_string(list_transform(secs, lambda x: left(x, 8)), ''),
+           array_to_string(list_transform(pars, lambda s: array_to_string(list_transform(s, lambda x: left(x, 8)), '')), ';'),
+           array_to_string(list_transform(flatten(flatten(leaves)), lambda x: left(x, 8)), '')], '/') AS print
+  FROM sections),
+pairs AS (
+  SELECT a.*, b.t AS et, b.pars AS epars, b.print AS eprint, b.root AS eroot, b.short AS eshort, c.root AS nroot, c.short AS nshort
+  FROM trees a JOIN trees b ON a.doc_id = b.doc_id AND a.kind = 0 AND b.kind = 1 JOIN trees c ON a.doc_id = c.doc_id AND c.kind = 2),
+edits AS (
+  SELECT *, list_filter(flatten(list_transform(range(greatest(len(pars), len(epars))), lambda s: list_transform(
+    range(greatest(coalesce(len(pars[s + 1]), 0), coalesce(len(epars[s + 1]), 0))),
+    lambda p: {'s': s, 'p': p, 'd': pars[s + 1][p + 1] IS DISTINCT FROM epars[s + 1][p + 1]}))), lambda x: x.d) AS changed
+  FROM pairs)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(et) AS edited_sha256, print AS fingerprint, eprint AS edited_fingerprint,
+       CASE WHEN root = eroot THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(short, eshort))
+         / greatest(len(list_distinct(short)) + len(list_distinct(eshort)), 1) END AS near_edited,
+       CASE WHEN root = nroot THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(short, nshort))
+         / greatest(len(list_distinct(short)) + len(list_distinct(nshort)), 1) END AS near_next,
+       CAST(len(changed) AS BIGINT) AS edited_paragraphs,
+       CASE WHEN len(changed) > 0 THEN changed[1].s || '.' || changed[1].p END AS first_edit
+FROM edits
+"""
