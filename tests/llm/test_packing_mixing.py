@@ -55,20 +55,17 @@ def test_packing_edge_and_sample(spark):
     assert packing.pack(empty_docs(spark)).collect() == []
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from(list(" \n\tab.'s1 ᠎\x1c")) | st.characters(codec="utf-8"), max_size=30))
-def test_chunks_give_the_tokenizers_ids(text):
-    first, later = packing.ChunkIds(TOKENIZER, ""), packing.ChunkIds(TOKENIZER, " ")
-    (got,) = packing.encode([text], first, later)
-    assert np.frombuffer(got, "<u4").tolist() == ids_of(text)[:-1]
-
-
-def test_small_chunk_table_changes_nothing(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_CHUNKS", 5)
-    first, later = packing.ChunkIds(TOKENIZER, ""), packing.ChunkIds(TOKENIZER, " ")
-    texts = ["one two three four five six seven", "two four eight", "one one"]
-    for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in packing.encode(texts, first, later)] == [ids_of(t)[:-1] for t in texts]
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(list(" \n\tab.'s1 ᠎\x1cßÿɏ²ª\x85\xa0")) | st.characters(codec="utf-8") | st.characters(max_codepoint=0x24F), max_size=30))
+def test_encoders_give_the_tokenizers_ids(text):
+    assert np.frombuffer(packing.encode(text), "<u4").tolist() == ids_of(text)[:-1]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.encode(text, path) == packing.encode(text)
+
+
+def test_special_strings_inside_texts():
+    for text in ("a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> y <|endof"):
+        assert np.frombuffer(packing.encode(text), "<u4").tolist() == ids_of(text)[:-1]
 
 
 @pytest.mark.parametrize("seed", range(6))
