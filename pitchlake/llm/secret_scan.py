@@ -42,7 +42,7 @@ LABELLED_DIGEST = re.compile(r"(md5|sha1|sha256|sha384|sha512)[-=][A-Za-z0-9+/]+
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Words in camel, snake, kebab, dotted or path form, numbers and versions.
 IDENTIFIER = re.compile(
-    r"(?:[+/_=.-]*(?:[A-Z]{2,}|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z])?\d{0,8}(?=[+/_=.-]|$))*[+/_=.-]*"
+    r"(?:[+/_=.-]*+(?:[A-Z]{2,}|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z])?\d{0,8}(?=[+/_=.-]|$))*+[+/_=.-]*+"
 )
 NUMBER = re.compile(r"[0-9+/_=.-]+")
 
@@ -77,9 +77,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: float) -> list[tuple[int, int, int]]:
     """Runs with few characters per token that no pattern match touches."""
-    found = []
+    found, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, _, e in taken) or is_known(m.group()):
+        # both lists ascend by start, so one pass keeps the furthest end before the run's
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][2])
+            at += 1
+        if reach > m.start() or is_known(m.group()):
             continue
         if m.end() - m.start() < max_ratio * len(enc.encode_ordinary(m.group())):
             found.append((m.start(), 3, m.end()))

@@ -49,6 +49,19 @@ def test_secrets_edge_and_sample(spark):
     assert secret_scan.find_secrets(empty_docs(spark)).collect() == []
 
 
+def test_secrets_long_runs_and_many_spans():
+    """Long rows of separators and many spans take time in step with the length."""
+    enc = secret_scan.encoding(None)
+    assert not secret_scan.is_known("-" * 3000 + "aB9cD8eF7")
+    assert secret_scan.is_known("-" * 3000 + "name-" * 3000)
+    keys = "token=abcdef Zx9Qw7LmP2vT8rKd4NhYbJ3s 0123456789abcdef01234567 "
+    base, spans = secret_scan.scan_text(keys * 5000, enc)
+    assert len(base) == 10000 and len(spans) == 15000
+    taken = [(0, 0, 500), (10, 2, 40)]  # a run under the first, longer span
+    text = "x" * 100 + " Zx9Qw7LmP2vT8rKd4NhYbJ3s " + " " * 400 + "Zx9Qw7LmP2vT8rKd4NhYbJ3s"
+    assert [s for s, *_ in secret_scan.random_spans(text, taken, enc, 2.2)] == [526]
+
+
 def test_random_strings_and_known_forms():
     enc = secret_scan.encoding(None)
     find = lambda t: [t[s:e] for s, k, e in secret_scan.scan_text(t, enc)[1] if k == 3]
