@@ -182,7 +182,8 @@ def fit(rows: DataFrame, keys: list[str], share: float, steps: int) -> DataFrame
     for step in range(steps):
         model = stage(model, f"quality-model-{step}")
         near = vectors.join(model, keys).select(*keys, *VECTOR, distance().alias("__d"))
-        cut = near.groupBy(*keys).agg(F.percentile_approx("__d", share, 2000).alias("__cut"))
+        # written, so its size is known and the rows needn't be dealt by group to meet it
+        cut = stage(near.groupBy(*keys).agg(F.percentile_approx("__d", share, 2000).alias("__cut")), f"quality-cut-{step}")
         inside = near.join(cut, keys).where(F.col("__d") <= F.col("__cut"))
         model = estimate(inside, keys, consistency(share))
     return stage(model, "quality-model")
