@@ -25,9 +25,11 @@ UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 NGRAMS = (5, 4, 3, 2, 1)
 #: Bounds of the model and of the documents that it is fitted on (expected number for each language).
-MAX_WORDS, MAX_NGRAMS, MAX_FIT_DOCS = 60_000, 60_000, 4_000
-#: Bound of a task's cache of scored words.
-CACHE_WORDS = 200_000
+MAX_WORDS, MAX_NGRAMS, MAX_FIT_DOCS, MAX_LANGUAGES = 60_000, 60_000, 4_000, 1_000
+#: Bounds of a task's table of scored unseen words, and of the words of a text that are summed at a time.
+CACHE_WORDS, BLOCK_WORDS = 200_000, 20_000
+#: Bytes of ASCII text to themselves if they are letters, else to a space.
+LETTERS = bytes(i if chr(i).isalpha() and i < 128 else 32 for i in range(256))
 
 
 @dataclass
@@ -51,9 +53,14 @@ class Model:
         return np.zeros(len(self.languages))
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-cased runs of letters, in order."""
+    text = text.lower()
+    return text.encode().translate(LETTERS).decode().split() if text.isascii() else WORD.findall(text)
+
+
 def word_counts(text: str) -> Counter:
-    """Lower-cased runs of letters."""
-    return Counter(WORD.findall(text.lower()))
+    return Counter(words_of(text))
 
 
 def held_out(id_col: str, folds: int = 3, fold: int = 1) -> Column:
@@ -97,20 +104,21 @@ def _log_frequencies(rows: list, languages: list[str], totals: np.ndarray) -> di
 def fit(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None,
     max_docs: int = MAX_FIT_DOCS, max_words: int = MAX_WORDS, max_ngrams: int = MAX_NGRAMS,
+    max_languages: int = MAX_LANGUAGES,
 ) -> Model:
     """Fit on rows with non-null text and language.
 
     Of a language with more than ``max_docs`` rows, those whose hash of ``key``
     (by default of the text) falls under the share are taken, so about
     ``max_docs``. The model keeps the ``max_words`` and ``max_ngrams`` most
-    frequent entries: what reaches the driver and the tasks is bounded by these
+    frequent entries, of the ``max_languages`` languages with most rows: what reaches the driver and the tasks is bounded by these
     parameters, not by the data.
     """
     rows = labelled.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         (F.pmod(F.xxhash64(key if key is not None else F.col(text_col)), F.lit(1 << 20)) / float(1 << 20)).alias("at"),
     ).where("lang is not null and text is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     if not sizes:
         return Model([], np.zeros(0), {}, {})
     languages = sorted(sizes)
@@ -135,21 +143,66 @@ def fit(
     return Model(languages, np.log(prior / prior.sum()), *tables)
 
 
-def _score(model: Model, text: str, cache: dict) -> tuple[str, float]:
-    """The likeliest language and its posterior; ties go to the first by name."""
-    if not model.languages or not any(c.isalpha() for c in text):
-        return UNDETERMINED, 0.0
-    total = model.prior.copy()
-    for word, n in word_counts(text).items():
-        v = cache.get(word)
-        if v is None:
-            if len(cache) >= CACHE_WORDS:
-                cache.clear()
-            v = cache[word] = model.word(word)
-        total += n * v
-    total = np.exp(total - total.max())
-    best = int(total.argmax())
-    return model.languages[best], float(total[best] / total.sum())
+class Scorer:
+    """Sums of a model's word scores, as ``Model.word`` gives them, in whole arrays.
+
+    Known words have fixed rows; unseen ones get rows as they come, up to
+    ``room``, when the table starts anew.
+    """
+
+    def __init__(self, model: Model, room: int = CACHE_WORDS):
+        self.model, width = model, len(model.languages)
+        self.known = {w: i for i, w in enumerate(model.words)}
+        self.grams = {g: i for i, g in enumerate(model.ngrams)}
+        self.gram_rows = np.array(list(model.ngrams.values()), float).reshape(len(self.grams), width)
+        self.rows = np.zeros((len(self.known) + max(room, BLOCK_WORDS), width))
+        self.rows[: len(self.known)] = np.array(list(model.words.values()), float).reshape(len(self.known), width)
+        self.place = dict(self.known)
+
+    def learn(self, words: list[str]) -> None:
+        """Rows for unseen words: the mean of their longest known n-grams, at the discount."""
+        flat, starts, sizes, weights, at = [], [], [], [], []
+        for k, word in enumerate(words, len(self.place)):
+            padded, weight = f"<{word}>", 1.0
+            self.place[word] = k
+            for n in NGRAMS:
+                weight *= self.model.discount
+                found = [i for j in range(len(padded) - n + 1) if (i := self.grams.get(padded[j : j + n])) is not None]
+                if found:
+                    starts.append(len(flat))
+                    flat += found
+                    sizes.append(len(found))
+                    weights.append(weight)
+                    at.append(k)
+                    break
+            else:
+                self.rows[k] = 0.0
+        if at:
+            sums = np.add.reduceat(self.gram_rows[flat], starts, axis=0)
+            self.rows[at] = sums / np.array(sizes)[:, None] * np.array(weights)[:, None]
+
+    def total(self, words: list[str]) -> np.ndarray:
+        """The prior and the scores of all words."""
+        total = self.model.prior.copy()
+        for i in range(0, len(words), BLOCK_WORDS):
+            block, place = words[i : i + BLOCK_WORDS], self.place
+            unseen = [w for w in dict.fromkeys(block) if w not in place]
+            if len(self.place) + len(unseen) > len(self.rows):
+                self.place = dict(self.known)
+                unseen = [w for w in dict.fromkeys(block) if w not in self.place]
+            if unseen:
+                self.learn(unseen)
+            total += self.rows[list(map(self.place.__getitem__, block))].sum(axis=0)
+        return total
+
+    def score(self, text: str) -> tuple[str, float]:
+        """The likeliest language and its posterior; ties go to the first by name."""
+        if not self.model.languages or not any(c.isalpha() for c in text):
+            return UNDETERMINED, 0.0
+        total = self.total(words_of(text))
+        total = np.exp(total - total.max())
+        best = int(total.argmax())
+        return self.model.languages[best], float(total[best] / total.sum())
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
@@ -163,9 +216,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_ngrams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict = {}
+        scorer = Scorer(shared.value)
         for b in slices(batches):
-            found = [_score(shared.value, t, cache) for t in b.column(0).to_pylist()]
+            found = [scorer.score(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
                 names=schema.names,

@@ -134,3 +134,31 @@ def test_backoff_takes_the_longest_known_ngrams():
     m = langid.Model(["a", "b"], np.log([0.5, 0.5]), {"known": np.array([9.0, -9.0])}, v)
     assert m.word("known")[0] == 9 and m.word("abq")[0] == pytest.approx(m.discount**3) and m.word("qzzq")[0] == pytest.approx(2 * m.discount**4)
     assert m.word("z")[0] == pytest.approx(4 * m.discount**5) and not m.word("q").any()
+
+
+def test_scorer_sums_the_models_words():
+    """Array sums equal word by word sums, also when the table of unseen words starts anew."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    letters = "abcdeé"
+    some = lambda n: "".join(rng.choices(letters, k=n))
+    m = langid.Model(
+        ["x", "y", "z"], np.log([0.5, 0.3, 0.2]), {some(3): np.array([rng.random() for _ in "xyz"]) for _ in range(60)},
+        {some(n): np.array([rng.random() for _ in "xyz"]) for n in (1, 2, 3) for _ in range(3 * n)},
+    )
+    scorer = langid.Scorer(m, room=0)
+    for size in (0, 1, 50, 3 * langid.BLOCK_WORDS):
+        words = [some(rng.randint(1, 9)) for _ in range(size)]
+        want = m.prior + sum((m.word(w) for w in words), np.zeros(3))
+        assert np.allclose(scorer.total(words), want)
+    empty = langid.Model(["x"], np.zeros(1), {}, {})
+    assert langid.Scorer(empty).score("any words") == ("x", 1.0)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aZé_1 .-İß²"), max_size=30))
+def test_words_are_runs_of_letters(text):
+    assert langid.words_of(text) == langid.WORD.findall(text.lower())
