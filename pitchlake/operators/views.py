@@ -13,13 +13,14 @@ form instead of being parsed.
 * A filter on the joined name turns the LEFT join into an inner one and lets the
   (small, filtered) dimension be broadcast; nothing special is needed for that.
 
-``materialize`` writes the view as a Parquet table partitioned like its source and
-replaces only the partitions it recomputes; the new rows are staged first, so a
-failed refresh leaves the previous version in place.
+``materialize`` writes the view as a Parquet table partitioned like its source, in
+whole (written once, swapped in by a rename) or only some partitions (staged
+first): a failed write leaves the previous version in place.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.payload import is_variant, payload_struct, typed_field, variant_field
 from pitchlake.schemas import PAYLOAD_KEY_COLUMNS, PAYLOAD_NAME_AFTER, payload_spec
-from pitchlake.session import scratch_path
+from pitchlake.session import delete_path, replace_path, scratch_path
 
 
 def unpack_view(
@@ -109,11 +110,12 @@ def materialize(
 ) -> str:
     """Write ``view`` to ``path``.
 
-    With ``only_partitions`` (values of the first partition column) only those
-    partitions are recomputed and replaced (incremental refresh); otherwise every
-    partition present in the view is replaced. Rows are written to a staging
-    folder under the shared checkpoint dir first, then moved into place by a
-    dynamic partition overwrite that reads the staged copy.
+    A full refresh is written once beside ``path`` and takes its place by a
+    rename, so partitions that the view no longer has are gone and a failed
+    write changes nothing. With ``only_partitions`` (values of the first
+    partition column) only those are recomputed and replaced: staged under the
+    shared checkpoint folder, then written by a dynamic partition overwrite;
+    those that the view no longer has are deleted.
     """
     parts = list(partition_by)
     v = view
@@ -124,14 +126,21 @@ def materialize(
         # table partitions, and a hot partition value is still split over tasks.
         v = v.repartitionByRange(*[F.col(c) for c in [*parts, *sort_within]])
         v = v.sortWithinPartitions(*parts, *sort_within)
-    stage = scratch_path(spark, "view-stage")
+    whole = only_partitions is None or not parts
+    stage = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}" if whole else scratch_path(spark, "view-stage")
     w = v.write.mode("overwrite")
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(stage)
+    if whole:
+        replace_path(spark, stage, path)
+        return path
     staged = spark.read.schema(view.schema).parquet(stage).select(*view.columns)
-    out = staged.write.mode("overwrite")
-    if parts:
-        out = out.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    out.parquet(path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    stored = spark.read.schema(view.schema).parquet(path).filter(F.col(parts[0]).isin(list(only_partitions)))
+    # partition values only: at most one row for each table partition
+    for values in {tuple(r) for r in stored.select(*parts).distinct().collect()} - {tuple(r) for r in staged.select(*parts).distinct().collect()}:
+        if None not in values:
+            delete_path(spark, "/".join([path.rstrip("/"), *(f"{p}={v}" for p, v in zip(parts, values, strict=True))]))
+    delete_path(spark, stage)
     return path

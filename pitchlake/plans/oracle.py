@@ -8,6 +8,8 @@ the comparison checks the rewrite as well as the result.
 
 from __future__ import annotations
 
+from pitchlake.plans.game_queries import GAME_SQL
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["arsenal"] = """
@@ -473,3 +475,5 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
        CAST(year(o_orderdate) + CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1997-01-01' THEN 1 ELSE 0 END AS INTEGER) AS part_year
 FROM orders
 """
+
+ORACLE |= GAME_SQL
