@@ -243,20 +243,19 @@ def starting_lineup(boxscore: DataFrame) -> DataFrame:
     only positions 2-10 are kept. Home fields in the top half, away in the
     bottom half."""
 
-    def side(team: str, half: str) -> DataFrame:
-        pl = boxscore.select("game_id", F.explode(F.map_values(F.col(f"teams.{team}.players"))).alias("pl"))
-        x = F.col("pl")
-        return pl.select(
-            "game_id",
-            F.lit(half).alias("half_inning"),
-            F.get(x["allPositions"], 0)["code"].try_cast("int").alias("position"),
-            x["person"]["id"].alias("player_id"),
-            x["battingOrder"].alias("_bo"),
-        ).filter(
-            F.col("_bo").endswith("00") & F.col("position").isin(list(FIELDING_POSITIONS))
-        ).drop("_bo")
-
-    return side("home", TOP).unionByName(side("away", BOTTOM))
+    def side(team: str, half: str) -> Column:
+        players = F.map_values(F.col(f"teams.{team}.players"))
+        return F.transform(players, lambda x: F.struct(F.lit(half).alias("half_inning"), x.alias("pl")))
+
+    # both sides from one scan
+    sides = F.array(*[F.coalesce(side(t, h), F.array()) for t, h in (("home", TOP), ("away", BOTTOM))])
+    x = F.col("s.pl")
+    return boxscore.select("game_id", F.explode(F.flatten(sides)).alias("s")).filter(x["battingOrder"].endswith("00")).select(
+        "game_id",
+        "s.half_inning",
+        F.get(x["allPositions"], 0)["code"].try_cast("int").alias("position"),
+        x["person"]["id"].alias("player_id"),
+    ).filter(F.col("position").isin(list(FIELDING_POSITIONS)))
 
 
 def attach_lineup(games: DataFrame, lineup: DataFrame) -> DataFrame:
