@@ -131,7 +131,11 @@ def materialize(
     w = v.write.mode("overwrite")
     if parts:
         w = w.partitionBy(*parts)
-    w.parquet(stage)
+    try:
+        w.parquet(stage)
+    except Exception:
+        delete_path(spark, stage)
+        raise
     if whole:
         replace_path(spark, stage, path)
         return path

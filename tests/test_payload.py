@@ -132,6 +132,24 @@ def test_materialize_incremental(spark, tmp_path):
     assert out.filter("year = 2023").count() == 4 and out.filter("year = 2024").count() == 2
 
 
+def test_materialize_drops_vanished_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(y, m, i) for i, (y, m) in enumerate([(2023, 1), (2023, 2), (2024, 1), (2024, 2)])], "year INT, month INT, n INT")
+    path, parts = str(tmp_path / "mv"), ("year", "month")
+    read = lambda: sorted(tuple(r) for r in spark.read.schema(rows.schema).parquet(path).select("year", "month", "n").collect())
+    materialize(spark, rows, path, parts)
+    # some years: what they no longer hold goes, other years stay
+    materialize(spark, rows.filter("year = 2023 or month = 2").withColumn("n", F.col("n") + 10), path, parts, only_partitions=[2024])
+    assert read() == [(2023, 1, 0), (2023, 2, 1), (2024, 2, 13)]
+    # a write that fails changes nothing
+    with pytest.raises(Exception):
+        materialize(spark, rows.withColumn("n", F.raise_error(F.lit("no")).cast("int")), path, parts)
+    assert len(read()) == 3
+    # in whole, also from the stored view itself
+    materialize(spark, spark.read.schema(rows.schema).parquet(path).filter("month = 2"), path, parts)
+    assert read() == [(2023, 2, 1), (2024, 2, 13)]
+    assert [f.name for f in tmp_path.iterdir()] == ["mv"]
+
+
 def test_variant_payload_matches_text(spark, tmp_path):
     from pitchlake.functions.payload import to_variant
 
