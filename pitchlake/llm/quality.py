@@ -24,7 +24,7 @@ MAX_REPEAT_PERCENT = 30
 
 #: Concentration: the share of documents whose scatter is smallest, and the number of steps.
 SHARE, STEPS = 0.75, 3
-#: Groups with fewer documents are judged with all documents of their language.
+#: Groups with fewer documents are judged by the estimate over all documents of their language, large groups too.
 MIN_GROUP = 100
 #: Squared Mahalanobis distance beyond which a document is an outlier. Far out on
 #: purpose: clean documents with long tails (short texts, names) stay.
@@ -151,7 +151,9 @@ def judge(
     good = rows.where(~F.col("base_failed"))
     sizes = good.groupBy("g_lang", "g_source").agg(F.count("*").alias("size"))
     groups = stage(sizes.select("g_lang", "g_source", F.when(F.col("size") >= min_group, F.concat("g_source", F.lit("/"))).otherwise("").alias("g_pool")), "quality-groups")
-    model = fit(good.join(groups, ["g_lang", "g_source"]).select("g_lang", "g_pool", *vector()), ["g_lang", "g_pool"], share, steps)
+    # the pool "" of a language holds all its rows, also those of large groups
+    pools = groups.unionByName(groups.join(groups.where("g_pool = ''").select("g_lang").distinct(), "g_lang").where("g_pool != ''").withColumn("g_pool", F.lit("")))
+    model = fit(good.join(pools, ["g_lang", "g_source"]).select("g_lang", "g_pool", *vector()), ["g_lang", "g_pool"], share, steps)
     verdicts = (
         rows.join(groups.join(model, ["g_lang", "g_pool"]), ["g_lang", "g_source"], "left")
         .select("*", *vector()).withColumn("distance", F.when(~F.col("base_failed"), distance()))

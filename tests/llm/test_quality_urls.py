@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitchlake.llm import quality, urls
 from pitchlake.llm.queries import QUERIES
 
-from .data import SF01, SF001, edge_docs, edge_rows, empty_docs, read_docs
+from .data import SCHEMA, SF01, SF001, edge_docs, edge_rows, empty_docs, read_docs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -60,6 +60,20 @@ def test_labelled_junk_goes_and_clean_documents_stay(spark):
     assert np.mean(good) > 0.995 and np.mean(bad) < 0.35, (np.mean(good), np.mean(bad), len(bad))
 
 
+def prose(rng, n=60):
+    return " ".join("abcdefghijklmnop"[: rng.integers(2, 9)] + str(rng.integers(10)) for _ in range(n))
+
+
+def test_small_group_is_judged_with_all_of_its_language(spark):
+    """A lone junk document beside a large source is an outlier, as it is in a small table."""
+    rng = np.random.default_rng(5)
+    junk = " ".join(f"#$%&{i}{'QWERTZ' * 4}|<>*" for i in range(60))
+    for n in (60, 300):
+        rows = [(i, prose(rng), "en", "large", 1) for i in range(n)] + [(n, junk, "en", "small", 1), (n + 1, prose(rng), "en", "small", 1), (n + 2, junk, "de", "small", 1)]
+        kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert not kept[n] and kept[n + 1] and all(kept[i] for i in range(n)), n
+
+
 def test_estimate_matches_numpy_and_resists_outliers(spark):
     rng = np.random.default_rng(1)
     d = len(quality.VECTOR)
