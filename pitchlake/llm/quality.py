@@ -2,9 +2,11 @@
 
 Base rules reject very short and very repetitive texts. Of the rest, each
 document has a vector of transformed statistics. Per language and source, the
-minimum covariance determinant estimate (concentration steps over the share of
-documents nearest to the current centre) gives a location and scatter that
-outliers don't move; a document beyond a Mahalanobis distance is rejected.
+minimum covariance determinant estimate (concentration steps over the half of
+documents nearest to the current centre, from several starts, until the
+determinant stops falling) gives a location and scatter that outliers don't move;
+a document beyond a Mahalanobis distance is rejected. Equal vectors count once,
+so the copies of a text weigh as one document.
 """
 
 from __future__ import annotations
@@ -22,9 +24,14 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-#: Concentration: the share of documents whose scatter is smallest, and the number of steps.
-SHARE, STEPS = 0.75, 3
-#: Groups with fewer documents are judged by the estimate over all documents of their language, large groups too.
+#: Concentration: the share of documents whose scatter is smallest (half: the highest
+#: breakdown), and the most steps; it ends when no log determinant falls by TOLERANCE.
+SHARE, STEPS, TOLERANCE = 0.5, 30, 0.01
+#: Steps from every start, before the one of the least determinant goes on.
+TRIAL_STEPS = 2
+#: The quantiles that starts are taken from.
+GRID = 20
+#: Groups with fewer different vectors are judged by the estimate over all documents of their language, large groups too.
 MIN_GROUP = 100
 #: Squared Mahalanobis distance beyond which a document is an outlier. Far out on
 #: purpose: clean documents with long tails (short texts, names) stay.
@@ -34,6 +41,8 @@ CUTOFF = 60.0
 #: the same in nearly all documents has no scatter of its own).
 VECTOR = ("word_length", "symbols", "capitals", "dup_lines", "repeats")
 LEAST_SD = (0.08, 0.05, 0.05, 0.08, 0.08)
+#: A model's columns: means, and the Cholesky factor of the covariance.
+PARAMETERS = [f"m_{i}" for i in range(len(VECTOR))] + [f"l_{i}_{j}" for i in range(len(VECTOR)) for j in range(i + 1)]
 
 
 def statistics(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFrame:
@@ -149,7 +158,8 @@ def judge(
         .withColumn("g_source", F.coalesce(F.concat(F.lit("="), "g_source"), F.lit(""))), "quality-statistics",
     )
     good = rows.where(~F.col("base_failed"))
-    sizes = good.groupBy("g_lang", "g_source").agg(F.count("*").alias("size"))
+    # copies count once, as in the estimate
+    sizes = good.select("g_lang", "g_source", *vector()).groupBy("g_lang", "g_source").agg(F.count_distinct(*VECTOR).alias("size"))
     groups = stage(sizes.select("g_lang", "g_source", F.when(F.col("size") >= min_group, F.concat("g_source", F.lit("/"))).otherwise("").alias("g_pool")), "quality-groups")
     # the pool "" of a language holds all its rows, also those of large groups
     pools = groups.unionByName(groups.join(groups.where("g_pool = ''").select("g_lang").distinct(), "g_lang").where("g_pool != ''").withColumn("g_pool", F.lit("")))
@@ -167,28 +177,70 @@ def judge(
 def fit(rows: DataFrame, keys: list[str], share: float, steps: int) -> DataFrame:
     """The minimum covariance determinant estimate of each group.
 
-    Starts at the coordinate-wise medians and deviations, then repeats: take the
-    ``share`` of documents with the least distance (a mergeable quantile per
-    group), estimate again. The subset's covariance is scaled so that the
-    distances' quantile agrees with a normal vector's.
+    Each start (see ``starts``) takes TRIAL_STEPS concentration steps, then the
+    one of the least determinant goes on, at most to ``steps`` in all, until its
+    determinant stops falling; finished groups take no further steps.
     """
-    d = len(VECTOR)
-    vectors = stage(rows, "quality-vectors")
-    quartiles = [F.percentile_approx(v, [0.25, 0.5, 0.75], 2000).alias(f"q_{i}") for i, v in enumerate(VECTOR)]
-    model = vectors.groupBy(*keys).agg(*quartiles).select(
-        *keys,
-        *[F.col(f"q_{i}")[1].alias(f"m_{i}") for i in range(d)],
-        *[(F.sqrt(F.pow((F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 1.349, 2) + LEAST_SD[i] ** 2) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}")
-          for i in range(d) for j in range(i + 1)],
+    vectors = stage(rows.select(*keys, *VECTOR).distinct(), "quality-vectors")
+    tried = [*keys, "__start"]
+    model = stage(starts(vectors, keys), "quality-starts")
+    for step in range(min(TRIAL_STEPS, steps)):
+        model = stage(concentrate(vectors, model, keys, tried, share), f"quality-start-{step}")
+    model = stage(
+        model.groupBy(*keys).agg(F.min(F.struct(log_determinant().alias("det"), "__start", *PARAMETERS)).alias("best"))
+        .select(*keys, *[F.col(f"best.{p}") for p in PARAMETERS]), "quality-model-start",
     )
-    for step in range(steps):
-        model = stage(model, f"quality-model-{step}")
-        near = vectors.join(model, keys).select(*keys, *VECTOR, distance().alias("__d"))
-        # written, so its size is known and the rows needn't be dealt by group to meet it
-        cut = stage(near.groupBy(*keys).agg(F.percentile_approx("__d", share, 2000).alias("__cut")), f"quality-cut-{step}")
-        inside = near.join(cut, keys).where(F.col("__d") <= F.col("__cut"))
-        model = estimate(inside, keys, consistency(share))
-    return stage(model, "quality-model")
+    done = model.limit(0)
+    for step in range(TRIAL_STEPS, steps):
+        before = model.select(*keys, log_determinant().alias("__before"))
+        after = stage(
+            concentrate(vectors, model, keys, keys, share).join(before, keys)
+            .select(*keys, *PARAMETERS, (log_determinant() < F.col("__before") - TOLERANCE).alias("__falls")), f"quality-model-{step}",
+        )
+        done = done.unionByName(after.where("not __falls").drop("__falls"))
+        model = after.where("__falls").drop("__falls")
+        if model.isEmpty():
+            break
+    return stage(done.unionByName(model), "quality-model")
+
+
+def starts(vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group, by ``__start``: 0 medians and interquartile ranges, 1 the middles
+    and widths of the shortest halves, 2 mean and covariance."""
+    d, half = len(VECTOR), GRID // 2
+
+    def shortest(q: Column) -> Column:
+        return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(GRID - half)), lambda i: F.struct(
+            (F.get(q, i + half) - F.get(q, i)).alias("width"), ((F.get(q, i + half) + F.get(q, i)) / 2).alias("middle"))))
+
+    def diagonal(start: int, middles: list[Column], widths: list[Column]) -> DataFrame:
+        return quantiles.select(
+            *keys, F.lit(start).alias("__start"), *[m.alias(f"m_{i}") for i, m in enumerate(middles)],
+            *[(F.sqrt(F.pow(widths[i] / 1.349, 2) + LEAST_SD[i] ** 2) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i in range(d) for j in range(i + 1)],
+        )
+
+    grid = [F.percentile_approx(v, [i / GRID for i in range(GRID + 1)], 2000).alias(f"q_{i}") for i, v in enumerate(VECTOR)]
+    quantiles = stage(vectors.groupBy(*keys).agg(*grid), "quality-quantiles")
+    q = [F.col(f"q_{i}") for i in range(d)]
+    by_quartiles = diagonal(0, [x[half] for x in q], [x[GRID * 3 // 4] - x[GRID // 4] for x in q])
+    by_halves = diagonal(1, [shortest(x)["middle"] for x in q], [shortest(x)["width"] for x in q])
+    return by_quartiles.unionByName(by_halves).unionByName(estimate(vectors, keys, 1.0).withColumn("__start", F.lit(2)))
+
+
+def log_determinant() -> Column:
+    """Half the log determinant of a model's covariance."""
+    return sum((F.log(f"l_{i}_{i}") for i in range(1, len(VECTOR))), F.log("l_0_0"))
+
+
+def concentrate(vectors: DataFrame, model: DataFrame, keys: list[str], by: list[str], share: float) -> DataFrame:
+    """The estimate over the ``share`` of each group's vectors with the least
+    distance (a mergeable quantile) under each of its models, told apart by ``by``.
+    The subset's covariance is scaled so that the distances' quantile agrees with
+    a normal vector's."""
+    near = vectors.join(model, keys).select(*by, *VECTOR, distance().alias("__d"))
+    # written, so its size is known and the rows needn't be dealt by group to meet it
+    cut = stage(near.groupBy(*by).agg(F.percentile_approx("__d", share, 2000).alias("__cut")), "quality-cut")
+    return estimate(near.join(cut, by).where(F.col("__d") <= F.col("__cut")), by, consistency(share))
 
 
 def consistency(share: float) -> float:

@@ -96,6 +96,20 @@ def test_estimate_matches_numpy_and_resists_outliers(spark):
     assert sum(w > quality.CUTOFF for w in want[4000:]) == 800 and sum(w > quality.CUTOFF for w in want[:4000]) == 0
 
 
+def test_estimate_resists_forty_percent_of_outliers(spark):
+    """Copies of one far point, outliers in their direction, and a far cloud: none moves the estimate."""
+    rng = np.random.default_rng(7)
+    d = len(quality.VECTOR)
+    clean = rng.normal(size=(1200, d)) / 4
+    point = np.array([3.0, 3, 0, 0, 0])
+    groups = {"copies": np.vstack([clean, np.tile(point, (800, 1)), point / 1.3 + rng.normal(size=(40, d)) / 100]), "cloud": np.vstack([clean, rng.normal(9, 0.3, size=(720, d))])}
+    rows = spark.createDataFrame([(g, *map(float, r)) for g, data in groups.items() for r in data], ["g", *quality.VECTOR])
+    model = quality.fit(rows, ["g"], quality.SHARE, quality.STEPS)
+    got = {g: sorted(r.d for r in rows.join(model, "g").where(F.col("g") == g).select(quality.distance().alias("d")).collect()) for g in groups}
+    for g, out in (("copies", 840), ("cloud", 720)):
+        assert sum(x > quality.CUTOFF for x in got[g]) == out, (g, got[g][1190:1210], got[g][-1])
+
+
 @pytest.mark.parametrize("share", [0.5, 0.75, 0.9])
 def test_consistency_factor(share):
     x = np.sort(np.square(np.random.default_rng(2).normal(size=(400_000, len(quality.VECTOR)))).sum(1))
