@@ -11,6 +11,8 @@ so the copies of a text weigh as one document.
 
 from __future__ import annotations
 
+from math import erf, exp, pi, sqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,18 +35,39 @@ TRIAL_STEPS = 2
 GRID = 20
 #: Groups with fewer different vectors are judged by the estimate over all documents of their language, large groups too.
 MIN_GROUP = 100
-#: Squared Mahalanobis distance beyond which a document is an outlier. Far out on
-#: purpose: clean documents with long tails (short texts, names) stay.
-CUTOFF = 60.0
-
 #: The statistics, and the least standard deviation of each (a statistic that is
-#: the same in nearly all documents has no scatter of its own).
+#: the same in nearly all documents has no scatter of its own). README has the rates
+#: that chose them.
 VECTOR = ("word_length", "symbols", "capitals", "dup_lines", "repeats")
 LEAST_SD = (0.08, 0.05, 0.05, 0.08, 0.08)
 #: A model's columns: means, and the Cholesky factor of the covariance.
 PARAMETERS = [f"m_{i}" for i in range(len(VECTOR))] + [f"l_{i}_{j}" for i in range(len(VECTOR)) for j in range(i + 1)]
 
 
+def chi2(x: float, k: int) -> float:
+    """P(chi-square with ``k`` degrees <= x), ``k`` odd."""
+    p, term = erf(sqrt(x / 2)), sqrt(2 * x / pi) * exp(-x / 2)
+    for m in range(3, k + 1, 2):
+        p -= term
+        term *= x / m
+    return p
+
+
+def chi2_quantile(share: float, k: int) -> float:
+    """The ``share`` quantile of chi-square with ``k`` degrees, ``k`` odd."""
+    low, high = 0.0, 200.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi2(mid, k) < share else (low, mid)
+    return low
+
+
+#: The share of normal vectors that go, and the squared Mahalanobis distance beyond
+#: which a document is an outlier (25.7).
+TAIL = 1e-4
+CUTOFF = chi2_quantile(1 - TAIL, len(VECTOR))
+
+
 def statistics(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFrame:
     """id, columns of ``keep`` and the base statistics of each document."""
     words = F.array_remove(F.split(F.col("__text"), BLANK), "")
@@ -249,20 +272,8 @@ def consistency(share: float) -> float:
     share / P(chi2 with d + 2 degrees <= q), q the ``share`` quantile of chi2
     with d degrees; d is odd here, so both have closed forms.
     """
-    from math import erf, exp, pi, sqrt
-
-    def chi2(x: float, k: int) -> float:
-        p, term = erf(sqrt(x / 2)), sqrt(2 * x / pi) * exp(-x / 2)
-        for m in range(3, k + 1, 2):
-            p -= term
-            term *= x / m
-        return p
-
-    d, low, high = len(VECTOR), 0.0, 200.0
-    for _ in range(100):
-        mid = (low + high) / 2
-        low, high = (mid, high) if chi2(mid, d) < share else (low, mid)
-    return share / chi2(low, d + 2)
+    d = len(VECTOR)
+    return share / chi2(chi2_quantile(share, d), d + 2)
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

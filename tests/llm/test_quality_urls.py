@@ -110,6 +110,17 @@ def test_estimate_resists_forty_percent_of_outliers(spark):
         assert sum(x > quality.CUTOFF for x in got[g]) == out, (g, got[g][1190:1210], got[g][-1])
 
 
+def test_cutoff_is_the_stated_quantile_and_clear_junk_goes(spark):
+    x = np.square(np.random.default_rng(4).normal(size=(2_000_000, len(quality.VECTOR)))).sum(1)
+    assert abs(np.mean(x > quality.CUTOFF) / quality.TAIL - 1) < 0.3
+    rng = np.random.default_rng(6)
+    # 23 symbols in 60 words, in a group with none
+    symbols = " ".join(w[:-1] + "#" if i < 23 else w for i, w in enumerate(prose(rng).split()))
+    rows = [(i, prose(rng), "en", "a", 1) for i in range(120)] + [(120, symbols, "en", "a", 1)]
+    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not kept.pop(120) and all(kept.values())
+
+
 @pytest.mark.parametrize("share", [0.5, 0.75, 0.9])
 def test_consistency_factor(share):
     x = np.sort(np.square(np.random.default_rng(2).normal(size=(400_000, len(quality.VECTOR)))).sum(1))
