@@ -2,8 +2,9 @@
 
 A byte-pair vocabulary learnt from prose spends few tokens on words and many on
 random strings. Every unbroken run of key characters is encoded; runs with few
-characters per token are reported, unless they have the form of a known digest
-or of an identifier. The pattern matches ("base" spans) are always reported.
+characters per token are reported, unless they have the form of a known digest,
+or that of an identifier whose letter groups themselves have enough characters
+per token. The pattern matches ("base" spans) are always reported.
 """
 
 from __future__ import annotations
@@ -45,6 +46,10 @@ IDENTIFIER = re.compile(
     r"(?:[+/_=.-]*+(?:[A-Z]{2,}|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z])?\d{0,8}(?=[+/_=.-]|$))*+[+/_=.-]*+"
 )
 NUMBER = re.compile(r"[0-9+/_=.-]+")
+#: The letter groups of an identifier.
+LETTERS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+#: An identifier with so few letters is a number with a mark (a version).
+MARK_LETTERS = 2
 
 
 @functools.cache
@@ -59,11 +64,32 @@ def encoding(path: str | None):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_known(run: str) -> bool:
-    """True for digests and identifiers: long, but not a secret by its form."""
+def is_digest_or_number(run: str) -> bool:
+    """True for digests and numbers: long, but not a secret by their form."""
     if DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
-    return any(p.fullmatch(run) for p in (UUID, LABELLED_DIGEST, NUMBER, IDENTIFIER))
+    return any(p.fullmatch(run) for p in (UUID, LABELLED_DIGEST, NUMBER))
+
+
+def is_known(run: str) -> bool:
+    """True for the forms of digests, numbers and identifiers."""
+    return is_digest_or_number(run) or IDENTIFIER.fullmatch(run) is not None
+
+
+def is_words(run: str, enc, max_ratio: float) -> bool:
+    """True for an identifier whose letter groups are no random letters."""
+    if not IDENTIFIER.fullmatch(run):
+        return False
+    groups = LETTERS.findall(run)
+    letters = sum(map(len, groups))
+    return letters <= MARK_LETTERS or letters >= max_ratio * sum(len(enc.encode_ordinary(g)) for g in groups)
+
+
+def is_random(run: str, enc, max_ratio: float) -> bool:
+    """True for a run with few characters per token that is neither digest, number nor words."""
+    if is_digest_or_number(run) or is_words(run, enc, max_ratio):
+        return False
+    return len(run) < max_ratio * len(enc.encode_ordinary(run))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -83,9 +109,7 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: f
         while at < len(taken) and taken[at][0] < m.end():
             reach = max(reach, taken[at][2])
             at += 1
-        if reach > m.start() or is_known(m.group()):
-            continue
-        if m.end() - m.start() < max_ratio * len(enc.encode_ordinary(m.group())):
+        if reach <= m.start() and is_random(m.group(), enc, max_ratio):
             found.append((m.start(), 3, m.end()))
     return found
 

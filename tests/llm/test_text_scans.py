@@ -74,6 +74,20 @@ def test_random_strings_and_known_forms():
         assert find(f"x {known} y") == [], known
 
 
+def test_the_form_of_an_identifier_excuses_no_random_letters():
+    import random
+
+    enc, rng = secret_scan.encoding(None), random.Random(8)
+    find = lambda t: [t[s:e] for s, k, e in secret_scan.scan_text(t, enc)[1] if k == 3]
+    for key in ("qzxkvjwpqmnbtrcdlfhg", "QZXKVJWPQMNBTRCDLFHGAB", "KQZ-77123-WVX-99182-PLM", "a1-b2-c3-d4-e5-f6-g7-h8"):
+        assert find(f"x {key} y") == [key]
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        keys = ["".join(rng.choices(letters, k=rng.randint(20, 40))) for _ in range(500)]
+        assert sum(find(k) == [k] for k in keys) > 0.98 * len(keys)
+    for words in ("MAX_RETRY_COUNT_PER_SESSION", "getUserAccountSettings2", "v1.20.3-2024.01.02-15", "geschwindigkeitsbegrenzung", "docs/release-notes-2024/index.html"):
+        assert find(f"x {words} y") == [], words
+
+
 def test_redaction_removes_every_span(spark):
     enc = secret_scan.encoding(None)
     docs = edge_docs(spark)
