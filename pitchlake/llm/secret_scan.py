@@ -4,7 +4,9 @@ A byte-pair vocabulary learnt from prose spends few tokens on words and many on
 random strings. Every unbroken run of key characters is encoded; runs with few
 characters per token are reported, unless they have the form of a known digest,
 or that of an identifier whose letter groups themselves have enough characters
-per token. The pattern matches ("base" spans) are always reported.
+per token. Of a run that is not random as a whole, what its words between
+separators leave is tested too. The pattern matches ("base" spans) are always
+reported; what they leave of a run is tested as a run of its own.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ MIN_CHARS = 20
 #: A run with fewer characters per token than this is random.
 MAX_RATIO = 2.2
 
+#: What separators leave of a run, and the least letters of a part that is a word.
+PART = re.compile(r"[^+/_=.-]+")
+WORD_LETTERS = 3
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_CHARS)
 #: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hex digits.
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
@@ -101,16 +106,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def random_parts(run: str, enc, max_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of what is random in a run: the whole, else what words at its
+    ends leave, else the stretches between words, else single parts."""
+    if len(run) < MIN_CHARS or is_digest_or_number(run):
+        return []
+    if is_random(run, enc, max_ratio):
+        return [(0, len(run))]
+    parts = [m.span() for m in PART.finditer(run)]
+    stretches, fresh = [], True
+    for s, e in parts:
+        if sum(map(len, LETTERS.findall(run[s:e]))) >= WORD_LETTERS and is_words(run[s:e], enc, max_ratio):
+            fresh = True
+        elif fresh:
+            stretches.append((s, e))
+            fresh = False
+        else:
+            stretches[-1] = stretches[-1][0], e
+
+    def test(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        return [(s, e) for s, e in spans if e - s >= MIN_CHARS and is_random(run[s:e], enc, max_ratio)]
+
+    if found := test([(stretches[0][0], stretches[-1][1])] if stretches else []):
+        return found
+    found = test(stretches)
+    alone = [(s, e) for s, e in test(parts) if not any(a <= s and e <= b for a, b in found)]
+    return sorted(found + alone)
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: float) -> list[tuple[int, int, int]]:
-    """Runs with few characters per token that no pattern match touches."""
+    """What is random in the runs, or in what the pattern matches leave of them."""
     found, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
+        pieces, free, end = [], max(m.start(), reach), m.end()
         # both lists ascend by start, so one pass keeps the furthest end before the run's
-        while at < len(taken) and taken[at][0] < m.end():
+        while at < len(taken) and taken[at][0] < end:
+            if taken[at][0] > free:
+                pieces.append((free, taken[at][0]))
             reach = max(reach, taken[at][2])
+            free = max(free, reach)
             at += 1
-        if reach <= m.start() and is_random(m.group(), enc, max_ratio):
-            found.append((m.start(), 3, m.end()))
+        if free < end:
+            pieces.append((free, end))
+        if pieces != [m.span()] and is_digest_or_number(m.group()):
+            continue
+        found += [(p + s, 3, p + e) for p, q in pieces for s, e in random_parts(text[p:q], enc, max_ratio)]
     return found
 
 

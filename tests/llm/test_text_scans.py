@@ -88,6 +88,23 @@ def test_the_form_of_an_identifier_excuses_no_random_letters():
         assert find(f"x {words} y") == [], words
 
 
+def test_keys_inside_longer_runs():
+    import random
+
+    enc, rng = secret_scan.encoding(None), random.Random(9)
+    find = lambda t: [t[s:e] for s, k, e in secret_scan.scan_text(t, enc)[1] if k == 3]
+    some = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for path, n in (("www.example.com/account/settings/verification/", 20), ("www.example.com/account/settings/verification/", 24), ("/home/engineer/projects/application/configuration/", 32)):
+        keys = ["".join(rng.choices(some, k=n)) for _ in range(300)]
+        assert sum(k in "".join(find(path + k + after)) for k in keys for after in ("", "/index.html")) > 0.98 * 2 * len(keys), (path, n)
+    key = "Zx9Qw7LmP2vT8rKd4NhYbJ3s"
+    assert "".join(find(f"/reset/{key}/token=abcdef")).strip("/").removeprefix("reset/") == key
+    assert key in "".join(find(f"{key}/0123456789abcdef01234567/{key[::-1]}")) and len(find(f"{key}/0123456789abcdef01234567/{key[::-1]}")) == 2
+    text = f"/reset/{key}/token=abcdef"
+    assert key not in secret_scan.redact(text, enc)
+    assert find("www.example.com/en/2024/01/02/12345678/some-page-of-a-site.html") == []
+
+
 def test_redaction_removes_every_span(spark):
     enc = secret_scan.encoding(None)
     docs = edge_docs(spark)
