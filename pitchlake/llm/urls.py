@@ -20,8 +20,8 @@ ALLOW, BLOCK = "allow", "block"
 RULES = (
     (ALLOW, "com/"), (BLOCK, "example.com/en/"), (ALLOW, "www.example.com/en/"), (BLOCK, "net/es/"), (BLOCK, "net/fr/"),
 )
-#: Bounds: labelled URLs that the trees are fitted on (expected), suffixes with statistics of their own.
-MAX_FIT_ROWS, MAX_SUFFIXES = 20_000, 1_000
+#: Bound: labelled URLs that the trees are fitted on (expected).
+MAX_FIT_ROWS = 20_000
 #: Trees and their depth.
 TREES, DEPTH = 12, 4
 
@@ -90,8 +90,7 @@ class UrlModel:
         self.trees, self.suffixes, self.base = trees, suffixes, base
 
     def with_suffixes(self, rows: DataFrame) -> DataFrame:
-        # at most MAX_SUFFIXES rows
-        joined = rows.join(F.broadcast(self.suffixes), "suffix", "left")
+        joined = rows.join(self.suffixes, "suffix", "left")
         return joined.withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(self.base))).withColumn(
             "suffix_log_rows", F.coalesce("suffix_log_rows", F.lit(0.0)))
 
@@ -103,22 +102,30 @@ class UrlModel:
         return self.trees.transform(given).withColumn("blocked", F.col("prediction") > 0.5)
 
 
+def thinned(labelled: DataFrame, max_rows: int, n: int) -> DataFrame:
+    """About ``max_rows`` of the ``n`` rows, by a hash of URL and id: also a hot URL's rows are thinned."""
+    given = labelled if "id" in labelled.columns else labelled.withColumn("id", F.monotonically_increasing_id())
+    return given.where(F.pmod(F.xxhash64("url", "id"), F.lit(1 << 40)) < int(max_rows / n * (1 << 40)))
+
+
 def train(labelled: DataFrame, max_rows: int = MAX_FIT_ROWS, trees: int = TREES, depth: int = DEPTH, seed: int = 42) -> UrlModel:
-    """Fit on rows with url, host, path and label (1.0: block).
+    """Fit on rows with url, host, path, label (1.0: block) and, if they have one, id.
 
-    More than ``max_rows`` rows are thinned to about as many, by the URL's hash.
-    One class only: that class is the verdict; no rows: allow.
+    Suffix statistics are of all rows. The trees are fitted on about ``max_rows``
+    of them (see ``thinned``). One class only: that class is the verdict; no rows: allow.
     """
-    counts = labelled.agg(F.count("*").alias("n"), F.sum("label").alias("blocked")).first()
+    sums = stage(
+        labelled.select(suffix(F.col("host")).alias("suffix"), "label").groupBy("suffix")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("blocked")), "url-suffix-sums",
+    )
+    counts = sums.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
     base = (counts.blocked / counts.n) if counts.n else 0.0
     if not 0.0 < base < 1.0:
         return UrlModel(None, None, base)
-    share = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(max_rows / counts.n * (1 << 20))
-    rows = stage(lexical(labelled.where(share)), "url-labelled")
+    rows = stage(lexical(thinned(labelled, max_rows, counts.n)), "url-labelled")
     by = stage(
-        rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("blocked"))
-        .select("suffix", ((F.col("blocked") + 10 * base) / (F.col("n") + 10)).alias("suffix_rate"), F.log1p("n").alias("suffix_log_rows"))
-        .orderBy(F.desc("suffix_log_rows"), "suffix").limit(MAX_SUFFIXES), "url-suffixes",
+        sums.select("suffix", ((F.col("blocked") + 10 * base) / (F.col("n") + 10)).alias("suffix_rate"), F.log1p("n").alias("suffix_log_rows")),
+        "url-suffixes",
     )
     if rows.select("label").distinct().count() < 2:
         return UrlModel(None, None, base)
@@ -147,7 +154,8 @@ def judge(
     if labelled is None:
         labelled = rows.where("r is not null").withColumn("label", (F.col("r.verdict") == BLOCK).cast("double"))
     else:
-        labelled = parts(labelled.select(F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label")))
-    judged = train(labelled.select("url", "host", "path", "label")).blocked(lexical(rows))
+        ids = [F.col(id_col).alias("id")] if id_col in labelled.columns else []
+        labelled = parts(labelled.select(F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label"), *ids))
+    judged = train(labelled.drop("r")).blocked(lexical(rows))
     verdict = F.coalesce("r.verdict", F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
     return judged.select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"), verdict.alias("verdict"))

@@ -175,3 +175,15 @@ def test_trees_learn_labelled_urls(spark):
     rows = n.withColumn("url", url).withColumn("label", F.col("bad").cast("double"))
     out = urls.judge(rows.where("page_id % 2 = 1"), rules=(), labelled=rows.where("page_id % 2 = 0")).join(n, "page_id").collect()
     assert np.mean([(r.verdict == "block") == r.bad for r in out]) > 0.99
+
+
+def test_suffix_statistics_are_of_all_labelled_rows_and_a_hot_url_is_thinned(spark):
+    """1,500 suffixes with two rows each and one URL with a third of the rows; 500 rows are fitted on."""
+    n = spark.range(4500).select(F.col("id"), F.when(F.col("id") < 3000, F.concat(F.lit("s"), F.col("id") % 1500, F.lit(".org"))).otherwise(F.lit("hot.net")).alias("host"))
+    rows = n.select("id", F.concat(F.lit("http://"), "host", F.lit("/a")).alias("url"), "host", F.lit("/a").alias("path"), (F.col("host") == "hot.net").cast("double").alias("label"))
+    found = {r.suffix: (r.suffix_rate, r.suffix_log_rows) for r in urls.train(rows, max_rows=500, trees=1, depth=1).suffixes.collect()}
+    assert len(found) == 1501
+    assert found["hot.net"] == pytest.approx(((1500 + 10 / 3) / 1510, np.log1p(1500))) and found["s7.org"] == pytest.approx((10 / 3 / 12, np.log1p(2)))
+    for some in (rows, rows.drop("id")):
+        assert 400 < urls.thinned(some, 500, 4500).count() < 600
+        assert 100 < urls.thinned(some, 500, 4500).where("host = 'hot.net'").count() < 240
