@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.session import table
 
-from . import fingerprints, langid, mixing, packing, quality, repeats, secret_scan, simhash, tokens, urls
+from . import fingerprints, langid, merkle, mixing, packing, quality, repeats, secret_scan, simhash, tokens, urls
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_best_fit_packing, op6_mix_sources, op7_quality_rules, op8_fingerprints, op9_simhash, op10_url_filter)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), claims=merkle.tampered()))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_best_fit_packing, op6_mix_sources, op7_quality_rules,
+    op8_fingerprints, op9_simhash, op10_url_filter, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {}
 
@@ -111,3 +117,56 @@ SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(et) AS edited_sha256
        CASE WHEN len(changed) > 0 THEN changed[1].s || '.' || changed[1].p END AS first_edit
 FROM edits
 """
+
+
+def _crc32(digits: str) -> str:
+    """SQL for the unsigned crc32 of a number's decimal digits."""
+    step = (f"CASE WHEN (CASE WHEN k % 8 = 0 THEN xor(a, ascii({digits}[CAST(k // 8 + 1 AS INTEGER)])) ELSE a END) & 1 = 1"
+            f" THEN xor((CASE WHEN k % 8 = 0 THEN xor(a, ascii({digits}[CAST(k // 8 + 1 AS INTEGER)])) ELSE a END) >> 1, 3988292384)"
+            f" ELSE (CASE WHEN k % 8 = 0 THEN xor(a, ascii({digits}[CAST(k // 8 + 1 AS INTEGER)])) ELSE a END) >> 1 END")
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), range(8 * length({digits}))), lambda a, k: {step}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS claim
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+nodes(g, lvl, pos, digest, n) AS (
+  SELECT g, 0, pos, leaf, count(*) OVER (PARTITION BY g) FROM placed
+  UNION ALL
+  SELECT g, lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY g, lvl, pos // 2, n),
+subroots AS (SELECT g, digest, row_number() OVER (ORDER BY g) - 1 AS pos FROM nodes WHERE n = 1),
+heads(lvl, pos, digest, n) AS (
+  SELECT 0, pos, digest, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM heads WHERE n > 1 GROUP BY lvl, pos // 2, n),
+steps AS (
+  SELECT p.g, p.pos, 0 AS tree, v.lvl, xor(p.pos >> v.lvl, 1) < p.pos >> v.lvl AS on_left, s.digest
+  FROM placed p JOIN (SELECT DISTINCT g, lvl FROM nodes WHERE n > 1) v USING (g)
+  LEFT JOIN nodes s ON s.g = p.g AND s.lvl = v.lvl AND s.pos = xor(p.pos >> v.lvl, 1)
+  UNION ALL
+  SELECT p.g, p.pos, 1, v.lvl, xor(r.pos >> v.lvl, 1) < r.pos >> v.lvl, s.digest
+  FROM placed p JOIN subroots r USING (g) CROSS JOIN (SELECT DISTINCT lvl FROM heads WHERE n > 1) v
+  LEFT JOIN heads s ON s.lvl = v.lvl AND s.pos = xor(r.pos >> v.lvl, 1)),
+ways AS (SELECT g, pos, list({{'l': on_left, 'd': digest}} ORDER BY tree, lvl) AS way FROM steps GROUP BY g, pos),
+climbed(g, pos, k, way, digest) AS (
+  SELECT p.g, p.pos, 0, coalesce(w.way, []), p.claim FROM placed p LEFT JOIN ways w ON p.g = w.g AND p.pos = w.pos
+  UNION ALL
+  SELECT g, pos, k + 1, way, CASE WHEN way[k + 1].d IS NULL THEN sha256(digest) WHEN way[k + 1].l THEN sha256(way[k + 1].d || digest)
+                                  ELSE sha256(digest || way[k + 1].d) END
+  FROM climbed WHERE k < len(way))
+SELECT p.doc_id, p.leaf, s.digest AS subroot, h.digest AS root, sha256(array_to_string(list_transform(c.way, lambda x: x.d), '')) AS proof_sha256,
+       c.digest AS folded_root, c.digest = h.digest AS verified
+FROM placed p JOIN subroots s USING (g) CROSS JOIN (SELECT digest FROM heads WHERE n = 1) h
+JOIN climbed c ON c.g = p.g AND c.pos = p.pos AND c.k = len(c.way)
+"""
