@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.session import table
 
-from . import fingerprints, langid, merkle, mixing, packing, quality, repeats, secret_scan, simhash, tokens, urls
+from . import fingerprints, jaccard, langid, merkle, mixing, packing, prefix_trie, quality, repeats, secret_scan, simhash, tokens, urls
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,13 +50,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_sets(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), claims=merkle.tampered()))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_best_fit_packing, op6_mix_sources, op7_quality_rules,
-    op8_fingerprints, op9_simhash, op10_url_filter, op13_merkle_manifest)}
+    op8_fingerprints, op9_simhash, op10_url_filter, op11_ngram_jaccard, op12_prefix_trie, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {}
 
@@ -170,3 +178,42 @@ SELECT p.doc_id, p.leaf, s.digest AS subroot, h.digest AS root, sha256(array_to_
 FROM placed p JOIN subroots s USING (g) CROSS JOIN (SELECT digest FROM heads WHERE n = 1) h
 JOIN climbed c ON c.g = p.g AND c.pos = p.pos AND c.k = len(c.way)
 """
+
+ORACLE["op11_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
+  FROM words),
+grams AS (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
+meets AS (SELECT a.r AS a, b.r AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM meets WHERE 100 * k >= 85 * (na + nb - k)),
+reached(r, b) AS (SELECT r, r FROM sets UNION SELECT reached.r, links.b FROM reached JOIN links ON links.a = reached.b)
+SELECT any_value(s.doc_id) AS doc_id, CAST(any_value(len(s.s)) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM reached JOIN sets s ON s.r = reached.r JOIN sets o ON o.r = reached.b GROUP BY reached.r
+"""
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(x ORDER BY k) AS xs, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM turns GROUP BY conv_id),
+built AS (SELECT a.conv_id, list_concat(coalesce(b.xs[1 : a.h], []), a.xs[a.h + 1 :]) AS xs FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+prefixes AS (SELECT conv_id, len(xs) AS n, xs, unnest(range(len(xs) + 1)) AS depth FROM built),
+nodes AS (
+  SELECT depth, xs[1 : depth] AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, xs[1 : depth]),
+priced AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(p[depth].text) END AS saved FROM nodes),
+family AS (SELECT c.depth, c.p, q.conv_id AS parent_conv_id FROM nodes c JOIN nodes q ON q.depth = c.depth - 1 AND q.p = c.p[1 : c.depth - 1]),
+kids AS (SELECT depth - 1 AS depth, p[1 : depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+known AS (
+  SELECT v.*, f.parent_conv_id, coalesce(k.n_children, 0) AS n_children
+  FROM priced v LEFT JOIN family f ON f.depth = v.depth AND f.p = v.p LEFT JOIN kids k ON k.depth = v.depth AND k.p = v.p)
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, any_value(a.parent_conv_id) AS parent_conv_id, any_value(a.n_convs) AS n_convs, any_value(a.n_children) AS n_children,
+       count(*) FILTER (d.n_children = 0) AS n_leaves, CAST(sum(d.saved) AS BIGINT) AS saved_tokens, any_value(a.ends_sha256) AS ends_sha256
+FROM known a JOIN known d ON d.depth >= a.depth AND d.p[1 : a.depth] = a.p GROUP BY a.conv_id, a.depth
+"""
