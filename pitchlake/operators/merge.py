@@ -12,11 +12,9 @@
   order to keep the last row per key.
 
 It is one full outer join on the key: both sides are hash-partitioned on the key
-once. ``upsert_table`` adds the storage side: only the target partitions the
-source touches are read and rewritten (dynamic partition overwrite), the merged
-rows are staged in the shared checkpoint folder first so that the overwrite never
-reads what it replaces, and a lost executor only re-runs tasks from the staged
-copy.
+once. ``upsert_table`` adds the storage side: an index of key ranges names the files
+that can hold the batch's keys, only files that do are read and written anew, and the
+result is published as one version (``sources.versions``).
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +30,8 @@ from pyspark.sql import types as T
 from pitchlake.functions.columns import MissingColumnsError, coerce_to_schema, send_columns
 from pitchlake.operators.audit import duplicate_keys
 from pitchlake.session import delete_path, path_missing, scratch_path
-
-ACTION = "_action"
+from pitchlake.sources import versions
+from pitchlake.sources.versions import ACTION, CHANGED, UNIT
 
 
 class DuplicateKeyError(ValueError):
@@ -72,23 +69,28 @@ def merge_frames(
     check_duplicates: bool = True,
     stamp_col: str | None = None,
     auto_cols: Sequence[str] = ("scraped_at",),
+    unit_col: str | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Merged table (all target columns, target order) plus ``_action``:
     ``insert`` / ``update`` / ``keep``. With ``stamp_col``, inserted and updated rows
-    get ``current_timestamp()`` there."""
+    get ``current_timestamp()`` there. With ``unit_col``, a column of the source,
+    ``_unit`` names the unit that sent an inserted or updated row; with ``version``
+    its ``_changed``, a column of the target then, becomes that number."""
     pk = list(pk)
     send = send_columns(source, target.schema, auto_cols)
     missing_pk = [k for k in pk if k not in send]
     if missing_pk:
         raise MissingColumnsError(f"source lacks key columns: {', '.join(missing_pk)}")
-    src = coerce_to_schema(source.select(*send), T.StructType([target.schema[c] for c in send]), strict=True)
+    src = coerce_to_schema(source.select(*send, *_unit(source, unit_col)), T.StructType([target.schema[c] for c in send]), strict=True)
     if dedupe_by is not None:
         src = keep_last(src, pk, dedupe_by)
     elif check_duplicates:
         check_unique(src, pk)
 
     upd = [c for c in send if c not in pk]
-    s = src.select(*pk, *[F.col(c).alias(f"_s_{c}") for c in upd], F.lit(True).alias("_m"))
+    own = [UNIT] if unit_col is not None else []
+    s = src.select(*pk, *[F.col(c).alias(f"_s_{c}") for c in upd], *own, F.lit(True).alias("_m"))
     t = target.withColumn("_t", F.lit(True))
     j = t.join(s, pk, "full_outer")
 
@@ -108,10 +110,17 @@ def merge_frames(
             e = F.when(F.col("_m").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c))
         elif stamp_col is not None and c == stamp_col:
             e = F.when(touched, F.current_timestamp().cast(f.dataType)).otherwise(F.col(c))
+        elif version is not None and c == CHANGED:
+            e = F.when(touched, F.lit(version).cast(f.dataType)).otherwise(F.col(c))
         else:
             e = F.col(c)
         exprs.append(e.alias(c))
-    return j.select(*exprs, action.alias(ACTION))
+    units = [F.when(action != "keep", F.col(UNIT)).alias(UNIT)] if unit_col is not None else []
+    return j.select(*exprs, action.alias(ACTION), *units)
+
+
+def _unit(source: DataFrame, unit_col: str | None) -> list[Column]:
+    return [F.col(unit_col).cast("string").alias(UNIT)] if unit_col is not None else []
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:
@@ -125,52 +134,28 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-def _touched(target: DataFrame, source: DataFrame, pk: Sequence[str], parts: Sequence[str], schema: T.StructType) -> list[tuple]:
-    """Partition values that a batch touches: those of its rows and, where the
-    partition isn't part of the key, those where its keys are stored now (a scan
-    of the key columns). At most one row per table partition reaches the driver.
-    """
-    touched = source.select(*[F.col(p).cast(schema[p].dataType).alias(p) for p in parts])
-    if not set(parts) <= set(pk):
-        keys = source.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in pk])
-        touched = touched.union(target.join(keys, list(pk), "left_semi").select(*parts))
-    return [tuple(r) for r in touched.distinct().collect()]
-
-
-def _in_partitions(values: Sequence[tuple], parts: Sequence[str], schema: T.StructType) -> Column:
-    """True in the given partitions. A filter on every partition column, so the
-    scan prunes its file listing by all of them; exact for any number of values."""
-    def value(p: str, v) -> Column:
-        return F.col(p).isNull() if v is None else F.col(p) == F.lit(v).cast(schema[p].dataType)
-
-    def within(rows: Sequence[tuple], at: int) -> Column:
-        by: dict = {}
-        for r in rows:
-            by.setdefault(r[at], []).append(r)
-        if at == len(parts) - 1:
-            known = [v for v in by if v is not None]
-            cond = F.col(parts[at]).isin(known) if known else F.lit(False)
-            return cond | F.col(parts[at]).isNull() if None in by else cond
-        cond = F.lit(False)
-        for v, of in by.items():
-            cond = cond | (value(parts[at], v) & within(of, at + 1))
-        return cond
-
-    return within(list(values), 0)
-
-
-def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The stored table read with its schema (partition values are not
-    type-inferred; columns missing from older files read as NULL), or None when
-    nothing was written yet."""
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> tuple[versions.Version | None, DataFrame | None, list[str]]:
+    """The table's version; without one, what a plain Parquet folder holds there and its files."""
+    base = versions.latest(spark, path)
+    if base is not None:
+        return base, None, []
     try:
-        df = spark.read.schema(schema).parquet(path)
-        df.take(1)  # the path check can be lazy
-        return df
+        plain = spark.read.schema(schema).parquet(path)
+        plain.take(1)  # the path check can be lazy
+        return None, plain.select(*[f.name for f in schema.fields]), plain.inputFiles()
     except AnalysisException as e:
         if not path_missing(e):
             raise
-        return None
+        return None, None, []
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current rows of a stored table: its latest version, else the plain Parquet
+    folder that another writer left there (``PATH_NOT_FOUND`` if there is none)."""
+    df = versions.read(spark, path, schema)
+    if df is not None:
+        return df
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def upsert_table(
@@ -184,71 +169,92 @@ def upsert_table(
     stamp_col: str | None = "scraped_at",
     cluster: bool = True,
     required: Sequence[str] = (),
+    unit_col: str | None = None,
+    attempts: int = 3,
+    notes: dict | None = None,
+    reverse: Sequence[str] = (),
 ) -> dict:
-    """Merge ``source`` into the Parquet table at ``path``; returns counts.
+    """Merge ``source`` into the stored table at ``path``; returns counts.
+
+    The table is versioned (``sources.versions``; read it with ``read_stored``): only
+    the files that hold one of the batch's keys are read, their rows and the new ones are
+    written once, and one pointer file makes them the current version. A crash
+    before that leaves the old version as it was. If another writer publishes first, the
+    merge is done again on its version, up to ``attempts`` times, then ``ConflictError``.
+    A key whose partition value changes moves, whatever the column's type. A plain
+    Parquet folder becomes a versioned table with its first upsert.
 
     Empty source: nothing is written, all counts 0. A row with NULL in the key or
     in ``required`` is an error (``NullKeyError``), as a duplicate key is: it
-    would be stored again at every load. Only the partitions are read and
-    rewritten that the batch names or that hold its keys now, so a key whose
-    partition value changes moves. A batch without a partition column is an
-    error. The partition is the rewrite unit, so a very large table wants a fine
-    partitioning (e.g. year and month) for small daily batches. The staged copy
-    is deleted when the write is done.
+    would be stored again at every load. A batch without a partition column is an
+    error, and so is an empty text in one, which folder names can't tell from NULL.
+    With ``unit_col`` (a column of the batch) the result has ``by_unit``: the counts of
+    each of its values, taken from the rows that were written. ``notes`` are kept with
+    the version; ``reverse`` names columns whose values are indexed by file.
     """
-    # The batch is read several times (empty check, partition values, duplicate
-    # check, merge); keep it once in memory and on disk. Losing an executor only
-    # means recomputing its blocks from the source.
-    source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    # The batch is read several times (checks, key search, merge): one copy in the shared
+    # folder, so that an executor loss never makes two passes see different rows.
+    stage = scratch_path(spark, "upsert-batch")
+    void = [F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`") for f in source.schema.fields]
+    source.select(*void).write.parquet(stage)
+    batch = spark.read.schema(source.select(*void).schema).parquet(stage)
     try:
-        return _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required)
+        for left in reversed(range(attempts)):
+            try:
+                return _upsert(spark, path, batch, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required, unit_col, notes, reverse)
+            except versions.ConflictError:
+                if not left:
+                    raise
     finally:
-        source.unpersist()
+        delete_path(spark, stage)
 
 
-def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required) -> dict:
+def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required, unit_col, notes, reverse) -> dict:
+    counts = {"n_inserted": 0, "n_updated": 0, "n_affected": 0, **({"by_unit": {}} if unit_col else {})}
     if source.isEmpty():
-        return {"n_inserted": 0, "n_updated": 0, "n_affected": 0}
-    parts = list(partition_by)
+        return counts
+    pk, parts = list(pk), list(partition_by)
     if absent := [c for c in parts if c not in source.columns]:
         raise MissingColumnsError(f"partition column(s) missing in the batch: {', '.join(absent)}")
-    needed = [c for c in dict.fromkeys([*pk, *required]) if c in source.columns]
-    typed = [F.col(c).try_cast(schema[c].dataType).isNull() for c in needed]
-    if not source.where(functools.reduce(Column.__or__, typed)).isEmpty():
-        raise NullKeyError(f"rows with NULL in one of: {', '.join(needed)}")
-    target = _read_or_none(spark, path, schema)
-    if target is None:
-        target = spark.createDataFrame([], schema)
-    target = target.select(*[f.name for f in schema.fields])
-    touched = _touched(target, source, pk, parts, schema) if parts else []
-    if parts:
-        target = target.where(_in_partitions(touched, parts, schema))
-    merged = merge_frames(target, source, pk, dedupe_by=dedupe_by, stamp_col=stamp_col)
-    if cluster and parts:
+    _check_rows(source, pk, schema, parts, required)
+    base, plain, files = _stored(spark, path, schema)
+    if base is not None:
+        keys = coerce_to_schema(source.select(*pk), T.StructType([schema[k] for k in pk]), strict=True).distinct()
+        files = versions.holding(spark, path, base, keys) if base.keys == tuple(pk) else versions.files_where(spark, path, base, F.lit(True))
+        target = versions.read(spark, path, schema, base.number, files, hidden=True).drop(ACTION, UNIT)
+    elif plain is not None:
+        target = plain.withColumn(CHANGED, F.lit(0).cast("long"))
+    else:
+        target = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(CHANGED, T.LongType())]))
+    number = (base.number if base else 0) + 1
+    merged = merge_frames(target, source, pk, dedupe_by=dedupe_by, stamp_col=stamp_col, unit_col=unit_col, version=number)
+    if cluster:
         # Range-partition on (partition columns, key): each task writes few table
         # partitions (no tasks x partitions small files on a backfill), a hot
         # partition still splits over tasks, and files hold narrow key ranges.
         merged = merged.repartitionByRange(*[F.col(c) for c in [*parts, *pk]]).sortWithinPartitions(*parts, *pk)
-
-    stage = scratch_path(spark, "upsert-stage")
-    writer = merged.write.mode("overwrite")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(stage)
-    # read back with the known schema: partition values are not type-inferred
-    staged = spark.read.schema(T.StructType([*schema.fields, T.StructField(ACTION, T.StringType())])).parquet(stage)
-    counts = merge_counts(staged).collect()[0].asDict()
-
-    out = staged.drop(ACTION).select(*[f.name for f in schema.fields])
-    w = out.write.mode("overwrite")
-    if parts:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    w.parquet(path)
-    if parts:
-        # a partition whose last row moved away isn't part of the output
-        left = {tuple(r) for r in out.select(*parts).distinct().collect()}
-        for values in touched:
-            if values not in left and None not in values:
-                delete_path(spark, "/".join([path.rstrip("/"), *(f"{p}={v}" for p, v in zip(parts, values, strict=True))]))
-    delete_path(spark, stage)
-    return {k: counts[k] for k in ("n_inserted", "n_updated", "n_affected")}
+    added = versions.add(spark, path, merged, schema, parts, pk, reverse)
+    versions.commit(spark, path, base, added, schema, parts, pk, drop=files if base is not None else (), notes=notes)
+    if base is None and files:
+        for name in files:  # the plain files that the first version took over
+            delete_path(spark, name, encoded=True)
+    for c in added.counts:
+        for name, action in (("n_inserted", "insert"), ("n_updated", "update")):
+            if c["action"] == action:
+                counts[name] += c["n"]
+                counts["n_affected"] += c["n"]
+                if unit_col:
+                    counts["by_unit"][c["unit"]] = counts["by_unit"].get(c["unit"], 0) + c["n"]
+    return counts
+
+
+def _check_rows(source: DataFrame, pk: Sequence[str], schema: T.StructType, parts: Sequence[str], required: Sequence[str]) -> None:
+    """One pass over the batch: NULL where a value is needed, and empty texts as partition values."""
+    needed = [c for c in dict.fromkeys([*pk, *required]) if c in source.columns]
+    bad = functools.reduce(Column.__or__, [F.col(c).try_cast(schema[c].dataType).isNull() for c in needed])
+    empty = functools.reduce(Column.__or__, [F.coalesce(F.col(c).cast("string") == "", F.lit(False)) for c in parts if isinstance(schema[c].dataType, T.StringType)], F.lit(False))
+    found = source.agg(F.coalesce(F.bool_or(bad), F.lit(False)).alias("null"), F.coalesce(F.bool_or(empty), F.lit(False)).alias("empty")).first()
+    if found["null"]:
+        raise NullKeyError(f"rows with NULL in one of: {', '.join(needed)}")
+    if found["empty"]:
+        raise ValueError(f"empty text in a partition column: {', '.join(parts)}")

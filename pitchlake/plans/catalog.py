@@ -21,7 +21,7 @@ from pitchlake.functions import columns as C
 from pitchlake.functions.payload import pack_json, payload_struct, to_variant, typed_field
 from pitchlake.operators import audit as A
 from pitchlake.operators import windows as W
-from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_frames, upsert_table
+from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_frames, read_stored, upsert_table
 from pitchlake.operators.views import materialize, unpack_view
 from pitchlake.plans import ledger as L
 from pitchlake.plans.game_queries import GAME_QUERIES
@@ -582,12 +582,11 @@ def q_stale_runs(spark, sf):
 
 
 def q_materialized_view(spark, sf):
-    # The typed view written once (staged, partitioned by event type,
-    # range-clustered), then queried from the materialised copy.
+    # The typed view written once (partitioned by event type, range-clustered), then queried from the materialised copy.
     view = _events_view(spark, sf, EVENT_PAYLOAD_CORE)
     path = materialize(spark, view, scratch_path(spark, "materialized-view"), partition_by=("event_type",),
                        sort_within=("user_id", "ts"))
-    mv = spark.read.parquet(path)
+    mv = read_stored(spark, path)
     return mv.groupBy("event_type", F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.count("customer_name").alias("named"), F.sum("k").alias("sum_k")
     )
@@ -604,7 +603,7 @@ def q_upsert_partition_move(spark, sf):
     moved = late.select("o_orderkey", F.lit("M").alias("status"), (F.col("part_year") + 1).alias("part_year"))
     for batch in (orders, moved):
         upsert_table(spark, path, batch, ["o_orderkey"], schema, ["part_year"], stamp_col=None)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return read_stored(spark, path)
 
 
 QUERIES: dict[str, Query] = {

@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.operators import audit as A
+from pitchlake.operators.merge import read_stored
 from pitchlake.plans import ledger as L
 from pitchlake.schemas import COVERAGE_ALARM_PCT
+from pitchlake.session import path_missing
 
 
 def stored_tables(spark: SparkSession, warehouse: str, view: str = "mv_statcast") -> dict[str, DataFrame]:
@@ -36,9 +38,10 @@ def stored_tables(spark: SparkSession, warehouse: str, view: str = "mv_statcast"
     # The payload table may hold JSON text or VARIANT: read it with its own schema.
     for name, path in (("statcast", "statcast"), ("view", view)):
         try:
-            out[name] = spark.read.parquet(f"{warehouse.rstrip('/')}/{path}")
-        except AnalysisException:
-            pass
+            out[name] = read_stored(spark, f"{warehouse.rstrip('/')}/{path}")
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
     return out
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.payload import bad_value_counts, pack_json, to_variant, unpack
 from pitchlake.operators.nested import flatten_games
+from pitchlake.operators.merge import read_stored
 from pitchlake.operators.views import materialize, unpack_view
 from pitchlake.session import Tables, scratch_path
 from pitchlake.sources.landed import read_game_feed
@@ -155,7 +156,7 @@ def q_view_refresh(spark, sf):
         view = unpack_view(events, "props", [("k", "int")], ["event_id", "event_type", "user_id"], dim=names,
                            dim_key="c_custkey", dim_cols={"customer_name": "c_name"}, join_field="k")
         materialize(spark, view, path, partition_by=("event_type",), sort_within=("user_id", "event_id"))
-    return spark.read.schema(view.schema).parquet(path).select(*view.columns)
+    return read_stored(spark, path)
 
 
 GAME_QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_")}

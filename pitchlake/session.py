@@ -89,24 +89,14 @@ def path_missing(error: Exception) -> bool:
     return condition.startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder of our own (a stage, a vanished partition), wherever Spark's file systems reach."""
+def delete_path(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Delete a folder or file of our own, wherever Spark's file systems reach
+    (``encoded``: the path is as ``inputFiles`` gives it)."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def replace_path(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path`` by renames, then delete what was there."""
-    fs_path, old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, f"{new}-old"
-    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(fs_path(path)) and not fs.rename(fs_path(path), fs_path(old)):
-        raise OSError(f"can't move {path} away")
-    if not fs.rename(fs_path(new), fs_path(path)):
-        raise OSError(f"can't move {new} to {path}")
-    fs.delete(fs_path(old), True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

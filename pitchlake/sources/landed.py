@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from pitchlake.functions.columns import rename_if_absent, require_columns, stamp
 from pitchlake.session import path_missing
-from pitchlake.schemas import PLAYER, TABLES, TableSpec, boxscore_schema, game_feed_schema
+from pitchlake.schemas import LEDGER, PLAYER, TABLES, TableSpec, boxscore_schema, game_feed_schema
+from pitchlake.sources import versions
 
 
 def identify_documents(df: DataFrame) -> DataFrame:
@@ -128,11 +129,14 @@ def write_table(df: DataFrame, spec: TableSpec, path: str, mode: str = "overwrit
 
 
 def read_table(spark: SparkSession, warehouse: str, name: str, missing_ok: bool = False) -> DataFrame:
-    """A stored table read with its registry schema (works for an empty table,
-    which has no data files to infer a schema from). With ``missing_ok`` a table
-    that was never written reads as empty."""
+    """A stored table read with its registry schema: its current version, else the
+    plain Parquet folder there. With ``missing_ok`` a table that was never written
+    reads as empty."""
     spec = TABLES[name]
     path = f"{warehouse.rstrip('/')}/{spec.name}"
+    stored = versions.read(spark, path, spec.schema)
+    if stored is not None:
+        return stored
     if not missing_ok:
         return spark.read.schema(spec.schema).parquet(path)
     try:
@@ -146,9 +150,10 @@ def read_table(spark: SparkSession, warehouse: str, name: str, missing_ok: bool
 
 
 def ensure_tables(spark: SparkSession, warehouse: str, names: list[str] | None = None) -> list[str]:
-    """Create every registered table that does not exist yet as an empty Parquet
+    """Create every registered table that does not exist yet as an empty versioned
     table with its schema and partitioning (idempotent; existing data is never
-    touched). Returns the names created."""
+    touched). The ledger, which is appended to, is a plain Parquet folder. Returns the
+    names created."""
     created = []
     for name in names or list(TABLES):
         spec = TABLES[name]
@@ -159,11 +164,10 @@ def ensure_tables(spark: SparkSession, warehouse: str, names: list[str] | None =
         except AnalysisException as e:
             if not path_missing(e):
                 raise
-        empty = spark.createDataFrame([], spec.schema)
-        w = empty.write.mode("errorifexists")
-        if spec.partition_by:
-            w = w.partitionBy(*spec.partition_by)
-        w.parquet(path)
+        if spec is LEDGER:
+            spark.createDataFrame([], spec.schema).write.mode("errorifexists").parquet(path)
+        else:
+            versions.commit(spark, path, None, None, spec.schema, spec.partition_by, spec.pk)
         created.append(name)
     return created
 

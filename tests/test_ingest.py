@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from fixtures import games as G
+from pitchlake.operators.merge import read_stored
 from pitchlake.plans import ingest as I
 from pitchlake.plans import ledger as L
 
@@ -38,13 +39,13 @@ def test_backfill_then_skip(spark, tmp_path):
     landing, wh = str(_landing(tmp_path)), str(tmp_path / "wh")
     s = I.run(spark, landing, wh, D(2024, 4, 1), D(2024, 4, 7), levels=["MLB", "AAA"])
     assert s["planned"] == 5 and s["succeeded"] == 5 and s["failed"] == 0
-    sched = spark.read.parquet(f"{wh}/schedule")
+    sched = read_stored(spark, f"{wh}/schedule")
     assert {(r.game_id, r.level, r.year, r.date) for r in sched.collect()} == {
         ("g1", "MLB", 2024, D(2024, 4, 1)), ("g2", "AAA", 2024, D(2024, 4, 2))}
-    ev = spark.read.parquet(f"{wh}/statsapi_event")
+    ev = read_stored(spark, f"{wh}/statsapi_event")
     assert ev.count() == 16 and ev.filter("game_id = 'g1' and event_index = 0").collect()[0].fielder_6_id == 100
-    assert spark.read.parquet(f"{wh}/statsapi_pitch").count() == 30
-    mv = spark.read.parquet(f"{wh}/mv_statcast")
+    assert read_stored(spark, f"{wh}/statsapi_pitch").count() == 30
+    mv = read_stored(spark, f"{wh}/mv_statcast")
     assert mv.count() == 4 and len(mv.columns) == 113
     assert sorted(r.release_speed for r in mv.collect()) == [96.0, 97.0, 98.0, 99.0]
     # everything done: nothing planned again
@@ -71,7 +72,7 @@ def test_failure_reaches_ledger_and_retry(spark, tmp_path):
     led = L.read_ledger(spark, f"{wh}/scrape_log")
     cur = L.latest_state(led).filter(F.col("retry_of") == failed[0].run_id).collect()
     assert len(cur) == 1 and cur[0].status == "success"
-    assert spark.read.parquet(f"{wh}/statcast").count() == 4
+    assert read_stored(spark, f"{wh}/statcast").count() == 4
 
 
 def test_players_and_season_summary(spark, tmp_path):
@@ -88,11 +89,11 @@ def test_players_and_season_summary(spark, tmp_path):
     wh = str(tmp_path / "wh")
     r = I.load_players(spark, str(root), wh, 2024, ["MLB", "AAA"])
     assert r["status"] == "success" and r["rows"] == 2
-    pl = {p.player_id: (p.name_full, p.birth_date, p.weight) for p in spark.read.parquet(f"{wh}/player").collect()}
+    pl = {p.player_id: (p.name_full, p.birth_date, p.weight) for p in read_stored(spark, f"{wh}/player").collect()}
     assert pl == {21: ("Starter Twentyone", D(1990, 5, 1), 210), 41: ("Ace Fortyone", D(1988, 1, 2), 195)}
     runs = I.load_season_summary(spark, str(root), wh, 2024)
     assert [x["status"] for x in runs] == ["success", "success"]
-    ss = spark.read.parquet(f"{wh}/season_summary")
+    ss = read_stored(spark, f"{wh}/season_summary")
     assert ss.count() == 3 and json.loads(ss.filter("player_id = 41").collect()[0].data)["era"] == 3.1
     led = L.latest_state(L.read_ledger(spark, f"{wh}/scrape_log"))
     assert {(x.data_source, x.level) for x in led.collect()} == {
@@ -111,8 +112,8 @@ def test_game_types_filter(spark, tmp_path):
     s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["schedule", "statsapi"],
               levels=["MLB", "AAA"], game_types=["R"])
     assert s["failed"] == 0
-    assert {r.game_id for r in spark.read.parquet(f"{wh}/schedule").collect()} == {"g1"}
-    assert {r.game_id for r in spark.read.parquet(f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
+    assert {r.game_id for r in read_stored(spark, f"{wh}/schedule").collect()} == {"g1"}
+    assert {r.game_id for r in read_stored(spark, f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
 
 
 def test_malformed_document_fails_its_unit(spark, tmp_path):
@@ -125,7 +126,7 @@ def test_malformed_document_fails_its_unit(spark, tmp_path):
     led = L.read_ledger(spark, f"{wh}/scrape_log")
     assert [(r.data_source, r.level) for r in L.failed_runs(led).collect()] == [("statsapi", "AAA")]
     assert L.latest_state(led).filter("status = 'split'").count() == 2  # the batch attempt
-    assert {r.game_id for r in spark.read.parquet(f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
+    assert {r.game_id for r in read_stored(spark, f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
 
 
 def test_variant_payload_storage(spark, tmp_path):
@@ -133,10 +134,10 @@ def test_variant_payload_storage(spark, tmp_path):
     wh = str(tmp_path / "wh")
     units = I.plan(spark, wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statcast"], levels=["MLB"])
     assert I.load_statcast(spark, str(root), wh, units, payload="variant") == 4
-    sc = spark.read.parquet(f"{wh}/statcast")
+    sc = read_stored(spark, f"{wh}/statcast")
     assert dict(sc.dtypes)["data"] == "variant"
     I.refresh_view(spark, wh)
-    mv = spark.read.parquet(f"{wh}/mv_statcast")
+    mv = read_stored(spark, f"{wh}/mv_statcast")
     assert sorted(r.release_speed for r in mv.collect()) == [96.0, 97.0, 98.0, 99.0]
     assert {r.pitch_type for r in mv.collect()} == {"FF"}
     from pitchlake.plans import diagnostics as Q

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pitchlake.functions.columns import MissingColumnsError
-from pitchlake.operators.merge import ACTION, DuplicateKeyError, merge_counts, merge_frames, upsert_table
+from pitchlake.operators.merge import ACTION, DuplicateKeyError, merge_counts, merge_frames, read_stored, upsert_table
 
 DDL = "k INT, a STRING, b DOUBLE"
 
@@ -102,20 +102,20 @@ def test_upsert_table_partitions(spark, tmp_path):
     first = spark.createDataFrame([(1, 2023, "x"), (2, 2024, "y")], "k INT, year INT, a STRING")
     c1 = upsert_table(spark, path, first, ["k"], schema, ["year"])
     assert c1 == {"n_inserted": 2, "n_updated": 0, "n_affected": 2}
-    stamp_2023 = spark.read.parquet(path).filter("k = 1").collect()[0].scraped_at
+    stamp_2023 = read_stored(spark, path).filter("k = 1").collect()[0].scraped_at
     second = spark.createDataFrame([(2, 2024, "y2"), (3, 2024, "z")], "k INT, year INT, a STRING")
     c2 = upsert_table(spark, path, second, ["k"], schema, ["year"])
     assert c2 == {"n_inserted": 1, "n_updated": 1, "n_affected": 2}
-    got = sorted((r.k, r.year, r.a) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, r.year, r.a) for r in read_stored(spark, path).collect())
     assert got == [(1, 2023, "x"), (2, 2024, "y2"), (3, 2024, "z")]
     # the 2023 partition was not rewritten
-    assert spark.read.parquet(path).filter("k = 1").collect()[0].scraped_at == stamp_2023
+    assert read_stored(spark, path).filter("k = 1").collect()[0].scraped_at == stamp_2023
     # empty source: nothing written
     empty = spark.createDataFrame([], "k INT, year INT, a STRING")
     assert upsert_table(spark, path, empty, ["k"], schema, ["year"])["n_affected"] == 0
     # idempotent re-run
     upsert_table(spark, path, second, ["k"], schema, ["year"])
-    assert spark.read.parquet(path).count() == 3
+    assert read_stored(spark, path).count() == 3
 
 
 def test_upsert_on_driver_tables_counts(spark):
@@ -134,7 +134,7 @@ def test_upsert_table_string_partition_keeps_type(spark, tmp_path):
     schema = spark.createDataFrame([], ddl).schema
     upsert_table(spark, path, spark.createDataFrame([(1, "2024", "x"), (2, "AAA", "y")], ddl), ["k"], schema, ["level"], stamp_col=None)
     upsert_table(spark, path, spark.createDataFrame([(1, "2024", "z")], ddl), ["k"], schema, ["level"], stamp_col=None)
-    got = sorted((r.k, r.level, r.a) for r in spark.read.schema(schema).parquet(path).collect())
+    got = sorted((r.k, r.level, r.a) for r in read_stored(spark, path).collect())
     assert got == [(1, "2024", "z"), (2, "AAA", "y")]
 
 
@@ -147,5 +147,5 @@ def test_upsert_table_leading_zero_partition_and_new_column(spark, tmp_path):
     new = "k INT, level STRING, a STRING, b DOUBLE"
     schema = spark.createDataFrame([], new).schema
     upsert_table(spark, path, spark.createDataFrame([(2, "007", "y", 1.5)], new), ["k"], schema, ["level"], stamp_col=None)
-    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("k", "level", "a", "b").collect())
+    got = sorted(tuple(r) for r in read_stored(spark, path).select("k", "level", "a", "b").collect())
     assert got == [(1, "007", "x", None), (2, "007", "y", 1.5)]

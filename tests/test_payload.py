@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pitchlake.operators.merge import read_stored
 from pitchlake.functions.columns import coerce_to_schema, conform, rename_keep, require_columns, select_tolerant, MissingColumnsError
 from pitchlake.functions.payload import bad_value_counts, pack_json, unpack
 from pitchlake.operators.views import materialize, statcast_view
@@ -124,18 +125,18 @@ def test_materialize_incremental(spark, tmp_path):
     v = statcast_view(sc, _players(spark), profile="core")
     path = str(tmp_path / "mv")
     materialize(spark, v, path, sort_within=["game_pk", "at_bat_number", "pitch_number"])
-    assert spark.read.parquet(path).count() == 9
+    assert read_stored(spark, path).count() == 9
     # refresh only 2024 from a changed source: 2023 stays as it was
     changed = sc.filter(F.col("year") == 2024).filter("pitch_number <= 6")
     materialize(spark, statcast_view(changed, _players(spark), profile="core"), path, only_partitions=[2024])
-    out = spark.read.parquet(path)
+    out = read_stored(spark, path)
     assert out.filter("year = 2023").count() == 4 and out.filter("year = 2024").count() == 2
 
 
 def test_materialize_drops_vanished_partitions(spark, tmp_path):
     rows = spark.createDataFrame([(y, m, i) for i, (y, m) in enumerate([(2023, 1), (2023, 2), (2024, 1), (2024, 2)])], "year INT, month INT, n INT")
     path, parts = str(tmp_path / "mv"), ("year", "month")
-    read = lambda: sorted(tuple(r) for r in spark.read.schema(rows.schema).parquet(path).select("year", "month", "n").collect())
+    read = lambda: sorted(tuple(r) for r in read_stored(spark, path).select("year", "month", "n").collect())
     materialize(spark, rows, path, parts)
     # some years: what they no longer hold goes, other years stay
     materialize(spark, rows.filter("year = 2023 or month = 2").withColumn("n", F.col("n") + 10), path, parts, only_partitions=[2024])
@@ -145,7 +146,7 @@ def test_materialize_drops_vanished_partitions(spark, tmp_path):
         materialize(spark, rows.withColumn("n", F.raise_error(F.lit("no")).cast("int")), path, parts)
     assert len(read()) == 3
     # in whole, also from the stored view itself
-    materialize(spark, spark.read.schema(rows.schema).parquet(path).filter("month = 2"), path, parts)
+    materialize(spark, read_stored(spark, path).filter("month = 2"), path, parts)
     assert read() == [(2023, 2, 1), (2024, 2, 13)]
     assert [f.name for f in tmp_path.iterdir()] == ["mv"]
 
@@ -156,7 +157,7 @@ def test_variant_payload_matches_text(spark, tmp_path):
     sc = _statcast(spark)
     path = str(tmp_path / "sc_variant")
     sc.withColumn("data", to_variant(F.col("data"))).write.parquet(path)
-    stored = spark.read.parquet(path)
+    stored = read_stored(spark, path)
     assert dict(stored.dtypes)["data"] == "variant"
     a = statcast_view(sc, _players(spark)).drop("scraped_at")
     b = statcast_view(stored, _players(spark)).drop("scraped_at")

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from fixtures import games as G
+from pitchlake.operators.merge import read_stored
 from pitchlake.schemas import LINEUP_DDL, SCHEDULE
 from pitchlake.streaming.incremental import stream_games, stream_upsert
 
@@ -25,7 +26,7 @@ def test_stream_games_incremental(spark, tmp_path):
     c2 = stream_games(spark, str(land), tables, lineup=lineup, schedule=sched, checkpoint=ckpt)
     assert c2["event"]["n_inserted"] == 3 and c2["event"]["n_updated"] == 0
 
-    ev = spark.read.parquet(f"{tables}/statsapi_event")
+    ev = read_stored(spark, f"{tables}/statsapi_event")
     assert ev.count() == 11 and ev.filter(F.col("scraped_at").isNull()).count() == 0
     assert {r.year for r in ev.select("year").distinct().collect()} == {2024}
 
@@ -35,7 +36,7 @@ def test_stream_games_incremental(spark, tmp_path):
     (land / "d1-corrected.json").write_text(json.dumps(doc))
     c3 = stream_games(spark, str(land), tables, lineup=lineup, schedule=sched, checkpoint=ckpt)
     assert c3["event"]["n_updated"] == 8 and c3["event"]["n_inserted"] == 0
-    ev = spark.read.parquet(f"{tables}/statsapi_event")
+    ev = read_stored(spark, f"{tables}/statsapi_event")
     assert ev.count() == 11
     assert ev.filter("game_id = 'd1' and event_index = 0").collect()[0].event == "Double"
 
@@ -49,4 +50,4 @@ def test_stream_upsert_schedule(spark, tmp_path):
     src_schema = spark.createDataFrame([], "game_id STRING, game_type STRING, year INT, date DATE, level STRING").schema
     c = stream_upsert(spark, str(land), src_schema, path, SCHEDULE, checkpoint=str(tmp_path / "ck"))
     assert c["n_inserted"] == 1
-    assert spark.read.parquet(path).collect()[0].game_id == "a"
+    assert read_stored(spark, path).collect()[0].game_id == "a"
