@@ -64,6 +64,16 @@ def prepare_games(feed: DataFrame, num_partitions: int | None = None) -> DataFra
     return feed.repartition("game_id")
 
 
+def newest_documents(docs: DataFrame, row_col: str) -> DataFrame:
+    """The last landed copy of each game (``landed_at``, then ``row_col``, a number of
+    its own per row). The choice is made on those columns alone: documents stay
+    where they are, and where every game has one copy, nothing else is read."""
+    copies = docs.groupBy("game_id").agg(F.max(F.struct("landed_at", row_col)).alias("_l"), F.count(F.lit(1)).alias("_n"))
+    if copies.where("_n > 1").isEmpty():
+        return docs
+    return docs.join(copies.select(F.col(f"_l.{row_col}").alias(row_col)), row_col, "left_semi")
+
+
 def _carry(df: DataFrame) -> list[str]:
     """Per-game columns carried onto every row when present (``year`` from the
     landed partition or schedule)."""
@@ -403,14 +413,16 @@ def flatten_games(
     schedule: DataFrame | None = None,
     num_partitions: int | None = None,
     cut_lineage: bool = False,
+    prepared: bool = False,
 ) -> dict[str, DataFrame]:
     """``{'event', 'pitch', 'play'}`` DataFrames in the stored layouts.
 
     ``lineup`` is the extracted starting lineup (``game_id, half_inning,
     position, player_id``; see ``starting_lineup``). ``schedule`` supplies
-    ``year`` per ``game_id``; without it ``year`` is NULL.
+    ``year`` per ``game_id``; without it ``year`` is NULL. With ``prepared``, ``feed``
+    holds one document per game already (``newest_documents`` of a written table).
     """
-    games = prepare_games(feed, num_partitions)
+    games = feed if prepared else prepare_games(feed, num_partitions)
     if lineup is not None:
         games = attach_lineup(games, lineup)
     if cut_lineage:
@@ -423,7 +435,7 @@ def flatten_games(
     if lineup is not None:
         # After a checkpoint the hash partitioning on game_id is not known to the
         # planner any more, so it is restated once (on compact per-event rows).
-        events = with_fielders(event_rows(pa, keep_lineup=True), repartition=cut_lineage)
+        events = with_fielders(event_rows(pa, keep_lineup=True), repartition=cut_lineage or prepared)
     else:
         events = event_rows(pa)
 

@@ -154,6 +154,7 @@ def refresh(
     names: Mapping[str, str],
     partition_by: Sequence[str] = ("year",),
     sort_within: Sequence[str] = (),
+    kind: str = "",
 ) -> dict:
     """Bring the materialised view at ``path`` up to its stored source and dimension tables.
 
@@ -162,16 +163,17 @@ def refresh(
     built and merged by ``keys``; of dimension rows changed since then, the view's reverse
     index on ``join_field`` names the files that show them, and rows whose ``names`` (view
     column -> dimension column) differ get those columns alone. Nothing else is read or
-    written. A view that is not there yet, or without such notes, is built in whole.
+    written. A view that is not there yet, or without such notes, or of another ``kind`` (say,
+    another column profile), is built in whole.
     Returns what was done: ``mode`` and the counts of rows.
     """
     source, dim, view = (versions.latest(spark, p) for p in (source_path, dim_path, path))
     if source is None:
         raise FileNotFoundError(f"no stored table at {source_path}")
     dim_rows = versions.read(spark, dim_path, version=dim.number) if dim else None
-    now = {"source": source.number, "dim": dim.number if dim else 0}
+    now = {"source": source.number, "dim": dim.number if dim else 0, "kind": kind}
     seen = view.notes.get("shows") if view else None
-    if seen is None or dim_rows is None or seen["source"] > now["source"] or seen["dim"] > now["dim"]:
+    if seen is None or seen["kind"] != kind or seen["source"] > now["source"] or seen["dim"] > now["dim"]:
         rows = build(versions.read(spark, source_path, version=source.number), dim_rows)
         materialize(spark, rows, path, partition_by, sort_within, keys=keys, reverse=[join_field], notes={"shows": now})
         return {"mode": "full", "n_rows": versions.read(spark, path).count()}

@@ -10,14 +10,15 @@ finished ones, one join instead of one lookup per unit.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.session import path_missing
+from pitchlake.session import delete_path, path_missing
 from pitchlake.schemas import CHUNK_DAYS, LEDGER, SEASON_END, SEASON_START
 
 UNIT_KEYS = ("data_source", "level", "date_start", "date_end")
@@ -169,7 +170,9 @@ def _row(spark: SparkSession, **values) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table, or an empty one when nothing was logged yet."""
     try:
-        return spark.read.parquet(path)
+        df = spark.read.schema(LEDGER.schema).parquet(path)  # rows from before a column was added read it as NULL
+        df.take(1)  # the path check can be lazy
+        return df
     except AnalysisException as e:
         if not path_missing(e):
             raise
@@ -211,7 +214,7 @@ def close_run(
 ) -> None:
     """Append the final row of a run, carrying its unit from the open row."""
     ts = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    opened = latest_state(spark.read.parquet(path)).filter(F.col("run_id") == run_id).limit(1).collect()
+    opened = latest_state(read_ledger(spark, path)).filter(F.col("run_id") == run_id).limit(1).collect()
     if not opened:
         raise KeyError(f"no ledger row for run {run_id}")
     o = opened[0]
@@ -220,18 +223,23 @@ def close_run(
         date_end=o["date_end"], status=status, games_total=games_total, games_success=games_success,
         games_failed=games_failed, failed_game_ids=list(failed_game_ids) if failed_game_ids else None,
         error_message=error_message, started_at=o["started_at"], completed_at=ts, retry_of=o["retry_of"],
-        rows_written=rows_written, recorded_at=ts,
+        rows_written=rows_written, recorded_at=ts, options=o["options"],
     ).write.mode("append").parquet(path)
 
 
-def open_runs(spark: SparkSession, path: str, units: Sequence[dict], retry_of: str | None = None, now: dt.datetime | None = None) -> list[dict]:
+def open_runs(
+    spark: SparkSession, path: str, units: Sequence[dict], retry_of: str | None = None, now: dt.datetime | None = None,
+    options: dict | None = None,
+) -> list[dict]:
     """Open one run per planned unit in a single append; returns the opened rows
     (unit fields + ``run_id``). ``units`` is the work plan, not data: its size is
-    chunks x sources x levels."""
+    chunks x sources x levels. ``options`` (what the loader was asked for) are kept
+    as JSON, so a retry can ask for the same."""
     ts = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     opened = [
         {**{k: u.get(k) for k in UNIT_KEYS}, "run_id": uuid.uuid4().hex, "status": "running",
-         "started_at": ts, "recorded_at": ts, "retry_of": u.get("retry_of", retry_of)}
+         "started_at": ts, "recorded_at": ts, "retry_of": u.get("retry_of", retry_of),
+         "options": json.dumps(options, sort_keys=True) if options else None}
         for u in units
     ]
     if opened:
@@ -247,12 +255,15 @@ def close_runs(
     rows_written: int | None = None,
     error_message: str | None = None,
     now: dt.datetime | None = None,
+    outcomes: Mapping[str, Mapping] | None = None,
 ) -> None:
-    """Append the final state of several runs in one write."""
+    """Append the final state of several runs in one write. ``outcomes`` gives a run
+    (by its id) values of its own: status, rows, games, failed ids, message."""
     ts = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = [
         {**o, "status": status, "completed_at": ts, "recorded_at": ts, "rows_written": rows_written,
-         "error_message": error_message, "games_failed": 0 if status == "success" else None}
+         "error_message": error_message, "games_failed": 0 if status == "success" else None,
+         **((outcomes or {}).get(o["run_id"], {}))}
         for o in opened
     ]
     if rows:
@@ -261,17 +272,17 @@ def close_runs(
 
 def compact_ledger(spark: SparkSession, path: str, files: int = 1) -> int:
     """Rewrite the append-only ledger into ``files`` files (each open/close
-    appended one small file). Every row is kept; the rows are staged in the shared
-    checkpoint folder first so the rewrite never reads what it replaces. The
-    ledger holds one row per run state (metadata), so a few files suffice.
-    Returns the row count."""
-    from pitchlake.session import scratch_path
-
-    stage = scratch_path(spark, "ledger-compact")
-    read_ledger(spark, path).coalesce(files).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).count()
+    appended one small file). The rows are appended once more in few files, then the
+    files they came from are deleted by name. A crash in between leaves every row,
+    some of them twice, which changes no state; the next run drops the repeats. The
+    ledger holds one row per run state (metadata), so a few files suffice. Returns
+    the row count."""
+    ledger = read_ledger(spark, path)
+    old = ledger.inputFiles()
+    ledger.dropDuplicates().coalesce(files).write.mode("append").parquet(path)
+    for name in old:
+        delete_path(spark, name, encoded=True)
+    return read_ledger(spark, path).count()
 
 
 def get_run(ledger: DataFrame, run_id: str) -> DataFrame:
@@ -286,7 +297,7 @@ def failed_runs(ledger: DataFrame) -> DataFrame:
 
 def plan_from_ledger(ledger: DataFrame, run_id: str) -> dict:
     """The unit of a logged run, to re-run through the same code path.
-    Returns ``{data_source, level, date_start, date_end, retry_of, was_status}``."""
+    Returns ``{data_source, level, date_start, date_end, retry_of, was_status, options}``."""
     rows = get_run(ledger, run_id).limit(1).collect()
     if not rows:
         raise KeyError(f"no ledger entry for run {run_id}")
@@ -294,6 +305,7 @@ def plan_from_ledger(ledger: DataFrame, run_id: str) -> dict:
     return {
         "data_source": r["data_source"], "level": r["level"], "date_start": r["date_start"],
         "date_end": r["date_end"], "retry_of": run_id, "was_status": r["status"],
+        "options": json.loads(r["options"]) if r["options"] else {},
     }
 
 

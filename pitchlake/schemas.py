@@ -117,7 +117,7 @@ LEDGER = TableSpec(
     "run_id STRING, data_source STRING, level STRING, date_start DATE, date_end DATE, "
     "status STRING, games_total INT, games_success INT, games_failed INT, "
     "failed_game_ids ARRAY<INT>, error_message STRING, started_at TIMESTAMP, completed_at TIMESTAMP, "
-    "retry_of STRING, rows_written BIGINT, recorded_at TIMESTAMP",
+    "retry_of STRING, rows_written BIGINT, recorded_at TIMESTAMP, options STRING",
     pk=("run_id", "recorded_at"),
     required=("run_id", "data_source", "status"),
 )

@@ -121,11 +121,13 @@ def test_malformed_document_fails_its_unit(spark, tmp_path):
     _land(root, "statsapi", "level=AAA/date=2024-04-02", "g9.json", '{"game_id": "g9", "liveData": {"plays": ')
     wh = str(tmp_path / "wh")
     s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statsapi"], levels=["MLB", "AAA"])
-    # the batch fails, then each unit is retried alone: MLB succeeds, AAA fails
+    # one job set: the bad file fails its own unit, MLB succeeds
     assert s["succeeded"] == 1 and s["failed"] == 1
     led = L.read_ledger(spark, f"{wh}/scrape_log")
     assert [(r.data_source, r.level) for r in L.failed_runs(led).collect()] == [("statsapi", "AAA")]
-    assert L.latest_state(led).filter("status = 'split'").count() == 2  # the batch attempt
+    assert L.latest_state(led).filter("status = 'split'").count() == 0  # no second attempt unit by unit
+    bad = L.failed_runs(led).collect()[0]
+    assert (bad.games_total, bad.games_success, bad.games_failed, bad.rows_written) == (2, 0, 1, 0) and "g9.json" in bad.error_message
     assert {r.game_id for r in read_stored(spark, f"{wh}/statsapi_event").select("game_id").distinct().collect()} == {"g1"}
 
 
@@ -157,3 +159,66 @@ def test_stored_tables_helper(spark, tmp_path):
     assert t["event"].count() == 8 and t["player"].count() == 0
     assert Q.orphaned_pitches(t["pitch"], t["event"]).collect()[0][0] == 0
     assert Q.pitcher_year_counts(t["view"], 21).collect()[0].pitches == 4
+
+
+def test_units_account_for_their_own_rows(spark, tmp_path):
+    root = _landing(tmp_path)
+    for i, text in enumerate(("nonsense", '{"game_id": 12, "liveData": ', "{{", json.dumps(G.g1("778")))):
+        _land(root, "statsapi", f"level=MLB/date=2024-04-{10 + i}", f"77{5 + i}.json", text)
+    wh = str(tmp_path / "wh")
+    s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 20), sources=["statsapi"], levels=["MLB", "AAA"], chunk_days=1, refresh=False)
+    cur = {(r.level, r.date_start): r for r in L.latest_state(L.read_ledger(spark, f"{wh}/scrape_log")).collect()}
+    assert len(cur) == 40 and s["failed"] == 3 and s["succeeded"] == 37
+    first, second = cur["MLB", D(2024, 4, 1)], cur["AAA", D(2024, 4, 2)]
+    stored = lambda g: sum(read_stored(spark, f"{wh}/{t}").where(F.col("game_id") == g).count() for t in ("statsapi_event", "statsapi_pitch", "statsapi_play"))
+    assert first.rows_written == stored("g1") > 0 and second.rows_written == stored("g2") > 0
+    assert (first.games_total, first.games_success, first.games_failed, first.error_message) == (1, 1, 0, None)
+    assert second.error_message == "1 game(s) without a boxscore: no fielders"
+    for day, ids in ((10, [775]), (11, [776]), (12, [777])):
+        bad = cur["MLB", D(2024, 4, day)]
+        assert (bad.status, bad.games_total, bad.games_success, bad.games_failed, bad.failed_game_ids, bad.rows_written) == ("failed", 1, 0, 1, ids, 0)
+    assert cur["MLB", D(2024, 4, 13)].rows_written == stored("778") > 0
+    quiet = cur["AAA", D(2024, 4, 9)]
+    assert (quiet.status, quiet.rows_written) == ("success", 0)
+    assert s["rows"] == sum(r.rows_written for r in cur.values())
+
+
+def test_a_bad_boxscore_fails_its_unit(spark, tmp_path):
+    root = _landing(tmp_path)
+    _land(root, "boxscore", "level=MLB/date=2024-04-01", "g1.json", "{")
+    wh = str(tmp_path / "wh")
+    s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statsapi"], levels=["MLB", "AAA"])
+    assert (s["succeeded"], s["failed"]) == (1, 1)
+    assert {r.game_id for r in read_stored(spark, f"{wh}/statsapi_event").collect()} == {"g2"}
+
+
+def test_retry_asks_for_what_the_run_asked_for(spark, tmp_path):
+    root = _landing(tmp_path)
+    wh = str(tmp_path / "wh")
+    rows = [{"game_pk": 2, "at_bat_number": 1, "pitch_number": 1, "game_year": 2024, "game_type": "S"}]
+    _land(root, "statcast", "date=2024-04-02", "p.json", "\n".join(map(json.dumps, 2 * rows)))
+    s = I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statcast"], levels=["MLB"], payload="variant", game_types=["R", "S"])
+    assert s["failed"] == 1
+    failed = L.failed_runs(L.read_ledger(spark, f"{wh}/scrape_log")).collect()[0]
+    root2 = _landing(tmp_path / "fixed")
+    _land(root2, "statcast", "date=2024-04-02", "p.json", "\n".join(map(json.dumps, rows)))
+    assert I.retry(spark, str(root2), wh, failed.run_id)["succeeded"] == 1
+    got = read_stored(spark, f"{wh}/statcast")
+    assert dict(got.dtypes)["data"] == "variant" and [r.game_pk for r in got.select("game_pk").collect()] == [2]
+
+
+def test_a_player_load_renames_view_rows(spark, tmp_path):
+    root = _landing(tmp_path)
+    wh = str(tmp_path / "wh")
+    I.run(spark, str(root), wh, D(2024, 4, 1), D(2024, 4, 7), sources=["statcast"], levels=["MLB"])
+    names = lambda: {r.pitcher_name for r in read_stored(spark, f"{wh}/mv_statcast").collect()}
+    assert names() == {None}
+    for name in ("First Name", "Other Name"):
+        _land(root, "players", "year=2024/level=MLB", "p.json", json.dumps({"player_id": 21, "name_full": name}))
+        assert I.load_players(spark, str(root), wh, 2024, ["MLB"])["status"] == "success"
+        assert names() == {name}
+
+
+def test_reversed_window_plans_nothing(spark, tmp_path):
+    units = [{"data_source": "schedule", "level": "MLB", "date_start": D(2024, 4, 2), "date_end": D(2024, 4, 1)}]
+    assert I._pending_days(spark, units).isEmpty()
