@@ -4,12 +4,14 @@ A document's set is its distinct n-word shingles as hashes, in ascending order (
 global order); documents of one set are one node. Sets that can link are dealt to the
 same place first: a class of sizes has m parts of the hash space, more than the
 shingles in which linked sets may differ, so that linked sets agree in whole parts and
-meet in a bucket by such a part's content. Of a bucket's sets one is the centre; the
-others form, ordered by their shingles, a prefix tree that the centre walks depth first:
-sets that share a path share its overlap with the centre, and a subtree ends where the
-overlap so far and the shorter of what remains can't reach the threshold. What the walk
-links is exact. Buckets whose sets end in different components get further centres until
-every pair of different components has been walked.
+meet in a bucket by such a part's content. First each set is compared with a few centres,
+sets that it shares most buckets with, which joins large groups of near copies at the
+cost of a few comparisons a set. Then whatever buckets still hold several components is
+joined in prefix trees: the sets of connected buckets form a tree, and each set outside
+the largest component walks it, sharing the overlap of common paths and leaving a
+branch where the overlap so far and the shorter of what remains can't reach the
+threshold. Every pair of different components that meets in a bucket is decided there, so
+the result is exact.
 """
 
 from __future__ import annotations
@@ -30,8 +32,12 @@ from .components import components
 WORDS, LEAST = 4, 85
 #: Sets of a centre that one walk takes; more are dealt to several walks.
 WALK = 512
-#: Centres that a bucket gets in a round after the first.
-CENTRES = 32
+#: Centres that a set is compared with at first.
+STARS = 3
+#: Shingles of a tree, about; a task holds one tree at a time.
+TREE = 1 << 19
+#: Shingles of a branch's piece.
+PIECE = 16
 #: Shingles that a walk goes on before it tests the bound again.
 STRIDE = 256
 #: Set hashes that a task remembers, so that copies post once.
@@ -312,21 +318,169 @@ def _roots(sids: DataFrame, links: DataFrame) -> DataFrame:
     return sids.join(found, sids["sid"] == found["node"], "left").select("sid", F.coalesce("root", "sid").alias("root"))
 
 
-def _further(rows: DataFrame, roots: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the buckets whose sets are in several components: the next pairs, and the sets that are left.
+def stars(buckets: DataFrame) -> DataFrame:
+    """(a, b): for each set, the centres that it shares most buckets with."""
+    shared = buckets.where("sid <> centre").groupBy("sid", "centre").agg(F.count("*").alias("n"))
+    first = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("n"), "centre"))
+    return shared.withColumn("k", first).where(F.col("k") <= STARS).select(F.col("centre").alias("a"), F.col("sid").alias("b"))
 
-    A bucket's largest component waits; up to ``CENTRES`` of the other sets are centres
-    for all sets of other components, and leave the bucket then.
+
+class Tree:
+    """A prefix tree of sets as arrays of nodes, shingles in the tree's order: rare ones first.
+
+    A node is a piece of a branch; nodes are numbered level by level. ``walk`` goes down
+    with a centre, all branches of a level at once: a node's overlap is its parent's and
+    that of its own piece, and a branch ends where no set below can reach the threshold.
+    As rare shingles come first, the shingles that two sets don't share mostly do, and
+    most branches end at their first piece.
+    """
+
+    def __init__(self, sets: list[np.ndarray], least: int = LEAST):
+        self.least = least
+        self.vocabulary, ids, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.rank = np.empty(len(count), np.int32)
+        self.rank[np.lexsort((self.vocabulary, count))] = np.arange(len(count))
+        ends = np.cumsum([len(s) for s in sets])[:-1]
+        sets = [np.sort(x) for x in np.split(self.rank[ids], ends)]
+        order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
+        parent, begin, end, rep, leaf = [-1], [0], [0], [0], [-1]
+        stack = [(0, 0)]  # (depth, node) of the branch down to the last set
+        for k, i in enumerate(order):
+            tokens, common = sets[i], 0
+            if k:
+                last = sets[order[k - 1]]
+                n = min(len(last), len(tokens))
+                differ = np.flatnonzero(last[:n] != tokens[:n])
+                common = int(differ[0]) if len(differ) else n
+            popped = None
+            while stack[-1][0] > common:
+                popped = stack.pop()[1]
+            if stack[-1][0] < common:  # the branch forks within a piece
+                parent.append(stack[-1][1]), begin.append(begin[popped]), end.append(common), rep.append(rep[popped]), leaf.append(-1)
+                parent[popped], begin[popped] = len(parent) - 1, common
+                stack.append((common, len(parent) - 1))
+            parent.append(stack[-1][1]), begin.append(common), end.append(len(tokens)), rep.append(i), leaf.append(i)
+            stack.append((len(tokens), len(parent) - 1))
+        sizes = np.array([len(s) for s in sets])
+        piece = max(PIECE, int(sizes.max()) // 32)
+        for node in range(1, len(parent)):  # long branches in pieces, so that they end early
+            while end[node] - begin[node] > piece:
+                parent.append(parent[node]), begin.append(begin[node]), end.append(begin[node] + piece), rep.append(rep[node]), leaf.append(-1)
+                parent[node], begin[node] = len(parent) - 1, begin[node] + piece
+        parent, begin, end, rep, leaf = (np.array(x) for x in (parent, begin, end, rep, leaf))
+        level, frontier = np.zeros(len(parent), np.int64), np.array([0])
+        children = np.argsort(parent, kind="stable")
+        first = np.searchsorted(parent[children], np.arange(len(parent) + 1))
+        levels = []
+        while len(frontier):
+            levels.append(frontier)
+            level[frontier] = len(levels)
+            frontier = children[_ranges(first[frontier], first[frontier + 1])]
+        by = np.concatenate(levels)
+        new = np.empty(len(by), np.int64)
+        new[by] = np.arange(len(by))
+        self.leaf, self.depth = leaf[by], end[by]
+        parent = np.where(parent[by] >= 0, new[np.maximum(parent[by], 0)], -1)
+        self.first = np.searchsorted(parent, np.arange(len(by) + 1))  # children of a node stand together
+        starts = np.concatenate([[0], np.cumsum(end[by] - begin[by])])
+        self.tokens = np.empty(starts[-1], np.int32)
+        for at, node in zip(starts, by, strict=False):
+            own = sets[rep[node]][begin[node] : end[node]]
+            self.tokens[at : at + len(own)] = own
+        self.starts, self.sizes = starts, sizes
+        self.last = np.where(end[by] > begin[by], self.tokens[np.maximum(starts[1:] - 1, 0)], -1)
+        low = np.where(self.leaf >= 0, sizes[np.maximum(self.leaf, 0)], np.iinfo(np.int64).max)
+        high = np.where(self.leaf >= 0, sizes[np.maximum(self.leaf, 0)], 0)
+        for nodes in reversed(levels[1:]):
+            at = new[nodes]
+            np.minimum.at(low, parent[at], low[at])
+            np.maximum.at(high, parent[at], high[at])
+        self.low, self.high = low, high
+
+    def walk(self, centre: np.ndarray) -> np.ndarray:
+        """The sets (their places in the given list) that link with ``centre``."""
+        at = np.minimum(np.searchsorted(self.vocabulary, centre), len(self.vocabulary) - 1)
+        known = self.rank[at[self.vocabulary[at] == centre]]
+        mark = np.zeros(len(self.vocabulary), np.int32)
+        mark[known] = 1
+        passed = np.cumsum(mark) + (len(centre) - len(known))  # the centre's shingles up to each place; unknown ones are the rarest
+        c, found = len(centre), []
+        nodes = np.arange(self.first[0], self.first[1])
+        overlap, gone = np.zeros(len(nodes), np.int64), np.full(len(nodes), len(centre) - len(known))
+        while len(nodes):
+            lengths = self.starts[nodes + 1] - self.starts[nodes]
+            hits = np.concatenate([[0], np.cumsum(mark[self.tokens[_ranges(self.starts[nodes], self.starts[nodes + 1])]])])
+            ends = np.cumsum(lengths)
+            overlap = overlap + hits[ends] - hits[ends - lengths]
+            gone = np.where(lengths > 0, passed[np.maximum(self.last[nodes], 0)], gone)
+            depth, left = self.depth[nodes], c - gone
+            best = np.clip(depth + left, self.low[nodes], self.high[nodes])  # the size below with the best chance
+            alive = (overlap + np.minimum(best - depth, left)) * (100 + self.least) >= self.least * (c + best)
+            nodes, overlap, gone = nodes[alive], overlap[alive], gone[alive]
+            own = self.leaf[nodes]
+            size = self.sizes[np.maximum(own, 0)]
+            linked = (own >= 0) & (100 * overlap >= self.least * (c + size - overlap)) & (self.depth[nodes] == size)
+            found.append(own[linked])
+            width = self.first[nodes + 1] - self.first[nodes]
+            overlap, gone = np.repeat(overlap, width), np.repeat(gone, width)
+            nodes = _ranges(self.first[nodes], self.first[nodes + 1])
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """begin[0] .. end[0] - 1, begin[1] .. end[1] - 1 and so on."""
+    lengths = end - begin
+    return np.repeat(begin - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum()) if len(lengths) else np.zeros(0, np.int64)
+
+
+def open_clusters(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(sid, root, cluster): the sets of buckets that hold several components, by what connects such buckets."""
+    rows = buckets.join(roots, "sid")
+    wide = rows.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    edges = stage(rows.join(wide, "key", "left_semi").where("sid <> centre").select(F.col("sid").alias("u"), F.col("centre").alias("v")).distinct(), "jaccard-open")
+    return components(edges).select(F.col("node").alias("sid"), F.col("root").alias("cluster")).join(roots, "sid")
+
+
+def tree_links(clusters: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(u, v): links between the components of each cluster, one for each set and component at most.
+
+    A cluster's largest component has no business with itself; each set outside it is a
+    centre that walks the cluster's tree. A cluster of many shingles has several
+    trees, which every centre of the cluster walks.
     """
-    rows = rows.join(roots, "sid").select("key", "sid", "root")
-    by = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
-    wide = by.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("key", "main")
-    rows = stage(rows.join(wide, "key"), "jaccard-wide")
-    first = F.row_number().over(Window.partitionBy("key").orderBy("sid"))
-    centres = stage(rows.where("root <> main").withColumn("k", first).where(F.col("k") <= CENTRES).select("key", F.col("sid").alias("a"), F.col("root").alias("of")), "jaccard-centres")
-    pairs = rows.join(centres, "key").where("root <> of").select("a", F.col("sid").alias("b"), F.least("a", "sid").alias("lo"), F.greatest("a", "sid").alias("hi"))
-    left = rows.select("key", "sid").join(centres.select("key", F.col("a").alias("sid")), ["key", "sid"], "left_anti")
-    return stage(pairs.dropDuplicates(["lo", "hi"]).join(checked, ["lo", "hi"], "left_anti"), "jaccard-pairs"), stage(left, "jaccard-left")
+    sized = clusters.join(sets.select("sid", "n"), "sid")
+    by = sized.groupBy("cluster", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    of = by.groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.ceil(F.sum("n") / TREE).alias("trees"))
+    rows = stage(clusters.join(of, "cluster"), "jaccard-clusters")
+    members = rows.select("cluster", F.pmod(F.xxhash64("sid"), F.col("trees")).alias("tree"), F.lit(0).alias("role"), "sid", "root")
+    centres = rows.where("root <> main").select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)).alias("tree"), F.lit(1).alias("role"), "sid", "root")
+    dealt = members.unionByName(centres).join(sets.select("sid", "tokens"), "sid").select("cluster", "tree", "role", "sid", "root", "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, tree, roots, sids = None, [], None, None, None
+        for b in slices(batches):
+            u, v = [], []
+            for c, t, role, sid, root, tokens in zip(*(b.column(i).to_pylist() for i in range(5)), b.column(5), strict=True):
+                tokens = np.frombuffer(tokens.as_buffer(), ">u8").astype(np.uint64)
+                if (c, t) != now:
+                    now, held, tree = (c, t), [], None
+                if role == 0:
+                    held.append((sid, root, tokens))
+                    continue
+                if not held:
+                    continue
+                if tree is None:
+                    tree, roots, sids = Tree([x[2] for x in held], least), np.array([x[1] for x in held]), np.array([x[0] for x in held])
+                found = tree.walk(tokens)
+                found = found[roots[found] != root]
+                if len(found):
+                    found = found[np.unique(roots[found], return_index=True)[1]]
+                    u.append(np.full(len(found), sid, np.int64))
+                    v.append(sids[found])
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+
+    return dealt.repartition("cluster", "tree").sortWithinPartitions("cluster", "tree", "role", "sid").mapInArrow(run, "u long, v long")
 
 
 def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST) -> DataFrame:
@@ -345,18 +499,12 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     buckets = stage(shared_buckets(postings(docs, text_col, words, least)), "jaccard-buckets")
     sids = stage(buckets.select("sid").distinct(), "jaccard-live")
     sets = stage(wanted_sets(docs, text_col, nodes.join(sids, "sid").select("h"), words), "jaccard-tokens")
-    pairs = stage(buckets.where("sid <> centre").select(F.col("centre").alias("a"), F.col("sid").alias("b")).distinct(), "jaccard-stars")
-    links, checked = stage(walked(pairs, sets, least), "jaccard-links"), pairs.toDF("lo", "hi")  # a centre is the smallest
+    links = stage(walked(stage(stars(buckets), "jaccard-stars"), sets, least), "jaccard-links")
     roots = stage(_roots(sids, links), "jaccard-roots")
-    left = buckets.select("key", "sid")
-    while True:
-        pairs, left = _further(left, roots, checked)
-        if left.isEmpty():
-            break
-        if not pairs.isEmpty():
-            links = stage(links.unionByName(walked(pairs, sets, least)), "jaccard-links")
-            checked = stage(checked.unionByName(pairs.select("lo", "hi")), "jaccard-checked")
-            roots = stage(_roots(sids, links), "jaccard-roots")
+    clusters = stage(open_clusters(buckets, roots), "jaccard-clusters")
+    if not clusters.isEmpty():
+        links = links.unionByName(stage(tree_links(clusters, sets, least), "jaccard-tree-links"))
+        roots = stage(_roots(sids, links), "jaccard-roots")
     of = nodes.join(roots, "sid", "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
     lows = of.groupBy("root").agg(F.min("low").alias("component_id"))
     of = stage(of.join(lows, "root").select("sid", "component_id"), "jaccard-components")

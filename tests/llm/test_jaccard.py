@@ -75,8 +75,9 @@ def family(rng, size, n, most):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_around_the_threshold(spark, monkeypatch, seed):
     rng = random.Random(seed)
-    monkeypatch.setattr(jaccard, "CENTRES", 2)
+    monkeypatch.setattr(jaccard, "STARS", 1)
     monkeypatch.setattr(jaccard, "WALK", 5)
+    monkeypatch.setattr(jaccard, "TREE", 2000)
     texts = [t for n in (5, 7, 9, 12, 20, 40, 80, 150, 300) for t in family(rng, 25, n, max(1, n // 30) + 1)]
     rng.shuffle(texts)
     got = check(spark, [(i, t) for i, t in enumerate(texts)], least=(85, 70)[seed - 1])
@@ -86,8 +87,7 @@ def test_around_the_threshold(spark, monkeypatch, seed):
     assert max(groups.values()) > 3 and len(groups) > 30
 
 
-def test_template_that_does_not_reach_the_threshold(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CENTRES", 4)
+def test_template_that_does_not_reach_the_threshold(spark):
     stem = " ".join(f"s{i}" for i in range(100))
     check(spark, [(i, stem + " " + " ".join(f"o{i}x{j}" for j in range(14 + i % 6))) for i in range(40)])
 
@@ -120,3 +120,18 @@ def test_a_walk_equals_set_operations():
         for s in sorted(sets, key=lambda s: s.astype(">u8").tobytes()):
             assert walk.links(s) == jaccard.links_at(len(np.intersect1d(s, centre)), len(s), len(centre))
     jaccard.STRIDE = 256
+
+
+@pytest.mark.parametrize("piece", [1, 3, 16])
+def test_a_tree_equals_set_operations(monkeypatch, piece):
+    monkeypatch.setattr(jaccard, "PIECE", piece)
+    rng = np.random.default_rng(piece)
+    for least in (85, 60):
+        base = rng.integers(0, 1 << 20, 150)
+        sets = {np.unique(np.r_[base[rng.random(150) > rng.random() / 2], rng.integers(0, 1 << 20, rng.integers(0, 20))]).astype(np.uint64).tobytes() for _ in range(120)}
+        sets |= {np.unique(base).astype(np.uint64)[:k].tobytes() for k in (1, 2, 70, 71, 140)} | {rng.integers(0, 9, 1).astype(np.uint64).tobytes()}
+        sets = [np.frombuffer(x, np.uint64) for x in sets]
+        tree = jaccard.Tree(sets[:100], least)
+        for c in sets:
+            want = [i for i, s in enumerate(sets[:100]) if jaccard.links_at(len(np.intersect1d(s, c)), len(s), len(c), least)]
+            assert sorted(tree.walk(c).tolist()) == want
