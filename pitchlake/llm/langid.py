@@ -1,9 +1,11 @@
 """Language identification, words first.
 
-A model holds per-language log frequencies of the most frequent words and of the
-most frequent character n-grams. A known word scores by its own frequencies; an
+A model holds per-language log frequencies of each language's most frequent words and
+character n-grams. A known word scores by its own frequencies; an
 unseen one by those of its longest n-grams that are known, each shorter length
-at a discount, down to single characters.
+at a discount, down to single characters. A word that one language has and another has
+not counts there as the rarest word of the largest language would, so few labelled
+words never make a language likely for what it has not seen.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +26,9 @@ from .common import slices, stage, text_or_empty
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 NGRAMS = (5, 4, 3, 2, 1)
-#: Bounds of the model and of the documents that it is fitted on (expected number for each language).
-MAX_WORDS, MAX_NGRAMS, MAX_FIT_DOCS, MAX_LANGUAGES = 60_000, 60_000, 4_000, 1_000
+#: Bounds of the model, shared out evenly among its languages, and of the documents that it
+#: is fitted on (expected number for each language).
+MAX_WORDS, MAX_NGRAMS, MAX_FIT_DOCS = 60_000, 60_000, 4_000
 #: Bounds of a task's table of scored unseen words, and of the words of a text that are summed at a time.
 CACHE_WORDS, BLOCK_WORDS = 200_000, 20_000
 #: Bytes of ASCII text to themselves if they are letters, else to a space.
@@ -91,34 +94,38 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _log_frequencies(rows: list, languages: list[str], totals: np.ndarray) -> dict[str, np.ndarray]:
-    at, table = {x: i for i, x in enumerate(languages)}, {}
+    """By entry, each language's log frequency over that of an unseen entry, which is the
+    same for all languages: half a count in the largest one. Half a count for each entry
+    of the table is set aside in every language."""
+    at, table, aside = {x: i for i, x in enumerate(languages)}, {}, 0.5 * len(rows)
+    unseen = np.log(0.5 / (totals.max(initial=0.0) + aside)) if rows else 0.0
     for r in rows:
         v = np.zeros(len(languages))
         for lang, n in zip(r.langs, r.ns, strict=True):
-            v[at[lang]] = n
-        v = np.log((v + 0.5) / (totals + 1.0))
-        table[r.gram] = v - v.mean()
+            i = at[lang]
+            v[i] = np.log((n + 0.5) / (totals[i] + aside)) - unseen
+        table[r.gram] = v
     return table
 
 
 def fit(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None,
     max_docs: int = MAX_FIT_DOCS, max_words: int = MAX_WORDS, max_ngrams: int = MAX_NGRAMS,
-    max_languages: int = MAX_LANGUAGES,
 ) -> Model:
     """Fit on rows with non-null text and language.
 
     Of a language with more than ``max_docs`` rows, those whose hash of ``key``
     (by default of the text) falls under the share are taken, so about
-    ``max_docs``. The model keeps the ``max_words`` and ``max_ngrams`` most
-    frequent entries, of the ``max_languages`` languages with most rows: what reaches the driver and the tasks is bounded by these
-    parameters, not by the data.
+    ``max_docs``. Every language of the labels is learnt. The model keeps each
+    language's most frequent words and n-grams, ``max_words`` and ``max_ngrams`` of them
+    divided by the number of languages: what reaches the driver and the tasks is bounded
+    by these parameters, not by the data.
     """
     rows = labelled.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         (F.pmod(F.xxhash64(key if key is not None else F.col(text_col)), F.lit(1 << 20)) / float(1 << 20)).alias("at"),
     ).where("lang is not null and text is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros(0), {}, {})
     languages = sorted(sizes)
@@ -131,10 +138,11 @@ def fit(
     totals = {(r.kind, r.lang): r.n for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     tables = []
     for kind, most in ((0, max_words), (1, max_ngrams)):
+        own = counts.where(F.col("kind") == kind)
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+        kept = own.withColumn("place", place).where(F.col("place") <= max(1, most // len(languages))).select("gram").distinct()
         top = (
-            counts.where(F.col("kind") == kind).groupBy("gram")
-            .agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by"))
-            .orderBy(F.desc("n"), "gram").limit(most)
+            own.join(kept, "gram").groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("by"))
             .select("gram", F.col("by.lang").alias("langs"), F.col("by.n").alias("ns")).collect()
         )
         sums = np.array([float(totals.get((kind, x), 0)) for x in languages])

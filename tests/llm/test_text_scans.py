@@ -158,6 +158,59 @@ def test_language_edges(spark):
     assert len(out) and langid.identify(edge_docs(spark)).count() == len(edge_rows())
 
 
+def brute_language(model, text):
+    """Word by word, in plain floats."""
+    import math
+
+    if not model.languages or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    sums = [float(x) for x in model.prior]
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        vector, weight = model.words.get(w), 1.0
+        for n in () if vector is not None else (5, 4, 3, 2, 1):
+            weight /= 2
+            grams = [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]
+            known = [model.ngrams[g] for g in grams if g in model.ngrams]
+            if known:
+                vector = [weight * sum(k[j] for k in known) / len(known) for j in range(len(sums))]
+                break
+        sums = [a + (float(vector[j]) if vector is not None else 0.0) for j, a in enumerate(sums)]
+    best = max(range(len(sums)), key=lambda j: (sums[j], -j))
+    return model.languages[best], 1 / sum(math.exp(x - sums[best]) for x in sums)
+
+
+def test_predictions_equal_a_word_by_word_predictor(spark):
+    docs = read_docs(spark, SF001)
+    model = langid.fit(docs.where(~langid.held_out("doc_id")), key=docs["doc_id"], max_words=400, max_ngrams=400)
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for r in docs.collect():
+        lang, score = brute_language(model, r.text or "")
+        assert got[r.doc_id].lang_pred == lang and got[r.doc_id].score == pytest.approx(score, abs=1e-9)
+
+
+def test_a_tiny_language_takes_nothing_from_large_ones(spark):
+    docs = read_docs(spark, SF01).select("doc_id", "text", "lang")
+    tiny = ["il gatto dorme sul letto", "la pioggia cade sulla strada", "oggi mangio una mela rossa", "domani andiamo tutti al mare", "questa casa ha molte finestre", "il treno parte dalla stazione"]
+    few = spark.createDataFrame([(10**6 + i, t, "it") for i, t in enumerate(tiny)], docs.schema)
+    both = docs.unionByName(few)
+    model = langid.fit(both)
+    rows = langid.predict(both, model, keep=(both["lang"].alias("lang_true"),)).collect()
+    large = [r.lang_pred == r.lang_true for r in rows if r.doc_id < 10**6 and r.lang_true is not None and r.lang_pred != "und"]
+    assert sum(large) > 0.99 * len(large)
+    assert sum(r.lang_pred == "it" for r in rows if r.doc_id >= 10**6) >= 5
+    # and of unequal sizes: one large language, the others a fifth of it
+    part = docs.where("lang = 'en' or doc_id % 5 = 0")
+    rows = langid.predict(docs, langid.fit(part), keep=(docs["lang"].alias("lang_true"),)).where("lang_pred <> 'und'").collect()
+    assert sum(r.lang_pred == r.lang_true for r in rows) > 0.99 * len(rows)
+
+
+def test_every_language_keeps_entries(spark):
+    rows = [(i, " ".join(f"w{'abcdefghij'[j % 10]}{'klmnopqrst'[j // 10 % 10]}" for j in range(100)), "big") for i in range(50)]
+    rows += [(100 + i, f"qq{c}x zz{c}", f"l{c}") for i, c in enumerate("abcdefgh")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_words=18, max_ngrams=90)
+    assert len(model.languages) == 9 and all(f"qq{c}x" in model.words for c in "abcdefgh")
+
+
 def test_backoff_takes_the_longest_known_ngrams():
     import numpy as np
 
