@@ -41,6 +41,7 @@ PICKOFF_TYPE = "pickoff"
 TOP, BOTTOM = "top", "bottom"
 SCORE = "score"
 BASES = (("1b", "1B"), ("2b", "2B"), ("3b", "3B"))
+OUTS_OF_HALF = 3
 STOLEN_BASE_PREFIX = "stolen_base"
 CAUGHT_STEALING_PREFIX = "caught_stealing"
 PICKOFF_PREFIX = "pickoff"
@@ -341,16 +342,20 @@ def with_fielders(events: DataFrame, repartition: bool = True) -> DataFrame:
 
 # --- base-out state per play ------------------------------------------------
 
-def _ends_safe_at(base: str):
-    def pred(r: Column) -> Column:
-        return (r["movement"]["end"] == base) & ~F.coalesce(r["movement"]["isOut"], F.lit(False))
+def _ends_safe_at(base: str, moves: Column):
+    """The movement ends there, not out, and is the runner's last one of the play: a
+    runner who takes two bases on one play stands on the second only."""
+    def pred(r: Column, i: Column) -> Column:
+        again = F.exists(F.slice(moves, i + 2, F.size(moves)), lambda x: x["details"]["runner"]["id"] == r["details"]["runner"]["id"])
+        return (r["movement"]["end"] == base) & ~F.coalesce(r["movement"]["isOut"], F.lit(False)) & ~F.coalesce(again, F.lit(False))
 
     return pred
 
 
-def _starts_at(base: str):
+def _leaves(base: str):
+    """The movement starts there, or reached it only to go on."""
     def pred(r: Column) -> Column:
-        return r["movement"]["start"] == base
+        return (r["movement"]["start"] == base) | (r["movement"]["end"] == base)
 
     return pred
 
@@ -360,10 +365,10 @@ def base_out_state(plays: DataFrame) -> DataFrame:
 
     Our rule (the source's tracker is not visible): the runner movements of a
     plate appearance are assigned to play events by ``details.playIndex``. After a
-    play, a base holds the runner whose movement ended there (not out), is empty
-    if a runner left it, else keeps its previous occupant; each half-inning starts
-    with empty bases and no outs. Carried forward per (game, inning, half) in
-    (event, position) order.
+    play, a base holds the runner whose last movement of the play ended there (not
+    out), is empty if a runner left or passed it, else keeps its previous occupant;
+    each half-inning starts with empty bases and no outs, and nobody is on base once
+    three are out. Carried forward per (game, inning, half) in (event, position) order.
     """
     moves = F.filter(F.col("runners"), lambda r: r["details"]["playIndex"] == F.col("play_index"))
     cols = {
@@ -373,8 +378,8 @@ def base_out_state(plays: DataFrame) -> DataFrame:
         "is_pickoff": (F.col("type") == PICKOFF_TYPE) | F.coalesce(F.col("event_type"), F.lit("")).startswith(PICKOFF_PREFIX),
     }
     for short, code in BASES:
-        arrive = F.get(F.filter(moves, _ends_safe_at(code)), 0)["details"]["runner"]["id"]
-        leave = F.exists(moves, _starts_at(code))
+        arrive = F.get(F.filter(moves, _ends_safe_at(code, moves)), 0)["details"]["runner"]["id"]
+        leave = F.exists(moves, _leaves(code))
         cols[f"_chg_{short}"] = F.when(arrive.isNotNull(), arrive).when(leave, F.lit(_EMPTIED))
     d = plays.withColumns(cols)
 
@@ -386,6 +391,7 @@ def base_out_state(plays: DataFrame) -> DataFrame:
         out[f"post_runner_{short}_id"] = F.when(carried != _EMPTIED, carried)
     out["post_outs"] = F.coalesce(F.last(F.col("outs"), ignorenulls=True).over(run), F.lit(0))
     d = d.withColumns(out)
+    d = d.withColumns({f"post_runner_{s}_id": F.when(F.col("post_outs") < OUTS_OF_HALF, F.col(f"post_runner_{s}_id")) for s, _ in BASES})
     pre = {f"pre_runner_{s}_id": F.lag(f"post_runner_{s}_id", 1).over(half) for s, _ in BASES}
     pre["pre_outs"] = F.coalesce(F.lag("post_outs", 1).over(half), F.lit(0))
     return d.withColumns(pre).drop(*[f"_chg_{s}" for s, _ in BASES])
@@ -397,12 +403,16 @@ _RUNNING_FLAGS = ("is_stolen_base", "is_caught_stealing", "is_pickoff")
 def identified_plays(plays: DataFrame) -> DataFrame:
     """Rows with a ``play_id`` of ``base_out_state``'s result. The state was
     carried over all rows; what happened on rows without an id (a steal on an
-    action row) is flagged on the next row of the half-inning that has one."""
-    order = Window.partitionBy("game_id", "inning", "half_inning").orderBy("event_index", "pos")
+    action row, a run on it) counts on the next row of the half-inning that has one, and
+    after the last such row on that one: a half's plays have all its runs."""
+    half = Window.partitionBy("game_id", "inning", "half_inning")
+    order = half.orderBy("event_index", "pos")
     before = F.count("play_id").over(order.rowsBetween(_UNB, -1))
-    group = Window.partitionBy("game_id", "inning", "half_inning", "_next")
+    placed = plays.withColumns({"_next": before, "_ids": F.count("play_id").over(half)})
+    group = Window.partitionBy("game_id", "inning", "half_inning", F.least(F.col("_next"), F.col("_ids") - 1))
     flags = {c: F.max(F.coalesce(F.col(c), F.lit(False))).over(group) for c in _RUNNING_FLAGS}
-    return plays.withColumn("_next", before).withColumns(flags).filter(F.col("play_id").isNotNull()).drop("_next")
+    runs = F.sum("runs_on_play").over(group).cast("int")
+    return placed.withColumns({**flags, "runs_on_play": runs}).filter(F.col("play_id").isNotNull()).drop("_next", "_ids")
 
 
 # --- the three stored outputs -----------------------------------------------

@@ -111,6 +111,15 @@ def q_game_plays(spark, sf):
     return _flattened(spark, sf)["play"].select(*PLAY_COLUMNS)
 
 
+def q_half_runs(spark, sf):
+    """Runs of each half-inning by its events and by its identified plays."""
+    out = _flattened(spark, sf)
+    plays = out["play"].groupBy("game_id", "event_index").agg(F.sum("runs_on_play").alias("p"), F.count(F.lit(1)).alias("n"))
+    both = out["event"].select("game_id", "event_index", "half_inning", "runs_on_event").join(plays, ["game_id", "event_index"], "left")
+    return both.groupBy("game_id", "half_inning").agg(
+        F.sum("runs_on_event").alias("event_runs"), F.sum("p").alias("play_runs"), F.coalesce(F.sum("n"), F.lit(0)).alias("plays"))
+
+
 # --- typed payload ------------------------------------------------------------
 
 WIDE_SPEC = [("qty", "numeric"), ("line", "int"), ("ship", "date"), ("flag", "text"), ("part", "bigint"), ("price", "numeric"), ("open", "boolean")]
@@ -212,13 +221,23 @@ changed AS (
          CAST(l_suppkey % 4 = 2 AS INTEGER) AS runs_on_play
   FROM plays WINDOW w AS (PARTITION BY game_id, pa ORDER BY i)),
 after AS (SELECT *, {_POST}, coalesce(last_value(outs IGNORE NULLS) {_HALF}, 0) AS post_outs,
-                 count(play_id) OVER (PARTITION BY game_id, half ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nxt FROM changed),
+                 least(count(play_id) OVER (PARTITION BY game_id, half ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                       count(play_id) OVER (PARTITION BY game_id, half) - 1) AS nxt FROM changed),
 states AS (
-  SELECT *, {_PRE}, lag(post_outs, 1, 0) OVER (PARTITION BY game_id, half ORDER BY i) AS pre_outs, balls AS post_balls, strikes AS post_strikes,
+  SELECT * REPLACE (CAST(sum(runs_on_play) OVER n AS INTEGER) AS runs_on_play), {_PRE}, lag(post_outs, 1, 0) OVER (PARTITION BY game_id, half ORDER BY i) AS pre_outs, balls AS post_balls, strikes AS post_strikes,
          bool_or(l_quantity < 10) OVER n AS is_stolen_base, bool_or(l_quantity >= 10 AND l_quantity < 20) OVER n AS is_caught_stealing,
          bool_or(type = 'pickoff') OVER n AS is_pickoff, pa AS event_index, i AS play_index, i + 1 AS pitch_number
   FROM after WINDOW n AS (PARTITION BY game_id, half, nxt))
 SELECT {", ".join(PLAY_COLUMNS)} FROM states WHERE play_id IS NOT NULL""",
+    # from the lines alone: no plate appearances, movements or play ids in between
+    "half_runs": """
+SELECT CAST(l_orderkey AS VARCHAR) AS game_id, CASE WHEN i < 4 THEN 'top' ELSE 'bottom' END AS half_inning,
+       count(*) FILTER (WHERE l_suppkey % 4 = 2) AS event_runs,
+       CASE WHEN count(*) FILTER (WHERE l_quantity <= 40) > 0 THEN count(*) FILTER (WHERE l_suppkey % 4 = 2) END AS play_runs,
+       count(*) FILTER (WHERE l_quantity <= 40) AS plays
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_returnflag, l_linestatus) - 1 AS i
+      FROM lineitem)
+GROUP BY 1, 2""",
     "payload_typed": """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 2 THEN l_quantity END AS qty,
        CASE WHEN l_quantity <= 40 THEN l_linenumber END AS line,

@@ -132,9 +132,10 @@ EMPTIED = object()
 def brute_base_out(doc):
     """Our base-out rule as plain loops: per (inning, half), all play events in
     (event, position) order; runner movements belong to the event whose index
-    they name; a base keeps its occupant until a runner arrives (not out) or
-    leaves; each half starts empty with no outs. Rows are the events with a play
-    id; steals and pickoffs on events without one show on the next that has."""
+    they name and are applied one after the other; a runner stands where his last one
+    ends (not out); each half starts empty with no outs, and three outs empty the bases.
+    Rows are the events with a play id; steals, pickoffs and runs on events without one
+    show on the next that has, or else on the last that had."""
     gid = doc["game_id"]
     rows = []
     for pa in doc["liveData"]["plays"]["allPlays"]:
@@ -149,19 +150,24 @@ def brute_base_out(doc):
         carried = {"1b": None, "2b": None, "3b": None}
         outs = None
         prev = None
-        pending = set()
+        pending, runs, mine = set(), 0, []
         for idx, _pos, pa, e in sorted(plays, key=lambda t: (t[0], t[1])):
             moves = [r for r in pa.get("runners") or [] if _get(r, "details", "playIndex") == e.get("index")]
-            for short, code in (("1b", "1B"), ("2b", "2B"), ("3b", "3B")):
-                arrive = next((_get(r, "details", "runner", "id") for r in moves
-                               if _get(r, "movement", "end") == code and not (_get(r, "movement", "isOut") or False)), None)
-                if arrive is not None:
-                    carried[short] = arrive
-                elif any(_get(r, "movement", "start") == code for r in moves):
-                    carried[short] = EMPTIED
+            shorts = {"1B": "1b", "2B": "2b", "3B": "3b"}
+            stands = {}  # base -> first of the runners who stop there
+            for k, r in enumerate(moves):
+                rid, end = _get(r, "details", "runner", "id"), _get(r, "movement", "end")
+                for code in (_get(r, "movement", "start"), end):
+                    if code in shorts:
+                        carried[shorts[code]] = EMPTIED
+                last = rid is None or all(_get(x, "details", "runner", "id") != rid for x in moves[k + 1 :])
+                if end in shorts and last and not (_get(r, "movement", "isOut") or False):
+                    stands.setdefault(end, rid)
+            for code, rid in stands.items():
+                carried[shorts[code]] = rid if rid is not None else EMPTIED
             if _get(e, "count", "outs") is not None:
                 outs = _get(e, "count", "outs")
-            post = {s: (None if v is EMPTIED else v) for s, v in carried.items()}
+            post = {s: (None if v is EMPTIED or (outs or 0) >= 3 else v) for s, v in carried.items()}
             etypes = [(_get(r, "details", "eventType") or "") for r in moves]
             row = {
                 "game_id": gid, "event_index": idx, "play_index": e.get("index"),
@@ -177,14 +183,39 @@ def brute_base_out(doc):
                 row[f"pre_runner_{s}_id"] = prev[f"post_runner_{s}_id"] if prev else None
             prev = row
             flags = {k for k in ("is_stolen_base", "is_caught_stealing", "is_pickoff") if row[k]}
+            runs += row["runs_on_play"]
             if e.get("playId") is None:
                 pending |= flags
             else:
-                out.append({**row, **{k: True for k in pending}})
-                pending = set()
+                mine.append({**row, "runs_on_play": runs, **{k: True for k in pending}})
+                pending, runs = set(), 0
+        if mine:
+            mine[-1].update({k: True for k in pending})
+            mine[-1]["runs_on_play"] += runs
+        out += mine
     return out
 
 
+def test_two_bases_on_one_play_runs_without_id_and_the_third_out(spark, tmp_path):
+    doc = G.g1("fold")
+    pas = doc["liveData"]["plays"]["allPlays"]
+    half = [p for p in pas if (p["about"]["inning"], p["about"]["halfInning"]) == (pas[0]["about"]["inning"], pas[0]["about"]["halfInning"])]
+    move = lambda at, who, start, end, out=False: {"details": {"playIndex": at, "runner": {"id": who}}, "movement": {"start": start, "end": end, "isOut": out}}
+    first, last = half[0], half[-1]
+    first["playEvents"] = [{"index": 80, "type": "action"}, *first["playEvents"]]
+    first["runners"] = [*(first.get("runners") or []), move(80, 1, None, "1B"), move(80, 1, "1B", "2B"), move(80, 2, None, "score")]
+    last["playEvents"] = [*last["playEvents"], {"index": 95, "type": "action", "count": {"outs": 3}}]
+    last["runners"] = [*(last.get("runners") or []), move(95, 9, None, "3B"), move(95, 8, "3B", "score")]
+    out = flatten_games(read_game_feed(spark, G.write_docs([doc], tmp_path)))
+    cols = ["game_id", "event_index", "play_index", "runs_on_play", "pre_runner_1b_id", "pre_runner_2b_id", "post_runner_3b_id", "post_outs"]
+    want = brute_base_out(doc)
+    _cmp(out["play"].fillna(-1), [{k: -1 if v is None else v for k, v in r.items()} for r in want], cols)
+    rows = out["play"].where(F.col("event_index") == first["about"]["atBatIndex"]).orderBy("play_index").collect()
+    assert rows[0].pre_runner_1b_id is None and rows[0].pre_runner_2b_id == 1 and rows[0].runs_on_play >= 1
+    halves = out["event"].groupBy("inning", "half_inning").agg(F.sum("runs_on_event").alias("n")).agg(F.sum("n")).first()[0]
+    assert out["play"].agg(F.sum("runs_on_play")).first()[0] == halves
+
+
 def test_steal_on_an_event_without_play_id(spark, tmp_path):
     doc = G.g1("steal")
     pa = doc["liveData"]["plays"]["allPlays"][1]
