@@ -8,6 +8,7 @@ runtime from its measured size; skewed partitions are split).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -102,10 +103,10 @@ def fanout_check(
     parent: DataFrame,
     child: DataFrame,
     grandchild: DataFrame,
-    parent_key: str,
-    child_parent_key: str,
-    child_key: str,
-    grandchild_child_key: str,
+    parent_key: str | Sequence[str],
+    child_parent_key: str | Sequence[str],
+    child_key: str | Sequence[str],
+    grandchild_child_key: str | Sequence[str],
     grandchild_count_col: str,
     group_cols: Sequence[str],
     distinct_alias: str,
@@ -115,7 +116,7 @@ def fanout_check(
     """Per parent group: distinct children and non-NULL grandchild values reached
     through ``parent JOIN child LEFT JOIN grandchild``.
 
-    With ``child_unique=True`` (the child key is the child table's primary key)
+    Keys are columns or lists of columns. With ``child_unique=True`` (the child key is the child table's primary key)
     the distinct count is a plain count, which saves the two-level aggregation.
 
     The grandchild side is pre-aggregated to one row per child key (count of
@@ -123,12 +124,15 @@ def fanout_check(
     is never materialised; summing those counts over the joined child rows gives
     exactly ``COUNT(g.col)`` of the fanned-out join.
     """
-    g = grandchild.groupBy(F.col(grandchild_child_key).alias("_gk")).agg(
+    up, down, own, of = ([k] if isinstance(k, str) else list(k) for k in (parent_key, child_parent_key, child_key, grandchild_child_key))
+    g = grandchild.groupBy(*[F.col(k).alias(f"_gk{i}") for i, k in enumerate(of)]).agg(
         F.count(F.col(grandchild_count_col)).alias("_gn")
     )
-    c = child.join(g, F.col(child_key) == F.col("_gk"), "left")
-    pc = parent.join(c, F.col(parent_key) == F.col(child_parent_key), "inner")
-    children = F.count(F.col(child_key)) if child_unique else F.count_distinct(F.col(child_key))
+    c = child.join(g, [F.col(k) == F.col(f"_gk{i}") for i, k in enumerate(own)], "left")
+    pc = parent.join(c, [F.col(p) == F.col(k) for p, k in zip(up, down, strict=True)], "inner")
+    # a key with a NULL part is no key: neither counts it
+    whole = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in own])
+    children = F.count(F.when(whole, 1)) if child_unique else F.count_distinct(*[F.col(k) for k in own])
     return pc.groupBy(*group_cols).agg(
         children.alias(distinct_alias),
         F.coalesce(F.sum("_gn"), F.lit(0)).cast("bigint").alias(count_alias),
@@ -157,6 +161,29 @@ def duplicate_keys(df: DataFrame, pk: Sequence[str], count_alias: str = "n") ->
     return df.groupBy(*pk).agg(F.count(F.lit(1)).alias(count_alias)).filter(F.col(count_alias) > 1)
 
 
+def constraint_violations(df: DataFrame, pk: Sequence[str], required: Sequence[str] = (), types: Mapping[str, str] | None = None) -> DataFrame:
+    """The constraints of a table that its rows break: (kind, column_name, n), one row for
+    each constraint, n = 0 where it holds.
+
+    ``key``: keys that occur more than once. ``not_null``: rows without a key or
+    required column. ``type``: values that are there but can't be read as the type that
+    ``types`` declares. One pass: counts per key (combined before the shuffle), then
+    one row of sums.
+    """
+    needed, declared = list(dict.fromkeys([*pk, *required])), dict(types or {})
+    bad = {c: F.col(c).isNotNull() & F.trim(F.col(c).cast("string")).try_cast(t).isNull() for c, t in declared.items()}
+    per = df.groupBy(*pk).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(needed)],
+        *[F.count_if(b).alias(f"_bad_{i}") for i, b in enumerate(bad.values())])
+    key = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in pk])
+    sums = per.agg(
+        F.count_if((F.col("_n") > 1) & key).alias("_dup"), *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(needed))],
+        *[F.coalesce(F.sum(f"_bad_{i}"), F.lit(0)).alias(f"_bad_{i}") for i in range(len(bad))])
+    rows = [("key", ",".join(pk), "_dup"), *(("not_null", c, f"_null_{i}") for i, c in enumerate(needed)), *(("type", c, f"_bad_{i}") for i, c in enumerate(bad))]
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column_name"), F.col(n).cast("bigint").alias("n")) for k, c, n in rows]))
+    return sums.select(each.alias("_c")).select("_c.*")
+
+
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long form: one row per column with its NULL count and the row count.
     One aggregate pass, then an unpivot of the single result row."""

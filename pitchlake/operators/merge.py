@@ -173,6 +173,7 @@ def upsert_table(
     attempts: int = 3,
     notes: dict | None = None,
     reverse: Sequence[str] = (),
+    once: tuple[str, int] | None = None,
 ) -> dict:
     """Merge ``source`` into the stored table at ``path``; returns counts.
 
@@ -190,7 +191,9 @@ def upsert_table(
     error, and so is an empty text in one, which folder names can't tell from NULL.
     With ``unit_col`` (a column of the batch) the result has ``by_unit``: the counts of
     each of its values, taken from the rows that were written. ``notes`` are kept with
-    the version; ``reverse`` names columns whose values are indexed by file.
+    the version; ``reverse`` names columns whose values are indexed by file. With
+    ``once``, the name of a stream and the number of its batch, a batch that the table
+    took already is not merged again; its counts come from the version that took it.
     """
     # The batch is read several times (checks, key search, merge): one copy in the shared
     # folder, so that an executor loss never makes two passes see different rows.
@@ -201,7 +204,7 @@ def upsert_table(
     try:
         for left in reversed(range(attempts)):
             try:
-                return _upsert(spark, path, batch, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required, unit_col, notes, reverse)
+                return _upsert(spark, path, batch, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required, unit_col, notes, reverse, once)
             except versions.ConflictError:
                 if not left:
                     raise
@@ -209,7 +212,7 @@ def upsert_table(
         delete_path(spark, stage)
 
 
-def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required, unit_col, notes, reverse) -> dict:
+def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col, cluster, required, unit_col, notes, reverse, once) -> dict:
     counts = {"n_inserted": 0, "n_updated": 0, "n_affected": 0, **({"by_unit": {}} if unit_col else {})}
     if source.isEmpty():
         return counts
@@ -218,6 +221,9 @@ def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col,
         raise MissingColumnsError(f"partition column(s) missing in the batch: {', '.join(absent)}")
     _check_rows(source, pk, schema, parts, required)
     base, plain, files = _stored(spark, path, schema)
+    taken = base.notes.get("once", {}) if base is not None else {}
+    if once and once[0] in taken and taken[once[0]]["batch"] >= once[1]:
+        return taken[once[0]]["counts"]
     if base is not None:
         keys = coerce_to_schema(source.select(*pk), T.StructType([schema[k] for k in pk]), strict=True).distinct()
         files = versions.holding(spark, path, base, keys) if base.keys == tuple(pk) else versions.files_where(spark, path, base, F.lit(True))
@@ -234,10 +240,6 @@ def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col,
         # partition still splits over tasks, and files hold narrow key ranges.
         merged = merged.repartitionByRange(*[F.col(c) for c in [*parts, *pk]]).sortWithinPartitions(*parts, *pk)
     added = versions.add(spark, path, merged, schema, parts, pk, reverse)
-    versions.commit(spark, path, base, added, schema, parts, pk, drop=files if base is not None else (), notes=notes)
-    if base is None and files:
-        for name in files:  # the plain files that the first version took over
-            delete_path(spark, name, encoded=True)
     for c in added.counts:
         for name, action in (("n_inserted", "insert"), ("n_updated", "update")):
             if c["action"] == action:
@@ -245,6 +247,13 @@ def _upsert(spark, path, source, pk, schema, partition_by, dedupe_by, stamp_col,
                 counts["n_affected"] += c["n"]
                 if unit_col:
                     counts["by_unit"][c["unit"]] = counts["by_unit"].get(c["unit"], 0) + c["n"]
+    notes = {**(notes or {}), **({"reverse": list(reverse)} if reverse else {})}
+    if once:
+        notes["once"] = {**taken, once[0]: {"batch": once[1], "counts": counts}}
+    versions.commit(spark, path, base, added, schema, parts, pk, drop=files if base is not None else (), notes=notes)
+    if base is None and files:
+        for name in files:  # the plain files that the first version took over
+            delete_path(spark, name, encoded=True)
     return counts
 
 

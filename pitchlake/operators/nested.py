@@ -353,9 +353,10 @@ def _ends_safe_at(base: str, moves: Column):
 
 
 def _leaves(base: str):
-    """The movement starts there, or reached it only to go on."""
+    """The movement starts there, or reached it safely only to go on."""
     def pred(r: Column) -> Column:
-        return (r["movement"]["start"] == base) | (r["movement"]["end"] == base)
+        m = r["movement"]
+        return (m["start"] == base) | ((m["end"] == base) & ~F.coalesce(m["isOut"], F.lit(False)))
 
     return pred
 

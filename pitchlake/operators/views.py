@@ -138,7 +138,7 @@ def materialize(
     number = (base.number if base else 0) + 1
     added = versions.add(spark, path, v.withColumn(CHANGED, F.lit(number).cast("long")), view.schema, parts, keys, reverse)
     drop = versions.files_where(spark, path, base, named) if some else None
-    versions.commit(spark, path, base, added, view.schema, parts, keys, drop, notes)
+    versions.commit(spark, path, base, added, view.schema, parts, keys, drop, {**(notes or {}), **({"reverse": list(reverse)} if reverse else {})})
     return path
 
 

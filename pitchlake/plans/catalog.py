@@ -25,6 +25,7 @@ from pitchlake.operators.merge import ACTION, keep_last, merge_counts, merge_fra
 from pitchlake.operators.views import materialize, unpack_view
 from pitchlake.plans import ledger as L
 from pitchlake.plans.game_queries import GAME_QUERIES
+from pitchlake.plans.storage_queries import STORAGE_QUERIES
 from pitchlake.schemas import COVERAGE_ALARM_PCT
 from pitchlake.session import Tables, scratch_path
 from pitchlake.sources.landed import csv_round_trip
@@ -608,4 +609,4 @@ def q_upsert_partition_move(spark, sf):
 
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
-} | GAME_QUERIES
+} | GAME_QUERIES | STORAGE_QUERIES

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchlake.session import delete_path, path_missing
@@ -113,6 +113,31 @@ def uncovered_days(units: DataFrame, done: DataFrame, keys: Sequence[str] = ("da
     return want.join(have, [*keys, "day"], "left_anti")
 
 
+def uncovered_windows(units: DataFrame, done: DataFrame, keys: Sequence[str] = ("data_source", "level")) -> DataFrame:
+    """Interval-aware coverage without a row per day: (keys, gap_start, gap_end), the runs
+    of days of each unit that no finished window of the same keys holds.
+
+    Every window is two steps, up at its first day and down after its last; steps of a
+    day are summed per key, and between two days of steps nothing changes. Windows may
+    overlap, touch or lie within each other; those that end before they begin count
+    for nothing, and keys are matched NULL-safe.
+    """
+    def steps(df: DataFrame, own: str, other: str) -> DataFrame:
+        s, e = _date("date_start"), _date("date_end")
+        both = F.explode(F.array(F.struct(s.alias("day"), F.lit(1).alias("d")), F.struct(F.date_add(e, 1).alias("day"), F.lit(-1).alias("d")))).alias("x")
+        return df.where(s <= e).select(*keys, both).select(*keys, "x.day", F.col("x.d").alias(own), F.lit(0).alias(other), F.abs("x.d").alias("_u") if own == "unit" else F.lit(0).alias("_u"))
+
+    by_day = steps(units, "unit", "fin").unionByName(steps(done, "fin", "unit")).groupBy(*keys, "day").agg(
+        F.sum("unit").alias("unit"), F.sum("fin").alias("fin"), F.max("_u").alias("_u"))
+    w = Window.partitionBy(*keys).orderBy("day")
+    run = by_day.select(*keys, "day", "_u", F.lead("day").over(w).alias("next"), F.sum("unit").over(w).alias("wanted"), F.sum("fin").over(w).alias("have"))
+    bare = run.withColumn("bare", (F.col("wanted") > 0) & (F.col("have") == 0))
+    # a gap goes on over a step that changes nothing for it, but not into another unit
+    opens = F.col("bare") & ((F.col("_u") > 0) | ~F.coalesce(F.lag("bare").over(w), F.lit(False)))
+    gaps = bare.withColumn("gap", F.sum(F.when(opens, 1).otherwise(0)).over(w)).where("bare")
+    return gaps.groupBy(*keys, "gap").agg(F.min("day").alias("gap_start"), F.date_sub(F.max("next"), 1).alias("gap_end")).drop("gap")
+
+
 def week_gaps(
     covered: DataFrame,
     date_col: str,

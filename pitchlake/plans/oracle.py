@@ -9,6 +9,7 @@ the comparison checks the rewrite as well as the result.
 from __future__ import annotations
 
 from pitchlake.plans.game_queries import GAME_SQL
+from pitchlake.plans.storage_queries import STORAGE_SQL
 
 ORACLE: dict[str, str] = {}
 
@@ -476,4 +477,4 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
 FROM orders
 """
 
-ORACLE |= GAME_SQL
+ORACLE |= GAME_SQL | STORAGE_SQL

@@ -114,6 +114,68 @@ def csv_round_trip(df: DataFrame, path: str, infer: bool = False) -> DataFrame:
     return r.csv(path)
 
 
+#: Types that text can be read as, narrowest first, with the form that a value must have.
+_FORMS = (
+    ("boolean", r"^(true|false)$"),
+    ("bigint", r"^(0|-?[1-9][0-9]{0,18})$"),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$"),
+)
+
+
+def detect_types(df: DataFrame, expected: T.StructType | None = None) -> tuple[T.StructType, list[dict]]:
+    """The narrowest type of each text column that every value of it can be read as, and
+    a report: (column, type, values, expected, drift).
+
+    One aggregate over all columns: how many values are there, and how many each type
+    can read without changing what they say (``007`` stays text, ``1`` is a number and
+    not a flag). A whole number is also a double, a date also a timestamp; a column of
+    both kinds takes the wider. Empty columns stay text. ``drift`` is True where the
+    ``expected`` schema has the column under a type that can't hold it, or lacks it.
+    """
+    names, aggs = df.columns, []
+    for i, c in enumerate(names):
+        v = F.col(f"`{c}`").cast("string")
+        aggs.append(F.count(v).alias(f"n{i}"))
+        for t, form in _FORMS:
+            text = F.lower(v) if t == "boolean" else v
+            aggs.append(F.count_if(text.rlike(form) & text.try_cast(t).isNotNull()).alias(f"{t}{i}"))
+    row = df.agg(*aggs).first()
+    kinds = {f.name: f.dataType for f in expected.fields} if expected is not None else {}
+    fields, report = [], []
+    for i, c in enumerate(names):
+        n, reads = row[f"n{i}"], {t: row[f"{t}{i}"] for t, _ in _FORMS}
+        reads["double"] = max(reads["double"], reads["bigint"])
+        fits = [t for t, _ in _FORMS if n and reads[t] == n]
+        if not fits and n and reads["date"] + reads["timestamp_ntz"] == n:
+            fits = ["timestamp_ntz"]
+        found = T._parse_datatype_string(fits[0]) if fits else T.StringType()
+        fields.append(T.StructField(c, found))
+        drift = expected is not None and (c not in kinds or not _holds(kinds[c], found, n))
+        report.append({"column": c, "type": found.simpleString(), "values": n, "expected": kinds[c].simpleString() if c in kinds else None, "drift": drift})
+    report += [{"column": c, "type": None, "values": 0, "expected": t.simpleString(), "drift": True} for c, t in kinds.items() if c not in names]
+    return T.StructType(fields), report
+
+
+def _holds(want: T.DataType, found: T.DataType, values: int) -> bool:
+    if not values or isinstance(want, T.StringType) or want == found:
+        return True
+    if isinstance(found, T.LongType):
+        return isinstance(want, T.NumericType)
+    if isinstance(found, T.DoubleType):
+        return isinstance(want, (T.FractionalType,))
+    return isinstance(found, (T.DateType, T.TimestampNTZType)) and isinstance(want, (T.TimestampType, T.TimestampNTZType))
+
+
+def csv_detected(spark: SparkSession, path: str, expected: T.StructType | None = None) -> tuple[DataFrame, list[dict]]:
+    """A CSV export with a header, its columns typed by what they hold (``detect_types``), and the report."""
+    same = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    text = spark.read.options(**same, multiLine=True, maxCharsPerColumn=-1, inferSchema=False).csv(path)
+    schema, report = detect_types(text, expected)
+    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]), report
+
+
 def write_table(df: DataFrame, spec: TableSpec, path: str, mode: str = "overwrite") -> None:
     """Write a stored table with its layout: partitioned by the spec's partition
     columns, range-partitioned and sorted on (partition, sort keys) so files hold

@@ -317,6 +317,33 @@ def _forget(spark: SparkSession, path: str, version: Version) -> None:
         _delete(spark, path, f"{number:010d}.json", False)
 
 
+def compact(spark: SparkSession, path: str, target_rows: int = 1_000_000) -> int:
+    """Merge small files: those with less than half of ``target_rows`` are written anew in
+    order of (partition columns, key), about ``target_rows`` to a file; all others stay.
+    The rows and what the change feed says of them don't change. Returns how many
+    files were merged. A version that another writer publishes meanwhile wins (``ConflictError``)."""
+    base = latest(spark, path)
+    if base is None:
+        return 0
+    sizes = index_of(spark, path, base).groupBy("file").agg(F.sum("n").alias("n")).where(F.col("n") < target_rows / 2)
+    small = {r.file: r.n for r in sizes.collect()}  # names, as Spark's own file index holds them
+    by: dict[str, list[str]] = {}
+    for name in small:
+        by.setdefault(name.split("/", 1)[1].rpartition("/")[0], []).append(name)
+    small = {name: small[name] for names in by.values() if len(names) > 1 for name in names}  # alone in its partition: nothing to merge
+    if not small:
+        return 0
+    rows = read(spark, path, None, base.number, list(small), hidden=True)
+    order = [F.col(c) for c in (*base.partition_by, *base.keys)]
+    files = max(1, -(-sum(small.values()) // target_rows))
+    if base.partition_by:  # a task writes the partitions it holds, so no more tasks than merged partitions need
+        files = max(files, len({name.split("/", 1)[1].rpartition("/")[0] for name in small}))
+    rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order) if order else rows.coalesce(files)
+    added = add(spark, path, rows, base.schema, base.partition_by, base.keys, base.notes.get("reverse", ()))
+    commit(spark, path, base, added, base.schema, base.partition_by, base.keys, drop=list(small))
+    return len(small)
+
+
 def vacuum(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> list[str]:
     """Delete commits that no version counts (left by failed or beaten writers) and that
     are older than any running write can be; returns their ids."""

@@ -5,9 +5,10 @@ with ``trigger(availableNow=True)``: every file not yet seen (tracked by the
 stream's checkpoint) is read once, in bounded micro-batches, and the query stops.
 Each micro-batch is merged into the stored tables with ``upsert_table``.
 
-The upsert is idempotent (re-applying a batch yields the same table), so a batch
-re-run after a failure does not double rows; late corrections to a game simply
-arrive as a newer file and overwrite by key, as the batch job would.
+Each table's version notes the last batch of the stream that it took, so a batch that runs
+again after a failure changes neither rows nor counts where it had arrived; late
+corrections to a game simply arrive as a newer file and overwrite by key, as the batch
+job would.
 """
 
 from __future__ import annotations
@@ -37,15 +38,17 @@ def stream_upsert(
 ) -> dict:
     """Merge every new landed file into one table; returns summed counts."""
     totals = {"n_inserted": 0, "n_updated": 0, "n_affected": 0, "batches": 0}
+    checkpoint = checkpoint or checkpoint_of(table_path)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         src = transform(df) if transform else df
-        c = upsert_table(spark, table_path, src, table.pk, table.schema, table.partition_by, required=table.required)
+        c = upsert_table(
+            spark, table_path, src, table.pk, table.schema, table.partition_by, required=table.required, once=(checkpoint, epoch_id))
         for k in ("n_inserted", "n_updated", "n_affected"):
             totals[k] += c[k]
         totals["batches"] += 1
 
-    _run(spark, source_dir, source_schema, fmt, batch, checkpoint or checkpoint_of(table_path), max_files_per_trigger, options)
+    _run(spark, source_dir, source_schema, fmt, batch, checkpoint, max_files_per_trigger, options)
     return totals
 
 
@@ -61,6 +64,7 @@ def stream_games(
     """Flatten new game documents and merge event, pitch and play rows into
     ``<tables_dir>/<table>``. Returns counts per table."""
     totals = {name: {"n_inserted": 0, "n_updated": 0, "n_affected": 0} for name in ("event", "pitch", "play")}
+    checkpoint = checkpoint or checkpoint_of(f"{tables_dir.rstrip('/')}/games")
     specs: dict[str, TableSpec] = {"event": EVENT, "pitch": PITCH, "play": PLAY}
 
     def batch(df: DataFrame, epoch_id: int) -> None:
@@ -68,11 +72,11 @@ def stream_games(
         for name, frame in out.items():
             spec = specs[name]
             c = upsert_table(
-                spark, f"{tables_dir.rstrip('/')}/{spec.name}", frame, spec.pk, spec.schema, spec.partition_by, required=spec.required)
+                spark, f"{tables_dir.rstrip('/')}/{spec.name}", frame, spec.pk, spec.schema, spec.partition_by, required=spec.required,
+                once=(checkpoint, epoch_id))
             for k in totals[name]:
                 totals[name][k] += c[k]
 
-    checkpoint = checkpoint or checkpoint_of(f"{tables_dir.rstrip('/')}/games")
     _run(spark, feed_dir, game_feed_schema(), "json", batch, checkpoint, max_files_per_trigger, {"multiLine": "true"}, identify_documents)
     return totals
 

@@ -157,11 +157,12 @@ def brute_base_out(doc):
             stands = {}  # base -> first of the runners who stop there
             for k, r in enumerate(moves):
                 rid, end = _get(r, "details", "runner", "id"), _get(r, "movement", "end")
-                for code in (_get(r, "movement", "start"), end):
+                safe = not (_get(r, "movement", "isOut") or False)
+                for code in (_get(r, "movement", "start"), end if safe else None):
                     if code in shorts:
                         carried[shorts[code]] = EMPTIED
                 last = rid is None or all(_get(x, "details", "runner", "id") != rid for x in moves[k + 1 :])
-                if end in shorts and last and not (_get(r, "movement", "isOut") or False):
+                if end in shorts and last and safe:
                     stands.setdefault(end, rid)
             for code, rid in stands.items():
                 carried[shorts[code]] = rid if rid is not None else EMPTIED
