@@ -1,28 +1,27 @@
 """Exact Jaccard join of n-gram sets by walks in prefix trees.
 
-A document's set is its distinct n-word shingles as hashes, in ascending order (the
-global order); documents of one set are one node. Sets that can link are dealt to the
-same place first: a class of sizes has m parts of the hash space, more than the
-shingles in which linked sets may differ, so that linked sets agree in whole parts and
-meet in a bucket by such a part's content. First each set is compared with a few centres,
-sets that it shares most buckets with, which joins large groups of near copies at the
-cost of a few comparisons a set. Then whatever buckets still hold several components is
-joined in prefix trees: the sets of connected buckets form a tree, and each set outside
-the largest component walks it, sharing the overlap of common paths and leaving a
-branch where the overlap so far and the shorter of what remains can't reach the
-threshold. Every pair of different components that meets in a bucket is decided there, so
-the result is exact.
+A document's set is its distinct n-word shingles as hashes; documents of one set are one
+node. Sets that can link are dealt to the same place first: a class of sizes has m parts
+of the hash space, more than the shingles in which linked sets may differ, so that
+linked sets agree in whole parts and meet in a bucket by such a part's content. What
+buckets connect is a cluster, and a cluster's sets form prefix trees, shingles in a
+global order of the tree (rare ones first). A set walks a tree as a centre: it shares the
+overlap of common paths and leaves a branch where the overlap so far and the shorter of
+what remains can't reach the threshold. Sets of the component that has become the largest
+needn't walk, as every set outside it does; a cluster of many shingles has several
+trees, and only sets outside its largest component walk the others. Every pair of
+sets that meets in a bucket is linked, in one component or decided by a walk, so the
+result is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,17 +29,11 @@ from .common import slices, stage, text_or_empty
 from .components import components
 
 WORDS, LEAST = 4, 85
-#: Sets of a centre that one walk takes; more are dealt to several walks.
-WALK = 512
-#: Centres that a set is compared with at first.
-STARS = 3
 #: Shingles of a tree, about; a task holds one tree at a time.
 TREE = 1 << 19
 #: Shingles of a branch's piece.
 PIECE = 16
-#: Shingles that a walk goes on before it tests the bound again.
-STRIDE = 256
-#: Set hashes that a task remembers, so that copies post once.
+#: Set hashes that a task remembers, so that copies post once; and words, so that each is hashed once.
 SEEN = 1 << 18
 #: Bits of the filter of texts whose sets are wanted again: a fixed size for every input.
 FILTER_BITS = 1 << 26
@@ -55,16 +48,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
+class Words(dict):
+    """Hashes of words, each made once; forgets all of them in time."""
+
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+
+        if len(self) >= SEEN:
+            self.clear()
+        self[word] = h = xxh64_intdigest(word, seed=7)
+        return h
+
+
+def shingle_set(text: bytes, words: int = WORDS, known: Words | None = None) -> np.ndarray:
     """The set of a UTF-8 text: ascending hashes of its distinct shingles; the whole
     sequence is one shingle if it has fewer words, and no words give an empty set."""
-    from xxhash import xxh64_intdigest
-
     found = text.lower().split()  # of bytes: A-Z alone; \x20 and \x09 to \x0D
     if not found:
         return np.zeros(0, np.uint64)
-    grams = map(b" ".join, zip(*(found[i:] for i in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
-    return np.unique(np.fromiter(map(partial(xxh64_intdigest, seed=7), grams), "<u8", max(1, len(found) - words + 1)))
+    known = Words() if known is None else known
+    hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    size = min(words, len(found))
+    out = np.full(len(found) - size + 1, size, np.uint64)
+    for k in range(size):
+        out = _mix(out * _U(0x9E3779B97F4A7C15) + hashes[k : len(found) - size + 1 + k])
+    return np.unique(out)
 
 
 def set_hash(tokens: np.ndarray) -> int:
@@ -131,8 +139,9 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFram
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("h", "n", "sid"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
         for b in slices(batches):
-            sets = [shingle_set(t, words) for t in b.column(2).to_pylist()]
+            sets = [shingle_set(t, words, known) for t in b.column(2).to_pylist()]
             found = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *found], names=schema.names)
 
@@ -152,11 +161,11 @@ def _once(seen: set, sid: int) -> bool:
 def postings(docs: DataFrame, text_col: str, words: int, least: int) -> DataFrame:
     """(key, sid): a row for each bucket of each set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, seen = Classes(least), set()
+        classes, seen, known = Classes(least), set(), Words()
         for b in slices(batches):
             keys, sids = [], []
             for t in b.column(0).to_pylist():
-                tokens = shingle_set(t, words)
+                tokens = shingle_set(t, words, known)
                 if len(tokens) and _once(seen, sid := set_hash(tokens)):
                     keys.append(keys_of(tokens, classes))
                     sids.append(np.full(len(keys[-1]), sid, np.int64))
@@ -237,11 +246,11 @@ def wanted_sets(docs: DataFrame, text_col: str, hashes: DataFrame, words: int) -
     kept = spark.sparkContext.broadcast(_filter_of(hashes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.frombuffer(kept.value, np.uint8), set()
+        bits, seen, known = np.frombuffer(kept.value, np.uint8), set(), Words()
         for b in slices(batches):
             at = b.column(0).to_numpy() & (8 * len(bits) - 1)
             rows = b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
-            sets = [shingle_set(t, words) for t in rows.column(1).to_pylist()]
+            sets = [shingle_set(t, words, known) for t in rows.column(1).to_pylist()]
             sets = [(sid, s) for s in sets if len(s) and _once(seen, sid := set_hash(s))]
             if sets:
                 yield pa.RecordBatch.from_arrays([
@@ -252,79 +261,12 @@ def wanted_sets(docs: DataFrame, text_col: str, hashes: DataFrame, words: int) -
     return texts.mapInArrow(run, "sid long, n long, tokens binary").dropDuplicates(["sid"])
 
 
-class Walk:
-    """A centre's way through the prefix tree of sets that come in order of their tokens.
-
-    ``path`` is the branch down to the last set; ``overlap`` counts, for each depth of
-    it up to ``known``, the centre's shingles among those of the path.
-    """
-
-    def __init__(self, centre: np.ndarray, least: int = LEAST):
-        self.centre, self.least = centre, least
-        self.path, self.overlap, self.known = np.zeros(0, np.uint64), np.zeros(1, np.int64), 0
-
-    def _fails(self, depth: int, tokens: np.ndarray) -> bool:
-        """No set of this size below ``depth`` can reach the threshold."""
-        passed = int(np.searchsorted(self.centre, tokens[depth - 1], "right")) if depth else 0
-        most = int(self.overlap[depth]) + min(len(tokens) - depth, len(self.centre) - passed)
-        return most < needed(len(self.centre), len(tokens), self.least)
-
-    def links(self, tokens: np.ndarray) -> bool:
-        """True if the set links with the centre; sets must come in ascending order."""
-        k = min(len(self.path), len(tokens))
-        differ = np.flatnonzero(self.path[:k] != tokens[:k])
-        depth = min(int(differ[0]) if len(differ) else k, self.known)
-        self.path, self.known = tokens, depth
-        if len(self.overlap) <= len(tokens):
-            self.overlap = np.concatenate([self.overlap[: depth + 1], np.zeros(len(tokens) - depth, np.int64)])
-        while not self._fails(depth, tokens):
-            if depth == len(tokens):
-                return links_at(int(self.overlap[depth]), len(self.centre), len(tokens), self.least)
-            step = tokens[depth : depth + STRIDE]
-            at = np.minimum(np.searchsorted(self.centre, step), len(self.centre) - 1)
-            self.overlap[depth + 1 : depth + 1 + len(step)] = self.overlap[depth] + np.cumsum(self.centre[at] == step)
-            depth += len(step)
-            self.known = depth
-        return False
-
-
-def walked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """(u, v): the pairs (a, b) that link; each a is a centre."""
-    many = pairs.groupBy("a").agg(F.count("*").alias("size")).where(F.col("size") > WALK)
-    dealt = pairs.join(many, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / WALK)), F.lit(0)).alias("walk"))
-    rows = dealt.join(sets.select(F.col("sid").alias("b"), "tokens"), "b").select("a", "walk", F.lit(1).alias("role"), "b", "tokens").unionByName(
-        dealt.select("a", "walk").distinct().join(sets.select(F.col("sid").alias("a"), "tokens"), "a").select("a", "walk", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk = None
-        for b in slices(batches):
-            u, v = [], []
-            for a, role, sid, tokens in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4), strict=True):
-                tokens = np.frombuffer(tokens.as_buffer(), ">u8").astype(np.uint64)
-                if role == 0:
-                    walk = Walk(tokens, least)
-                elif walk.links(tokens):
-                    u.append(a)
-                    v.append(sid)
-            if u:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    return rows.repartition("a", "walk").sortWithinPartitions("a", "walk", "role", "tokens").mapInArrow(run, "u long, v long")
-
-
 def _roots(sids: DataFrame, links: DataFrame) -> DataFrame:
     """(sid, root) of all ``sids``."""
     found = components(links)
     return sids.join(found, sids["sid"] == found["node"], "left").select("sid", F.coalesce("root", "sid").alias("root"))
 
 
-def stars(buckets: DataFrame) -> DataFrame:
-    """(a, b): for each set, the centres that it shares most buckets with."""
-    shared = buckets.where("sid <> centre").groupBy("sid", "centre").agg(F.count("*").alias("n"))
-    first = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("n"), "centre"))
-    return shared.withColumn("k", first).where(F.col("k") <= STARS).select(F.col("centre").alias("a"), F.col("sid").alias("b"))
-
-
 class Tree:
     """A prefix tree of sets as arrays of nodes, shingles in the tree's order: rare ones first.
 
@@ -340,6 +282,7 @@ class Tree:
         self.vocabulary, ids, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         self.rank = np.empty(len(count), np.int32)
         self.rank[np.lexsort((self.vocabulary, count))] = np.arange(len(count))
+        self.single = int((count == 1).sum())  # these ranks are of one set each
         ends = np.cumsum([len(s) for s in sets])[:-1]
         sets = [np.sort(x) for x in np.split(self.rank[ids], ends)]
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
@@ -396,16 +339,26 @@ class Tree:
             np.minimum.at(low, parent[at], low[at])
             np.maximum.at(high, parent[at], high[at])
         self.low, self.high = low, high
-
-    def walk(self, centre: np.ndarray) -> np.ndarray:
-        """The sets (their places in the given list) that link with ``centre``."""
+        # of a branch below the root, the shingles that no other set of the tree has
+        top = np.arange(self.first[0], self.first[1])
+        alone = [int(np.searchsorted(sets[rep[by[n]]], self.single)) for n in top]
+        self.top, self.alone = top, np.array(alone, np.int64)
+
+    def walk(self, centre: np.ndarray, member: bool = False) -> np.ndarray:
+        """The sets (their places in the given list) that link with ``centre``; one that is a
+        ``member`` of the tree isn't in its own result, nor need be met."""
         at = np.minimum(np.searchsorted(self.vocabulary, centre), len(self.vocabulary) - 1)
         known = self.rank[at[self.vocabulary[at] == centre]]
+        if member:
+            known = known[known >= self.single]  # what only the centre has meets nobody
         mark = np.zeros(len(self.vocabulary), np.int32)
         mark[known] = 1
         passed = np.cumsum(mark) + (len(centre) - len(known))  # the centre's shingles up to each place; unknown ones are the rarest
         c, found = len(centre), []
-        nodes = np.arange(self.first[0], self.first[1])
+        nodes, left = self.top, len(known)
+        if member:
+            best = np.clip(self.alone + left, self.low[nodes], self.high[nodes])
+            nodes = nodes[np.minimum(best - self.alone, left) * (100 + self.least) >= self.least * (c + best)]
         overlap, gone = np.zeros(len(nodes), np.int64), np.full(len(nodes), len(centre) - len(known))
         while len(nodes):
             lengths = self.starts[nodes + 1] - self.starts[nodes]
@@ -433,35 +386,90 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.repeat(begin - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum()) if len(lengths) else np.zeros(0, np.int64)
 
 
-def open_clusters(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(sid, root, cluster): the sets of buckets that hold several components, by what connects such buckets."""
-    rows = buckets.join(roots, "sid")
-    wide = rows.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    edges = stage(rows.join(wide, "key", "left_semi").where("sid <> centre").select(F.col("sid").alias("u"), F.col("centre").alias("v")).distinct(), "jaccard-open")
-    return components(edges).select(F.col("node").alias("sid"), F.col("root").alias("cluster")).join(roots, "sid")
+def span(tree: Tree, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links (of places) that connect a tree's sets as all its links would.
+
+    Sets walk until those that haven't are all of one component: any link that is
+    left lies within it.
+    """
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links, size, main, waiting = [], dict.fromkeys(root, 1), 0, list(range(len(sets)))
+    while True:
+        left = []  # of the largest component when their turn came
+        for i in waiting:
+            if find(i) == find(main):
+                left.append(i)
+                continue
+            for j in tree.walk(sets[i], member=True):
+                a, b = find(i), find(int(j))
+                if a != b:
+                    root[a] = b
+                    size[b] += size.pop(a)
+                    links.append((i, int(j)))
+            if size[find(i)] > size[find(main)]:
+                main = i
+        if all(find(i) == find(main) for i in left):
+            return links
+        waiting = left
+
+
+def clusters_of(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(sid, cluster, tree): the sets that buckets connect, dealt to trees of about ``TREE`` shingles."""
+    edges = buckets.where("sid <> centre").select(F.col("sid").alias("u"), F.col("centre").alias("v")).distinct()
+    found = stage(components(edges).select(F.col("node").alias("sid"), F.col("root").alias("cluster")).join(nodes.select("sid", "n"), "sid"), "jaccard-found")
+    trees = found.groupBy("cluster").agg(F.ceil(F.sum("n") / TREE).alias("trees"))
+    return found.join(trees, "cluster").select("sid", "cluster", "trees", F.pmod(F.xxhash64("sid"), F.col("trees")).alias("tree"))
+
+
+def _tokens(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), ">u8").astype(np.uint64) for x in column]
+
+
+def own_links(dealt: DataFrame, least: int) -> DataFrame:
+    """(u, v): links that connect each tree's sets as all links within it would."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sids, sets = None, [], []
+        for b in slices(batches):
+            for c, t, sid, tokens in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), _tokens(b.column(3)), strict=True):
+                if (c, t) != now:
+                    yield from out(sids, sets)
+                    now, sids, sets = (c, t), [], []
+                sids.append(sid)
+                sets.append(tokens)
+        yield from out(sids, sets)
+
+    def out(sids: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        links = span(Tree(sets, least), sets) if len(sets) > 1 else []
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i, _ in links], pa.int64()), pa.array([sids[j] for _, j in links], pa.int64())], names=["u", "v"])
+
+    rows = dealt.select("cluster", "tree", "sid", "tokens")
+    return rows.repartition("cluster", "tree").sortWithinPartitions("cluster", "tree").mapInArrow(run, "u long, v long")
 
 
-def tree_links(clusters: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """(u, v): links between the components of each cluster, one for each set and component at most.
+def far_links(dealt: DataFrame, roots: DataFrame, least: int) -> DataFrame:
+    """(u, v): links between trees of one cluster, one for each set and component at most.
 
-    A cluster's largest component has no business with itself; each set outside it is a
-    centre that walks the cluster's tree. A cluster of many shingles has several
-    trees, which every centre of the cluster walks.
+    Sets outside the cluster's largest component are centres that walk its other trees.
     """
-    sized = clusters.join(sets.select("sid", "n"), "sid")
-    by = sized.groupBy("cluster", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
-    of = by.groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.ceil(F.sum("n") / TREE).alias("trees"))
-    rows = stage(clusters.join(of, "cluster"), "jaccard-clusters")
-    members = rows.select("cluster", F.pmod(F.xxhash64("sid"), F.col("trees")).alias("tree"), F.lit(0).alias("role"), "sid", "root")
-    centres = rows.where("root <> main").select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)).alias("tree"), F.lit(1).alias("role"), "sid", "root")
-    dealt = members.unionByName(centres).join(sets.select("sid", "tokens"), "sid").select("cluster", "tree", "role", "sid", "root", "tokens")
+    many = dealt.where("trees > 1").join(roots, "sid")
+    main = many.groupBy("cluster", "root").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    members = many.select("cluster", "tree", F.lit(0).alias("role"), "sid", "root", "tokens")
+    others = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1), lambda t: t != F.col("tree"))).alias("tree")
+    centres = many.join(main, "cluster").where("root <> main").select("cluster", others, F.lit(1).alias("role"), "sid", "root", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, tree, roots, sids = None, [], None, None, None
         for b in slices(batches):
             u, v = [], []
-            for c, t, role, sid, root, tokens in zip(*(b.column(i).to_pylist() for i in range(5)), b.column(5), strict=True):
-                tokens = np.frombuffer(tokens.as_buffer(), ">u8").astype(np.uint64)
+            for c, t, role, sid, root, tokens in zip(*(b.column(i).to_pylist() for i in range(5)), _tokens(b.column(5)), strict=True):
                 if (c, t) != now:
                     now, held, tree = (c, t), [], None
                 if role == 0:
@@ -480,7 +488,8 @@ def tree_links(clusters: DataFrame, sets: DataFrame, least: int) -> DataFrame:
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
 
-    return dealt.repartition("cluster", "tree").sortWithinPartitions("cluster", "tree", "role", "sid").mapInArrow(run, "u long, v long")
+    rows = members.unionByName(centres)
+    return rows.repartition("cluster", "tree").sortWithinPartitions("cluster", "tree", "role", "sid").mapInArrow(run, "u long, v long")
 
 
 def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST) -> DataFrame:
@@ -495,15 +504,17 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     empty table gives no rows. Shingles and sets are told apart by 64-bit hashes.
     """
     rows = stage(sets_of(docs, id_col, text_col, words), "jaccard-sets")
-    nodes = stage(rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("low"), F.min("h").alias("h")), "jaccard-nodes")
+    nodes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("low"), F.min("h").alias("h"), F.first("n").alias("n"))
+    nodes = stage(nodes, "jaccard-nodes")
     buckets = stage(shared_buckets(postings(docs, text_col, words, least)), "jaccard-buckets")
-    sids = stage(buckets.select("sid").distinct(), "jaccard-live")
-    sets = stage(wanted_sets(docs, text_col, nodes.join(sids, "sid").select("h"), words), "jaccard-tokens")
-    links = stage(walked(stage(stars(buckets), "jaccard-stars"), sets, least), "jaccard-links")
+    clusters = stage(clusters_of(buckets, nodes), "jaccard-clusters")
+    sids = clusters.select("sid")
+    sets = wanted_sets(docs, text_col, nodes.join(sids, "sid").select("h"), words)
+    dealt = stage(sets.join(clusters, "sid"), "jaccard-dealt")
+    links = stage(own_links(dealt, least), "jaccard-links")
     roots = stage(_roots(sids, links), "jaccard-roots")
-    clusters = stage(open_clusters(buckets, roots), "jaccard-clusters")
-    if not clusters.isEmpty():
-        links = links.unionByName(stage(tree_links(clusters, sets, least), "jaccard-tree-links"))
+    if not clusters.where("trees > 1").isEmpty():
+        links = links.unionByName(stage(far_links(dealt, roots, least), "jaccard-far-links"))
         roots = stage(_roots(sids, links), "jaccard-roots")
     of = nodes.join(roots, "sid", "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
     lows = of.groupBy("root").agg(F.min("low").alias("component_id"))

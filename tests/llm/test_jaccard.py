@@ -75,8 +75,6 @@ def family(rng, size, n, most):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_around_the_threshold(spark, monkeypatch, seed):
     rng = random.Random(seed)
-    monkeypatch.setattr(jaccard, "STARS", 1)
-    monkeypatch.setattr(jaccard, "WALK", 5)
     monkeypatch.setattr(jaccard, "TREE", 2000)
     texts = [t for n in (5, 7, 9, 12, 20, 40, 80, 150, 300) for t in family(rng, 25, n, max(1, n // 30) + 1)]
     rng.shuffle(texts)
@@ -109,19 +107,6 @@ def test_linked_sets_share_a_bucket():
             assert len(np.intersect1d(jaccard.keys_of(a, classes), jaccard.keys_of(b, classes)))
 
 
-def test_a_walk_equals_set_operations():
-    rng = np.random.default_rng(5)
-    for stride in (1, 7, 256):
-        jaccard.STRIDE = stride
-        base = rng.integers(0, 1 << 20, 200)
-        sets = [np.unique(np.r_[base[rng.random(200) > rng.random() / 3], rng.integers(0, 1 << 20, rng.integers(0, 30))]).astype(np.uint64) for _ in range(80)]
-        centre = sets.pop()
-        walk = jaccard.Walk(centre)
-        for s in sorted(sets, key=lambda s: s.astype(">u8").tobytes()):
-            assert walk.links(s) == jaccard.links_at(len(np.intersect1d(s, centre)), len(s), len(centre))
-    jaccard.STRIDE = 256
-
-
 @pytest.mark.parametrize("piece", [1, 3, 16])
 def test_a_tree_equals_set_operations(monkeypatch, piece):
     monkeypatch.setattr(jaccard, "PIECE", piece)
@@ -135,3 +120,33 @@ def test_a_tree_equals_set_operations(monkeypatch, piece):
         for c in sets:
             want = [i for i, s in enumerate(sets[:100]) if jaccard.links_at(len(np.intersect1d(s, c)), len(s), len(c), least)]
             assert sorted(tree.walk(c).tolist()) == want
+        for i, c in enumerate(sets[:100]):
+            want = [j for j, s in enumerate(sets[:100]) if j != i and jaccard.links_at(len(np.intersect1d(s, c)), len(s), len(c), least)]
+            assert sorted(set(tree.walk(c, member=True).tolist()) - {i}) == want
+
+
+def test_spanning_links_connect_what_all_links_connect():
+    rng = np.random.default_rng(9)
+    for n in (2, 3, 40, 150):
+        base = [rng.integers(0, 1 << 40, 80) for _ in range(3)]
+        sets = list({np.unique(np.r_[b[rng.random(80) > rng.random() / 8], rng.integers(0, 1 << 40, rng.integers(0, 6))]).astype(np.uint64).tobytes() for i in range(n) for b in [base[i % 3]]})
+        sets = [np.frombuffer(x, np.uint64) for x in sets]
+        links = jaccard.span(jaccard.Tree(sets), sets)
+
+        def groups(pairs):
+            of = list(range(len(sets)))
+            for _ in range(len(sets)):
+                for i, j in pairs:
+                    of[i] = of[j] = min(of[i], of[j])
+            return of
+
+        every = [(i, j) for i in range(len(sets)) for j in range(i) if jaccard.links_at(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))]
+        assert set(map(frozenset, links)) <= set(map(frozenset, every))
+        assert groups(links) == groups(every) and len(links) < len(sets)
+
+
+def test_shingle_hashes_tell_sequences_apart():
+    texts = ["a b c d", "a b d c", "a b c", "a b", "a", "b a", "ab c d e", "a bc d e", "a a a a", "a a a", "A  b\tC d", "d c b a", "a b c d e"]
+    sets = {t: jaccard.shingle_set(t.encode()).tobytes() for t in texts}
+    assert sets["a b c d"] == sets["A  b\tC d"] and len(set(sets.values())) == len(texts) - 1
+    assert len(jaccard.shingle_set(b"a b c d e a b c d")) == 5
