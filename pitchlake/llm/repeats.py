@@ -281,11 +281,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Removed is every byte that a string of ``length`` bytes covers which starts
     anywhere else too, in this or another document, overlaps included. Null text
     counts as empty. Null ids are documents like others; repeated rows each have
-    a row (and repeat each other); other columns are ignored.
+    a row (and repeat each other): rows of one id and text are counted first, removed
+    whole, and searched for what others share with them as one document. Other columns
+    are ignored; texts of any length are read whole, and an empty table gives no rows.
     """
     given = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).select(
         "id", F.xxhash64("t").alias("hash"), F.col("t").cast("binary").alias("text"))
-    starts = repeated_starts(given, length, width, narrow, narrowest, group, limit)
+    again = stage(given.groupBy("id", "hash").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("size")).where("n > 1"), "repeats-rows")
+    single = given
+    if not again.isEmpty():
+        keys = again.select(F.col("id").alias("__i"), F.col("hash").alias("__h"))
+        equal = F.col("id").eqNullSafe(F.col("__i")) & (F.col("hash") == F.col("__h"))
+        single = given.join(keys, equal, "left_anti").unionByName(given.join(keys, equal, "left_semi").dropDuplicates(["id", "hash"]))
+    starts = repeated_starts(single, length, width, narrow, narrowest, group, limit).unionByName(
+        again.where(F.col("size") >= length).select("id", "hash", F.lit(0).cast("long").alias("first"), (F.col("size") - length).cast("long").alias("last")))
     spans = starts.groupBy("id", "hash").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     packed = _packed(given)
     rows = packed.join(spans, _same(packed, spans), "left").select("__id", "packed", "spans")

@@ -123,3 +123,23 @@ def test_one_passage_in_many_different_surroundings(spark):
     df = spark.createDataFrame(near, "doc_id long, text string").repartition(4)
     for group in (5, 1000):
         assert found(repeats.remove_repeats(df, group=group)) == brute(near, 400)
+
+
+def test_many_equal_rows_cost_no_more_than_one(spark, monkeypatch):
+    """Rows of one id and text, beside texts that share a passage with them in different surroundings."""
+    words = [f"w{i}" for i in range(400)]
+    passage = " ".join(words[:120])
+    equal, other, third = " ".join(words), "x " + passage + " y", "z z z " + passage + " " + " ".join(words[300:])
+    rows = [(7, equal, "en", "a", 1)] * 600 + [(None, equal[5:], "en", "a", 1)] * 300 + [(8, other, "en", "a", 1), (9, third, "en", "a", 1), (10, "short", "en", "a", 1), (10, "short", "en", "a", 1)]
+    written, real = {}, repeats.stage
+
+    def stage(df, name):
+        out = real(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "stage", stage)
+    got = Counter(map(tuple, repeats.remove_repeats(edge_docs(spark, rows)).collect()))
+    want = brute([*rows[:2], *rows[600:602], *rows[900:]], repeats.LENGTH)
+    assert set(got) == set(want) and sorted(got.values()) == [1, 1, 2, 300, 600]
+    assert sum(written.values()) < 1000, written
