@@ -2,8 +2,8 @@
 
 An order is a game. Its lines, in a total order, are the play events, two to a
 plate appearance; the first two plate appearances are the top half. The nested
-documents are written as JSON, read back by the feed reader and flattened; the
-SQL computes the same rows from the flat table.
+documents and boxscores are written as JSON, read back by their readers, lineups
+extracted and games flattened; the SQL computes the same rows from the flat tables.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.functions.payload import bad_value_counts, pack_json, to_variant, unpack
-from pitchlake.operators.nested import flatten_games
+from pitchlake.operators.nested import flatten_games, prepare_games, starting_lineup
 from pitchlake.operators.merge import read_stored
 from pitchlake.operators.views import materialize, unpack_view
 from pitchlake.session import Tables, scratch_path
-from pitchlake.sources.landed import read_game_feed
+from pitchlake.sources.landed import read_boxscore, read_game_feed
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"]
 STARTERS = (2, 3, 4)
@@ -79,16 +79,30 @@ def game_documents(lineitem: DataFrame) -> DataFrame:
     return lines.select("game_id", F.struct(F.struct(plays).alias("plays")).alias("liveData"))
 
 
+def boxscore_documents(orders: DataFrame) -> DataFrame:
+    """One boxscore for each order: both teams start the customer's number plus the
+    position at positions 2 to 4; a pitcher and a substitute aren't starters."""
+    first = F.col("o_custkey").cast("int")
+
+    def player(who: Column, order: str | None, *positions: int) -> Column:
+        listed = F.array(*[F.struct(F.lit(str(p)).alias("code")) for p in positions])
+        return F.struct(F.struct(who.alias("id")).alias("person"), F.lit(order).cast("string").alias("battingOrder"), listed.alias("allPositions"))
+
+    people = {f"ID{q}": player(first + q, f"{q}00", q, 10) for q in STARTERS}
+    people |= {"ID1": player(first + 1, None, 1), "ID77": player(first + 77, "301", 2), "ID78": player(first + 78, "900", 11)}
+    team = F.struct(F.create_map(*[x for k, p in people.items() for x in (F.lit(k), p)]).alias("players"))
+    return orders.select(F.col("o_orderkey").cast("string").alias("game_id"), F.struct(team.alias("home"), team.alias("away")).alias("teams"))
+
+
 def _flattened(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     t = Tables(spark, sf)
     landed = scratch_path(spark, "game-documents")
     game_documents(t.lineitem).write.json(landed)
-    games = t.orders.select(F.col("o_orderkey").cast("string").alias("game_id"), F.col("o_custkey").cast("int").alias("player"), F.year("o_orderdate").alias("year"))
-    lineup = games.select(
-        "game_id", F.explode(F.array(*map(F.lit, ("top", "bottom")))).alias("half_inning"), "player",
-    ).select("game_id", "half_inning", F.explode(F.array(*map(F.lit, STARTERS))).alias("position"), "player",
-    ).withColumn("player_id", F.col("player") + F.col("position")).drop("player")
-    return flatten_games(read_game_feed(spark, landed, multiline=False), lineup, games.select("game_id", "year"))
+    years = t.orders.select(F.col("o_orderkey").cast("string").alias("game_id"), F.year("o_orderdate").alias("year"))
+    boxes = scratch_path(spark, "game-boxscores")
+    boxscore_documents(t.orders).write.json(boxes)
+    lineup = starting_lineup(prepare_games(read_boxscore(spark, boxes, multiline=False)))
+    return flatten_games(read_game_feed(spark, landed, multiline=False), lineup, years)
 
 
 def q_game_events(spark, sf):

@@ -62,6 +62,13 @@ def season_range(year: int) -> tuple[dt.date, dt.date]:
     return dt.date(year, *SEASON_START), dt.date(year, *SEASON_END)
 
 
+def season_windows(df: DataFrame, year_col: str) -> DataFrame:
+    """The backfill window of each row's season: ``season_range`` as columns."""
+    (m1, d1), (m2, d2) = SEASON_START, SEASON_END
+    date = lambda m, d: F.make_date(F.col(year_col), F.lit(m), F.lit(d))
+    return df.withColumns({"date_start": date(m1, d1), "date_end": date(m2, d2)})
+
+
 def yesterday(today: dt.date | None = None) -> dt.date:
     return (today or dt.date.today()) - dt.timedelta(days=1)
 

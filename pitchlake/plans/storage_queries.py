@@ -141,6 +141,14 @@ def q_uncovered_windows(spark, sf):
     return L.uncovered_windows(units, done, keys=("data_source",))
 
 
+def q_season_windows(spark, sf):
+    """Orders inside and outside the season window of their year."""
+    o = Tables(spark, sf).orders.select(F.year("o_orderdate").alias("year"), F.to_date("o_orderdate").alias("day"))
+    inside = F.col("day").between(F.col("date_start"), F.col("date_end"))
+    return L.season_windows(o, "year").groupBy("year", "date_start", "date_end").agg(
+        F.count_if(inside).alias("inside"), F.count_if(~inside).alias("outside"))
+
+
 STORAGE_QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_")}
 
 _NAMES = "[" + ", ".join(f"'{n}'" for n in ODD_NAMES) + ", NULL]"
@@ -188,6 +196,11 @@ SELECT s_suppkey, s_name, count(DISTINCT (l.l_orderkey, l.l_suppkey)) AS n_pairs
 FROM supplier JOIN lineitem l ON l.l_suppkey = s_suppkey
 LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') g ON g.l_orderkey = l.l_orderkey AND g.l_suppkey = l.l_suppkey
 GROUP BY s_suppkey, s_name""",
+    "season_windows": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, make_date(year(o_orderdate), 2, 20) AS date_start, make_date(year(o_orderdate), 10, 31) AS date_end,
+       count(*) FILTER (WHERE CAST(o_orderdate AS DATE) BETWEEN make_date(year(o_orderdate), 2, 20) AND make_date(year(o_orderdate), 10, 31)) AS inside,
+       count(*) FILTER (WHERE CAST(o_orderdate AS DATE) NOT BETWEEN make_date(year(o_orderdate), 2, 20) AND make_date(year(o_orderdate), 10, 31)) AS outside
+FROM orders GROUP BY 1, 2, 3""",
     "uncovered_windows": """
 WITH days AS (SELECT DISTINCT o_orderstatus AS k, CAST(o_orderdate AS DATE) AS d FROM orders),
 held AS (SELECT DISTINCT k, CAST(unnest(generate_series(d, d + CAST(day(d) % 3 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS d FROM days),
