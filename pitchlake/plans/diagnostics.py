@@ -49,7 +49,7 @@ def _eq(col: str, value) -> Column:
     return F.lit(True) if value is None else (F.col(col) == value)
 
 
-# Section 1: lookups -----------------------------------------------------------
+# --- lookups -----------------------------------------------------------
 
 def find_player(player: DataFrame, fragment: str) -> DataFrame:
     """Players whose full name contains ``fragment`` (case-insensitive)."""
@@ -63,7 +63,7 @@ def most_active_pitchers(event: DataFrame, schedule: DataFrame, year: int | None
     return A.top_k_counts(j, "pitcher_id", n, "plate_appearances")
 
 
-# Section 2: ledger ------------------------------------------------------------
+# --- the ledger ------------------------------------------------------------
 
 def ledger_since(ledger: DataFrame, since: dt.date | str, until: dt.date | str | None = None) -> DataFrame:
     """Current state of runs whose window touches ``[since, until]``."""
@@ -101,7 +101,7 @@ def ledger_week_gaps(
     return L.week_gaps(ok, "date_start", start, end, aligned=aligned)
 
 
-# Section 3: row counts by year ------------------------------------------------
+# --- counts by year ------------------------------------------------
 
 def games_by_year(schedule: DataFrame, level: str | None = "MLB") -> DataFrame:
     return A.count_by(schedule.filter(_eq("level", level)), ["year"], "games")
@@ -112,7 +112,7 @@ def rows_by_year(table: DataFrame, alias: str) -> DataFrame:
     return A.count_by(table, ["year"], alias)
 
 
-# Section 4: one pitcher ---------------------------------------------------------
+# --- by pitcher ---------------------------------------------------------
 
 def pitcher_year_counts(view: DataFrame, pitcher_id: int) -> DataFrame:
     """Per year: payload pitches and distinct games of one pitcher."""
@@ -123,8 +123,8 @@ def pitcher_year_counts(view: DataFrame, pitcher_id: int) -> DataFrame:
 def pitcher_game_breakdown(
     schedule: DataFrame, event: DataFrame, pitch: DataFrame, pitcher_id: int, year: int | None = None, level: str | None = "MLB"
 ) -> DataFrame:
-    """Per game of one pitcher: plate appearances and pitch rows (a game with
-    appearances but no pitch rows is a partial load). The pitch side is counted
+    """Per game of one pitcher: plate appearances and pitch rows; zero pitch rows beside
+    appearances say that pitches were not loaded. The pitch side is counted
     per plate appearance before the join, so the fan-out is never built."""
     s = schedule.filter(_eq("year", year) & _eq("level", level)).select("game_id", "date")
     e = event.filter(F.col("pitcher_id") == pitcher_id).select(
@@ -145,7 +145,7 @@ def pitcher_game_breakdown(
     )
 
 
-# Section 5: integrity ---------------------------------------------------------
+# --- orphans ---------------------------------------------------------
 
 def orphaned_pitches(pitch: DataFrame, event: DataFrame) -> DataFrame:
     return A.orphan_count(pitch, event, ["game_id", "event_index"], "orphaned_pitches")
@@ -164,7 +164,7 @@ def pitchers_missing_from_player(event: DataFrame, player: DataFrame, n: int | N
     return A.missing_dim_ids(event, "pitcher_id", player, "player_id", n)
 
 
-# Section 6: completeness --------------------------------------------------------
+# --- null rates --------------------------------------------------------
 
 def view_null_rates(view: DataFrame) -> DataFrame:
     return A.null_rates(
@@ -180,7 +180,7 @@ def view_null_rates(view: DataFrame) -> DataFrame:
     )
 
 
-# Section 7: cross-source coverage ---------------------------------------------
+# --- coverage between sources ---------------------------------------------
 
 def statcast_coverage(pitch: DataFrame, schedule: DataFrame, statcast: DataFrame, level: str = "MLB") -> DataFrame:
     """Per year: event-source pitches (games of ``level``), payload pitches, and
@@ -191,7 +191,7 @@ def statcast_coverage(pitch: DataFrame, schedule: DataFrame, statcast: DataFrame
     return out.withColumn("below_alarm", F.col("statcast_coverage_pct") < COVERAGE_ALARM_PCT)
 
 
-# Section 8: arsenal and the README sample -----------------------------------------
+# --- summaries of the view -----------------------------------------
 
 def pitcher_arsenal(view: DataFrame, pitcher_id: int | None = None, year: int | None = None) -> DataFrame:
     """Per pitch type and name: count, usage share, mean velocity (1 decimal),
