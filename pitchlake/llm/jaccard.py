@@ -339,33 +339,37 @@ class Tree:
             np.minimum.at(low, parent[at], low[at])
             np.maximum.at(high, parent[at], high[at])
         self.low, self.high = low, high
-        # of a branch below the root, the shingles that no other set of the tree has
-        top = np.arange(self.first[0], self.first[1])
-        alone = [int(np.searchsorted(sets[rep[by[n]]], self.single)) for n in top]
-        self.top, self.alone = top, np.array(alone, np.int64)
+        # of each branch below the root, the shingles that no other set of the tree has, and whose those are
+        self.top = np.arange(self.first[0], self.first[1])
+        own = [sets[rep[by[n]]] for n in self.top]
+        self.alone = np.array([int(np.searchsorted(s, self.single)) for s in own], np.int64)
+        self.owner = np.zeros(self.single, np.int32)
+        for k, (s, n) in enumerate(zip(own, self.alone, strict=True)):
+            self.owner[s[:n]] = k
+        self.mark = np.zeros(len(self.vocabulary), np.int8)
 
     def walk(self, centre: np.ndarray, member: bool = False) -> np.ndarray:
         """The sets (their places in the given list) that link with ``centre``; one that is a
         ``member`` of the tree isn't in its own result, nor need be met."""
         at = np.minimum(np.searchsorted(self.vocabulary, centre), len(self.vocabulary) - 1)
-        known = self.rank[at[self.vocabulary[at] == centre]]
+        known = np.sort(self.rank[at[self.vocabulary[at] == centre]])
+        c, found, single = len(centre), [], int(np.searchsorted(known, self.single))
+        # before any branch: what a set has alone meets the centre only where the centre has it
+        met = 0 if member else np.bincount(self.owner[known[:single]], minlength=len(self.top))
         if member:
-            known = known[known >= self.single]  # what only the centre has meets nobody
-        mark = np.zeros(len(self.vocabulary), np.int32)
-        mark[known] = 1
-        passed = np.cumsum(mark) + (len(centre) - len(known))  # the centre's shingles up to each place; unknown ones are the rarest
-        c, found = len(centre), []
-        nodes, left = self.top, len(known)
-        if member:
-            best = np.clip(self.alone + left, self.low[nodes], self.high[nodes])
-            nodes = nodes[np.minimum(best - self.alone, left) * (100 + self.least) >= self.least * (c + best)]
-        overlap, gone = np.zeros(len(nodes), np.int64), np.full(len(nodes), len(centre) - len(known))
+            known, single = known[single:], 0  # what only the centre has meets nobody
+        nodes, left = self.top, len(known) - single
+        best = np.clip(self.alone + left, self.low[nodes], self.high[nodes])
+        nodes = nodes[(met + np.minimum(best - self.alone, left)) * (100 + self.least) >= self.least * (c + best)]
+        unknown = c - len(known)  # the rarest of all
+        overlap, gone = np.zeros(len(nodes), np.int64), np.full(len(nodes), unknown)
+        self.mark[known] = 1
         while len(nodes):
             lengths = self.starts[nodes + 1] - self.starts[nodes]
-            hits = np.concatenate([[0], np.cumsum(mark[self.tokens[_ranges(self.starts[nodes], self.starts[nodes + 1])]])])
+            hits = np.concatenate([[0], np.cumsum(self.mark[self.tokens[_ranges(self.starts[nodes], self.starts[nodes + 1])]], dtype=np.int64)])
             ends = np.cumsum(lengths)
             overlap = overlap + hits[ends] - hits[ends - lengths]
-            gone = np.where(lengths > 0, passed[np.maximum(self.last[nodes], 0)], gone)
+            gone = np.where(lengths > 0, unknown + np.searchsorted(known, self.last[nodes], "right"), gone)
             depth, left = self.depth[nodes], c - gone
             best = np.clip(depth + left, self.low[nodes], self.high[nodes])  # the size below with the best chance
             alive = (overlap + np.minimum(best - depth, left)) * (100 + self.least) >= self.least * (c + best)
@@ -377,6 +381,7 @@ class Tree:
             width = self.first[nodes + 1] - self.first[nodes]
             overlap, gone = np.repeat(overlap, width), np.repeat(gone, width)
             nodes = _ranges(self.first[nodes], self.first[nodes + 1])
+        self.mark[known] = 0
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
@@ -514,8 +519,10 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     links = stage(own_links(dealt, least), "jaccard-links")
     roots = stage(_roots(sids, links), "jaccard-roots")
     if not clusters.where("trees > 1").isEmpty():
-        links = links.unionByName(stage(far_links(dealt, roots, least), "jaccard-far-links"))
-        roots = stage(_roots(sids, links), "jaccard-roots")
+        far = stage(far_links(dealt, roots, least), "jaccard-far-links")
+        u, v = (roots.select(F.col("sid").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv")
+        joined = components(far.join(u, "u").join(v, "v").select(F.col("u_root").alias("u"), F.col("v_root").alias("v")))
+        roots = stage(roots.join(joined, roots["root"] == joined["node"], "left").select("sid", F.coalesce(joined["root"], roots["root"]).alias("root")), "jaccard-roots")
     of = nodes.join(roots, "sid", "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
     lows = of.groupBy("root").agg(F.min("low").alias("component_id"))
     of = stage(of.join(lows, "root").select("sid", "component_id"), "jaccard-components")
