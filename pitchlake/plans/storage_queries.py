@@ -76,9 +76,10 @@ def q_ledger_run(spark, sf):
     lo, hi = e.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
     ingest.run(spark, landing, warehouse, lo, hi + dt.timedelta(days=2), sources=["statcast"], levels=["MLB"], chunk_days=3, refresh=False)
     runs = L.latest_state(L.read_ledger(spark, f"{warehouse}/scrape_log"))
-    stored = read_stored(spark, f"{warehouse}/statcast").agg(F.count(F.lit(1)).alias("stored"))
-    return runs.crossJoin(stored).select(
-        "date_start", "date_end", "status", "games_total", "games_success", "games_failed", F.array_join("failed_game_ids", ",").alias("failed_ids"), "rows_written", "stored")
+    stored = read_stored(spark, f"{warehouse}/statcast").count()
+    return runs.select(
+        "date_start", "date_end", "status", "games_total", "games_success", "games_failed", F.array_join("failed_game_ids", ",").alias("failed_ids"), "rows_written",
+        F.lit(stored).cast("bigint").alias("stored"))
 
 
 def q_stream_events(spark, sf):

@@ -118,7 +118,7 @@ def csv_round_trip(df: DataFrame, path: str, infer: bool = False) -> DataFrame:
 _FORMS = (
     ("boolean", r"^(true|false)$"),
     ("bigint", r"^(0|-?[1-9][0-9]{0,18})$"),
-    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("double", r"^[+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
     ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
     ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$"),
 )

@@ -44,6 +44,7 @@ def test_filters_pushed_to_scan(spark):
 SINGLE_PARTITION_OK = {
     "arsenal": "share-of-total window over the grouped rows (few groups)",
     "constraint_report": "global sums over one row per key: one partial row per task",
+    "csv_autodetect": "global count and sum: one partial row per task",
     "date_chunks": "global min/max: one partial row per task",
     "metric_trend": "7-day frame over one row per day",
     "not_null_check": "global counts: one partial row per task",
