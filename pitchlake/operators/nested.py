@@ -4,20 +4,19 @@ play tables, plus fielding lineups and base-out state.
 Physical plan
 -------------
 * Documents are deduplicated on ``game_id`` first (a game landed twice must not
-  double its rows), which hash-partitions them on ``game_id``. Later windows and
-  aggregates are keyed by ``game_id`` plus more columns, so they can reuse that
-  partitioning instead of shuffling the exploded rows again. With
-  ``cut_lineage`` the documents are checkpointed once for all three outputs;
-  Spark does not carry the partitioning through a checkpoint, so it is restated
-  once, on compact per-event rows, where the lineup step needs it.
+  double its rows). That compares ids only: a document whose game landed once stays
+  where it is, and no document is shuffled. What travels is one compact row for each
+  plate appearance or play event, hash-partitioned on ``game_id`` once; later windows,
+  aggregates and joins are keyed by ``game_id`` (plus more columns) and reuse that. With
+  ``cut_lineage`` the documents are checkpointed once for all three outputs.
 * A plate appearance arrives as one row holding its ``playEvents`` array, so the
   per-plate-appearance steps (fill down the disengagement count, previous
   balls/strikes, first fielder credited) are higher-order array functions on that
   row: no shuffle and no window at all.
-* The starting lineup travels with its game document as a bounded array, and
-  substitutions are read from each plate appearance's own play events, so
-  fielders need no join: one carry-forward window per (game, half, position)
-  and one per-event aggregate, both on the game partitioning. Base-out state
+* The starting lineup is a bounded array per game, joined to the compact rows of plate
+  appearances, which bring the substitutions among their own play events: one
+  carry-forward window per (game, half, position) and one per-event aggregate, both on
+  the game partitioning. Base-out state
   runs as a window per game half. Both groups are bounded by a game's length.
 
 Output columns follow the stored table layouts in ``schemas.py``.
@@ -47,22 +46,38 @@ CAUGHT_STEALING_PREFIX = "caught_stealing"
 PICKOFF_PREFIX = "pickoff"
 # Sentinel for "base emptied" while carrying runner ids forward.
 _EMPTIED = -1
+# Ids of games with several copies that are broadcast.
+_COPIED_GAMES = 100_000
 
 
-def prepare_games(feed: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def prepare_games(feed: DataFrame) -> DataFrame:
     """One document per ``game_id`` (the last landed copy wins when a
-    ``landed_at`` column exists, otherwise any copy), hash-partitioned on
-    ``game_id``."""
-    if "landed_at" in feed.columns:
-        rest = [c for c in feed.columns if c != "game_id"]
-        feed = feed.groupBy("game_id").agg(F.max_by(F.struct(*rest), F.col("landed_at")).alias("_d")).select(
-            "game_id", *[F.col("_d").getField(c).alias(c) for c in rest]
-        )
-    else:
-        feed = feed.dropDuplicates(["game_id"])
-    if num_partitions:
-        return feed.repartition(num_partitions, "game_id")
-    return feed.repartition("game_id")
+    ``landed_at`` column exists, otherwise any copy).
+
+    Ids are counted first. Documents of games that landed once stay where they are; only
+    copies of a game meet (all documents do where very many games have copies)."""
+    many = feed.groupBy("game_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("game_id").alias("_g"))
+    n = many.limit(_COPIED_GAMES + 1).count()
+    if not n:
+        return feed
+    if n > _COPIED_GAMES:
+        return _last_copies(feed)
+    copied = F.col("game_id").eqNullSafe(F.col("_g"))
+    many = F.broadcast(many)
+    return feed.join(many, copied, "left_anti").unionByName(_last_copies(feed.join(many, copied, "left_semi")))
+
+
+def _last_copies(feed: DataFrame) -> DataFrame:
+    if "landed_at" not in feed.columns:
+        return feed.dropDuplicates(["game_id"])
+    rest = [c for c in feed.columns if c != "game_id"]
+    return feed.groupBy("game_id").agg(F.max_by(F.struct(*rest), F.col("landed_at")).alias("_d")).select(
+        "game_id", *[F.col("_d").getField(c).alias(c) for c in rest]
+    )
+
+
+def _by_game(df: DataFrame, num_partitions: int | None) -> DataFrame:
+    return df.repartition(num_partitions, "game_id") if num_partitions else df.repartition("game_id")
 
 
 def newest_documents(docs: DataFrame, row_col: str) -> DataFrame:
@@ -81,25 +96,19 @@ def _carry(df: DataFrame) -> list[str]:
     return [c for c in ("year",) if c in df.columns]
 
 
-def plate_appearances(games: DataFrame) -> DataFrame:
+def plate_appearances(games: DataFrame, first_of_half: bool = False) -> DataFrame:
     """One row per ``allPlays`` element, keeping the element as struct ``p``.
 
-    When the game carries its ``lineup`` array (``attach_lineup``), each row also
-    gets that array and the index of the first event of its half, computed from
-    the game's own play array (no window)."""
+    With ``first_of_half`` each row also gets the index of the first event of each
+    half, computed from the game's own play array (no window)."""
     plays = F.col("liveData.plays.allPlays")
-    extra = []
-    if "lineup" in games.columns:
-        extra = [
-            "lineup",
-            *[
-                F.array_min(
-                    F.transform(F.filter(plays, _in_half(h)), lambda q: q["about"]["atBatIndex"])
-                ).alias(f"_first_{h}")
-                for h in (TOP, BOTTOM)
-            ],
-        ]
-    return games.select("game_id", *_carry(games), *extra, F.posexplode(plays).alias("pa_pos", "p"))
+    extra = [
+        F.array_min(
+            F.transform(F.filter(plays, _in_half(h)), lambda q: q["about"]["atBatIndex"])
+        ).alias(f"_first_{h}")
+        for h in (TOP, BOTTOM)
+    ]
+    return games.select("game_id", *_carry(games), *(extra if first_of_half else []), F.posexplode(plays).alias("pa_pos", "p"))
 
 
 def _in_half(half: str):
@@ -113,15 +122,19 @@ def _runners(p: Column) -> Column:
     return F.coalesce(p["runners"], F.array())
 
 
-def event_rows(pa: DataFrame, keep_lineup: bool = False) -> DataFrame:
+def event_rows(pa: DataFrame, for_fielders: bool = False) -> DataFrame:
     """Per plate appearance: identifiers, matchup, result, runs scored (runners
     whose movement ends at home) and the first fielder credited (not stored).
-    ``keep_lineup`` keeps the columns ``with_fielders`` needs."""
+    ``for_fielders`` adds the columns ``with_fielders`` needs."""
     p = F.col("p")
     credits = F.flatten(F.transform(_runners(p), lambda r: F.coalesce(r["credit"], F.array())))
-    lineup_cols = ["p", "lineup", f"_first_{TOP}", f"_first_{BOTTOM}"] if keep_lineup else []
+    half = p["about"]["halfInning"]
+    fielder_cols = [
+        _substitutions(F.coalesce(p["playEvents"], F.array())).alias("_subs"),
+        (p["about"]["atBatIndex"] == F.when(half == TOP, F.col(f"_first_{TOP}")).when(half == BOTTOM, F.col(f"_first_{BOTTOM}"))).alias("_starts"),
+    ] if for_fielders else []
     return pa.select(
-        *lineup_cols,
+        *fielder_cols,
         "game_id",
         *_carry(pa),
         p["about"]["atBatIndex"].alias("event_index"),
@@ -269,13 +282,12 @@ def starting_lineup(boxscore: DataFrame) -> DataFrame:
     ).filter(F.col("position").isin(list(FIELDING_POSITIONS)))
 
 
-def attach_lineup(games: DataFrame, lineup: DataFrame) -> DataFrame:
-    """Give every game document its starting lineup as an array column.
+def attach_lineup(rows: DataFrame, lineup: DataFrame) -> DataFrame:
+    """Give every row its game's starting lineup as an array column.
 
     The lineup is first reduced to one row per (game, half, position) with
     positions 2-10 and halves top/bottom, so each array holds at most 18 entries
-    whatever the input; the join is one-to-one on ``game_id`` and both sides are
-    hash-partitioned on it."""
+    whatever the input; both sides of the join are hash-partitioned on ``game_id``."""
     lu = lineup.filter(F.col("position").isin(list(FIELDING_POSITIONS)) & F.col("half_inning").isin(TOP, BOTTOM))
     # Deduplicate first: the partial aggregate collapses repeated rows map-side,
     # so copies of one game's lineup never reach a single task in bulk.
@@ -283,52 +295,41 @@ def attach_lineup(games: DataFrame, lineup: DataFrame) -> DataFrame:
     per_game = lu.groupBy("game_id").agg(
         F.collect_list(F.struct("half_inning", "position", "player_id")).alias("lineup")
     )
-    return games.join(per_game, "game_id", "left")
+    return rows.join(per_game, "game_id", "left")
 
 
-def _first_sub(pe: Column, position: Column) -> Column:
-    """Player of the first substitution (by play index) at ``position`` among a
-    plate appearance's play events, else NULL."""
-    subs = F.filter(
-        pe,
-        lambda x: F.coalesce(x["isSubstitution"], F.lit(False))
-        & (x["position"]["code"].try_cast("int") == position),
-    )
-    ordered = F.array_sort(F.transform(subs, lambda x: F.struct(x["index"].alias("i"), x["player"]["id"].alias("id"))))
-    return F.get(ordered, 0)["id"]
+def _substitutions(pe: Column) -> Column:
+    """(i, id, position) of the substitutions among a plate appearance's play events,
+    by play index."""
+    subs = F.filter(pe, lambda x: F.coalesce(x["isSubstitution"], F.lit(False)))
+    return F.array_sort(F.transform(subs, lambda x: F.struct(
+        x["index"].alias("i"), x["player"]["id"].alias("id"), x["position"]["code"].try_cast("int").alias("position"))))
 
 
-def with_fielders(events: DataFrame, repartition: bool = True) -> DataFrame:
-    """Add ``fielder_2_id`` ... ``fielder_10_id`` to event rows that carry ``p``,
-    ``lineup`` and ``_first_<half>`` (see ``plate_appearances``).
+def with_fielders(events: DataFrame, lineup: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Add ``fielder_2_id`` ... ``fielder_10_id`` to event rows that carry ``_subs`` and
+    ``_starts`` (see ``event_rows``).
 
     Per plate appearance and lineup slot of its half: the starter counts only at
     the half's first event, a substitution at (event, position) only where the
     starter is NULL (so the starter wins in the first event, and substitutions
     match on event and position only); the id is then carried forward per
-    (game, half, position) in event order. The slots come from the row's own
-    arrays, so there is no join; the rows are hash-partitioned on ``game_id`` once
-    and both the carry-forward window and the per-event pivot reuse that.
+    (game, half, position) in event order. The rows are hash-partitioned on ``game_id``
+    once; the lineup's join, the carry-forward window and the per-event pivot reuse that.
     """
-    p = F.col("p")
-    pe = F.coalesce(p["playEvents"], F.array())
-    half = F.col("half_inning")
-    first_of_half = F.when(half == TOP, F.col(f"_first_{TOP}")).when(half == BOTTOM, F.col(f"_first_{BOTTOM}"))
+    event_cols = [c for c in events.columns if c not in ("_subs", "_starts")]
     slots = F.transform(
-        F.filter(F.coalesce(F.col("lineup"), F.array()), lambda s: s["half_inning"] == half),
+        F.filter(F.coalesce(F.col("lineup"), F.array()), lambda s: s["half_inning"] == F.col("half_inning")),
         lambda s: F.struct(
             s["position"].alias("position"),
             F.coalesce(
-                F.when(F.col("event_index") == first_of_half, s["player_id"]),
-                _first_sub(pe, s["position"]),
+                F.when(F.col("_starts"), s["player_id"]),
+                F.get(F.filter(F.col("_subs"), lambda x: x["position"] == s["position"]), 0)["id"],
             ).alias("merged"),
         ),
     )
-    event_cols = [c for c in events.columns if c not in ("p", "lineup", f"_first_{TOP}", f"_first_{BOTTOM}")]
-    compact = events.select(*event_cols, slots.alias("_slots"))
-    if repartition:
-        compact = compact.repartition("game_id")
-    rows = compact.select(*event_cols, F.explode_outer("_slots").alias("_s")).select(
+    given = attach_lineup(_by_game(events, num_partitions), lineup)
+    rows = given.select(*event_cols, F.explode_outer(slots).alias("_s")).select(
         *event_cols, F.col("_s.position").alias("_position"), F.col("_s.merged").alias("_merged")
     )
     w_fill = Window.partitionBy("game_id", "half_inning", "_position").orderBy("event_index").rowsBetween(_UNB, _CUR)
@@ -361,7 +362,7 @@ def _leaves(base: str):
     return pred
 
 
-def base_out_state(plays: DataFrame) -> DataFrame:
+def base_out_state(plays: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Runners on base and outs before and after every play event.
 
     Our rule (the source's tracker is not visible): the runner movements of a
@@ -369,7 +370,9 @@ def base_out_state(plays: DataFrame) -> DataFrame:
     play, a base holds the runner whose last movement of the play ended there (not
     out), is empty if a runner left or passed it, else keeps its previous occupant;
     each half-inning starts with empty bases and no outs, and nobody is on base once
-    three are out. Carried forward per (game, inning, half) in (event, position) order.
+    three are out. Carried forward per (game, inning, half) in (event, position) order,
+    on rows that are hash-partitioned on ``game_id``; what a play's movements change is
+    worked out before, so the movements themselves don't travel unless they are asked for.
     """
     moves = F.filter(F.col("runners"), lambda r: r["details"]["playIndex"] == F.col("play_index"))
     cols = {
@@ -382,7 +385,7 @@ def base_out_state(plays: DataFrame) -> DataFrame:
         arrive = F.get(F.filter(moves, _ends_safe_at(code, moves)), 0)["details"]["runner"]["id"]
         leave = F.exists(moves, _leaves(code))
         cols[f"_chg_{short}"] = F.when(arrive.isNotNull(), arrive).when(leave, F.lit(_EMPTIED))
-    d = plays.withColumns(cols)
+    d = _by_game(plays.withColumns(cols), num_partitions)
 
     half = Window.partitionBy("game_id", "inning", "half_inning").orderBy("event_index", "pos")
     run = half.rowsBetween(_UNB, _CUR)
@@ -433,24 +436,19 @@ def flatten_games(
     ``year`` per ``game_id``; without it ``year`` is NULL. With ``prepared``, ``feed``
     holds one document per game already (``newest_documents`` of a written table).
     """
-    games = feed if prepared else prepare_games(feed, num_partitions)
-    if lineup is not None:
-        games = attach_lineup(games, lineup)
+    games = feed if prepared else prepare_games(feed)
     if cut_lineage:
         # One durable copy (in the shared checkpoint folder) of the parsed,
         # deduplicated documents feeds all three outputs.
         checkpoint_dir(games.sparkSession)
         games = games.checkpoint(eager=True)
-    pa = plate_appearances(games)
-    plays = play_rows(pa)
+    plays = play_rows(plate_appearances(games))
     if lineup is not None:
-        # After a checkpoint the hash partitioning on game_id is not known to the
-        # planner any more, so it is restated once (on compact per-event rows).
-        events = with_fielders(event_rows(pa, keep_lineup=True), repartition=cut_lineage or prepared)
+        events = with_fielders(event_rows(plate_appearances(games, first_of_half=True), for_fielders=True), lineup, num_partitions)
     else:
-        events = event_rows(pa)
+        events = event_rows(plate_appearances(games))
 
-    plays_bo = identified_plays(base_out_state(plays))
+    plays_bo = identified_plays(base_out_state(plays, num_partitions))
 
     if schedule is not None and "year" not in events.columns:
         years = schedule.select("game_id", F.col("year").cast("int").alias("year"))

@@ -20,6 +20,8 @@ from pitchlake.sources.landed import read_boxscore, read_game_feed
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"]
 STARTERS = (2, 3, 4)
+#: Landed documents are text that repeats its field names, and a compressed file is read by one task.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 100_000}
 
 
 def _play_event(game: Column, line: Column, i: Column) -> Column:
@@ -97,10 +99,10 @@ def boxscore_documents(orders: DataFrame) -> DataFrame:
 def _flattened(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     t = Tables(spark, sf)
     landed = scratch_path(spark, "game-documents")
-    game_documents(t.lineitem).write.json(landed)
+    game_documents(t.lineitem).write.options(**LANDED).json(landed)
     years = t.orders.select(F.col("o_orderkey").cast("string").alias("game_id"), F.year("o_orderdate").alias("year"))
     boxes = scratch_path(spark, "game-boxscores")
-    boxscore_documents(t.orders).write.json(boxes)
+    boxscore_documents(t.orders).write.options(**LANDED).json(boxes)
     lineup = starting_lineup(prepare_games(read_boxscore(spark, boxes, multiline=False)))
     return flatten_games(read_game_feed(spark, landed, multiline=False), lineup, years)
 

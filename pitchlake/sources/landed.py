@@ -23,13 +23,13 @@ from pitchlake.sources import versions
 
 def identify_documents(df: DataFrame) -> DataFrame:
     """Rows of a JSON file source (batch or stream) with ``game_id`` from the
-    document, else from the file name (``<game_id>.json``), and ``landed_at``
+    document, else from the file name (``<game_id>.json``, ``<game_id>.json.gz``), and ``landed_at``
     (file time, then path), by which the newest copy of a game wins."""
     # the file name arrives URL-encoded
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     return df.select(
         *[c for c in df.columns if c not in ("game_id", "landed_at")],
-        F.coalesce(F.col("game_id"), F.nullif(F.regexp_replace(name, r"\.json$", ""), F.lit(""))).alias("game_id"),
+        F.coalesce(F.col("game_id"), F.nullif(F.regexp_replace(name, r"\.json(\.gz)?$", ""), F.lit(""))).alias("game_id"),
         F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")).alias("landed_at"),
     )
 
