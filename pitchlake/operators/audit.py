@@ -119,18 +119,32 @@ def fanout_check(
     Keys are columns or lists of columns. With ``child_unique=True`` (the child key is the child table's primary key)
     the distinct count is a plain count, which saves the two-level aggregation.
 
-    The grandchild side is pre-aggregated to one row per child key (count of
-    non-NULL ``grandchild_count_col``) before the join, so the one-to-many fan-out
-    is never materialised; summing those counts over the joined child rows gives
-    exactly ``COUNT(g.col)`` of the fanned-out join.
+    The one-to-many fan-out is never materialised: children and grandchildren are
+    counted per child key first, and the product of both counts, summed, is exactly
+    ``COUNT(g.col)`` of the fanned-out join. Where the child key holds the parent key
+    and the groups do too, a child key belongs to one group and is one row of it: both
+    counts come from one aggregation over both tables, and no row is joined, sorted
+    or held as distinct again.
     """
     up, down, own, of = ([k] if isinstance(k, str) else list(k) for k in (parent_key, child_parent_key, child_key, grandchild_child_key))
+    # a key with a NULL part is no key: neither counts it
+    if not child_unique and {*down} <= {*own} and {*up} <= {*group_cols}:
+        keys = [f"_k{i}" for i in range(len(own))]
+        rows = child.select(*[F.col(k).alias(n) for k, n in zip(own, keys)], F.lit(1).alias("_c"), F.lit(0).alias("_g")).unionByName(
+            grandchild.select(*[F.col(k).alias(n) for k, n in zip(of, keys, strict=True)], F.lit(0).alias("_c"), F.col(grandchild_count_col).isNotNull().cast("int").alias("_g")))
+        c = rows.groupBy(*keys).agg(F.sum("_c").alias("_cn"), F.sum("_g").alias("_gn")).where("_cn > 0")
+        whole = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        at = [keys[own.index(k)] for k in down]
+        c = c.groupBy(*at).agg(F.count(F.when(whole, 1)).alias("_n"), F.sum(F.when(whole, F.col("_cn") * F.col("_gn"))).alias("_lines"))
+        p = parent.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_pn"))
+        pc = p.join(c, [F.col(k) == F.col(n) for k, n in zip(up, at, strict=True)], "inner")
+        return pc.select(
+            *group_cols, F.col("_n").alias(distinct_alias), F.coalesce(F.col("_lines") * F.col("_pn"), F.lit(0)).cast("bigint").alias(count_alias))
     g = grandchild.groupBy(*[F.col(k).alias(f"_gk{i}") for i, k in enumerate(of)]).agg(
         F.count(F.col(grandchild_count_col)).alias("_gn")
     )
     c = child.join(g, [F.col(k) == F.col(f"_gk{i}") for i, k in enumerate(own)], "left")
     pc = parent.join(c, [F.col(p) == F.col(k) for p, k in zip(up, down, strict=True)], "inner")
-    # a key with a NULL part is no key: neither counts it
     whole = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in own])
     children = F.count(F.when(whole, 1)) if child_unique else F.count_distinct(*[F.col(k) for k in own])
     return pc.groupBy(*group_cols).agg(
