@@ -143,3 +143,16 @@ def test_many_equal_rows_cost_no_more_than_one(spark, monkeypatch):
     want = brute([*rows[:2], *rows[600:602], *rows[900:]], repeats.LENGTH)
     assert set(got) == set(want) and sorted(got.values()) == [1, 1, 2, 300, 600]
     assert sum(written.values()) < 1000, written
+
+
+def test_texts_are_cut_into_segments_once(spark, monkeypatch):
+    plans, stage = {}, repeats.stage
+
+    def staged(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(repeats, "stage", staged)
+    docs = spark.createDataFrame([(i, i, b"abcdefgh" * 20) for i in range(4)], "id long, hash long, text binary")
+    repeats.repeated_starts(docs, 40, 16, 4, (2, 1), 10).count()
+    assert [n for n in ("repeats-first", "repeats-cores", "repeats-segments") if "MapInArrow" in plans.get(n, "")] == ["repeats-first"]
