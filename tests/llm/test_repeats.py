@@ -125,6 +125,29 @@ def test_one_passage_in_many_different_surroundings(spark):
         assert found(repeats.remove_repeats(df, group=group)) == brute(near, 400)
 
 
+def test_kept_texts_and_spans(spark, tmp_path, monkeypatch):
+    """Passages of over 50 words in two documents: gone from the kept bytes if they have 400 bytes, else left."""
+    rng = random.Random(11)
+    words = lambda n, size: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(size)) for _ in range(n))
+    long, short = words(60, 8), words(60, 4)
+    assert len(short) < repeats.LENGTH < len(long)
+    texts = [words(80, 6), f"é {words(30, 6)} {long} {words(30, 6)}", f"{words(9, 5)}. {long}; {words(9, 5)}", f"{words(50, 6)} {short}", f"{short} {words(50, 6)}", None]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    edge_docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op4_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert Counter(tuple(r)[:5] for r in got.values()) == brute(rows, repeats.LENGTH)
+    for i, t in enumerate(texts):
+        data, r = (t or "").encode(), got[i]
+        spans = [tuple(map(int, s.split(":"))) for s in r.spans.split(",") if s]
+        gone = {k for a, e in spans for k in range(a, e)}
+        assert bytes(r.kept) == bytes(c for k, c in enumerate(data) if k not in gone)
+        assert (len(spans), len(gone), hashlib.sha256(r.kept).hexdigest()) == (r.n_spans, r.n_removed, r.kept_sha256)
+        assert bool(spans) == (i in (1, 2)) and (not spans or data[slice(*spans[0])].strip() == long.encode())
+    monkeypatch.setattr(repeats, "HELD", 0)  # a batch for each kept text
+    one = Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in repeats.cut_repeats(edge_docs(spark, rows)).collect())
+    assert one == Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in got.values())
+
+
 def test_many_equal_rows_cost_no_more_than_one(spark, monkeypatch):
     """Rows of one id and text, beside texts that share a passage with them in different surroundings."""
     words = [f"w{i}" for i in range(400)]
