@@ -3,15 +3,16 @@
 A document's set is its distinct n-word shingles as hashes; documents of one set are one
 node. Sets that can link are dealt to the same place first: a class of sizes has m parts
 of the hash space, more than the shingles in which linked sets may differ, so that
-linked sets agree in whole parts and meet in a bucket by such a part's content. What
-buckets connect is a cluster, and a cluster's sets form prefix trees, shingles in a
-global order of the tree (rare ones first). A set walks a tree as a centre: it shares the
+linked sets agree in whole parts and meet in a bucket by such a part's content. Most
+sets that meet agree in little else: sketches, a bit or two for each shingle, show that
+they differ in too much to link. What the others connect is a cluster, and a cluster's
+sets form prefix trees, shingles in a global order of the tree (rare ones first). A set walks a tree as a centre: it shares the
 overlap of common paths and leaves a branch where the overlap so far and the shorter of
 what remains can't reach the threshold. Sets of the component that has become the largest
 needn't walk, as every set outside it does; a cluster of many shingles has several
 trees, and only sets outside its largest component walk the others. Every pair of
-sets that meets in a bucket is linked, in one component or decided by a walk, so the
-result is exact.
+sets that meets in a bucket is told apart by its sketches, linked, in one component or
+decided by a walk, so the result is exact.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ PIECE = 16
 SEEN = 1 << 18
 #: Bits of the filter of texts whose sets are wanted again: a fixed size for every input.
 FILTER_BITS = 1 << 26
+#: Words of sketches that a star compares at most; what is left then is one cluster, which walks decide.
+COMPARED = 1 << 32
 _CHUNK_BITS = 1 << 19
 
 _U = np.uint64
@@ -82,6 +85,19 @@ def set_hash(tokens: np.ndarray) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """Whether each block of the hash space holds an odd number of the set's shingles: one
+    bit for each of as many blocks as shingles, or up to twice as many.
+
+    A block in which two sets differ by their bits holds a shingle that only one of them
+    has, so sets differ in as many shingles at least as their sketches in bits. Blocks are
+    those of the last bits: the halves of a sketch, one over the other, are the next smaller one.
+    """
+    bits = max(64, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
 def links_at(inter: int, a: int, b: int, least: int = LEAST) -> bool:
     return 100 * inter >= least * (a + b - inter)
 
@@ -135,14 +151,14 @@ def keys_of(tokens: np.ndarray, classes: Classes) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, h, n, sid): the text's hash, the size of the set and its hash (null if it is empty)."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("h", "n", "sid"))])
+    """(id, h, n, sid, sketch): the text's hash, the size of the set, its hash and its sketch (null if it is empty)."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("h", "n", "sid")), T.StructField("sketch", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for b in slices(batches):
             sets = [shingle_set(t, words, known) for t in b.column(2).to_pylist()]
-            found = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())]
+            found = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array([f(s) if len(s) else None for s in sets], t) for f, t in ((set_hash, pa.int64()), (sketch_of, pa.binary())))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *found], names=schema.names)
 
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_or_empty(f"`{text_col}`")), text_or_empty(f"`{text_col}`").cast("binary")).mapInArrow(run, schema)
@@ -425,9 +441,77 @@ def span(tree: Tree, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         waiting = left
 
 
-def clusters_of(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(sid, cluster, tree): the sets that buckets connect, dealt to trees of about ``TREE`` shingles."""
-    edges = buckets.where("sid <> centre").select(F.col("sid").alias("u"), F.col("centre").alias("v")).distinct()
+def _folded(sketches: np.ndarray) -> np.ndarray:
+    """The sketches (rows of words) with half as many blocks."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
+def likely(sizes: np.ndarray, sketches: list[bytes], least: int = LEAST) -> list[tuple[int, int]]:
+    """Links (of places) that connect all sets that can link by their sizes and sketches."""
+    widths = np.array([len(x) // 8 for x in sketches])
+    waiting = {}  # of each width, the places that no other has been found to link with, and their sketches
+    for w in np.unique(widths).tolist():
+        places = np.flatnonzero(widths == w)
+        waiting[w] = places, np.frombuffer(b"".join(sketches[i] for i in places), "<u8").reshape(-1, w)
+    links, compared = [], 0
+    for start in range(len(sizes)):
+        places, own = waiting[widths[start]]
+        at = int(np.searchsorted(places, start))
+        if at == len(places) or places[at] != start:
+            continue
+        waiting[widths[start]] = np.delete(places, at), np.delete(own, at, 0)
+        frontier = [start]
+        while frontier:
+            i = frontier.pop()
+            w, n, x = int(widths[i]), sizes[i], np.frombuffer(sketches[i], "<u8")
+            for other in (w // 2, w, 2 * w):
+                places, own = waiting.get(other, ((), None))
+                if not len(places):
+                    continue
+                a, b = (_folded(own) if other > w else own), (_folded(x) if other < w else x)
+                compared += a.size
+                both = sizes[places] + n
+                most = both - 2 * needed(sizes[places], n, least)  # shingles that only one of them has
+                near = (np.abs(sizes[places] - n) <= most) & (np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= most)
+                if near.any():
+                    found = places[near].tolist()
+                    links += [(i, j) for j in found]
+                    frontier += found
+                    waiting[other] = places[~near], own[~near]
+            if compared > COMPARED:
+                return links + [(i, int(j)) for places, _ in waiting.values() for j in places] + [(i, start)] * (i != start)
+    return links
+
+
+def likely_links(stars: DataFrame, least: int) -> DataFrame:
+    """(u, v): links that connect the sets of each star (those that meet in buckets of one
+    centre) as all pairs would whose sketches let them link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sids, sizes, sketches = None, [], [], []
+        for b in slices(batches):
+            for c, sid, n, sketch in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if c != now:
+                    yield from out(sids, sizes, sketches)
+                    now, sids, sizes, sketches = c, [], [], []
+                sids.append(sid)
+                sizes.append(n)
+                sketches.append(sketch)
+        yield from out(sids, sizes, sketches)
+
+    def out(sids: list[int], sizes: list[int], sketches: list[bytes]) -> Iterator[pa.RecordBatch]:
+        links = likely(np.array(sizes), sketches, least) if len(sids) > 1 else []
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i, _ in links], pa.int64()), pa.array([sids[j] for _, j in links], pa.int64())], names=["u", "v"])
+
+    rows = stars.select("centre", "sid", "n", "sketch")
+    return rows.repartition("centre").sortWithinPartitions("centre").mapInArrow(run, "u long, v long")
+
+
+def clusters_of(buckets: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """(sid, cluster, tree): the sets that likely links connect, dealt to trees of about ``TREE`` shingles."""
+    stars = buckets.select("centre", "sid").distinct().join(nodes.select("sid", "n", "sketch"), "sid")
+    edges = stage(likely_links(stars, least), "jaccard-likely")
     found = stage(components(edges).select(F.col("node").alias("sid"), F.col("root").alias("cluster")).join(nodes.select("sid", "n"), "sid"), "jaccard-found")
     trees = found.groupBy("cluster").agg(F.ceil(F.sum("n") / TREE).alias("trees"))
     return found.join(trees, "cluster").select("sid", "cluster", "trees", F.pmod(F.xxhash64("sid"), F.col("trees")).alias("tree"))
@@ -509,10 +593,10 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     empty table gives no rows. Shingles and sets are told apart by 64-bit hashes.
     """
     rows = stage(sets_of(docs, id_col, text_col, words), "jaccard-sets")
-    nodes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("low"), F.min("h").alias("h"), F.first("n").alias("n"))
+    nodes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("low"), F.min("h").alias("h"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stage(nodes, "jaccard-nodes")
     buckets = stage(shared_buckets(postings(docs, text_col, words, least)), "jaccard-buckets")
-    clusters = stage(clusters_of(buckets, nodes), "jaccard-clusters")
+    clusters = stage(clusters_of(buckets, nodes, least), "jaccard-clusters")
     sids = clusters.select("sid")
     sets = wanted_sets(docs, text_col, nodes.join(sids, "sid").select("h"), words)
     dealt = stage(sets.join(clusters, "sid"), "jaccard-dealt")

@@ -90,6 +90,49 @@ def test_template_that_does_not_reach_the_threshold(spark):
     check(spark, [(i, stem + " " + " ".join(f"o{i}x{j}" for j in range(14 + i % 6))) for i in range(40)])
 
 
+def test_sets_that_meet_but_differ_in_too_much_are_not_sent_to_trees(spark, monkeypatch):
+    sent, stage = {}, jaccard.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        sent[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    monkeypatch.setattr(jaccard, "TREE", 500)
+    # each text shares its first half with some texts and its second half with others: all meet, in a chain
+    halves = [" ".join(f"h{k}x{i}" for i in range(60)) for k in range(30)]
+    rows = [(i, f"{halves[i % 30]} {halves[(i + 1) % 30]} " + " ".join(f"o{i}x{j}" for j in range(8))) for i in range(30)]
+    rows += [(100 + i, halves[0] + f" end{i}") for i in range(3)]
+    got = check(spark, rows)
+    assert sent["jaccard-buckets"] > 0 and {c for d, _, c in got if d >= 100} == {100}
+    assert sent["jaccard-dealt"] == 3 and "jaccard-far-links" not in sent
+
+
+@pytest.mark.parametrize("compared", [1 << 32, 2000, 0])
+def test_likely_links_connect_all_links(monkeypatch, compared):
+    monkeypatch.setattr(jaccard, "COMPARED", compared)
+    rng, unlikely = np.random.default_rng(4), 0
+    for least in (85, 60):
+        for _ in range(60):
+            base = [rng.integers(0, 1 << 63, rng.integers(1, 300)) for _ in range(3)]
+            bases = [base[i] for i in rng.integers(0, 3, 40)]
+            sets = [np.unique(np.r_[b[rng.random(len(b)) > rng.random() / 5], rng.integers(0, 1 << 63, rng.integers(0, len(b) // 8 + 2))]).astype(np.uint64) for b in bases]
+            sets = [s for s in sets if len(s)]
+            links = jaccard.likely(np.array([len(s) for s in sets]), [jaccard.sketch_of(s) for s in sets], least)
+            of = list(range(len(sets)))
+            for _ in sets:
+                for i, j in links:
+                    of[i] = of[j] = min(of[i], of[j])
+            unlikely += len(set(of)) > 1
+            assert len(links) < len(sets)
+            for i, a in enumerate(sets):
+                for j in range(i):
+                    inter = len(np.intersect1d(a, sets[j]))
+                    assert not jaccard.links_at(inter, len(a), len(sets[j]), least) or of[i] == of[j]
+    assert unlikely > 60 or not compared
+
+
 def test_hot_copies_and_near_copies(spark):
     stem = [f"s{i}" for i in range(60)]
     rows = [(i, " ".join(stem)) for i in range(100, 400)] + [(i, " ".join([*stem[: i % 60], "edit", *stem[i % 60 + 1 :]])) for i in range(60)]
