@@ -13,10 +13,10 @@ Physical plan
   per-plate-appearance steps (fill down the disengagement count, previous
   balls/strikes, first fielder credited) are higher-order array functions on that
   row: no shuffle and no window at all.
-* The starting lineup is a bounded array per game, joined to the compact rows of plate
-  appearances, which bring the substitutions among their own play events: one
-  carry-forward window per (game, half, position) and one per-event aggregate, both on
-  the game partitioning. Base-out state
+* The starting lineup is one row per game with a column for each half and position, joined
+  to the compact rows of plate appearances, which bring the substitutions among their own
+  play events: all positions are carried forward in one window per (game, half), a row for
+  each event, on the game partitioning. Base-out state
   runs as a window per game half. Both groups are bounded by a game's length.
 
 Output columns follow the stored table layouts in ``schemas.py``.
@@ -24,8 +24,11 @@ Output columns follow the stored table layouts in ``schemas.py``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.functions.columns import select_tolerant
 from pitchlake.schemas import EVENT, FIELDING_POSITIONS, PITCH, PLAY
@@ -157,11 +160,14 @@ def play_rows(pa: DataFrame) -> DataFrame:
     Within one plate appearance, in array order:
     ``post_disengagements`` = last non-NULL disengagement number so far, else 0;
     ``pre_x = coalesce(previous post_x, 0)`` for balls, strikes, disengagements.
-    Non-pitch events take part (a pickoff between pitches is a predecessor).
+    Non-pitch events take part (a pickoff between pitches is a predecessor). Fields that the
+    documents were read without (``game_feed_schema``) have no columns.
     """
     p = F.col("p")
     pe = F.coalesce(p["playEvents"], F.array())
-    dis = F.transform(pe, lambda x: x["details"]["disengagementNum"])
+    event_type = pa.schema["p"].dataType["playEvents"].dataType.elementType
+    counted = _has(event_type, "details.disengagementNum")
+    dis = F.transform(pe, lambda x: x["details"]["disengagementNum"]) if counted else F.lit(None)
     step1 = pa.select(
         "game_id",
         *_carry(pa),
@@ -171,12 +177,12 @@ def play_rows(pa: DataFrame) -> DataFrame:
         p["about"]["halfInning"].alias("half_inning"),
         _runners(p).alias("runners"),
         pe.alias("pe"),
-        F.transform(
+        *([F.transform(
             dis,
             lambda d, i: F.coalesce(
                 F.try_element_at(F.filter(F.slice(dis, 1, i + 1), lambda v: v.isNotNull()), F.lit(-1)), F.lit(0)
             ),
-        ).alias("dis_filled"),
+        ).alias("dis_filled")] if counted else []),
     )
     pe_c, dis_f = F.col("pe"), F.col("dis_filled")
 
@@ -189,8 +195,10 @@ def play_rows(pa: DataFrame) -> DataFrame:
             x.alias("e"),
             prev(i, "balls").alias("pre_balls"),
             prev(i, "strikes").alias("pre_strikes"),
-            F.get(dis_f, i).alias("post_disengagements"),
-            F.coalesce(F.get(dis_f, i - 1), F.lit(0)).alias("pre_disengagements"),
+            *([
+                F.get(dis_f, i).alias("post_disengagements"),
+                F.coalesce(F.get(dis_f, i - 1), F.lit(0)).alias("pre_disengagements"),
+            ] if counted else []),
         ),
     )
     ex = step1.select(
@@ -198,11 +206,16 @@ def play_rows(pa: DataFrame) -> DataFrame:
         F.posexplode(enriched).alias("pos", "s"),
     )
     e = F.col("s")["e"]
-    det, pd, hd = e["details"], e["pitchData"], e["hitData"]
-    coord = pd["coordinates"]
+
+    def of_event(path: str, name: str) -> list[Column]:
+        col = e
+        for part in path.split("."):
+            col = col[part]
+        return [col.alias(name)] if _has(event_type, path) else []
+
     return ex.select(
-        e["playId"].alias("play_id"),
-        e["actionPlayId"].alias("action_play_id"),
+        *of_event("playId", "play_id"),
+        *of_event("actionPlayId", "action_play_id"),
         "game_id",
         *_carry(ex),
         "event_index",
@@ -210,46 +223,55 @@ def play_rows(pa: DataFrame) -> DataFrame:
         "half_inning",
         "pa_pos",
         "pos",
-        e["index"].alias("play_index"),
-        e["pitchNumber"].alias("pitch_number"),
-        e["type"].alias("type"),
-        e["isSubstitution"].alias("is_substitution"),
-        e["player"]["id"].alias("player_id"),
-        e["position"]["code"].alias("position"),
-        e["count"]["outs"].alias("outs"),
-        e["count"]["balls"].alias("post_balls"),
-        e["count"]["strikes"].alias("post_strikes"),
-        F.col("s")["post_disengagements"].alias("post_disengagements"),
+        *of_event("index", "play_index"),
+        *of_event("pitchNumber", "pitch_number"),
+        *of_event("type", "type"),
+        *of_event("isSubstitution", "is_substitution"),
+        *of_event("player.id", "player_id"),
+        *of_event("position.code", "position"),
+        *of_event("count.outs", "outs"),
+        *of_event("count.balls", "post_balls"),
+        *of_event("count.strikes", "post_strikes"),
+        *([F.col("s")["post_disengagements"].alias("post_disengagements")] if counted else []),
         F.col("s")["pre_balls"].alias("pre_balls"),
         F.col("s")["pre_strikes"].alias("pre_strikes"),
-        F.col("s")["pre_disengagements"].alias("pre_disengagements"),
-        det["description"].alias("description"),
-        det["event"].alias("event"),
-        det["eventType"].alias("event_type"),
-        det["fromCatcher"].alias("from_catcher"),
-        det["runnerGoing"].alias("runner_going"),
-        det["isOut"].alias("is_out"),
-        det["type"]["code"].alias("pitch_type"),
-        coord["aX"].alias("ax"),
-        coord["aY"].alias("ay"),
-        coord["aZ"].alias("az"),
-        coord["vX0"].alias("vx0"),
-        coord["vY0"].alias("vy0"),
-        coord["vZ0"].alias("vz0"),
-        coord["x0"].alias("x0"),
-        coord["z0"].alias("z0"),
-        pd["extension"].alias("extension"),
-        pd["breaks"]["spinRate"].alias("spin_rate"),
-        pd["strikeZoneTop"].alias("strike_zone_top"),
-        pd["strikeZoneBottom"].alias("strike_zone_bottom"),
-        hd["launchSpeed"].alias("launch_speed"),
-        hd["launchAngle"].alias("launch_angle"),
-        hd["coordinates"]["coordX"].alias("hit_coord_x"),
-        hd["coordinates"]["coordY"].alias("hit_coord_y"),
+        *([F.col("s")["pre_disengagements"].alias("pre_disengagements")] if counted else []),
+        *of_event("details.description", "description"),
+        *of_event("details.event", "event"),
+        *of_event("details.eventType", "event_type"),
+        *of_event("details.fromCatcher", "from_catcher"),
+        *of_event("details.runnerGoing", "runner_going"),
+        *of_event("details.isOut", "is_out"),
+        *of_event("details.type.code", "pitch_type"),
+        *of_event("pitchData.coordinates.aX", "ax"),
+        *of_event("pitchData.coordinates.aY", "ay"),
+        *of_event("pitchData.coordinates.aZ", "az"),
+        *of_event("pitchData.coordinates.vX0", "vx0"),
+        *of_event("pitchData.coordinates.vY0", "vy0"),
+        *of_event("pitchData.coordinates.vZ0", "vz0"),
+        *of_event("pitchData.coordinates.x0", "x0"),
+        *of_event("pitchData.coordinates.z0", "z0"),
+        *of_event("pitchData.extension", "extension"),
+        *of_event("pitchData.breaks.spinRate", "spin_rate"),
+        *of_event("pitchData.strikeZoneTop", "strike_zone_top"),
+        *of_event("pitchData.strikeZoneBottom", "strike_zone_bottom"),
+        *of_event("hitData.launchSpeed", "launch_speed"),
+        *of_event("hitData.launchAngle", "launch_angle"),
+        *of_event("hitData.coordinates.coordX", "hit_coord_x"),
+        *of_event("hitData.coordinates.coordY", "hit_coord_y"),
         "runners",
     )
 
 
+def _has(kind: T.DataType, path: str) -> bool:
+    """A struct type has a field at ``path``."""
+    for part in path.split("."):
+        if part not in kind.fieldNames():
+            return False
+        kind = kind[part].dataType
+    return True
+
+
 def pitch_rows(plays: DataFrame) -> DataFrame:
     """Pitches only, with the pre-pitch count as ``balls`` / ``strikes``. The
     pre-count was computed over all play events before this filter."""
@@ -283,26 +305,30 @@ def starting_lineup(boxscore: DataFrame) -> DataFrame:
 
 
 def attach_lineup(rows: DataFrame, lineup: DataFrame) -> DataFrame:
-    """Give every row its game's starting lineup as an array column.
-
-    The lineup is first reduced to one row per (game, half, position) with
-    positions 2-10 and halves top/bottom, so each array holds at most 18 entries
-    whatever the input; both sides of the join are hash-partitioned on ``game_id``."""
-    lu = lineup.filter(F.col("position").isin(list(FIELDING_POSITIONS)) & F.col("half_inning").isin(TOP, BOTTOM))
-    # Deduplicate first: the partial aggregate collapses repeated rows map-side,
-    # so copies of one game's lineup never reach a single task in bulk.
-    lu = lu.groupBy("game_id", "half_inning", "position").agg(F.min("player_id").alias("player_id"))
-    per_game = lu.groupBy("game_id").agg(
-        F.collect_list(F.struct("half_inning", "position", "player_id")).alias("lineup")
-    )
+    """Give every row its game's starting lineup: ``_<half>_<position>`` is the starter and
+    ``_listed`` has a bit for each half and position that the lineup lists (its starter may
+    be NULL).
+
+    One aggregate per game over positions 2-10 and halves top/bottom; its partial step
+    collapses a game's rows (copies too) before they are shuffled. Both sides of the join
+    are hash-partitioned on ``game_id``."""
+    half, position = F.col("half_inning"), F.col("position")
+    lu = lineup.filter(position.isin(list(FIELDING_POSITIONS)) & half.isin(TOP, BOTTOM))
+    listed = [F.when((half == h) & (position == q), F.lit(1 << _bit(h, q))) for h in (TOP, BOTTOM) for q in FIELDING_POSITIONS]
+    starters = [F.min(F.when((half == h) & (position == q), F.col("player_id"))).alias(f"_{h}_{q}") for h in (TOP, BOTTOM) for q in FIELDING_POSITIONS]
+    per_game = lu.groupBy("game_id").agg(F.bit_or(F.coalesce(*listed)).alias("_listed"), *starters)
     return rows.join(per_game, "game_id", "left")
 
 
+def _bit(half: str, position: int) -> int:
+    return position + (16 if half == BOTTOM else 0)
+
+
 def _substitutions(pe: Column) -> Column:
     """(i, id, position) of the substitutions among a plate appearance's play events,
     by play index."""
     subs = F.filter(pe, lambda x: F.coalesce(x["isSubstitution"], F.lit(False)))
-    return F.array_sort(F.transform(subs, lambda x: F.struct(
+    return F.sort_array(F.transform(subs, lambda x: F.struct(
         x["index"].alias("i"), x["player"]["id"].alias("id"), x["position"]["code"].try_cast("int").alias("position"))))
 
 
@@ -310,35 +336,29 @@ def with_fielders(events: DataFrame, lineup: DataFrame, num_partitions: int | No
     """Add ``fielder_2_id`` ... ``fielder_10_id`` to event rows that carry ``_subs`` and
     ``_starts`` (see ``event_rows``).
 
-    Per plate appearance and lineup slot of its half: the starter counts only at
-    the half's first event, a substitution at (event, position) only where the
+    Per plate appearance and position that the lineup lists for its half: the starter counts
+    only at the half's first event, a substitution at (event, position) only where the
     starter is NULL (so the starter wins in the first event, and substitutions
     match on event and position only); the id is then carried forward per
     (game, half, position) in event order. The rows are hash-partitioned on ``game_id``
-    once; the lineup's join, the carry-forward window and the per-event pivot reuse that.
+    once; the lineup's join, the carry-forward window and the aggregate reuse that.
     """
     event_cols = [c for c in events.columns if c not in ("_subs", "_starts")]
-    slots = F.transform(
-        F.filter(F.coalesce(F.col("lineup"), F.array()), lambda s: s["half_inning"] == F.col("half_inning")),
-        lambda s: F.struct(
-            s["position"].alias("position"),
-            F.coalesce(
-                F.when(F.col("_starts"), s["player_id"]),
-                F.get(F.filter(F.col("_subs"), lambda x: x["position"] == s["position"]), 0)["id"],
-            ).alias("merged"),
-        ),
-    )
+    half = F.col("half_inning")
+
+    def merged(q: int) -> Column:
+        starter, bit = (F.when(half == TOP, top).when(half == BOTTOM, bottom) for top, bottom in (
+            (F.col(f"_{TOP}_{q}"), F.col(f"_{BOTTOM}_{q}")), (F.lit(1 << _bit(TOP, q)), F.lit(1 << _bit(BOTTOM, q)))))
+        sub = F.get(F.filter(F.col("_subs"), lambda x: x["position"] == q), 0)["id"]
+        return F.when(F.col("_listed").bitwiseAND(bit) != 0, F.coalesce(F.when(F.col("_starts"), starter), sub))
+
     given = attach_lineup(_by_game(events, num_partitions), lineup)
-    rows = given.select(*event_cols, F.explode_outer(slots).alias("_s")).select(
-        *event_cols, F.col("_s.position").alias("_position"), F.col("_s.merged").alias("_merged")
-    )
-    w_fill = Window.partitionBy("game_id", "half_inning", "_position").orderBy("event_index").rowsBetween(_UNB, _CUR)
-    rows = rows.withColumn("_player", F.last("_merged", ignorenulls=True).over(w_fill))
+    rows = given.select(*event_cols, *[merged(q).alias(f"_merged_{q}") for q in FIELDING_POSITIONS])
+    w_fill = Window.partitionBy("game_id", "half_inning").orderBy("event_index").rowsBetween(_UNB, _CUR)
+    rows = rows.withColumns({f"_player_{q}": F.last(f"_merged_{q}", ignorenulls=True).over(w_fill) for q in FIELDING_POSITIONS})
     # Event columns are functions of (game_id, event_index), so grouping by all
-    # of them keeps one row per event and the pivot stays a hash aggregate.
-    return rows.groupBy(*event_cols).agg(
-        *[F.max(F.when(F.col("_position") == q, F.col("_player"))).alias(f"fielder_{q}_id") for q in FIELDING_POSITIONS]
-    )
+    # of them keeps one row per event.
+    return rows.groupBy(*event_cols).agg(*[F.max(f"_player_{q}").alias(f"fielder_{q}_id") for q in FIELDING_POSITIONS])
 
 
 # --- base-out state per play ------------------------------------------------
@@ -421,6 +441,9 @@ def identified_plays(plays: DataFrame) -> DataFrame:
 
 # --- the three stored outputs -----------------------------------------------
 
+FRAMES = ("event", "pitch", "play")
+
+
 def flatten_games(
     feed: DataFrame,
     lineup: DataFrame | None = None,
@@ -428,8 +451,10 @@ def flatten_games(
     num_partitions: int | None = None,
     cut_lineage: bool = False,
     prepared: bool = False,
+    frames: Sequence[str] = FRAMES,
 ) -> dict[str, DataFrame]:
-    """``{'event', 'pitch', 'play'}`` DataFrames in the stored layouts.
+    """``{'event', 'pitch', 'play'}`` DataFrames in the stored layouts, or those in ``frames``
+    only (documents read for one frame have no more than that frame's fields).
 
     ``lineup`` is the extracted starting lineup (``game_id, half_inning,
     position, player_id``; see ``starting_lineup``). ``schedule`` supplies
@@ -442,24 +467,24 @@ def flatten_games(
         # deduplicated documents feeds all three outputs.
         checkpoint_dir(games.sparkSession)
         games = games.checkpoint(eager=True)
-    plays = play_rows(plate_appearances(games))
-    if lineup is not None:
-        events = with_fielders(event_rows(plate_appearances(games, first_of_half=True), for_fielders=True), lineup, num_partitions)
-    else:
-        events = event_rows(plate_appearances(games))
-
-    plays_bo = identified_plays(base_out_state(plays, num_partitions))
-
-    if schedule is not None and "year" not in events.columns:
+    out = {}
+    if "event" in frames:
+        if lineup is not None:
+            events = with_fielders(event_rows(plate_appearances(games, first_of_half=True), for_fielders=True), lineup, num_partitions)
+        else:
+            events = event_rows(plate_appearances(games))
+        out["event"] = events, EVENT
+    if "pitch" in frames:
+        out["pitch"] = pitch_rows(play_rows(plate_appearances(games))), PITCH
+    if "play" in frames:
+        out["play"] = identified_plays(base_out_state(play_rows(plate_appearances(games)), num_partitions)), PLAY
+
+    years = None
+    if schedule is not None and "year" not in games.columns:
         years = schedule.select("game_id", F.col("year").cast("int").alias("year"))
-        events = events.join(years, "game_id", "left")
-        plays = plays.join(years, "game_id", "left")
-        plays_bo = plays_bo.join(years, "game_id", "left")
-
     return {
-        "event": _conform(events, [c.name for c in EVENT.schema.fields]),
-        "pitch": _conform(pitch_rows(plays), [c.name for c in PITCH.schema.fields]),
-        "play": _conform(plays_bo, [c.name for c in PLAY.schema.fields]),
+        name: _conform(df if years is None else df.join(years, "game_id", "left"), [c.name for c in spec.schema.fields])
+        for name, (df, spec) in out.items()
     }
 
 

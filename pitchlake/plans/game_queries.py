@@ -63,11 +63,13 @@ def _runner(line: Column, i: Column) -> Column:
 def game_documents(lineitem: DataFrame) -> DataFrame:
     """One nested document for each order, from all its lines."""
     lines = lineitem.groupBy(F.col("l_orderkey").cast("string").alias("game_id")).agg(
-        F.array_sort(F.collect_list(F.struct(*LINE_ORDER))).alias("lines"))
+        F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("lines"))
     both = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / 2).cast("int"))
 
-    def appearance(pa: Column) -> Column:
-        own = F.transform(F.slice("lines", 2 * pa + 1, 2), lambda x, k: F.struct(x.alias("line"), (2 * pa + k).alias("i")))
+    def own_lines(pa: Column) -> Column:
+        return F.transform(F.slice("lines", 2 * pa + 1, 2), lambda x, k: F.struct(x.alias("line"), (2 * pa + k).alias("i")))
+
+    def appearance(own: Column, pa: Column) -> Column:
         first, last = F.get(own, 0)["line"], F.element_at(own, -1)["line"]
         return F.struct(
             F.struct(pa.alias("atBatIndex"), F.lit(1).alias("inning"), F.when(pa < 2, "top").otherwise("bottom").alias("halfInning")).alias("about"),
@@ -77,7 +79,8 @@ def game_documents(lineitem: DataFrame) -> DataFrame:
             F.transform(own, lambda x: _play_event(F.col("game_id"), x.line, x.i)).alias("playEvents"),
         )
 
-    plays = F.transform(both, appearance).alias("allPlays")
+    # a lambda's variable is worked out once, an expression in its body at each mention
+    plays = F.transform(F.transform(both, own_lines), appearance).alias("allPlays")
     return lines.select("game_id", F.struct(F.struct(plays).alias("plays")).alias("liveData"))
 
 
@@ -96,7 +99,7 @@ def boxscore_documents(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("o_orderkey").cast("string").alias("game_id"), F.struct(team.alias("home"), team.alias("away")).alias("teams"))
 
 
-def _flattened(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _flattened(spark: SparkSession, sf: str, *frames: str) -> dict[str, DataFrame]:
     t = Tables(spark, sf)
     landed = scratch_path(spark, "game-documents")
     game_documents(t.lineitem).write.options(**LANDED).json(landed)
@@ -104,15 +107,20 @@ def _flattened(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     boxes = scratch_path(spark, "game-boxscores")
     boxscore_documents(t.orders).write.options(**LANDED).json(boxes)
     lineup = starting_lineup(prepare_games(read_boxscore(spark, boxes, multiline=False)))
-    return flatten_games(read_game_feed(spark, landed, multiline=False), lineup, years)
+    feed = read_game_feed(spark, landed, multiline=False)
+    games, out = prepare_games(feed), {}
+    for frame in frames:  # where no game has copies, each frame reads its own fields only
+        own = read_game_feed(spark, landed, multiline=False, frame=frame) if games is feed else games
+        out |= flatten_games(own, lineup, years, prepared=True, frames=[frame])
+    return out
 
 
 def q_game_events(spark, sf):
-    return _flattened(spark, sf)["event"].drop("bat_side", "pitch_hand")
+    return _flattened(spark, sf, "event")["event"].drop("bat_side", "pitch_hand")
 
 
 def q_game_pitches(spark, sf):
-    return _flattened(spark, sf)["pitch"].select(
+    return _flattened(spark, sf, "pitch")["pitch"].select(
         "play_id", "game_id", "event_index", "play_index", "year", "pitch_number", "outs", "balls", "strikes", "pitch_type", "ax", "launch_speed")
 
 
@@ -124,12 +132,12 @@ PLAY_COLUMNS = [
 
 
 def q_game_plays(spark, sf):
-    return _flattened(spark, sf)["play"].select(*PLAY_COLUMNS)
+    return _flattened(spark, sf, "play")["play"].select(*PLAY_COLUMNS)
 
 
 def q_half_runs(spark, sf):
     """Runs of each half-inning by its events and by its identified plays."""
-    out = _flattened(spark, sf)
+    out = _flattened(spark, sf, "event", "play")
     plays = out["play"].groupBy("game_id", "event_index").agg(F.sum("runs_on_play").alias("p"), F.count(F.lit(1)).alias("n"))
     both = out["event"].select("game_id", "event_index", "half_inning", "runs_on_event").join(plays, ["game_id", "event_index"], "left")
     return both.groupBy("game_id", "half_inning").agg(

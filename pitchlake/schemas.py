@@ -165,6 +165,20 @@ liveData STRUCT<plays: STRUCT<allPlays: ARRAY<STRUCT<
                     coordinates: STRUCT<coordX: DOUBLE, coordY: DOUBLE>>>>>>>>
 """
 
+# What a frame reads of allPlays; a frame that isn't listed reads all of it.
+FEED_FIELDS = {
+    "event": (
+        "about", "matchup", "result", "runners.movement.end", "runners.credit",
+        "playEvents.index", "playEvents.isSubstitution", "playEvents.player", "playEvents.position",
+    ),
+    "play": (
+        "about", "runners.movement.start", "runners.movement.end", "runners.movement.isOut",
+        "runners.details.eventType", "runners.details.runner", "runners.details.playIndex",
+        "playEvents.playId", "playEvents.index", "playEvents.pitchNumber", "playEvents.type",
+        "playEvents.count", "playEvents.details.eventType",
+    ),
+}
+
 # Extracted starting lineup per game and half: home fields in the top half.
 LINEUP_DDL = "game_id STRING, half_inning STRING, position INT, player_id INT"
 
@@ -179,8 +193,25 @@ teams STRUCT<
 """
 
 
-def game_feed_schema() -> T.StructType:
-    return T.StructType.fromDDL(" ".join(GAME_FEED_DDL.split()))
+def game_feed_schema(frame: str | None = None) -> T.StructType:
+    """The schema of a document; with ``frame`` (event, pitch, play) only what that frame reads of it."""
+    whole = T.StructType.fromDDL(" ".join(GAME_FEED_DDL.split()))
+    if frame not in FEED_FIELDS:
+        return whole
+    return only_fields(whole, ["game_id", *(f"liveData.plays.allPlays.{f}" for f in FEED_FIELDS[frame])])
+
+
+def only_fields(kind: T.DataType, paths: list[str]) -> T.DataType:
+    """``kind`` with the fields at ``paths`` only, each with all that it holds."""
+    if "" in paths:
+        return kind
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(only_fields(kind.elementType, paths), kind.containsNull)
+    below = {}
+    for p in paths:
+        name, _, rest = p.partition(".")
+        below.setdefault(name, []).append(rest)
+    return T.StructType([T.StructField(f.name, only_fields(f.dataType, below[f.name]), f.nullable) for f in kind.fields if f.name in below])
 
 
 def boxscore_schema() -> T.StructType:

@@ -34,12 +34,13 @@ def identify_documents(df: DataFrame) -> DataFrame:
     )
 
 
-def read_game_feed(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+def read_game_feed(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE", frame: str | None = None) -> DataFrame:
     """One live-feed document per file (``multiLine``) or per line, identified as
     ``identify_documents`` says. ``mode="FAILFAST"`` raises on a malformed
-    document instead of reading it as an empty game."""
+    document instead of reading it as an empty game. With ``frame`` the fields that only
+    other frames read are skipped, not made into rows: Spark doesn't prune nested JSON."""
     return identify_documents(
-        spark.read.schema(game_feed_schema()).option("multiLine", multiline).option("mode", mode).json(path))
+        spark.read.schema(game_feed_schema(frame)).option("multiLine", multiline).option("mode", mode).json(path))
 
 
 def read_boxscore(spark: SparkSession, path: str, multiline: bool = True, mode: str = "PERMISSIVE") -> DataFrame:

@@ -55,3 +55,49 @@ def test_landed_documents_are_compressed(spark, tmp_path, monkeypatch):
     for folder in landed:
         parts = [f for f in os.listdir(folder) if f.startswith("part-")]
         assert parts and all(f.endswith(".json.gz") for f in parts)
+
+
+@pytest.mark.parametrize("frame", ["event", "play", "pitch"])
+def test_a_frame_read_by_its_own_fields_equals_the_whole_read(spark, tmp_path, frame):
+    d = G.write_docs([G.g1(), G.g2(), G.g3()], tmp_path)
+    lineup = spark.createDataFrame([*G.lineup_rows("g1"), *G.lineup_rows("g3")], LINEUP_DDL)
+    whole = N.flatten_games(read_game_feed(spark, d), lineup=lineup)
+    own = read_game_feed(spark, d, frame=frame)
+    out = N.flatten_games(own, lineup=lineup, prepared=True, frames=[frame])
+    assert list(out) == [frame] and out[frame].schema == whole[frame].schema
+    rows = sorted(out[frame].collect(), key=repr)
+    assert rows and rows == sorted(whole[frame].collect(), key=repr)
+    assert ("pitchData" in own.schema.simpleString()) == (frame == "pitch")
+
+
+def test_fielders_are_carried_in_one_window_of_a_row_for_each_event(spark, tmp_path):
+    feed = read_game_feed(spark, G.write_docs([G.g1()], tmp_path))
+    event = N.flatten_games(feed, lineup=spark.createDataFrame(G.lineup_rows("g1"), LINEUP_DDL))["event"]
+    plan = event._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("Generate ") == 1  # of plate appearances
+
+
+def test_a_listed_position_without_a_starter_takes_its_substitute(spark, tmp_path):
+    doc = G.g1()
+    plays = doc["liveData"]["plays"]["allPlays"]
+    subs = [(p["about"]["atBatIndex"], p["about"]["halfInning"], int(e["position"]["code"]), e["player"]["id"])
+            for p in plays for e in p.get("playEvents") or [] if e.get("isSubstitution")]
+    at, half, position, player = next(s for s in subs if 2 <= s[2] <= 10)
+    fielders, other = {}, 9 if position < 9 else 2
+    for name, lineup in (("listed", [("g1", half, position, None)]), ("other", [("g1", half, other, 5)])):
+        event = N.flatten_games(read_game_feed(spark, G.write_docs([doc], tmp_path / name)), lineup=spark.createDataFrame(lineup, LINEUP_DDL))["event"]
+        fielders[name] = event.where(F.col("event_index") == at).first()[f"fielder_{position}_id"]
+    assert fielders == {"listed": player, "other": None}
+
+
+def test_game_queries_read_their_own_fields(spark, tmp_path, monkeypatch):
+    lines = [(o, o * 7 % 5 + 1, o * 3 + i, i, 5.0 * i, 10.0 * o, 0.1, 0.0, "RAN"[i % 3], "OF"[o % 2]) for o in range(1, 6) for i in range(1, 6)]
+    cols = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, cols).write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = [(o, o + 10, dt.datetime(1995, 1, o)) for o in range(1, 6)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(str(tmp_path / "orders.parquet"))
+    for query in (Q.q_game_events, Q.q_half_runs):
+        out = query(spark, str(tmp_path))
+        scans = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan json" in line and "liveData" in line]
+        assert scans and not any("pitchData" in line for line in scans)
+    assert out.count() == 10
